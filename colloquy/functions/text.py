@@ -59,7 +59,8 @@ def clean_content(c) -> Column:
 # The named entities decoded natively, '&amp;' last so that
 # '&amp;lt;' decodes once, as a single-pass unescaper does.
 BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                  ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+                  ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "\u00b7"),
+                  ("&copy;", "\u00a9"), ("&amp;", "&")]
 
 
 @functools.lru_cache(maxsize=1)
@@ -68,11 +69,11 @@ def _unescape_udf():
 
     import pandas as pd
 
-    @F.pandas_udf("string")
-    def unescape(s: pd.Series) -> pd.Series:
+    def unescape(s):
         return s.map(lambda v: html.unescape(v) if isinstance(v, str) and "&" in v else v)
 
-    return unescape
+    unescape.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(unescape, "string")
 
 
 def html_unescape(c, exact: bool = True) -> Column:
