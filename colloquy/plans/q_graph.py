@@ -1 +1,222 @@
-"""Queries (filled in as operators land)."""
+"""Knowledge-graph queries over proposals derived from orders and line items."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import sql_extract as E
+from ..functions import sql_text as S
+from ..operators import graph as G
+from ..operators.state import keep_by_order
+from ..sources import proposals as PR
+from .registry import register
+
+TREASURY = "Treasury"
+
+
+def _p(spark, sf_dir):
+    return PR.proposals(spark, sf_dir)
+
+
+def _r(spark, sf_dir):
+    return PR.replies(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- SQL builders
+
+def base_ctes() -> str:
+    return "WITH " + ",\n".join([PR.LINE_SQL.strip(), PR.PROPOSALS_SQL.strip(), PR.REPLIES_SQL.strip()]) + """,
+lv AS (SELECT pid,
+              sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS for_votes,
+              sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS against_votes,
+              sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS abstain_votes
+       FROM (SELECT l_orderkey AS pid, * FROM lineitem) GROUP BY pid),
+rw AS (SELECT pid,
+              max(reply) FILTER (WHERE field = 'budget') AS budget,
+              max(reply) FILTER (WHERE field = 'ptype') AS ptype,
+              max(reply) FILTER (WHERE field = 'duration') AS duration,
+              max(reply) FILTER (WHERE field = 'team_size') AS team_size,
+              max(reply) FILTER (WHERE field = 'team_name') AS team_name,
+              max(reply) FILTER (WHERE field = 'previous') AS previous,
+              max(reply) FILTER (WHERE field = 'summary') AS summary
+       FROM replies GROUP BY pid)
+"""
+
+
+def k1_sql(replies: bool, name: str = "k1") -> str:
+    """K1 as UNION ALL of one SELECT per field: (pid, i, j, relation, object)."""
+    src = "props p LEFT JOIN lv ON lv.pid = p.pid" + (" LEFT JOIN rw ON rw.pid = p.pid" if replies else "")
+    fields = [("ID", "p.id"), ("Proposer", "p.proposer"),
+              ("Proposal Submission Date", E.epoch_to_date("p.created")),
+              ("quorumVotes", "CAST(TRY_CAST(p.quorum_votes AS BIGINT) AS VARCHAR)"),
+              ("Status", "p.status"), ("executionETA", "p.execution_eta"), ("Label", "p.title")]
+    if replies:
+        fields += [("Summary", E.summary_tail("rw.summary", "rw.summary")),
+                   ("Proposal Budget", E.get_money("rw.budget")),
+                   ("Proposal Type", "rw.ptype"),
+                   ("Proposal Duration", E.duration_months("rw.duration")),
+                   ("Team Name", E.team_name("rw.team_name")),
+                   ("Previous Proposal", None),
+                   ("Team Size", f"CAST(nullif({E.team_size('rw.team_size')}, 0) AS VARCHAR)")]
+    fields += [("Supporter Count", "CAST(lv.for_votes AS VARCHAR)"),
+               ("Abstain Count", "CAST(lv.abstain_votes AS VARCHAR)"),
+               ("Opposer Count", "CAST(lv.against_votes AS VARCHAR)")]
+    parts = []
+    for i, (rel, expr) in enumerate(fields):
+        if expr is None:
+            refs = E.proposal_refs("rw.previous")
+            parts.append(f"SELECT p.pid, {i} AS i, CAST(u.j - 1 AS BIGINT) AS j, {S.q(rel)} AS relation, "
+                         f"'Proposal ' || CAST(u.r AS VARCHAR) AS object FROM {src}, "
+                         f"unnest({refs}) WITH ORDINALITY AS u(r, j)")
+        else:
+            parts.append(f"SELECT p.pid, {i} AS i, CAST(0 AS BIGINT) AS j, {S.q(rel)} AS relation, "
+                         f"{expr} AS object FROM {src}")
+    body = "\nUNION ALL\n".join(parts)
+    return f"""{name} AS (
+  SELECT 'Proposal ' || CAST(pid AS VARCHAR) AS subject, relation, object, pid * 1000 + i * 10 + j AS seq
+  FROM ({body}) z WHERE object IS NOT NULL AND object <> ''
+)"""
+
+
+def k2_sql(replies: bool, treasury: str = TREASURY, name: str = "k2") -> str:
+    budget = f"coalesce({E.get_money('rw.budget')}, '')" if replies else "''"
+    join = " LEFT JOIN rw ON rw.pid = l.pid" if replies else ""
+    has_and = f"list_contains(regexp_split_to_array(b, '\\s+'), 'and')"
+    to_n, val_n = G.debt_relations(treasury)
+    typ = E.action_type("signature")
+    debt = "starts_with(signature, 'sendOrRegisterDebt')"
+    bps = "regexp_extract(b, '\\p{Nd}+bps', 0)"
+    c_tr = f"value <> '0' AND {typ} = 'Transfer'"
+    c_d1 = f"value = '0' AND {debt} AND NOT {has_and}"
+    c_d2 = f"value = '0' AND {debt} AND {has_and}"
+    c_ce = f"value = '0' AND NOT {debt} AND starts_with(signature, 'createEdition')"
+    c_bp = f"value = '0' AND NOT {debt} AND NOT starts_with(signature, 'createEdition') AND {bps} <> ''"
+    rows = [(c_tr, 0, "Transfer To", "target"), (c_tr, 1, "Transfer Value", E.wei_to_eth("value")),
+            (c_d1, 0, to_n, "target"), (c_d1, 1, val_n, f"CAST({E.calldata_amount('calldata')} AS VARCHAR)"),
+            (c_d2, 0, "sendOrRegisterDebt To", "target"),
+            (c_d2, 1, "sendOrRegisterDebt Value", f"CAST({E.calldata_amount('calldata')} AS VARCHAR)"),
+            (c_ce, 0, "createEdition To", "target"),
+            (c_bp, 0, "setProposalThresholdBPS To", "target"), (c_bp, 1, "setProposalThresholdBPS Value", bps)]
+    parts = [f"SELECT pid, k, {j} AS j, {S.q(rel)} AS relation, {expr} AS object FROM la WHERE {cond}"
+             for cond, j, rel, expr in rows]
+    body = "\nUNION ALL\n".join(parts)
+    return f"""{name} AS (
+  WITH la AS (SELECT l.*, {budget} AS b,
+                     row_number() OVER (PARTITION BY l.pid ORDER BY pos, target, value, signature, calldata) - 1 AS k
+              FROM lines l{join})
+  SELECT 'Proposal ' || CAST(pid AS VARCHAR) AS subject, relation, object,
+         pid * 1000 + 500 + k * 2 + j AS seq
+  FROM ({body}) z WHERE object IS NOT NULL
+)"""
+
+
+def view1_sql(replies: bool = True, treasury: str = TREASURY, p: str = "") -> str:
+    """CTEs ``{p}k1 .. {p}v1`` computing the normalised view 1 (K8)."""
+    tv = "object"
+    return ",\n".join([
+        k1_sql(replies, f"{p}k1"), k2_sql(replies, treasury, f"{p}k2"),
+        f"""{p}k12 AS (SELECT * FROM {p}k1 UNION ALL SELECT * FROM {p}k2)""",
+        f"""{p}k4 AS (
+  SELECT subject, relation, u.o AS object, seq * 100 + u.j - 1 AS seq
+  FROM {p}k12, unnest({E.keywords('object')}) WITH ORDINALITY AS u(o, j)
+  WHERE relation = 'Proposal Type'
+  UNION ALL
+  SELECT subject,
+         CASE WHEN {E.title_relation('relation')} = 'Proposal Duration' THEN 'Proposal Duration in Months'
+              ELSE {E.title_relation('relation')} END AS relation,
+         CASE WHEN {E.title_relation('relation')} = 'ExecutionETA' THEN {E.epoch_to_date('object')}
+              WHEN {E.title_relation('relation')} = 'Proposal Duration' THEN {E.deadline_months('object')}
+              ELSE object END AS object,
+         seq * 100 AS seq
+  FROM {p}k12 WHERE relation <> 'Proposal Type')""",
+        f"""{p}k5 AS (
+  SELECT * FROM {p}k4 WHERE relation <> 'Proposal Budget'
+  UNION ALL
+  SELECT subject, relation, {E.render_number('n')} AS object, seq FROM (
+    SELECT subject,
+           CASE WHEN contains(piece, '$') OR contains(piece, 'USD') THEN 'Proposal Budget in USD'
+                WHEN contains(piece, 'ETH') AND NOT contains(piece, 'stETH') THEN 'Proposal Budget in ETH'
+                WHEN contains(piece, 'stETH') THEN 'Proposal Budget in stETH' END AS relation,
+           {E.to_number('piece')} AS n, seq + u.j - 1 AS seq
+    FROM {p}k4, unnest(string_split(object, ' and ')) WITH ORDINALITY AS u(piece, j)
+    WHERE relation = 'Proposal Budget') b
+  WHERE relation IS NOT NULL AND n IS NOT NULL)""",
+        f"""{p}k6a AS (
+  SELECT subject,
+         max(CASE WHEN relation = 'Proposal Budget in ETH' THEN 1 END) AS has_eth,
+         arg_min({tv}, seq) FILTER (WHERE relation = 'Transfer Value') AS tv,
+         max(seq) AS mseq
+  FROM {p}k5 GROUP BY subject)""",
+        f"""{p}k6b AS (
+  SELECT * FROM {p}k5
+  UNION ALL
+  SELECT subject,
+         CASE WHEN contains(tv, 'ETH') THEN 'Proposal Budget in ETH' ELSE 'Proposal Budget in USD' END,
+         CASE WHEN contains(tv, 'ETH') THEN {E.render_number(E.strip_num('tv', 'ETH'))}
+              ELSE {E.render_number(E.strip_num('tv', 'USD'))} END,
+         mseq + 1
+  FROM {p}k6a WHERE has_eth IS NULL AND tv IS NOT NULL AND (contains(tv, 'ETH') OR contains(tv, 'USD')))""",
+        f"""{p}k6 AS (
+  SELECT * FROM {p}k6b WHERE relation NOT IN ('Proposal Budget in USD', 'Proposal Budget in ETH')
+  UNION ALL
+  SELECT subject, relation, arg_max(object, CAST(object AS DOUBLE)), 0
+  FROM {p}k6b WHERE relation IN ('Proposal Budget in USD', 'Proposal Budget in ETH')
+  GROUP BY subject, relation)""",
+        f"""{p}k7 AS (
+  SELECT subject,
+         CASE WHEN relation = 'Transfer Value' THEN 'Transfer Value in ETH' ELSE relation END AS relation,
+         CASE WHEN relation = 'Setproposalthresholdbps Value' THEN {E.render_number(E.strip_num('object', 'bps'))}
+              WHEN relation = 'Transfer Value' THEN {E.render_number(E.strip_num('object', 'ETH'))}
+              WHEN relation = 'Team Name' THEN {E.capitalize('object')}
+              ELSE object END AS object, seq
+  FROM {p}k6)""",
+        f"""{p}a16 AS (
+  SELECT * FROM {p}k7
+  UNION ALL
+  SELECT subject, 'Team Size', '1', max(seq) + 2 FROM {p}k7 GROUP BY subject
+  HAVING max(CASE WHEN relation = 'Team Size' THEN 1 END) IS NULL)""",
+        f"""{p}v1 AS (
+  SELECT subject, relation, {S.strip_quotes('object')} AS object, min(seq) AS seq
+  FROM {p}a16 GROUP BY ALL)""",
+    ])
+
+
+# ---------------------------------------------------------------- queries
+
+@register("proposal_triples", base_ctes() + "," + k1_sql(True) + "\nSELECT subject, relation, object FROM k1")
+def proposal_triples(spark, sf_dir):
+    """K1 + M13 parsers: one triple per present proposal field."""
+    return G.proposal_triples(_p(spark, sf_dir), _r(spark, sf_dir)).select("subject", "relation", "object")
+
+
+@register("action_triples", base_ctes() + "," + k2_sql(True) + "\nSELECT subject, relation, object FROM k2")
+def action_triples(spark, sf_dir):
+    """K2: transfer / debt / edition / threshold triples from zipped actions."""
+    r = _r(spark, sf_dir)
+    budget = (r.groupBy("pid").agg(F.max(F.when(F.col("field") == "budget", F.col("reply"))).alias("_b"))
+               .select("pid", G.X.get_money(F.col("_b")).alias("budget")))
+    return G.action_triples(_p(spark, sf_dir), budget, TREASURY).select("subject", "relation", "object")
+
+
+VOTE_EDGES_SQL = "WITH " + PR.LINE_SQL.strip() + f"""
+SELECT DISTINCT 'Proposal ' || CAST(pid AS VARCHAR) AS subject,
+       CASE WHEN support THEN 'Supported By' WHEN support_detailed = 0 THEN 'Opposed By'
+            WHEN support_detailed = 2 THEN 'Abstained By' END AS relation,
+       split_part(vote_id, '-', 1) AS object,
+       greatest(coalesce(TRY_CAST(votes AS BIGINT), 1), 1) AS weight,
+       {S.strip_quotes("coalesce(reason, 'Reason not provided')")} AS reason
+FROM lines
+WHERE support OR support_detailed IN (0, 2)
+"""
+
+
+@register("vote_edges", VOTE_EDGES_SQL)
+def vote_edges(spark, sf_dir):
+    """K3: weighted vote edges with reasons; unclassifiable votes dropped."""
+    return G.vote_edges(_p(spark, sf_dir)).select("subject", "relation", "object", "weight", "reason")
+
+
+@register("normalise_graph", base_ctes() + "," + view1_sql() + "\nSELECT subject, relation, object FROM v1")
+def normalise_graph(spark, sf_dir):
+    """K8: K1 + K2 -> K4 -> K5 -> K6 -> K7 -> A16 -> X31 -> distinct."""
+    return G.graph_view1(_p(spark, sf_dir), _r(spark, sf_dir), TREASURY).select("subject", "relation", "object")
