@@ -262,7 +262,7 @@ def vote_weight(votes) -> Column:
 
 def statement_time(date_text) -> Column:
     """``yyyy-MM-dd`` -> ``+yyyy-MM-ddT00:00:00Z``."""
-    d = F.try_to_date(_c(date_text), F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(_c(date_text), "yyyy-MM-dd")
     return F.concat(F.lit("+"), F.date_format(d, "yyyy-MM-dd"), F.lit("T00:00:00Z"))
 
 

@@ -43,13 +43,13 @@ rw AS (SELECT pid,
 """
 
 
-def k1_sql(replies: bool, name: str = "k1") -> str:
+def k1_sql(replies: bool, name: str = "k1", title: str = "p.title") -> str:
     """K1 as UNION ALL of one SELECT per field: (pid, i, j, relation, object)."""
     src = "props p LEFT JOIN lv ON lv.pid = p.pid" + (" LEFT JOIN rw ON rw.pid = p.pid" if replies else "")
     fields = [("ID", "p.id"), ("Proposer", "p.proposer"),
               ("Proposal Submission Date", E.epoch_to_date("p.created")),
               ("quorumVotes", "CAST(TRY_CAST(p.quorum_votes AS BIGINT) AS VARCHAR)"),
-              ("Status", "p.status"), ("executionETA", "p.execution_eta"), ("Label", "p.title")]
+              ("Status", "p.status"), ("executionETA", "p.execution_eta"), ("Label", title)]
     if replies:
         fields += [("Summary", E.summary_tail("rw.summary", "rw.summary")),
                    ("Proposal Budget", E.get_money("rw.budget")),
@@ -220,3 +220,231 @@ def vote_edges(spark, sf_dir):
 def normalise_graph(spark, sf_dir):
     """K8: K1 + K2 -> K4 -> K5 -> K6 -> K7 -> A16 -> X31 -> distinct."""
     return G.graph_view1(_p(spark, sf_dir), _r(spark, sf_dir), TREASURY).select("subject", "relation", "object")
+
+
+# ---------------------------------------------------------------- light view 1 (no model fields)
+
+def basic_view1(spark, sf_dir, treasury: str = TREASURY, upper_title: bool = False):
+    """K1 + K2 + K4 without model replies: ids, dates, status, label, vote
+    totals and actions, relations title-cased."""
+    p = _p(spark, sf_dir)
+    if upper_title:
+        p = p.withColumn("title", F.upper("title"))
+    t = G.proposal_triples(p).unionByName(G.action_triples(p, None, treasury))
+    return G.normalise_types(t)
+
+
+def basic_sql(p: str = "b", treasury: str = TREASURY, upper_title: bool = False) -> str:
+    title = "upper(p.title)" if upper_title else "p.title"
+    return ",\n".join([
+        k1_sql(False, f"{p}k1", title), k2_sql(False, treasury, f"{p}k2"),
+        f"""{p}k12 AS (SELECT * FROM {p}k1 UNION ALL SELECT * FROM {p}k2)""",
+        f"""{p}v AS (
+  SELECT subject,
+         CASE WHEN {E.title_relation('relation')} = 'Proposal Duration' THEN 'Proposal Duration in Months'
+              ELSE {E.title_relation('relation')} END AS relation,
+         CASE WHEN {E.title_relation('relation')} = 'ExecutionETA' THEN {E.epoch_to_date('object')}
+              WHEN {E.title_relation('relation')} = 'Proposal Duration' THEN {E.deadline_months('object')}
+              ELSE object END AS object,
+         seq * 100 AS seq
+  FROM {p}k12)"""])
+
+
+def edges_sql(name: str = "ve") -> str:
+    return f"""{name} AS (
+  SELECT DISTINCT 'Proposal ' || CAST(pid AS VARCHAR) AS subject,
+         CASE WHEN support THEN 'Supported By' WHEN support_detailed = 0 THEN 'Opposed By'
+              WHEN support_detailed = 2 THEN 'Abstained By' END AS relation,
+         split_part(vote_id, '-', 1) AS object,
+         greatest(coalesce(TRY_CAST(votes AS BIGINT), 1), 1) AS weight,
+         {S.strip_quotes("coalesce(reason, 'Reason not provided')")} AS reason
+  FROM lines WHERE support OR support_detailed IN (0, 2))"""
+
+
+def _dt_values(treasury: str = TREASURY) -> str:
+    from ..operators.statements import relation_sets
+    rows = [f"({S.q(r)}, {S.q(dt)})" for dt, rels in relation_sets(treasury).items() for r in rels]
+    return "dtypes(relation, datatype) AS (VALUES " + ", ".join(rows) + ")"
+
+
+def _quals_sql(rel: str, weight: str, reason: str) -> str:
+    bounded = S.bounded_text(reason)
+    return (f"CASE WHEN {rel} IN ('Supported By', 'Opposed By', 'Abstained By') THEN "
+            f"'Vote Weight=' || CAST({weight} AS VARCHAR) || "
+            f"CASE WHEN {reason} IS NOT NULL AND {reason} <> 'Reason not provided' "
+            f"THEN ';Vote Reason=' || {bounded} ELSE '' END ELSE '' END")
+
+
+def quals_text(col):
+    return F.array_join(F.transform(col, lambda x: F.concat(x["prop"], F.lit("="), x["value"])), ";")
+
+
+TYPED_SQL = base_ctes() + ",\n" + basic_sql() + ",\n" + edges_sql() + ",\n" + _dt_values() + f""",
+t AS (SELECT subject, relation, object, CAST(NULL AS BIGINT) AS weight, CAST(NULL AS VARCHAR) AS reason FROM bv
+      UNION ALL SELECT subject, relation, object, weight, reason FROM ve),
+j AS (SELECT t.*, d.datatype FROM t JOIN dtypes d ON d.relation = t.relation WHERE t.object IS NOT NULL)
+SELECT subject AS entity, relation AS property, datatype,
+       CASE WHEN datatype = 'string' THEN replace(object, chr(10), ' --- ')
+            WHEN datatype = 'time' THEN '+' || strftime(TRY_CAST(object AS DATE), '%Y-%m-%d') || 'T00:00:00Z'
+            WHEN datatype = 'quantity' THEN {E.render_number('TRY_CAST(object AS DOUBLE)')}
+            ELSE object END AS value,
+       {_quals_sql('relation', 'weight', 'reason')} AS qualifiers
+FROM j
+UNION ALL
+SELECT subject, 'Url', 'url', 'https://example.org/vote/' || object, '' FROM j WHERE relation = 'Id'
+"""
+
+
+@register("typed_statements", TYPED_SQL)
+def typed_statements(spark, sf_dir):
+    """K9 + X49 + X50 + X51 + X32: typed statements with vote qualifiers."""
+    from ..operators import statements as ST
+    st = ST.typed_statements(basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)),
+                             ST.datatype_table(spark, TREASURY))
+    return st.select("entity", "property", "datatype", "value", quals_text(F.col("qualifiers")).alias("qualifiers"))
+
+
+INVERSE_SQL = base_ctes() + ",\n" + basic_sql() + ",\n" + edges_sql() + f""",
+inv(relation, inverse) AS (VALUES ('Supported By', 'Supported'), ('Opposed By', 'Opposed'),
+                                  ('Abstained By', 'Abstained'), ('Proposer', 'Proposed')),
+t AS (SELECT subject, relation, object, CAST(NULL AS BIGINT) AS weight, CAST(NULL AS VARCHAR) AS reason FROM bv
+      UNION ALL SELECT subject, relation, object, weight, reason FROM ve)
+SELECT t.object AS entity, i.inverse AS property, t.subject AS value,
+       {_quals_sql('t.relation', 't.weight', 't.reason')} AS qualifiers
+FROM t JOIN inv i ON i.relation = t.relation WHERE starts_with(t.object, '0x')
+"""
+
+
+@register("inverse_statements", INVERSE_SQL)
+def inverse_statements(spark, sf_dir):
+    """Inverse statements on individuals (addresses)."""
+    from ..operators import statements as ST
+    st = ST.inverse_statements(spark, basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)))
+    return st.select("entity", "property", "value", quals_text(F.col("qualifiers")).alias("qualifiers"))
+
+
+def _range_values(treasury: str = TREASURY) -> str:
+    from ..operators.statements import range_map
+    rows = [f"({S.q(r)}, {S.q(t)})" for r, t in range_map(treasury).items()]
+    return "rng(relation, type) AS (VALUES " + ", ".join(rows) + ")"
+
+
+CATALOG_SQL = base_ctes() + ",\n" + basic_sql() + ",\n" + edges_sql() + ",\n" + _dt_values() + ",\n" + \
+    _range_values() + """,
+t AS (SELECT subject, relation, object FROM bv UNION ALL SELECT subject, relation, object FROM ve)
+SELECT 'property' AS kind, r.relation AS label, coalesce(d.datatype, 'string') AS type
+FROM (SELECT DISTINCT relation FROM t) r LEFT JOIN dtypes d ON d.relation = r.relation
+UNION ALL
+SELECT kind, label, min(type) FROM (
+  SELECT 'item' AS kind, subject AS label, 'Proposal' AS type FROM t
+  UNION ALL
+  SELECT 'item', t.object, g.type FROM t JOIN rng g ON g.relation = t.relation) x
+GROUP BY kind, label
+"""
+
+
+@register("entity_catalog", CATALOG_SQL)
+def entity_catalog(spark, sf_dir):
+    """Properties with datatypes and typed items to exist."""
+    from ..operators import statements as ST
+    return ST.entity_catalog(spark, basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)),
+                             ST.datatype_table(spark, TREASURY), TREASURY)
+
+
+ENSURE_SQL = base_ctes() + ",\n" + basic_sql() + ",\n" + edges_sql() + ",\n" + _range_values() + """,
+t AS (SELECT subject, relation, object FROM bv UNION ALL SELECT subject, relation, object FROM ve),
+items AS (SELECT DISTINCT subject AS label FROM t
+          UNION SELECT t.object FROM t JOIN rng g ON g.relation = t.relation),
+existing AS (SELECT label, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(label), 1, 15)) AS BIGINT), label) AS number
+             FROM (SELECT DISTINCT subject AS label FROM t)),
+top AS (SELECT coalesce(max(number), 0) AS m FROM existing),
+fresh AS (SELECT label, (SELECT m FROM top)
+                 + row_number() OVER (ORDER BY CAST(('0x' || substr(md5(label), 1, 15)) AS BIGINT), label) AS number
+          FROM items WHERE label NOT IN (SELECT label FROM existing))
+SELECT label, 'Q' || CAST(number AS VARCHAR) AS entity_id, number FROM existing
+UNION ALL SELECT label, 'Q' || CAST(number AS VARCHAR), number FROM fresh
+"""
+
+
+@register("ensure_entities", ENSURE_SQL)
+def ensure_entities(spark, sf_dir):
+    """Proposals are catalogued first; individuals, statuses and other
+    ranged objects get the next ids, in md5 order of their labels."""
+    from ..operators import statements as ST
+    v1, v2 = basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir))
+    cat = ST.entity_catalog(spark, v1, v2, ST.datatype_table(spark, TREASURY), TREASURY)
+    items = cat.filter(F.col("kind") == "item")
+    subj = v1.select(F.col("subject").alias("label")).unionByName(v2.select(F.col("subject").alias("label")))
+    empty = spark.createDataFrame([], "label string, entity_id string, number long")
+    existing = ST.ensure_entities(empty, subj)
+    return ST.ensure_entities(existing, items.select("label"))
+
+
+PATTERN_SQL = base_ctes() + ",\n" + basic_sql() + """,
+g AS (SELECT subject,
+             bool_or(CASE WHEN relation = 'Status' THEN object = 'F' END) AS is_f,
+             max(object) FILTER (WHERE relation = 'Id') AS id,
+             max(object) FILTER (WHERE relation = 'Proposer') AS proposer,
+             max(object) FILTER (WHERE relation = 'Label') AS label
+      FROM bv GROUP BY subject)
+SELECT subject, id, proposer, label FROM g
+WHERE is_f AND id IS NOT NULL AND proposer IS NOT NULL AND label IS NOT NULL
+"""
+
+
+@register("triple_pattern", PATTERN_SQL)
+def triple_pattern(spark, sf_dir):
+    """Proposals with Status = F that have an id, a proposer and a label."""
+    from ..operators import statements as ST
+    return ST.triple_pattern(basic_view1(spark, sf_dir), "Status", "F", ["Id", "Proposer", "Label"])
+
+
+WIKI_SQL = PATTERN_SQL.replace("SELECT subject, id, proposer, label FROM g\n", """, rowsq AS (SELECT subject, id, proposer, label FROM g
+""", 1) + """)
+SELECT 0 AS line_no, 'Last updated: 2024-01-01' AS line
+UNION ALL SELECT 1, '{| class="wikitable sortable"'
+UNION ALL SELECT 2, '! Id !! Label !! Proposer'
+UNION ALL SELECT 2 + row_number() OVER (ORDER BY CAST(id AS BIGINT), subject),
+                 '|-' || chr(10) || '| ' || id || ' || ' || label || ' || ' || proposer FROM rowsq
+UNION ALL SELECT 3 + (SELECT count(*) FROM rowsq), '|}'
+"""
+
+
+@register("wiki_table", WIKI_SQL)
+def wiki_table(spark, sf_dir):
+    """The J15 rows as wiki-table markup lines, ordered by numeric id."""
+    from ..operators import statements as ST
+    rows = ST.triple_pattern(basic_view1(spark, sf_dir), "Status", "F", ["Id", "Proposer", "Label"])
+    rows = rows.withColumn("_n", F.col("id").cast("bigint"))
+    return ST.wiki_table_lines(rows, ["id", "label", "proposer"], ["_n", "subject"], "2024-01-01")
+
+
+@register("vote_totals", "WITH " + PR.LINE_SQL.strip() + ",\n" + edges_sql() + """
+SELECT subject, relation, sum(weight) AS total_weight, count(*) AS n_votes FROM ve GROUP BY subject, relation
+""")
+def vote_totals(spark, sf_dir):
+    """Summed vote weight per proposal and vote relation."""
+    return G.vote_totals(G.vote_edges(_p(spark, sf_dir)))
+
+
+@register("addresses", "WITH " + PR.LINE_SQL.strip() + ",\n" + edges_sql() + """
+SELECT DISTINCT object AS address FROM ve WHERE starts_with(object, '0x') AND object <> '0x00000000'
+""")
+def addresses(spark, sf_dir):
+    """distinct voter addresses, one literal skipped."""
+    from ..operators.filters import addresses as addr
+    return addr(G.vote_edges(_p(spark, sf_dir)), skip=["0x00000000"])
+
+
+@register("relation_in", base_ctes() + ",\n" + basic_sql() + """
+SELECT relation IN ('Transfer To', 'Transfer Value', 'Previous Proposal') AS multi, count(*) AS n
+FROM bv GROUP BY 1
+""")
+def relation_in(spark, sf_dir):
+    """triples split by membership in a relation list (counted)."""
+    from ..operators.filters import relation_in as rin
+    v = basic_view1(spark, sf_dir)
+    rels = ["Transfer To", "Transfer Value", "Previous Proposal"]
+    a = rin(v, rels).agg(F.count(F.lit(1)).alias("n")).withColumn("multi", F.lit(True))
+    b = rin(v, rels, keep=False).agg(F.count(F.lit(1)).alias("n")).withColumn("multi", F.lit(False))
+    return a.unionByName(b).select("multi", "n")
