@@ -448,3 +448,181 @@ def relation_in(spark, sf_dir):
     a = rin(v, rels).agg(F.count(F.lit(1)).alias("n")).withColumn("multi", F.lit(True))
     b = rin(v, rels, keep=False).agg(F.count(F.lit(1)).alias("n")).withColumn("multi", F.lit(False))
     return a.unionByName(b).select("multi", "n")
+
+
+# ---------------------------------------------------------------- versions: D5 / D6 / D7 / A12 / U3
+
+MERGE_SQL = base_ctes() + ",\n" + basic_sql("o") + ",\n" + basic_sql("n", upper_title=True) + f""",
+u AS (SELECT *, 0 AS version FROM ov UNION ALL SELECT *, 1 AS version FROM nv),
+multi AS (SELECT * FROM u WHERE relation IN ({", ".join(S.q(r) for r in G.MULTI_VALUED + [G.debt_relations(TREASURY)[1].title()])})),
+single AS (SELECT * FROM u WHERE relation NOT IN ({", ".join(S.q(r) for r in G.MULTI_VALUED + [G.debt_relations(TREASURY)[1].title()])}))
+SELECT subject, relation, object FROM (
+  SELECT *, row_number() OVER (PARTITION BY subject, relation, object ORDER BY version DESC, seq DESC) AS rk FROM multi)
+WHERE rk = 1
+UNION ALL
+SELECT subject, relation, object FROM (
+  SELECT *, row_number() OVER (PARTITION BY subject, relation ORDER BY version DESC, seq DESC) AS rk FROM single)
+WHERE rk = 1
+"""
+
+
+@register("merge_graph", MERGE_SQL)
+def merge_graph(spark, sf_dir):
+    """D5 + U3: previous graph then a new version (labels re-extracted);
+    multi-valued relations keep the last row per (subject, relation,
+    object), the others the last per (subject, relation)."""
+    old = basic_view1(spark, sf_dir)
+    new = basic_view1(spark, sf_dir, upper_title=True)
+    return G.merge_graph(old, new, treasury=TREASURY).select("subject", "relation", "object")
+
+
+def edges_seq_sql(name: str = "ves") -> str:
+    return f"""{name} AS (
+  SELECT subject, relation, object, weight, reason, min(seq) AS seq FROM (
+    SELECT 'Proposal ' || CAST(pid AS VARCHAR) AS subject,
+           CASE WHEN support THEN 'Supported By' WHEN support_detailed = 0 THEN 'Opposed By'
+                WHEN support_detailed = 2 THEN 'Abstained By' END AS relation,
+           split_part(vote_id, '-', 1) AS object,
+           greatest(coalesce(TRY_CAST(votes AS BIGINT), 1), 1) AS weight,
+           {S.strip_quotes("coalesce(reason, 'Reason not provided')")} AS reason,
+           pid * 1000 + row_number() OVER (PARTITION BY pid ORDER BY pos, vote_id, support, support_detailed,
+                                           votes, reason NULLS FIRST) - 1 AS seq
+    FROM lines) x
+  WHERE relation IS NOT NULL
+  GROUP BY subject, relation, object, weight, reason)"""
+
+
+@register("merge_edges", "WITH " + PR.LINE_SQL.strip() + ",\n" + edges_seq_sql() + """,
+u AS (SELECT *, 0 AS version FROM ves UNION ALL
+      SELECT subject, relation, object, weight * 2, reason, seq, 1 FROM ves)
+SELECT subject, relation, object, weight, reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY subject, object ORDER BY version DESC, seq DESC) AS rk FROM u)
+WHERE rk = 1
+""")
+def merge_edges(spark, sf_dir):
+    """D5 view 2 / A12: the last edge per (proposal, voter) across an old and
+    a re-weighted new version."""
+    e = G.vote_edges(_p(spark, sf_dir))
+    new = e.withColumn("weight", F.col("weight") * 2)
+    return G.merge_edges(e, new).select("subject", "relation", "object", "weight", "reason")
+
+
+@register("keep_last", "WITH " + PR.LINE_SQL.strip() + ",\n" + edges_seq_sql() + """
+SELECT subject, object, relation, weight FROM (
+  SELECT *, row_number() OVER (PARTITION BY subject, object ORDER BY seq DESC) AS rk FROM ves)
+WHERE rk = 1
+""")
+def keep_last(spark, sf_dir):
+    """One edge per (proposal, voter), the last by arrival order
+    (max_by aggregate, not a window over the key)."""
+    e = G.vote_edges(_p(spark, sf_dir))
+    return keep_by_order(e, ["subject", "object"], "seq").select("subject", "object", "relation", "weight")
+
+
+@register("stack_versions", base_ctes() + ",\n" + basic_sql("o") + ",\n" + basic_sql("n", upper_title=True) + """
+SELECT version, relation, count(*) AS n FROM (
+  SELECT *, 0 AS version FROM ov UNION ALL SELECT *, 1 AS version FROM nv) GROUP BY version, relation
+""")
+def stack_versions(spark, sf_dir):
+    """Old graph then new graph tagged with versions (counted per relation)."""
+    from ..operators.ordering_ops import stack_versions as sv
+    u = sv(basic_view1(spark, sf_dir), basic_view1(spark, sf_dir, upper_title=True))
+    return u.groupBy("version", "relation").agg(F.count(F.lit(1)).alias("n"))
+
+
+SNAP_COLS = ["title", "status", "quorum", "eta", "start_block"]
+SNAPSHOT_SQL = """
+WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, 'Order ' || CAST(o_orderkey AS VARCHAR) AS title,
+                  o_orderstatus AS status, CAST(o_custkey % 200 AS VARCHAR) AS quorum,
+                  CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS eta
+           FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+n AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, 'Order ' || CAST(o_orderkey AS VARCHAR) AS title,
+             CASE WHEN o_totalprice > 300000 THEN 'X' ELSE o_orderstatus END AS status,
+             CAST(o_custkey % 200 AS VARCHAR) AS quorum,
+             CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS eta,
+             CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey * 10 AS VARCHAR) END AS start_block
+      FROM orders),
+j AS (SELECT n.*, o.id AS oid, o.title AS o_title, o.status AS o_status, o.quorum AS o_quorum, o.eta AS o_eta,
+             CAST(NULL AS VARCHAR) AS o_start_block FROM n LEFT JOIN o ON o.id = n.id),
+d AS (SELECT *, concat_ws(',', """ + ", ".join(
+    f"CASE WHEN oid IS NULL OR {c} IS DISTINCT FROM o_{c} THEN '{c}' END" for c in SNAP_COLS) + """) AS changed FROM j)
+SELECT id, """ + ", ".join(f"CASE WHEN oid IS NULL OR {c} IS DISTINCT FROM o_{c} THEN {c} END AS {c}" for c in SNAP_COLS) + """,
+       changed, CASE WHEN oid IS NULL THEN 'insert' ELSE 'update' END AS kind
+FROM d WHERE changed <> ''
+"""
+
+
+@register("snapshot_diff", SNAPSHOT_SQL)
+def snapshot_diff(spark, sf_dir):
+    """D6 + J16: new ids give the full row; known ids give only the changed
+    fields and their names; a field absent from the old version is NULL there."""
+    from ..operators.state import changed_rows
+    from ..sources.tables import table
+    o = table(spark, sf_dir, "orders")
+    old = (o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+            .select(F.col("o_orderkey").cast("string").alias("id"),
+                    F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("title"),
+                    F.col("o_orderstatus").alias("status"), (F.col("o_custkey") % 200).cast("string").alias("quorum"),
+                    F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("eta")))
+    new = o.select(F.col("o_orderkey").cast("string").alias("id"),
+                   F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("title"),
+                   F.when(F.col("o_totalprice") > 300000, F.lit("X")).otherwise(F.col("o_orderstatus")).alias("status"),
+                   (F.col("o_custkey") % 200).cast("string").alias("quorum"),
+                   F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("eta"),
+                   F.when(F.col("o_orderkey") % 2 == 0, (F.col("o_orderkey") * 10).cast("string")).alias("start_block"))
+    d = changed_rows(new, old, "id")
+    return d.select("id", *SNAP_COLS, F.array_join("changed", ",").alias("changed"), "kind")
+
+
+MERGE_ST_SQL = TYPED_SQL.replace("SELECT subject AS entity, relation AS property, datatype,", """, st AS (
+SELECT subject AS entity, relation AS property, datatype,""", 1) + """),
+nw AS (SELECT 'Proposal ' || CAST(o_orderkey AS VARCHAR) AS entity, 'Status' AS property, 'wikibase-item' AS datatype,
+              substr(o_orderpriority, 3) AS value, '' AS qualifiers FROM orders),
+merged AS (SELECT * FROM st WHERE (entity, property) NOT IN (SELECT entity, property FROM nw)
+           UNION ALL SELECT * FROM nw),
+chg AS (SELECT entity FROM (SELECT * FROM st EXCEPT ALL SELECT * FROM merged)
+        UNION SELECT entity FROM (SELECT * FROM merged EXCEPT ALL SELECT * FROM st))
+SELECT m.entity, count(*) AS n_statements, bool_or(m.entity IN (SELECT entity FROM chg)) AS changed
+FROM merged m GROUP BY m.entity
+"""
+
+
+@register("merge_statements", MERGE_ST_SQL)
+def merge_statements(spark, sf_dir):
+    """New 'Status' statements replace all old ones of that property
+    (replace_all); entities whose statement set changed are flagged by an
+    order-independent digest comparison."""
+    from ..operators import statements as ST
+    from ..sources.tables import table
+    st = ST.typed_statements(basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)),
+                             ST.datatype_table(spark, TREASURY))
+    st = st.select("entity", "property", "datatype", "value", quals_text(F.col("qualifiers")).alias("q"))
+    st = st.withColumn("qualifiers", F.array(F.struct(F.lit("q").alias("prop"), F.lit("s").alias("datatype"),
+                                                      F.col("q").alias("value")))).drop("q")
+    o = table(spark, sf_dir, "orders")
+    nw = o.select(F.concat(F.lit("Proposal "), F.col("o_orderkey").cast("string")).alias("entity"),
+                  F.lit("Status").alias("property"), F.lit("wikibase-item").alias("datatype"),
+                  F.substring("o_orderpriority", 3, 1 << 20).alias("value"),
+                  F.array(F.struct(F.lit("q").alias("prop"), F.lit("s").alias("datatype"),
+                                   F.lit("").alias("value"))).alias("qualifiers"))
+    merged = ST.merge_statements(st, nw, "replace_all")
+    chg = ST.changed_entities(st, merged).withColumn("changed", F.lit(True))
+    return (merged.groupBy("entity").agg(F.count(F.lit(1)).alias("n_statements"))
+                  .join(chg, "entity", "left")
+                  .select("entity", "n_statements", F.coalesce("changed", F.lit(False)).alias("changed")))
+
+
+@register("label_lookup", "WITH " + __import__("colloquy.sources.views", fromlist=["x"]).ENTITIES_SQL.strip() + """,
+e AS (SELECT *, split_part(uri, '/', -1) AS entity_id FROM entities WHERE lang = 'en'),
+p AS (SELECT label, entity_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY label ORDER BY seq DESC) AS rk FROM e WHERE is_property) WHERE rk = 1),
+i AS (SELECT label, entity_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY label ORDER BY seq DESC) AS rk FROM e
+        WHERE NOT is_property AND label NOT IN (SELECT label FROM p)) WHERE rk = 1)
+SELECT 'property' AS kind, label, entity_id FROM p UNION ALL SELECT 'item', label, entity_id FROM i
+""")
+def label_lookup(spark, sf_dir):
+    """S12 + U4 + X53: English label catalogues of items and properties."""
+    from ..operators import statements as ST
+    from ..sources import views as V
+    return ST.label_lookup(V.entities(spark, sf_dir))

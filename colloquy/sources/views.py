@@ -206,3 +206,74 @@ def votes(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("id").alias("original_question_id"),
                      F.col("content").alias("original_question_text"),
                      "upvotes", "downvotes"))
+
+
+# ---------------------------------------------------------------- proposal links, summaries, entities
+
+LINKS_SQL = """
+links AS (
+  SELECT o_orderkey AS proposal_id,
+         CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey % 25 END AS channel_id,
+         o_custkey % 5 AS server_id
+  FROM orders
+  UNION ALL
+  SELECT o_orderkey + 1, o_custkey % 25, o_custkey % 5 FROM orders WHERE o_orderkey % 7 = 0
+)"""
+
+SUMMARIES_SQL = """
+summaries AS (
+  SELECT channel_id, strftime(date_trunc(iv, ts), '%Y-%m-%d') AS timestamp, iv AS interval,
+         CAST(count(*) AS VARCHAR) || ' messages by ' || CAST(count(DISTINCT author_id) AS VARCHAR)
+           || ' authors' AS summary
+  FROM messages, (VALUES ('day'), ('week'), ('month'), ('year')) AS ivs(iv)
+  WHERE content IS NOT NULL AND content <> ''
+  GROUP BY channel_id, iv, date_trunc(iv, ts)
+)"""
+
+ENTITIES_SQL = """
+entities AS (
+  SELECT 'https://kb.example.org/entity/' || CASE WHEN c_custkey % 17 = 0 THEN 'P' ELSE 'Q' END
+           || CAST(c_custkey AS VARCHAR) AS uri,
+         c_mktsegment || ' ' || CAST(c_custkey % 40 AS VARCHAR) AS label,
+         CASE WHEN c_nationkey % 5 = 0 THEN 'de' ELSE 'en' END AS lang,
+         c_custkey % 17 = 0 AS is_property,
+         c_custkey AS seq
+  FROM customer
+)"""
+
+VIEW_SQL.update({"links": LINKS_SQL, "summaries": SUMMARIES_SQL, "entities": ENTITIES_SQL})
+VIEW_DEPS.update({"summaries": ["messages"]})
+
+
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """proposal_channels: a NULL channel means the whole server."""
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    a = o.select(k.alias("proposal_id"), F.when(k % 3 == 0, F.lit(None).cast("bigint")).otherwise(c % 25)
+                 .alias("channel_id"), (c % 5).alias("server_id"))
+    b = o.filter(k % 7 == 0).select((k + 1).alias("proposal_id"), (c % 25).alias("channel_id"),
+                                    (c % 5).alias("server_id"))
+    return a.unionByName(b)
+
+
+def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """summary table: per channel, period and interval (day/week/month and
+    an unsupported 'year'), the message and author counts."""
+    from ..streaming.rollup import period_rollup
+    m = messages(spark, sf_dir).filter(F.col("content").isNotNull() & (F.col("content") != ""))
+    r = period_rollup(m, ["day", "week", "month", "year"])
+    return r.select("channel_id", F.date_format("period", "yyyy-MM-dd").alias("timestamp"), "interval",
+                    F.concat(F.col("n_messages").cast("string"), F.lit(" messages by "),
+                             F.col("n_authors").cast("string"), F.lit(" authors")).alias("summary"))
+
+
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(uri, label, lang, is_property, seq) label rows of a knowledge base."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        F.concat(F.lit("https://kb.example.org/entity/"), F.when(k % 17 == 0, "P").otherwise("Q"),
+                 k.cast("string")).alias("uri"),
+        F.concat(F.col("c_mktsegment"), F.lit(" "), (k % 40).cast("string")).alias("label"),
+        F.when(F.col("c_nationkey") % 5 == 0, "de").otherwise("en").alias("lang"),
+        (k % 17 == 0).alias("is_property"), k.alias("seq"))
