@@ -626,3 +626,191 @@ def label_lookup(spark, sf_dir):
     from ..operators import statements as ST
     from ..sources import views as V
     return ST.label_lookup(V.entities(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- proposals <-> channels
+
+def _links_ctx(spark, sf_dir):
+    from ..sources import views as V
+    return V.links(spark, sf_dir), V.channels(spark, sf_dir), V.guilds(spark, sf_dir)
+
+
+def _views(*names):
+    from ..sources import views as V
+    return V.with_views(*names)
+
+
+J4_SQL_BODY = """
+j4 AS (
+  SELECT pc.proposal_id, dc.channel_id AS dc_channel_id, dc.name AS channel_name, dg.name AS guild_name,
+         s.timestamp, s.interval, s.summary
+  FROM links pc
+  JOIN channels dc ON pc.channel_id = dc.channel_id OR (pc.channel_id IS NULL AND pc.server_id = dc.guild_id)
+  JOIN guilds dg ON dg.guild_id = dc.guild_id
+  JOIN summaries s ON s.channel_id = dc.channel_id
+)"""
+
+
+@register("disjunctive_join", _views("links", "channels", "guilds", "summaries") + "," + J4_SQL_BODY + """
+SELECT proposal_id, dc_channel_id AS channel_id, channel_name, guild_name, timestamp, interval, summary FROM j4
+""")
+def disjunctive_join(spark, sf_dir):
+    """Links to channels by channel id, or by server when the link has no
+    channel - two equi-joins instead of an OR join (no cartesian product)."""
+    from ..operators.joins import proposal_summaries
+    from ..sources import views as V
+    lk, ch, g = _links_ctx(spark, sf_dir)
+    r = proposal_summaries(lk, ch, g, V.summaries(spark, sf_dir))
+    return r.select("proposal_id", F.col("dc_channel_id").alias("channel_id"), "channel_name", "guild_name",
+                    "timestamp", "interval", "summary")
+
+
+J5_SQL_BODY = """
+j5 AS (
+  SELECT DISTINCT pc.proposal_id, dc.name AS channel_name, dg.name AS guild_name, q.question, q.answer
+  FROM links pc
+  JOIN channels dc ON dc.channel_id = pc.channel_id
+  JOIN guilds dg ON dg.guild_id = dc.guild_id
+  JOIN messages m ON m.channel_id = dc.channel_id
+  JOIN qa q ON q.message_id = m.id
+)"""
+
+
+def _proposal_qa(spark, sf_dir):
+    from ..sources import views as V
+    lk, ch, g = _links_ctx(spark, sf_dir)
+    m = V.messages(spark, sf_dir).select(F.col("id").alias("message_id"), "channel_id")
+    qa = V.qa(spark, sf_dir).select("message_id", "question", "answer")
+    return (lk.filter(F.col("channel_id").isNotNull())
+              .join(ch.select("channel_id", F.col("name").alias("channel_name"), "guild_id"), "channel_id")
+              .join(g.select("guild_id", F.col("name").alias("guild_name")), "guild_id")
+              .join(m, "channel_id").join(qa, "message_id")
+              .select("proposal_id", "channel_name", "guild_name", "question", "answer").distinct())
+
+
+@register("distinct_join", _views("links", "channels", "guilds", "messages", "questions", "qa") + "," + J5_SQL_BODY + """
+SELECT * FROM j5
+""")
+def distinct_join(spark, sf_dir):
+    """Proposal -> channel -> guild -> messages -> Q&A, DISTINCT (a NULL
+    channel matches nothing here, unlike J4)."""
+    return _proposal_qa(spark, sf_dir)
+
+
+@register("union_ragged", _views("links", "channels", "guilds", "summaries", "messages", "questions", "qa")
+          + "," + J4_SQL_BODY + "," + J5_SQL_BODY + """
+SELECT proposal_id, channel_name, guild_name, timestamp, interval, summary,
+       CAST(NULL AS VARCHAR) AS question, CAST(NULL AS VARCHAR) AS answer FROM j4
+UNION ALL
+SELECT proposal_id, channel_name, guild_name, NULL, NULL, NULL, question, answer FROM j5
+""")
+def union_ragged(spark, sf_dir):
+    """K16 + U2: the J4 and J5 frames stacked, NULL for absent columns (the
+    proposal-channel export)."""
+    from ..operators.joins import proposal_summaries
+    from ..operators.ordering_ops import union_ragged as ur
+    from ..sources import views as V
+    lk, ch, g = _links_ctx(spark, sf_dir)
+    a = proposal_summaries(lk, ch, g, V.summaries(spark, sf_dir)).select(
+        "proposal_id", "channel_name", "guild_name", "timestamp", "interval", "summary")
+    return ur(a, _proposal_qa(spark, sf_dir))
+
+
+CHANNEL_LABEL = "dg.name || ' - ' || dc.name"
+
+
+@register("channel_links", _views("links", "channels", "guilds") + f""",
+pl AS (SELECT DISTINCT pc.proposal_id, {CHANNEL_LABEL} AS channel_label
+       FROM links pc
+       JOIN channels dc ON pc.channel_id = dc.channel_id OR (pc.channel_id IS NULL AND pc.server_id = dc.guild_id)
+       JOIN guilds dg ON dg.guild_id = dc.guild_id
+       WHERE pc.proposal_id IN (SELECT o_orderkey FROM orders))
+SELECT 'Proposal ' || CAST(proposal_id AS VARCHAR) AS entity, 'Discussion Channel' AS property, channel_label AS value
+FROM pl
+UNION ALL
+SELECT channel_label, 'Proposal', 'Proposal ' || CAST(proposal_id AS VARCHAR) FROM pl
+""")
+def channel_links(spark, sf_dir):
+    """K12 (+ A2, J18): proposal <-> channel statements in both directions;
+    links to unknown proposals are skipped (J18 row scope)."""
+    from ..functions.extract import channel_label
+    from ..operators.joins import resolve_ids
+    from ..sources.tables import table
+    lk, ch, g = _links_ctx(spark, sf_dir)
+    chl = (ch.join(g.select("guild_id", F.col("name").alias("guild")), "guild_id")
+             .select("channel_id", "guild_id", channel_label(F.col("guild"), F.col("name")).alias("channel_label")))
+    by_c = lk.filter(F.col("channel_id").isNotNull()).join(chl.drop("guild_id"), "channel_id")
+    by_s = lk.filter(F.col("channel_id").isNull()).join(
+        chl.drop("channel_id").withColumnRenamed("guild_id", "server_id"), "server_id")
+    pl = by_c.select("proposal_id", "channel_label").unionByName(by_s.select("proposal_id", "channel_label")).distinct()
+    known = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("entity_id"),
+                                                  F.col("o_orderkey").alias("label"))
+    ok, _ = resolve_ids(pl, known, "proposal_id", id_col="entity_id", out="pid")
+    p = F.concat(F.lit("Proposal "), F.col("proposal_id").cast("string"))
+    a = ok.select(p.alias("entity"), F.lit("Discussion Channel").alias("property"), F.col("channel_label").alias("value"))
+    b = ok.select(F.col("channel_label").alias("entity"), F.lit("Proposal").alias("property"), p.alias("value"))
+    return a.unionByName(b)
+
+
+@register("qa_statements", _views("links", "channels", "guilds", "messages", "questions", "qa") + "," + J5_SQL_BODY + f"""
+SELECT 'Proposal ' || CAST(proposal_id AS VARCHAR) AS entity, 'Question' AS property,
+       {S.bounded_text('question')} AS value,
+       'Channel=' || guild_name || ' - ' || channel_name
+         || CASE WHEN answer IS NOT NULL THEN ';Answer=' || {S.bounded_text('answer')} ELSE '' END AS qualifiers
+FROM j5 WHERE question IS NOT NULL
+""")
+def qa_statements(spark, sf_dir):
+    """Per proposal a 'Question' statement with a channel qualifier and,
+    when answered, an answer qualifier; both texts bounded (X32)."""
+    from ..functions import text as T
+    from ..functions.extract import channel_label
+    pq = _proposal_qa(spark, sf_dir).filter(F.col("question").isNotNull())
+    qual = F.concat(F.lit("Channel="), channel_label(F.col("guild_name"), F.col("channel_name")),
+                    F.when(F.col("answer").isNotNull(),
+                           F.concat(F.lit(";Answer="), T.bounded_text(F.col("answer")))).otherwise(F.lit("")))
+    return pq.select(F.concat(F.lit("Proposal "), F.col("proposal_id").cast("string")).alias("entity"),
+                     F.lit("Question").alias("property"), T.bounded_text(F.col("question")).alias("value"),
+                     qual.alias("qualifiers"))
+
+
+@register("summary_statements", _views("channels", "guilds", "summaries") + f"""
+SELECT {CHANNEL_LABEL} AS entity,
+       CASE s.interval WHEN 'month' THEN 'Monthly Summary' WHEN 'week' THEN 'Weekly Summary'
+                       WHEN 'day' THEN 'Daily Summary' END AS property,
+       {S.bounded_text('s.summary')} AS value,
+       'Channel=' || {CHANNEL_LABEL} || ';Time=+' || s.timestamp || 'T00:00:00Z' AS qualifiers
+FROM summaries s JOIN channels dc ON dc.channel_id = s.channel_id JOIN guilds dg ON dg.guild_id = dc.guild_id
+WHERE s.interval IN ('month', 'week', 'day')
+""")
+def summary_statements(spark, sf_dir):
+    """K14 + X52 + X50: period summaries as statements on the channel with
+    channel and time qualifiers; unknown intervals ('year') skipped."""
+    from ..functions import text as T
+    from ..functions.extract import channel_label, statement_time, summary_property
+    from ..sources import views as V
+    _, ch, g = _links_ctx(spark, sf_dir)
+    s = V.summaries(spark, sf_dir).withColumn("property", summary_property(F.col("interval")))
+    s = s.filter(F.col("property").isNotNull())
+    j = s.join(ch.select("channel_id", F.col("name").alias("channel"), "guild_id"), "channel_id") \
+         .join(g.select("guild_id", F.col("name").alias("guild")), "guild_id")
+    lbl = channel_label(F.col("guild"), F.col("channel"))
+    return j.select(lbl.alias("entity"), "property", T.bounded_text(F.col("summary")).alias("value"),
+                    F.concat(F.lit("Channel="), lbl, F.lit(";Time="), statement_time(F.col("timestamp")))
+                     .alias("qualifiers"))
+
+
+@register("channel_url_statements", _views("messages", "channels", "guilds") + f"""
+SELECT DISTINCT {CHANNEL_LABEL} AS entity, 'Url' AS property,
+       'https://chat.example.com/channels/' || CAST(dc.guild_id AS VARCHAR) || '/' || CAST(dc.channel_id AS VARCHAR) AS value
+FROM messages m JOIN channels dc ON dc.channel_id = m.channel_id JOIN guilds dg ON dg.guild_id = dc.guild_id
+""")
+def channel_url_statements(spark, sf_dir):
+    """K15 + X51: one URL statement per distinct channel in use."""
+    from ..functions.extract import channel_label
+    from ..sources import views as V
+    _, ch, g = _links_ctx(spark, sf_dir)
+    used = V.messages(spark, sf_dir).select("channel_id").distinct()
+    j = used.join(ch, "channel_id").join(g.select("guild_id", F.col("name").alias("guild")), "guild_id")
+    return j.select(channel_label(F.col("guild"), F.col("name")).alias("entity"), F.lit("Url").alias("property"),
+                    F.concat(F.lit("https://chat.example.com/channels/"), F.col("guild_id").cast("string"),
+                             F.lit("/"), F.col("channel_id").cast("string")).alias("value"))
