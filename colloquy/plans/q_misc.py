@@ -1 +1,97 @@
-"""Queries (filled in as operators land)."""
+"""Chunks, log formats, parsing helpers, ordering and sampling queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import extract as X
+from ..functions import sql_extract as E
+from ..functions import sql_text as S
+from ..functions import text as T
+from ..operators import chunks as C
+from ..sources import views as V
+from ..sources.tables import table
+from .registry import register
+
+SIZE, OVERLAP = 3000, 100
+STEP = SIZE - OVERLAP
+
+LOG_LINES_SQL = V.with_views("messages") + f""",
+cl AS (SELECT *, {S.clean_content(S.replace_empty_strings(S.strip_emojis('content')))} AS cc FROM messages),
+ll AS (SELECT channel_id, id, ts,
+              strftime(ts, '%m-%d-%Y@%H:%M') || ' ' || split_part(author_tag, '#', 1) || ': ' || cc AS line
+       FROM cl WHERE cc IS NOT NULL AND cc <> '')"""
+
+CHUNK_SQL = LOG_LINES_SQL + f""",
+tk AS (SELECT *, list_filter(regexp_split_to_array(line, {S.q(T.P.WS + '+')}), lambda w: w <> '') AS tok FROM ll),
+tk2 AS (SELECT *, len(tok) AS n FROM tk WHERE len(tok) > 0),
+go AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY channel_id ORDER BY ts, id
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g0 FROM tk2),
+ex AS (SELECT channel_id, g0, n, tok, k AS chunk FROM go,
+       generate_series(CAST(greatest(0, floor((g0 - {SIZE}) / {STEP}) + 1) AS BIGINT),
+                       CAST(floor((g0 + n - 1) / {STEP}) AS BIGINT)) AS s(k)),
+pc AS (SELECT channel_id, chunk, g0,
+              least(chunk * {STEP} + {SIZE}, g0 + n) - greatest(chunk * {STEP}, g0) AS cnt,
+              array_to_string(tok[greatest(chunk * {STEP}, g0) - g0 + 1 :
+                                  least(chunk * {STEP} + {SIZE}, g0 + n) - g0], ' ') AS piece
+       FROM ex),
+ch AS (SELECT channel_id, chunk, sum(cnt) AS n_tokens, string_agg(piece, chr(10) ORDER BY g0) AS text
+       FROM pc GROUP BY channel_id, chunk)"""
+
+
+@register("token_chunks", CHUNK_SQL + """
+SELECT channel_id, chunk, n_tokens, md5(text) AS text_md5 FROM ch
+""")
+def token_chunks(spark, sf_dir):
+    """Per channel, the formatted log split into 3000-token chunks that
+    overlap by 100 tokens."""
+    lines = C.log_lines(V.messages(spark, sf_dir)).select("channel_id", "ts", "id", "line")
+    ch = C.token_chunks(lines, size=SIZE, overlap=OVERLAP)
+    return ch.select("channel_id", "chunk", "n_tokens", F.md5("text").alias("text_md5"))
+
+
+@register("chunk_span", CHUNK_SQL + f"""
+SELECT channel_id, chunk,
+       regexp_extract_all(text, {S.q(T.P.LOG_TIME)}, 0)[1] AS first_ts,
+       regexp_extract_all(text, {S.q(T.P.LOG_TIME)}, 0)[-1] AS last_ts
+FROM ch
+""")
+def chunk_span(spark, sf_dir):
+    """First and last log time stamp found in each chunk."""
+    lines = C.log_lines(V.messages(spark, sf_dir)).select("channel_id", "ts", "id", "line")
+    ch = C.token_chunks(lines, size=SIZE, overlap=OVERLAP)
+    a, b = C.chunk_span(F.col("text"))
+    return ch.select("channel_id", "chunk", a.alias("first_ts"), b.alias("last_ts"))
+
+
+@register("format_log", LOG_LINES_SQL + """
+SELECT id, line, strftime(ts, '%-m/%-d@%-H:%M') AS short_time FROM ll
+""")
+def format_log(spark, sf_dir):
+    """Log lines ``MM-dd-yyyy@HH:mm user: text`` and the short
+    ``M/d@H:mm`` time of the numbered variant."""
+    lines = C.log_lines(V.messages(spark, sf_dir))
+    return lines.select("id", "line", F.date_format("ts", "M/d@H:mm").alias("short_time"))
+
+
+@register("parse_log_time", LOG_LINES_SQL + """
+SELECT id, strftime(try_strptime(split_part(line, ' ', 1), '%m-%d-%Y@%H:%M'), '%Y-%m-%d %H:%M:%S') AS parsed
+FROM ll
+""")
+def parse_log_time(spark, sf_dir):
+    """The leading stamp of each log line parsed back to a timestamp."""
+    lines = C.log_lines(V.messages(spark, sf_dir))
+    p = X.parse_log_time(F.substring_index(F.col("line"), " ", 1))
+    return lines.select("id", F.date_format(p, "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
+@register("epoch_date", """
+SELECT event_id, CAST(DATE '1970-01-01' + CAST(floor(epoch(ts) / 86400) AS INTEGER) AS VARCHAR) AS day
+FROM events
+""")
+def epoch_date(spark, sf_dir):
+    """Epoch seconds -> UTC date, independent of the session time zone."""
+    ev = table(spark, sf_dir, "events")
+    secs = (F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+            + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts")))
+    return ev.select("event_id", X.epoch_to_date(secs).alias("day"))
