@@ -27,4 +27,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that their ``register`` calls run."""
-    from . import (q_conversation, q_graph, q_misc, q_models, q_state, q_text)  # noqa: F401
+    from . import (q_conversation, q_graph, q_io, q_misc, q_models, q_state, q_text)  # noqa: F401

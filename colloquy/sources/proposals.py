@@ -140,13 +140,14 @@ def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_abstain").cast("string").alias("abstainVotes"),
         F.struct(F.concat(F.lit("0x"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("id"))
          .alias("proposer"),
-        F.transform("_acts", lambda a: a["target"]).alias("targets"),
-        F.transform("_acts", lambda a: a["value"]).alias("values"),
-        F.transform("_acts", lambda a: a["signature"]).alias("signatures"),
-        F.transform("_acts", lambda a: a["calldata"]).alias("calldatas"),
-        F.transform("_votes", lambda v: F.struct(v["id"].alias("id"), v["support"].alias("support"),
-                                                 v["supportDetailed"].alias("supportDetailed"),
-                                                 v["votes"].alias("votes"), v["reason"].alias("reason")))
+        F.coalesce(F.transform("_acts", lambda a: a["target"]), F.array().cast("array<string>")).alias("targets"),
+        F.coalesce(F.transform("_acts", lambda a: a["value"]), F.array().cast("array<string>")).alias("values"),
+        F.coalesce(F.transform("_acts", lambda a: a["signature"]), F.array().cast("array<string>")).alias("signatures"),
+        F.coalesce(F.transform("_acts", lambda a: a["calldata"]), F.array().cast("array<string>")).alias("calldatas"),
+        F.coalesce(F.transform("_votes", lambda v: F.struct(
+            v["id"].alias("id"), v["support"].alias("support"), v["supportDetailed"].alias("supportDetailed"),
+            v["votes"].alias("votes"), v["reason"].alias("reason"))),
+            F.array().cast("array<struct<id:string,support:boolean,supportDetailed:int,votes:string,reason:string>>"))
          .alias("votes"))
 
 
