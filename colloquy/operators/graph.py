@@ -51,6 +51,17 @@ def _one(val: Column) -> Column:
     return F.array(val.cast("string"))
 
 
+REPLY_FIELDS = ["budget", "ptype", "duration", "team_size", "team_name", "previous", "summary"]
+
+
+def wide_replies(replies: DataFrame) -> DataFrame:
+    """Model replies as one column per field; accepts the long form
+    (pid, field, reply) or an already wide frame."""
+    if "field" not in replies.columns:
+        return replies
+    return replies.groupBy("pid").pivot("field", REPLY_FIELDS).agg(F.first("reply"))
+
+
 def proposal_triples(proposals: DataFrame, replies: DataFrame | None = None) -> DataFrame:
     """K1 (+ M13 parsers): wide proposal rows -> triples. A NULL or empty
     value means "absent field" and gives no triple. Field order follows the
@@ -58,10 +69,7 @@ def proposal_triples(proposals: DataFrame, replies: DataFrame | None = None) ->
     executionETA, Label, model fields, then the three vote totals."""
     p = proposals
     if replies is not None:
-        wide = (replies.groupBy("pid").pivot("field", ["budget", "ptype", "duration", "team_size",
-                                                      "team_name", "previous", "summary"])
-                       .agg(F.first("reply")))
-        p = p.join(wide, "pid", "left")
+        p = p.join(wide_replies(replies), "pid", "left")
     items: list[tuple[str, Column]] = [
         ("ID", _one(F.col("id"))),
         ("Proposer", _one(F.col("proposer.id"))),
@@ -255,16 +263,27 @@ def raise_budget(pairs: DataFrame) -> DataFrame:
 
 
 def graph_view1(proposals: DataFrame, replies: DataFrame | None = None,
-                treasury: str = "Treasury", with_raise: bool = False) -> DataFrame:
-    """K8: K1 + K2, then K4, K5, K6, K7, A16, X31 on objects, A2 distinct."""
+                treasury: str = "Treasury", with_raise: bool = False,
+                materialize: bool = True) -> DataFrame:
+    """K8: K1 + K2, then K4, K5, K6, K7, A16, X31 on objects, A2 distinct.
+
+    The per-subject steps (K6, A16) aggregate the triple table and join the
+    result back; without a cut, every such step would re-plan and re-run
+    everything upstream. With ``materialize`` the triple table is written to
+    the shared checkpoint folder after K5 and after K6 (reliable, survives
+    executor loss), so each stage reads a finished table."""
+    from ..session import cut_lineage
     budget = None
     if replies is not None:
-        budget = (replies.groupBy("pid")
-                         .agg(F.max(F.when(F.col("field") == "budget", F.col("reply"))).alias("_b"))
-                         .select("pid", X.get_money(F.col("_b")).alias("budget")))
+        budget = wide_replies(replies).select("pid", X.get_money(F.col("budget")).alias("budget"))
     t = proposal_triples(proposals, replies).unionByName(action_triples(proposals, budget, treasury))
-    t = numeric_values(complete_budgets(split_budgets(normalise_types(t))))
-    t = default_relation(t)
+    t = split_budgets(normalise_types(t))
+    if materialize:
+        t = cut_lineage(t)
+    t = complete_budgets(t)
+    if materialize:
+        t = cut_lineage(t)
+    t = default_relation(numeric_values(t))
     if with_raise:
         t = raise_budget(t)
     t = t.withColumn("object", T.strip_quotes(F.col("object")))

@@ -19,7 +19,7 @@ def _p(spark, sf_dir):
 
 
 def _r(spark, sf_dir):
-    return PR.replies(spark, sf_dir)
+    return PR.reply_columns(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- SQL builders
@@ -192,9 +192,7 @@ def proposal_triples(spark, sf_dir):
 @register("action_triples", base_ctes() + "," + k2_sql(True) + "\nSELECT subject, relation, object FROM k2")
 def action_triples(spark, sf_dir):
     """K2: transfer / debt / edition / threshold triples from zipped actions."""
-    r = _r(spark, sf_dir)
-    budget = (r.groupBy("pid").agg(F.max(F.when(F.col("field") == "budget", F.col("reply"))).alias("_b"))
-               .select("pid", G.X.get_money(F.col("_b")).alias("budget")))
+    budget = _r(spark, sf_dir).select("pid", G.X.get_money(F.col("budget")).alias("budget"))
     return G.action_triples(_p(spark, sf_dir), budget, TREASURY).select("subject", "relation", "object")
 
 

@@ -100,8 +100,8 @@ def epoch_date(spark, sf_dir):
 # ---------------------------------------------------------------- parsers over model-reply text
 
 def _replies(spark, sf_dir, field):
-    from ..sources.proposals import replies
-    return replies(spark, sf_dir).filter(F.col("field") == field).select("pid", F.col("reply"))
+    from ..sources.proposals import reply_columns
+    return reply_columns(spark, sf_dir).select("pid", F.col(field).alias("reply")).filter(F.col("reply").isNotNull())
 
 
 def _replies_sql(field: str) -> str:
@@ -117,9 +117,12 @@ FROM r
 def money(spark, sf_dir):
     """X21 + X22 + X23 + X24: USD / ETH amounts found in budget replies."""
     r = _replies(spark, sf_dir, "budget")
-    m = X.get_money(F.col("reply"))
+    # staged projections: the parsed text is computed once and referenced
+    # (one nested expression would repeat it inside every later step)
+    r = r.withColumn("money", X.get_money(F.col("reply")))
+    r = r.withColumn("_n", X.to_number(F.col("money")))
     return r.select("pid", X.get_usd(F.col("reply")).alias("usd"), X.get_eth(F.col("reply")).alias("eth"),
-                    m.alias("money"), X.render_number(X.to_number(m)).alias("amount"))
+                    "money", X.render_number(F.col("_n")).alias("amount"))
 
 
 @register("duration", _replies_sql("duration") + f"""

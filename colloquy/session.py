@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "colloquy") -> SparkSession:
+              app: str = "colloquy", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session. On a cluster pass master=None and let the
     launcher decide; shuffle partitions default to 2x cores locally."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     cores = os.cpu_count() or 8
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")

@@ -151,8 +151,18 @@ def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("votes"))
 
 
+REPLY_FIELDS = ["budget", "ptype", "duration", "team_size", "team_name", "previous", "summary"]
+
+
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pid, field, reply): the stand-in model replies per proposal field."""
+    wide = reply_columns(spark, sf_dir)
+    return (wide.unpivot("pid", REPLY_FIELDS, "field", "reply")
+                .filter(F.col("reply").isNotNull()))
+
+
+def reply_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same replies, one column per field (pid, budget, ptype, ...)."""
     o = table(spark, sf_dir, "orders")
     k, c, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
     s = lambda x: x.cast("string")
@@ -175,6 +185,4 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("o_orderpriority"))
     fields = {"budget": budget, "ptype": ptype, "duration": duration, "team_size": team_size,
               "team_name": team_name, "previous": previous, "summary": summary}
-    wide = o.select(k.alias("pid"), *[v.alias(n) for n, v in fields.items()])
-    return (wide.unpivot("pid", list(fields), "field", "reply")
-                .filter(F.col("reply").isNotNull()))
+    return o.select(k.alias("pid"), *[v.alias(n) for n, v in fields.items()])
