@@ -64,7 +64,7 @@ def get_money(s, compat: bool = False) -> Column:
     word '||' and no '('; else usd, else eth, else the input."""
     s = _c(s)
     usd, eth = get_usd(s, compat), get_eth(s)
-    words = F.split(strip(s), f"{P.WS}+")
+    words = F.split(strip(s), f"{P.WS_J}+")
     both = ((usd != "") & (eth != "") & ~F.array_contains(words, "or")
             & ~F.array_contains(words, "||") & ~s.contains("("))
     return (F.when(both, F.concat(usd, F.lit(" and "), eth))
@@ -316,3 +316,19 @@ def route_by_length(tokens, limit: int = 3846, small: str = "base-model",
     """The larger-context model when the prompt has more than ``limit``
     tokens."""
     return F.when(_c(tokens) > limit, F.lit(large)).otherwise(F.lit(small))
+
+
+QA_LOGS_SCHEMA = ("struct<thread_id:bigint,reply_ids:array<bigint>,conversation_ids:array<bigint>,"
+                  "conversation_prompt:string>")
+
+
+def qa_logs_json(thread_id, reply_ids, conversation_ids, prompt) -> Column:
+    """The Q&A logs document; NULL fields are written (not dropped)."""
+    s = F.struct(_c(thread_id).alias("thread_id"), _c(reply_ids).alias("reply_ids"),
+                 _c(conversation_ids).alias("conversation_ids"), _c(prompt).alias("conversation_prompt"))
+    return F.to_json(s, {"ignoreNullFields": "false"})
+
+
+def read_qa_logs(js) -> Column:
+    """Parse the logs document back (``logs.reply_ids`` etc.)."""
+    return F.from_json(_c(js), QA_LOGS_SCHEMA)

@@ -12,6 +12,16 @@ WS_CHARS = (r"\t\n\x0B\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 WS = f"[{WS_CHARS}]"
 NOT_WS = f"[^{WS_CHARS}]"
+# The same set for Java regex: the Unicode White_Space property plus the four
+# separator controls Python also counts (faster than the spelled-out class).
+# The oracle SQL keeps the RE2 spelling above; both denote the same set.
+WS_CHARS_J = r"\p{IsWhite_Space}\x{1C}-\x{1F}"
+WS_J = f"[{WS_CHARS_J}]"
+NOT_WS_J = f"[^{WS_CHARS_J}]"
+# The same set as a plain string, for character-set trimming.
+WS_STRING = ("\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680"
+             + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
 # Python \w on str: letters, numbers, underscore.
 WORD_CHARS = r"\p{L}\p{N}_"
 WORD = f"[{WORD_CHARS}]"
@@ -48,6 +58,7 @@ WIDE_EMOJI_RANGES = [
 WIDE_EMOJI = "[" + "".join(f"\\x{{{a}}}-\\x{{{b}}}" for a, b in WIDE_EMOJI_RANGES) + "]+"
 
 URL = f"(?:https?://|www\\.){NOT_WS}+"
+URL_J = f"(?:https?://|www\\.){NOT_WS_J}+"
 TOKEN = f"[{WORD_CHARS}-]*\\p{{L}}[{WORD_CHARS}-]*"
 MENTION = r"<@(\d+)>"
 LOG_TIME = r"\d{2}-\d{2}-\d{4}@\d{2}:\d{2}"

@@ -29,8 +29,9 @@ def _re(c, pattern: str, repl: str = "") -> Column:
 
 
 def strip(c) -> Column:
-    """Python ``str.strip()``: Unicode whitespace at both ends."""
-    return _re(c, f"^{P.WS}+|{P.WS}+\\z")
+    """Python ``str.strip()``: Unicode whitespace at both ends (a native
+    character-set trim, no regex)."""
+    return F.btrim(_c(c), F.lit(P.WS_STRING))
 
 
 def strip_emojis(c) -> Column:
@@ -46,7 +47,7 @@ def strip_emoticons(c) -> Column:
 def replace_empty_strings(c, whitespace_only: bool = True) -> Column:
     """X3: '' (and, by default, all-whitespace) -> NULL."""
     c = _c(c)
-    empty = (~c.rlike(P.NOT_WS)) if whitespace_only else (c == "")
+    empty = (~c.rlike(P.NOT_WS_J)) if whitespace_only else (c == "")
     return F.when(c.isNull() | empty, F.lit(None).cast("string")).otherwise(c)
 
 
@@ -91,9 +92,9 @@ def _clean_chain(c: Column) -> Column:
     c = _re(c, r"<[^<>]*>", " ")                                  # tags
     c = _re(c, r"\[([^\[\]]*)\]\([^\(\)]*\)", "$1")               # markdown link -> text
     c = _re(c, r"\[[^\[\]]*\]", " ")                              # [bracketed]
-    c = _re(c, f"(?:^|{P.WS})[&#<>{{}}\\[\\]+|\\\\:-]+(?:{P.WS}|\\z)", " ")  # special runs
-    c = _re(c, f"(?:^|{P.WS})[\\-=\\+]{{2,}}(?:{P.WS}|\\z)", " ")   # --- == ++
-    return _re(c, f"{P.WS}+", " ")
+    c = _re(c, f"(?:^|{P.WS_J})[&#<>{{}}\\[\\]+|\\\\:-]+(?:{P.WS_J}|\\z)", " ")  # special runs
+    c = _re(c, f"(?:^|{P.WS_J})[\\-=\\+]{{2,}}(?:{P.WS_J}|\\z)", " ")   # --- == ++
+    return _re(c, f"{P.WS_J}+", " ")
 
 
 def clean(c, unescape: bool = True, exact_unescape: bool = True) -> Column:
@@ -107,18 +108,18 @@ def clean(c, unescape: bool = True, exact_unescape: bool = True) -> Column:
 
 def clean_nb(c) -> Column:
     """X5 without unescaping, plus URL removal before the final strip."""
-    return strip(_re(_clean_chain(_c(c)), P.URL))
+    return strip(_re(_clean_chain(_c(c)), P.URL_J))
 
 
 def find_urls(c) -> Column:
     """Every ``http(s)://`` or ``www.`` URL."""
-    return F.regexp_extract_all(_c(c), F.lit(P.URL), 0)
+    return F.regexp_extract_all(_c(c), F.lit(P.URL_J), 0)
 
 
 def clean_urls(c, keyword: str) -> Column:
     """A URL whose text reaches ``keyword`` (optionally plural) up to a
     word boundary becomes ``<KEYWORD>URL``."""
-    pat = f"(?U)https?://{P.NOT_WS}*{keyword}s?\\b"
+    pat = f"(?U)https?://{P.NOT_WS_J}*{keyword}s?\\b"
     return _re(c, pat, keyword.upper() + "URL")
 
 
@@ -128,9 +129,10 @@ def tokenize(c) -> Column:
 
 
 def remove_stop(tokens, stopwords: Iterable[str] | None = None) -> Column:
-    """Drop tokens whose lower case is a stop word."""
-    stops = F.array(*[F.lit(w) for w in (stopwords if stopwords is not None else chat_stopwords())])
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(stops, F.lower(t)))
+    """Drop tokens whose lower case is a stop word. The literal list
+    becomes a hash-set membership test (InSet), O(1) per token."""
+    stops = list(stopwords if stopwords is not None else chat_stopwords())
+    return F.filter(_c(tokens), lambda t: ~F.lower(t).isin(stops))
 
 
 def prepare(c, steps: Iterable[ColFn]) -> Column:
@@ -146,7 +148,7 @@ def chat_tokens(c) -> Column:
 
 def sanitize_string(c) -> Column:
     """X11: keep only word characters and whitespace."""
-    return _re(c, f"[^{P.WORD_CHARS}{P.WS_CHARS}]")
+    return _re(c, f"[^{P.WORD_CHARS}{P.WS_CHARS_J}]")
 
 
 def extract_mention(c) -> Column:
@@ -166,7 +168,7 @@ def user_tag(name, discriminator) -> Column:
 
 def clean_tweets(c) -> Column:
     """Drop @handles, http links, ://rest, #tags and # runs; strip."""
-    for pat in (f"@{P.WORD}+", f"http{P.NOT_WS}+", f"://{P.NOT_WS}+", f"#{P.WORD}+", "##*"):
+    for pat in (f"@{P.WORD}+", f"http{P.NOT_WS_J}+", f"://{P.NOT_WS_J}+", f"#{P.WORD}+", "##*"):
         c = _re(c, pat)
     return strip(c)
 
@@ -193,7 +195,7 @@ def summary_clean(c) -> Column:
 
 def shorten_words(c, max_tokens: int = 3500) -> Column:
     """X18 default: the first ``max_tokens`` whitespace-separated words."""
-    words = F.split(strip(c), f"{P.WS}+")
+    words = F.split(strip(c), f"{P.WS_J}+")
     return F.array_join(F.slice(words, 1, max_tokens), " ")
 
 
@@ -227,7 +229,7 @@ def to_ascii(c) -> Column:
 
 def collapse_ws(c) -> Column:
     """Strip, whitespace runs -> one space."""
-    return _re(strip(c), f"{P.WS}+", " ")
+    return _re(strip(c), f"{P.WS_J}+", " ")
 
 
 def split_sentences(c) -> Column:
@@ -244,14 +246,14 @@ def questions_in(c) -> Column:
 
 def word_count(c) -> Column:
     """Number of whitespace-separated words (0 for NULL / blank)."""
-    return F.coalesce(F.size(F.filter(F.split(_c(c), f"{P.WS}+"), lambda w: w != "")), F.lit(0))
+    return F.coalesce(F.size(F.filter(F.split(_c(c), f"{P.WS_J}+"), lambda w: w != "")), F.lit(0))
 
 
 def regex_token_count(c) -> Column:
     """X47 default tokenizer: runs of word characters plus single punctuation
     marks (a BPE tokenizer can be plugged in through ``inference``)."""
     return F.coalesce(F.size(F.regexp_extract_all(
-        _c(c), F.lit(f"{P.WORD}+|[^{P.WORD_CHARS}{P.WS_CHARS}]"), 0)), F.lit(0))
+        _c(c), F.lit(f"{P.WORD}+|[^{P.WORD_CHARS}{P.WS_CHARS_J}]"), 0)), F.lit(0))
 
 
 def ordered_concat(items: Column, order_field: str, value_field: str, sep: str = "") -> Column:

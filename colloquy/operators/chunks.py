@@ -23,7 +23,7 @@ from .ordering import with_positions
 
 def word_tokens(c: Column) -> Column:
     """Default tokenizer for chunking: whitespace-separated words."""
-    return F.filter(F.split(c, f"{P.WS}+"), lambda w: w != "")
+    return F.filter(F.split(c, f"{P.WS_J}+"), lambda w: w != "")
 
 
 def token_chunks(lines: DataFrame, key: str = "channel_id", order: tuple[str, ...] = ("ts", "id"),

@@ -62,7 +62,7 @@ def is_question(col="content") -> Column:
     subj = F.array(*[F.lit(w) for w in SUBJECT_WORDS])
 
     def rule(s: Column) -> Column:
-        toks = F.regexp_extract_all(F.lower(s), F.lit(f"{P.WORD}+|[^{P.WORD_CHARS}{P.WS_CHARS}]"), 0)
+        toks = F.regexp_extract_all(F.lower(s), F.lit(f"{P.WORD}+|[^{P.WORD_CHARS}{P.WS_CHARS_J}]"), 0)
         n = F.size(toks)
         t0, t1 = F.get(toks, 0), F.get(toks, 1)
         a = (n > 1) & s.endswith("?")

@@ -47,6 +47,19 @@ def proposal_summaries(links: DataFrame, channels: DataFrame, guilds: DataFrame,
     return both.join(g, "dc_guild_id").join(s, "dc_channel_id")
 
 
+def proposal_qa(links: DataFrame, channels: DataFrame, guilds: DataFrame, messages: DataFrame,
+                qa: DataFrame) -> DataFrame:
+    """Proposal -> channel -> guild -> messages -> Q&A, DISTINCT. A link
+    without a channel matches nothing here (unlike J4)."""
+    m = messages.select(F.col("id").alias("message_id"), "channel_id")
+    q = qa.select("message_id", "question", "answer")
+    return (links.filter(F.col("channel_id").isNotNull())
+                 .join(channels.select("channel_id", F.col("name").alias("channel_name"), "guild_id"), "channel_id")
+                 .join(guilds.select("guild_id", F.col("name").alias("guild_name")), "guild_id")
+                 .join(m, "channel_id").join(q, "message_id")
+                 .select("proposal_id", "channel_name", "guild_name", "question", "answer").distinct())
+
+
 def unanswered(staging: DataFrame, qa: DataFrame) -> DataFrame:
     """Staging rows with is_relevant=1, answered=0 and no Q&A row
     (NOT EXISTS as an anti join; NOT IN would plan a null-aware broadcast)."""

@@ -73,12 +73,18 @@ def hide_downvoted(qa: DataFrame, votes: DataFrame, threshold: int = 3) -> DataF
     return update_by_key(qa, hit, "message_id", ["hidden"])
 
 
-def record_answers(staging: DataFrame, qa: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """D9 (+ F19, P4): answers (message_id, question, answer, model, logs?,
-    answered_at?) -> (new staging with ``answered`` 1/0, new Q&A with the
-    answered rows inserted when absent, ``is_relevant = 1, hidden = 0``)."""
+def record_answers(staging: DataFrame, qa: DataFrame, answers: DataFrame,
+                   stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """D9 (+ F19, P4): answers (message_id, question, answer, model, logs?)
+    -> (new staging with ``answered`` 1/0, new Q&A with the answered rows
+    inserted when absent, ``is_relevant = 1, hidden = 0``). P4: when the Q&A
+    table has ``created_at`` / ``updated_at`` columns they are filled with
+    ``stamp`` (default: the current timestamp)."""
     no, ans = answer_status("answer")
     a = answers.withColumn("_no", no).withColumn("answer", ans)
+    for c in ("created_at", "updated_at"):
+        if c in qa.columns and c not in a.columns:
+            a = a.withColumn(c, stamp if stamp is not None else F.current_timestamp())
     flags = a.select("message_id", F.when(F.col("_no") == 1, 0).otherwise(1).alias("answered"))
     new_staging = update_by_key(staging, flags, "message_id", ["answered"])
     ins = a.filter(F.col("_no") == 0)

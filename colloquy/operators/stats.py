@@ -21,6 +21,30 @@ def with_tokens(df: DataFrame, text_col: str, tokens: Column, drop_empty: bool =
     return out.filter(F.col("num_tokens") > 0) if drop_empty else out
 
 
+def term_counts(df: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
+                by: Iterable[str] = ()) -> DataFrame:
+    """Occurrences per (group, document, token): the one pass over the
+    tokens that frequency, document frequency and N are all derived from."""
+    by = list(by)
+    return (df.select(*by, key, F.explode(tokens_col).alias("token"))
+              .groupBy(*by, key, "token").agg(F.count(F.lit(1)).alias("n")))
+
+
+def frequency_from_counts(tc: DataFrame, min_freq: int = 2, by: Iterable[str] = ()) -> DataFrame:
+    """A5 / A8 from ``term_counts``."""
+    by = list(by)
+    return (tc.groupBy(*by, "token").agg(F.sum("n").alias("freq"))
+              .filter(F.col("freq") >= min_freq))
+
+
+def idf_from_counts(tc: DataFrame, key: str = "doc_id", min_df: int = 2) -> DataFrame:
+    """A6 from ``term_counts`` (one row per document and token, so the rows
+    per token are its document frequency; N = documents with a token)."""
+    n = tc.select(key).distinct().count()  # one number to the driver
+    d = tc.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+    return d.withColumn("idf", F.log(F.lit(float(n)) / F.col("df")) + F.lit(0.1))
+
+
 def token_frequency(df: DataFrame, tokens_col: str = "tokens", min_freq: int = 2,
                     by: Iterable[str] = ()) -> DataFrame:
     """A5 (A8 with ``by``): occurrences per token (per group), ``freq >= min_freq``."""

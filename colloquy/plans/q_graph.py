@@ -14,8 +14,15 @@ from .registry import register
 TREASURY = "Treasury"
 
 
-def _p(spark, sf_dir):
-    return PR.proposals(spark, sf_dir)
+def _p(spark, sf_dir, shared: bool = False):
+    """The proposal documents. ``shared=True`` when a query reads them more
+    than once: they are then built once and materialised in the shared
+    checkpoint folder instead of being re-derived for every use."""
+    p = PR.proposals(spark, sf_dir)
+    if shared:
+        from ..session import cut_lineage
+        p = cut_lineage(p)
+    return p
 
 
 def _r(spark, sf_dir):
@@ -217,15 +224,16 @@ def vote_edges(spark, sf_dir):
 @register("normalise_graph", base_ctes() + "," + view1_sql() + "\nSELECT subject, relation, object FROM v1")
 def normalise_graph(spark, sf_dir):
     """K8: K1 + K2 -> K4 -> K5 -> K6 -> K7 -> A16 -> X31 -> distinct."""
-    return G.graph_view1(_p(spark, sf_dir), _r(spark, sf_dir), TREASURY).select("subject", "relation", "object")
+    return G.graph_view1(_p(spark, sf_dir, shared=True), _r(spark, sf_dir), TREASURY).select(
+        "subject", "relation", "object")
 
 
 # ---------------------------------------------------------------- light view 1 (no model fields)
 
-def basic_view1(spark, sf_dir, treasury: str = TREASURY, upper_title: bool = False):
+def basic_view1(spark, sf_dir, treasury: str = TREASURY, upper_title: bool = False, p=None):
     """K1 + K2 + K4 without model replies: ids, dates, status, label, vote
     totals and actions, relations title-cased."""
-    p = _p(spark, sf_dir)
+    p = p if p is not None else _p(spark, sf_dir, shared=True)
     if upper_title:
         p = p.withColumn("title", F.upper("title"))
     t = G.proposal_triples(p).unionByName(G.action_triples(p, None, treasury))
@@ -297,8 +305,8 @@ SELECT subject, 'Url', 'url', 'https://example.org/vote/' || object, '' FROM j W
 def typed_statements(spark, sf_dir):
     """K9 + X49 + X50 + X51 + X32: typed statements with vote qualifiers."""
     from ..operators import statements as ST
-    st = ST.typed_statements(basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)),
-                             ST.datatype_table(spark, TREASURY))
+    p = _p(spark, sf_dir, shared=True)
+    st = ST.typed_statements(basic_view1(spark, sf_dir, p=p), G.vote_edges(p), ST.datatype_table(spark, TREASURY))
     return st.select("entity", "property", "datatype", "value", quals_text(F.col("qualifiers")).alias("qualifiers"))
 
 
@@ -317,7 +325,8 @@ FROM t JOIN inv i ON i.relation = t.relation WHERE starts_with(t.object, '0x')
 def inverse_statements(spark, sf_dir):
     """Inverse statements on individuals (addresses)."""
     from ..operators import statements as ST
-    st = ST.inverse_statements(spark, basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)))
+    p = _p(spark, sf_dir, shared=True)
+    st = ST.inverse_statements(spark, basic_view1(spark, sf_dir, p=p), G.vote_edges(p))
     return st.select("entity", "property", "value", quals_text(F.col("qualifiers")).alias("qualifiers"))
 
 
@@ -345,7 +354,8 @@ GROUP BY kind, label
 def entity_catalog(spark, sf_dir):
     """Properties with datatypes and typed items to exist."""
     from ..operators import statements as ST
-    return ST.entity_catalog(spark, basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)),
+    p = _p(spark, sf_dir, shared=True)
+    return ST.entity_catalog(spark, basic_view1(spark, sf_dir, p=p), G.vote_edges(p),
                              ST.datatype_table(spark, TREASURY), TREASURY)
 
 
@@ -369,7 +379,8 @@ def ensure_entities(spark, sf_dir):
     """Proposals are catalogued first; individuals, statuses and other
     ranged objects get the next ids, in md5 order of their labels."""
     from ..operators import statements as ST
-    v1, v2 = basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir))
+    p = _p(spark, sf_dir, shared=True)
+    v1, v2 = basic_view1(spark, sf_dir, p=p), G.vote_edges(p)
     cat = ST.entity_catalog(spark, v1, v2, ST.datatype_table(spark, TREASURY), TREASURY)
     items = cat.filter(F.col("kind") == "item")
     subj = v1.select(F.col("subject").alias("label")).unionByName(v2.select(F.col("subject").alias("label")))
@@ -469,8 +480,9 @@ def merge_graph(spark, sf_dir):
     """D5 + U3: previous graph then a new version (labels re-extracted);
     multi-valued relations keep the last row per (subject, relation,
     object), the others the last per (subject, relation)."""
-    old = basic_view1(spark, sf_dir)
-    new = basic_view1(spark, sf_dir, upper_title=True)
+    p = _p(spark, sf_dir, shared=True)
+    old = basic_view1(spark, sf_dir, p=p)
+    new = basic_view1(spark, sf_dir, upper_title=True, p=p)
     return G.merge_graph(old, new, treasury=TREASURY).select("subject", "relation", "object")
 
 
@@ -500,7 +512,7 @@ WHERE rk = 1
 def merge_edges(spark, sf_dir):
     """D5 view 2 / A12: the last edge per (proposal, voter) across an old and
     a re-weighted new version."""
-    e = G.vote_edges(_p(spark, sf_dir))
+    e = G.vote_edges(_p(spark, sf_dir, shared=True))
     new = e.withColumn("weight", F.col("weight") * 2)
     return G.merge_edges(e, new).select("subject", "relation", "object", "weight", "reason")
 
@@ -524,7 +536,8 @@ SELECT version, relation, count(*) AS n FROM (
 def stack_versions(spark, sf_dir):
     """Old graph then new graph tagged with versions (counted per relation)."""
     from ..operators.ordering_ops import stack_versions as sv
-    u = sv(basic_view1(spark, sf_dir), basic_view1(spark, sf_dir, upper_title=True))
+    p = _p(spark, sf_dir, shared=True)
+    u = sv(basic_view1(spark, sf_dir, p=p), basic_view1(spark, sf_dir, upper_title=True, p=p))
     return u.groupBy("version", "relation").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -592,8 +605,8 @@ def merge_statements(spark, sf_dir):
     order-independent digest comparison."""
     from ..operators import statements as ST
     from ..sources.tables import table
-    st = ST.typed_statements(basic_view1(spark, sf_dir), G.vote_edges(_p(spark, sf_dir)),
-                             ST.datatype_table(spark, TREASURY))
+    p = _p(spark, sf_dir, shared=True)
+    st = ST.typed_statements(basic_view1(spark, sf_dir, p=p), G.vote_edges(p), ST.datatype_table(spark, TREASURY))
     st = st.select("entity", "property", "datatype", "value", quals_text(F.col("qualifiers")).alias("q"))
     st = st.withColumn("qualifiers", F.array(F.struct(F.lit("q").alias("prop"), F.lit("s").alias("datatype"),
                                                       F.col("q").alias("value")))).drop("q")
@@ -675,15 +688,10 @@ j5 AS (
 
 
 def _proposal_qa(spark, sf_dir):
+    from ..operators.joins import proposal_qa
     from ..sources import views as V
     lk, ch, g = _links_ctx(spark, sf_dir)
-    m = V.messages(spark, sf_dir).select(F.col("id").alias("message_id"), "channel_id")
-    qa = V.qa(spark, sf_dir).select("message_id", "question", "answer")
-    return (lk.filter(F.col("channel_id").isNotNull())
-              .join(ch.select("channel_id", F.col("name").alias("channel_name"), "guild_id"), "channel_id")
-              .join(g.select("guild_id", F.col("name").alias("guild_name")), "guild_id")
-              .join(m, "channel_id").join(qa, "message_id")
-              .select("proposal_id", "channel_name", "guild_name", "question", "answer").distinct())
+    return proposal_qa(lk, ch, g, V.messages(spark, sf_dir), V.qa(spark, sf_dir))
 
 
 @register("distinct_join", _views("links", "channels", "guilds", "messages", "questions", "qa") + "," + J5_SQL_BODY + """

@@ -125,6 +125,13 @@ def _doc_tokens(spark, sf_dir):
     return ST.with_tokens(_docs(spark, sf_dir), "text", T.chat_tokens(F.col("text")))
 
 
+def _doc_term_counts(spark, sf_dir):
+    """(doc_id, token, n), tokenised once and materialised in the shared
+    checkpoint folder: frequency, document frequency and N all read it."""
+    from ..session import cut_lineage
+    return cut_lineage(ST.term_counts(_doc_tokens(spark, sf_dir), key="doc_id"))
+
+
 DOC_TOKENS_SQL = f"""
 toks AS (SELECT doc_id, t FROM (SELECT doc_id, {S.chat_tokens('text')} AS t FROM documents) WHERE len(t) > 0),
 occ AS (SELECT doc_id, unnest(t) AS token FROM toks),
@@ -143,7 +150,7 @@ def token_frequency(spark, sf_dir):
 @register("idf", "WITH " + DOC_TOKENS_SQL + "SELECT token, df, round(idf, 6) AS idf FROM idf")
 def idf_q(spark, sf_dir):
     """Document frequency >= 2 and ln(N/df) + 0.1."""
-    d = ST.document_frequency(_doc_tokens(spark, sf_dir))
+    d = ST.idf_from_counts(_doc_term_counts(spark, sf_dir), "doc_id")
     return d.select("token", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -152,8 +159,8 @@ SELECT f.token, f.freq, round(f.freq * i.idf, 6) AS tfidf
 FROM freq f LEFT JOIN idf i ON i.token = f.token""")
 def tfidf_q(spark, sf_dir):
     """A7 + J14: freq x idf, NULL where the token has no idf."""
-    t = _doc_tokens(spark, sf_dir)
-    r = ST.tfidf(ST.token_frequency(t), ST.document_frequency(t))
+    tc = _doc_term_counts(spark, sf_dir)
+    r = ST.tfidf(ST.frequency_from_counts(tc), ST.idf_from_counts(tc, "doc_id"))
     return r.select("token", "freq", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -191,8 +198,9 @@ FROM cfreq f LEFT JOIN idf i ON i.token = f.token""")
 def channel_tfidf(spark, sf_dir):
     """Per-channel frequency (>= 2 within the channel) x global idf,
     every channel in one job."""
-    t = _msg_tokens(spark, sf_dir)
-    r = ST.tfidf(ST.token_frequency(t, by=["channel_id"]), ST.document_frequency(t))
+    from ..session import cut_lineage
+    tc = cut_lineage(ST.term_counts(_msg_tokens(spark, sf_dir), key="id", by=["channel_id"]))
+    r = ST.tfidf(ST.frequency_from_counts(tc, by=["channel_id"]), ST.idf_from_counts(tc, "id"))
     return r.select("channel_id", "token", "freq", F.round("tfidf", 6).alias("tfidf"))
 
 
