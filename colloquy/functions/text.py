@@ -47,8 +47,9 @@ def strip_emoticons(c) -> Column:
 def replace_empty_strings(c, whitespace_only: bool = True) -> Column:
     """X3: '' (and, by default, all-whitespace) -> NULL."""
     c = _c(c)
-    empty = (~c.rlike(P.NOT_WS_J)) if whitespace_only else (c == "")
-    return F.when(c.isNull() | empty, F.lit(None).cast("string")).otherwise(c)
+    # the input is referenced twice only (it may be a long expression chain)
+    keep = c.rlike(P.NOT_WS_J) if whitespace_only else (c != "")
+    return F.when(keep, c)
 
 
 def clean_content(c) -> Column:
