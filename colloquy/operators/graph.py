@@ -165,37 +165,39 @@ def vote_edges(proposals: DataFrame, rejects: bool = False) -> DataFrame:
 def normalise_types(pairs: DataFrame) -> DataFrame:
     """K4: 'Proposal Type' -> one triple per keyword (X30); other relations
     title-cased (X38), executionETA epoch -> date, 'Proposal Duration' ->
-    months number (X54) renamed 'Proposal Duration in Months'."""
-    pt = pairs.filter(F.col("relation") == "Proposal Type")
-    pt = pt.select("subject", "relation", F.posexplode(X.keywords(F.col("object"))).alias("j", "object"),
-                   "seq").select("subject", "relation", "object", (F.col("seq") * 100 + F.col("j")).alias("seq"))
-    rest = pairs.filter(F.col("relation") != "Proposal Type")
+    months number (X54) renamed 'Proposal Duration in Months'. One pass:
+    every row yields an array of objects (keywords, or its one value)."""
+    is_pt = F.col("relation") == "Proposal Type"
     rel = X.title_relation(F.col("relation"))
-    obj = (F.when(rel == "ExecutionETA", X.epoch_to_date(F.col("object")))
+    one = (F.when(rel == "ExecutionETA", X.epoch_to_date(F.col("object")))
             .when(rel == "Proposal Duration", X.deadline_months(F.col("object")))
             .otherwise(F.col("object")))
-    rel = F.when(rel == "Proposal Duration", F.lit("Proposal Duration in Months")).otherwise(rel)
-    rest = rest.select("subject", rel.alias("relation"), obj.alias("object"), (F.col("seq") * 100).alias("seq"))
-    return pt.unionByName(rest)
+    objs = F.when(is_pt, X.keywords(F.col("object"))).otherwise(F.array(one))
+    new_rel = (F.when(is_pt, F.lit("Proposal Type"))
+                .when(rel == "Proposal Duration", F.lit("Proposal Duration in Months")).otherwise(rel))
+    x = pairs.select("subject", new_rel.alias("relation"), "seq", F.posexplode(objs).alias("j", "object"))
+    return x.select("subject", "relation", "object", (F.col("seq") * 100 + F.col("j")).alias("seq"))
 
 
 def split_budgets(pairs: DataFrame) -> DataFrame:
     """K5: 'Proposal Budget' text -> USD / ETH / stETH triples. The text is
     split on the word ' and '; each piece is classified ('$'/'USD' -> USD,
     'ETH' without 'stETH' -> ETH, 'stETH' -> stETH) and parsed (X24);
-    unparseable pieces are dropped."""
-    b = pairs.filter(F.col("relation") == "Proposal Budget")
-    rest = pairs.filter(F.col("relation") != "Proposal Budget")
-    pieces = b.select("subject", "seq", F.posexplode(F.split(F.col("object"), " and ")).alias("j", "piece"))
+    unparseable pieces are dropped. Other triples pass through (one pass)."""
+    is_b = F.col("relation") == "Proposal Budget"
+    pieces = F.when(is_b, F.split(F.col("object"), " and ")).otherwise(F.array(F.col("object")))
+    x = pairs.select("subject", "relation", "seq", is_b.alias("_b"), F.posexplode(pieces).alias("j", "piece"))
     pc = F.col("piece")
-    rel = (F.when(pc.contains("$") | pc.contains("USD"), F.lit("Proposal Budget in USD"))
+    cls = (F.when(pc.contains("$") | pc.contains("USD"), F.lit("Proposal Budget in USD"))
             .when(pc.contains("ETH") & ~pc.contains("stETH"), F.lit("Proposal Budget in ETH"))
             .when(pc.contains("stETH"), F.lit("Proposal Budget in stETH")))
-    num = X.to_number(pc)
-    out = pieces.select("subject", rel.alias("relation"), X.render_number(num).alias("object"),
-                        (F.col("seq") + F.col("j")).alias("seq"), num.alias("_n"))
-    out = out.filter(F.col("relation").isNotNull() & F.col("_n").isNotNull()).drop("_n")
-    return rest.unionByName(out)
+    x = x.withColumn("_n", F.when(F.col("_b"), X.to_number(pc)))
+    out = x.select("subject",
+                   F.when(F.col("_b"), cls).otherwise(F.col("relation")).alias("relation"),
+                   F.when(F.col("_b"), X.render_number(F.col("_n"))).otherwise(pc).alias("object"),
+                   (F.col("seq") + F.col("j")).alias("seq"), "_b", "_n")
+    keep = ~F.col("_b") | (F.col("relation").isNotNull() & F.col("_n").isNotNull())
+    return out.filter(keep).drop("_b", "_n")
 
 
 def complete_budgets(pairs: DataFrame) -> DataFrame:
@@ -294,15 +296,13 @@ def merge_graph(old: DataFrame, new: DataFrame, multi: Iterable[str] | None = No
                 treasury: str = "Treasury") -> DataFrame:
     """D5 (view 1): old then new (U3). Multi-valued relations keep the last
     row per (subject, relation, object); the others the last per (subject,
-    relation). Order = (version, seq)."""
+    relation). Order = (version, seq). One keyed aggregate: the object is
+    part of the key only for multi-valued relations."""
     multi = list(multi) if multi is not None else (
         MULTI_VALUED + [debt_relations(treasury)[1].title()])
     u = (old.withColumn("version", F.lit(0)).unionByName(new.withColumn("version", F.lit(1))))
-    m = u.filter(F.col("relation").isin(multi))
-    s = u.filter(~F.col("relation").isin(multi))
-    a = keep_by_order(m, ["subject", "relation", "object"], ["version", "seq"])
-    b = keep_by_order(s, ["subject", "relation"], ["version", "seq"])
-    return a.unionByName(b)
+    u = u.withColumn("_k", F.when(F.col("relation").isin(multi), F.col("object")))
+    return keep_by_order(u, ["subject", "relation", "_k"], ["version", "seq"]).drop("_k")
 
 
 def merge_edges(old: DataFrame, new: DataFrame) -> DataFrame:
