@@ -37,15 +37,9 @@ def conversation_context(messages: DataFrame, anchors: DataFrame, before: int =
                    F.col("pos").alias("anchor_pos"), F.col("author_id").alias("a_author")),
         "anchor_id"))
     keep = (lambda: F.col("author_id") != F.col("a_author")) if exclude_author else None
-    parts = []
-    for side, n, d in (("before", before, -1), ("after", after, 1)):
-        if n > 0:
-            hits = neighbors(pos, anc, "channel_id", n, d, keep=keep, slack=slack)
-            parts.append(hits.select("anchor_id", F.lit(side).alias("side"), "dist", "id"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    hits = neighbors(pos, anc, "channel_id", keep=keep, slack=slack, counts={-1: before, 1: after})
+    side = F.when(F.col("dir") < 0, F.lit("before")).otherwise(F.lit("after"))
+    return hits.select("anchor_id", side.alias("side"), "dist", "id")
 
 
 def thread_context(messages: DataFrame, anchors: DataFrame, n: int = 25) -> DataFrame:

@@ -78,51 +78,55 @@ def with_positions(df: DataFrame, keys: Sequence[str], order_col: str,
                 .drop("_seg", "_w", "_inner", "_off"))
 
 
-def neighbors(rows: DataFrame, anchors: DataFrame, key: str, n: int, direction: int,
+def neighbors(rows: DataFrame, anchors: DataFrame, key: str, n: int = 0, direction: int = 1,
               keep: Callable[[], Column] | None = None, slack: int = 5,
-              max_rounds: int = 64) -> DataFrame:
-    """Nearest ``n`` rows before (direction=-1) or after (+1) each anchor.
+              max_rounds: int = 64, counts: dict[int, int] | None = None) -> DataFrame:
+    """Nearest rows before (direction -1) and/or after (+1) each anchor.
 
     rows    : (key, pos, id, ...) with dense 0-based ``pos`` per key
     anchors : (anchor_id, key, anchor_pos, a_* ...) one row per anchor
     keep    : predicate over the joined row (row columns + anchor columns);
               rows failing it are skipped but still count as examined.
-    Returns (anchor_id, dist, id, <row columns>) with 1 <= dist and at most
-    ``n`` rows per anchor, nearest first by ``dist``."""
-    if n <= 0:
-        return anchors.limit(0).select("anchor_id", F.lit(0).alias("dist"), F.lit(0).cast("bigint").alias("id"))
-    width = n + (slack if keep is not None else 0)
+    counts  : {direction: n}; defaults to {direction: n}. Both directions
+              are probed in the same join and tallied together.
+    Returns (anchor_id, dir, dist, <row columns>): at most n rows per
+    anchor and direction, nearest first by ``dist`` (>= 1)."""
+    counts = {d: k for d, k in (counts or {direction: n}).items() if k > 0}
     row_cols = [c for c in rows.columns if c not in (key, "pos")]
+    if not counts:
+        return anchors.limit(0).select("anchor_id", F.lit(0).alias("dir"), F.lit(0).alias("dist"),
+                                       *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in row_cols])
+    need = F.create_map(*[x for d, k in counts.items() for x in (F.lit(d), F.lit(k))])
+    width = max(counts.values()) + (slack if keep is not None else 0)
     r = rows.withColumnRenamed("pos", "_tpos")
-    pending = anchors.withColumn("_have", F.lit(0).cast("bigint"))
+    dirs = F.array(*[F.lit(d) for d in counts])
+    pending = anchors.select("*", F.explode(dirs).alias("dir")).withColumn("_have", F.lit(0).cast("bigint"))
     lo, hi = 1, width
     found: list[DataFrame] = []
     for rnd in range(max_rounds):
         probes = (pending.withColumn("dist", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
-                         .withColumn("_tpos", F.col("anchor_pos") + F.col("dist") * F.lit(direction)))
+                         .withColumn("_tpos", F.col("anchor_pos") + F.col("dist") * F.col("dir")))
         matched = probes.join(r, [key, "_tpos"], "inner")
         ok = keep() if keep is not None else F.lit(True)
         matched = matched.withColumn("_ok", ok)
-        hits = matched.filter("_ok").select("anchor_id", "dist", *row_cols)
-        found.append(hits)
+        found.append(matched.filter("_ok").select("anchor_id", "dir", "dist", *row_cols))
         if keep is None:
             break
-        tally = matched.groupBy("anchor_id").agg(F.count(F.lit(1)).alias("_seen"),
-                                                 F.count_if("_ok").alias("_got"))
-        nxt = (pending.join(tally, "anchor_id", "left")
+        tally = matched.groupBy("anchor_id", "dir").agg(F.count(F.lit(1)).alias("_seen"),
+                                                        F.count_if("_ok").alias("_got"))
+        nxt = (pending.join(tally, ["anchor_id", "dir"], "left")
                       .withColumn("_have", F.col("_have") + F.coalesce("_got", F.lit(0)))
                       .filter((F.coalesce("_seen", F.lit(0)) == F.lit(hi - lo + 1))
-                              & (F.col("_have") < F.lit(n)))
+                              & (F.col("_have") < need[F.col("dir")]))
                       .drop("_seen", "_got"))
-        if rnd + 1 < max_rounds:
-            nxt = cut_lineage(nxt) if rnd >= 1 else nxt.cache()
-            if nxt.isEmpty():
-                break
+        nxt = cut_lineage(nxt)   # reliable: a lost executor does not lose the round
+        if nxt.isEmpty():
+            break
         pending = nxt
         lo, hi = hi + 1, hi + max(width, (hi - lo + 1) * 2)
     out = found[0]
     for h in found[1:]:
         out = out.unionByName(h)
-    w = Window.partitionBy("anchor_id").orderBy("dist")
+    w = Window.partitionBy("anchor_id", "dir").orderBy("dist")
     return (out.withColumn("_rk", F.row_number().over(w))
-               .filter(F.col("_rk") <= n).drop("_rk"))
+               .filter(F.col("_rk") <= need[F.col("dir")]).drop("_rk"))

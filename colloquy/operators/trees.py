@@ -4,8 +4,8 @@ depth-first pre-order.
 One join per tree level for all anchors at once (set-at-a-time, never one
 query per message). Each row carries its ``path`` of ids from the anchor;
 sorting by the path array gives pre-order with siblings in id order. A
-visited check on the path stops reply cycles, and lineage is cut into the
-shared checkpoint folder every few levels so deep trees do not grow the plan.
+visited check on the path stops reply cycles, and every level is cut into
+the shared checkpoint folder so deep trees do not grow the plan.
 An empty reply is not followed, so its subtree is pruned, as in the original.
 """
 
@@ -18,8 +18,7 @@ from ..session import cut_lineage
 from .filters import non_empty
 
 
-def reply_tree(messages: DataFrame, anchors: DataFrame, max_depth: int = 1000,
-               checkpoint_every: int = 4) -> DataFrame:
+def reply_tree(messages: DataFrame, anchors: DataFrame, max_depth: int = 1000) -> DataFrame:
     """messages: id, parent_message_id, content; anchors: id.
     Returns (anchor_id, id, depth, path ARRAY<BIGINT>)."""
     edges = (non_empty(messages)
@@ -34,7 +33,7 @@ def reply_tree(messages: DataFrame, anchors: DataFrame, max_depth: int = 1000,
                                & (F.col("_child") != F.col("anchor_id")))
                        .select("anchor_id", F.col("_child").alias("id"),
                                F.array_append("path", F.col("_child")).alias("path")))
-        nxt = cut_lineage(nxt) if depth % checkpoint_every == 0 else nxt.cache()
+        nxt = cut_lineage(nxt)  # each level is a finished, reliable table
         if nxt.isEmpty():
             break
         levels.append(nxt.withColumn("depth", F.lit(depth)))

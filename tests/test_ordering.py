@@ -91,3 +91,13 @@ def test_neighbors_boundary(spark):
     before = neighbors(rows, anc, "k", 10, -1).collect()
     assert sorted(r["id"] for r in after) == [4]
     assert sorted(r["id"] for r in before) == [0, 1, 2]
+
+
+def test_neighbors_both_directions_in_one_pass(spark):
+    rows = spark.createDataFrame([(1, p, p, p % 2) for p in range(30)], "k long, pos long, id long, a long")
+    anc = spark.createDataFrame([(7, 1, 15, 1)], "anchor_id long, k long, anchor_pos long, a_a long")
+    hits = neighbors(rows, anc, "k", keep=lambda: F.col("a") != F.col("a_a"), slack=0,
+                     counts={-1: 3, 1: 4}).collect()
+    before = sorted(r["id"] for r in hits if r["dir"] == -1)
+    after = sorted(r["id"] for r in hits if r["dir"] == 1)
+    assert before == [10, 12, 14] and after == [16, 18, 20, 22]
