@@ -141,10 +141,18 @@ def prepare(c, steps: Iterable[ColFn]) -> Column:
     return functools.reduce(lambda acc, fn: fn(acc), steps, _c(c))
 
 
+def chat_token_candidates(c) -> Column:
+    """The token pipeline before stop-word removal: lower, strip emojis,
+    clean (notebook variant), tokenize."""
+    return prepare(c, [F.lower, strip_emojis, clean_nb, tokenize])
+
+
 def chat_tokens(c) -> Column:
     """Token pipeline of the channel analytics: lower, strip emojis, clean
-    (notebook variant), tokenize, remove stop words."""
-    return prepare(c, [F.lower, strip_emojis, clean_nb, tokenize, remove_stop])
+    (notebook variant), tokenize, remove stop words. (Statistics that
+    explode the tokens anyway remove stop words after the explode, as a
+    hash-set filter inside generated code: ``stats.term_counts``.)"""
+    return remove_stop(chat_token_candidates(c))
 
 
 def sanitize_string(c) -> Column:

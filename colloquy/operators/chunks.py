@@ -32,17 +32,21 @@ def token_chunks(lines: DataFrame, key: str = "channel_id", order: tuple[str, ..
     """lines: (key, *order, line). Returns (key, chunk, n_tokens, text) with
     text = the chunk's lines (their token slices joined by spaces) joined by
     newlines."""
+    from ..session import cut_lineage
     step = size - overlap
-    t = lines.withColumn("_tok", tokenizer(F.col(line_col))).withColumn("_n", F.size("_tok"))
-    t = t.filter(F.col("_n") > 0)
+    t = lines.withColumn("_tok", tokenizer(F.col(line_col)))
+    t = t.withColumn("_n", F.coalesce(F.size("_tok"), F.lit(0)))
     if seg_expr is None and order[0] == "ts":
         seg_expr = F.unix_micros(F.col("ts").cast("timestamp"))
+    # the token table is read by the position pass several times: write it once
+    t = cut_lineage(t.select(key, *order, "_tok", "_n"))
     t = with_positions(t, [key], order[0], out="_g0", tiebreak=list(order[1:]), weight=F.col("_n"),
                        seg_expr=seg_expr)
     g0, n = F.col("_g0"), F.col("_n")
     k_lo = F.greatest(F.lit(0), F.floor((g0 - size) / step) + 1)
     k_hi = F.floor((g0 + n - 1) / step)
-    t = t.withColumn("chunk", F.explode(F.sequence(k_lo.cast("bigint"), k_hi.cast("bigint"))))
+    chunks = F.when(n > 0, F.sequence(k_lo.cast("bigint"), k_hi.cast("bigint")))
+    t = t.withColumn("chunk", F.explode(chunks))   # lines without tokens yield no rows
     start = F.greatest(F.col("chunk") * step, g0)
     end = F.least(F.col("chunk") * step + size, g0 + n)
     piece = F.slice("_tok", (start - g0 + 1).cast("int"), (end - start).cast("int"))
@@ -60,11 +64,13 @@ def chunk_span(text: Column) -> tuple[Column, Column]:
     return F.element_at(stamps, 1), F.element_at(stamps, -1)
 
 
-def log_lines(messages: DataFrame) -> DataFrame:
-    """Summary input: X1 + X3 + X4 cleaning, rows without text dropped, then
-    X35 ``MM-dd-yyyy@HH:mm user: text`` lines."""
+def log_lines(messages: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Summary input: X1 + X3 + X4 cleaning, then X35 ``MM-dd-yyyy@HH:mm
+    user: text`` lines. Rows without text get a NULL line; they are dropped
+    unless ``keep_empty`` (the chunker skips them itself, which avoids a
+    pushed-down filter re-running the cleaning)."""
     from ..functions.extract import format_log
     c = T.prepare(F.col("content"), [T.strip_emojis, T.replace_empty_strings, T.clean_content])
-    m = messages.withColumn("clean_content", c).filter(F.col("clean_content").isNotNull()
-                                                       & (F.col("clean_content") != ""))
-    return m.withColumn("line", format_log(F.col("ts"), F.col("author_tag"), F.col("clean_content")))
+    m = messages.withColumn("clean_content", F.nullif(c, F.lit("")))
+    m = m.withColumn("line", format_log(F.col("ts"), F.col("author_tag"), F.col("clean_content")))
+    return m if keep_empty else m.filter(F.col("line").isNotNull())

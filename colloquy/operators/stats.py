@@ -15,18 +15,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_tokens(df: DataFrame, text_col: str, tokens: Column, drop_empty: bool = True) -> DataFrame:
-    """Attach ``tokens`` and ``num_tokens``; F13 drops rows without tokens."""
+def with_tokens(df: DataFrame, text_col: str, tokens: Column, drop_empty: bool = False) -> DataFrame:
+    """Attach ``tokens`` and ``num_tokens``.
+
+    F13 (rows without tokens do not count) needs no filter on the way to the
+    statistics: ``explode`` yields nothing for an empty array and N counts
+    the documents that produced a token. A filter on ``num_tokens`` would be
+    pushed below this projection by the optimizer and evaluate the whole
+    token pipeline twice, so ``drop_empty`` is only for small inputs."""
     out = df.withColumn("tokens", tokens).withColumn("num_tokens", F.coalesce(F.size("tokens"), F.lit(0)))
     return out.filter(F.col("num_tokens") > 0) if drop_empty else out
 
 
+def _exploded(df: DataFrame, tokens_col: str, cols: list[str], stopwords: Iterable[str] | None) -> DataFrame:
+    x = df.select(*cols, F.explode(tokens_col).alias("token"))
+    if stopwords is not None:
+        x = x.filter(~F.lower(F.col("token")).isin(list(stopwords)))
+    return x
+
+
 def term_counts(df: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
-                by: Iterable[str] = ()) -> DataFrame:
+                by: Iterable[str] = (), stopwords: Iterable[str] | None = None) -> DataFrame:
     """Occurrences per (group, document, token): the one pass over the
-    tokens that frequency, document frequency and N are all derived from."""
+    tokens that frequency, document frequency and N are all derived from.
+    ``stopwords`` are removed after the explode (X9 as a hash-set filter)."""
     by = list(by)
-    return (df.select(*by, key, F.explode(tokens_col).alias("token"))
+    return (_exploded(df, tokens_col, by + [key], stopwords)
               .groupBy(*by, key, "token").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -46,18 +60,18 @@ def idf_from_counts(tc: DataFrame, key: str = "doc_id", min_df: int = 2) -> Data
 
 
 def token_frequency(df: DataFrame, tokens_col: str = "tokens", min_freq: int = 2,
-                    by: Iterable[str] = ()) -> DataFrame:
+                    by: Iterable[str] = (), stopwords: Iterable[str] | None = None) -> DataFrame:
     """A5 (A8 with ``by``): occurrences per token (per group), ``freq >= min_freq``."""
     by = list(by)
-    return (df.select(*by, F.explode(tokens_col).alias("token"))
+    return (_exploded(df, tokens_col, by, stopwords)
               .groupBy(*by, "token").agg(F.count(F.lit(1)).alias("freq"))
               .filter(F.col("freq") >= min_freq))
 
 
 def document_frequency(df: DataFrame, tokens_col: str = "tokens", min_df: int = 2) -> DataFrame:
     """Documents containing each token, ``df >= min_df``, and
-    ``idf = ln(N / df) + 0.1`` with N = number of rows of ``df``."""
-    n = df.count()  # one number to the driver
+    ``idf = ln(N / df) + 0.1`` with N = number of rows that have a token."""
+    n = df.agg(F.count_if(F.coalesce(F.size(tokens_col), F.lit(0)) > 0).alias("n")).first()["n"]
     d = (df.select(F.explode(F.array_distinct(tokens_col)).alias("token"))
            .groupBy("token").agg(F.count(F.lit(1)).alias("df"))
            .filter(F.col("df") >= min_df))
@@ -70,9 +84,11 @@ def tfidf(freq: DataFrame, idf: DataFrame, by: Iterable[str] = ()) -> DataFrame:
                 .withColumn("tfidf", F.col("freq") * F.col("idf")))
 
 
-def group_sizes(df: DataFrame, key: str, k: int = 5) -> DataFrame:
-    """A4: rows per key, largest first, top ``k`` (ties by key)."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def group_sizes(df: DataFrame, key: str, k: int = 5, count_if: Column | None = None) -> DataFrame:
+    """A4: rows per key (or rows satisfying ``count_if``), largest first,
+    top ``k`` (ties by key); keys with no counted row are left out."""
+    c = F.count(F.lit(1)) if count_if is None else F.count_if(count_if)
+    return (df.groupBy(key).agg(c.alias("n")).filter(F.col("n") > 0)
               .orderBy(F.desc("n"), F.asc(key)).limit(k))
 
 

@@ -45,7 +45,7 @@ SELECT channel_id, chunk, n_tokens, md5(text) AS text_md5 FROM ch
 def token_chunks(spark, sf_dir):
     """Per channel, the formatted log split into 3000-token chunks that
     overlap by 100 tokens."""
-    lines = C.log_lines(V.messages(spark, sf_dir)).select("channel_id", "ts", "id", "line")
+    lines = C.log_lines(V.messages(spark, sf_dir), keep_empty=True).select("channel_id", "ts", "id", "line")
     ch = C.token_chunks(lines, size=SIZE, overlap=OVERLAP)
     return ch.select("channel_id", "chunk", "n_tokens", F.md5("text").alias("text_md5"))
 
@@ -58,7 +58,7 @@ FROM ch
 """)
 def chunk_span(spark, sf_dir):
     """First and last log time stamp found in each chunk."""
-    lines = C.log_lines(V.messages(spark, sf_dir)).select("channel_id", "ts", "id", "line")
+    lines = C.log_lines(V.messages(spark, sf_dir), keep_empty=True).select("channel_id", "ts", "id", "line")
     ch = C.token_chunks(lines, size=SIZE, overlap=OVERLAP)
     a, b = C.chunk_span(F.col("text"))
     return ch.select("channel_id", "chunk", a.alias("first_ts"), b.alias("last_ts"))
@@ -322,7 +322,7 @@ def qa_states(spark, sf_dir):
         "pending": FL.pending_answers(qa),
         "publishable": FL.publishable(qa),
         "to_classify": FL.needs_classification(st),
-        "with_tokens": with_tokens(m, "content", T.chat_tokens(F.coalesce("content", F.lit("")))),
+        "with_tokens": with_tokens(m, "content", T.chat_tokens(F.coalesce("content", F.lit(""))), drop_empty=True),
         "one_channel": m.filter(F.col("channel_id") == 7),
         "numeric_start": m.filter(FL.project_cast(F.split(F.coalesce("content", F.lit("")), " ")[0]).isNotNull()),
         "with_content": FL.pending_answers(qa_with_content(qa, m), pending=False),

@@ -148,7 +148,7 @@ def summarize_chunks(spark, sf_dir):
     channel) per chunk of every channel's log."""
     from ..functions.extract import parse_log_time
     from ..operators import chunks as C
-    lines = C.log_lines(V.messages(spark, sf_dir)).select("channel_id", "ts", "id", "line")
+    lines = C.log_lines(V.messages(spark, sf_dir), keep_empty=True).select("channel_id", "ts", "id", "line")
     ch = C.token_chunks(lines).withColumn("_key", F.concat_ws(":", "channel_id", "chunk"))
     first, last = C.chunk_span(F.col("text"))
     ch = ch.withColumn("start_date", parse_log_time(first)).withColumn("end_date", parse_log_time(last))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sql_text as S
 from ..functions import text as T
-from ..functions.stopwords import CLOUD_STOP
+from ..functions.stopwords import CLOUD_STOP, chat_stopwords
 from ..operators import stats as ST
 from ..sources import views as V
 from ..sources.tables import table
@@ -121,15 +121,20 @@ def question_regex(spark, sf_dir):
 
 # ---------------------------------------------------------------- statistics
 
+STOP = chat_stopwords()
+
+
 def _doc_tokens(spark, sf_dir):
-    return ST.with_tokens(_docs(spark, sf_dir), "text", T.chat_tokens(F.col("text")))
+    """Token candidates per document; stop words are removed after the
+    explode in the statistics (same result as X9 on the arrays)."""
+    return ST.with_tokens(_docs(spark, sf_dir), "text", T.chat_token_candidates(F.col("text")))
 
 
 def _doc_term_counts(spark, sf_dir):
     """(doc_id, token, n), tokenised once and materialised in the shared
     checkpoint folder: frequency, document frequency and N all read it."""
     from ..session import cut_lineage
-    return cut_lineage(ST.term_counts(_doc_tokens(spark, sf_dir), key="doc_id"))
+    return cut_lineage(ST.term_counts(_doc_tokens(spark, sf_dir), key="doc_id", stopwords=STOP))
 
 
 DOC_TOKENS_SQL = f"""
@@ -144,7 +149,7 @@ idf AS (SELECT token, df, ln((SELECT count(*) FROM toks) / df) + 0.1 AS idf FROM
 @register("token_frequency", "WITH " + DOC_TOKENS_SQL + "SELECT token, freq FROM freq")
 def token_frequency(spark, sf_dir):
     """A5: token counts over all documents, freq >= 2."""
-    return ST.token_frequency(_doc_tokens(spark, sf_dir)).select("token", "freq")
+    return ST.token_frequency(_doc_tokens(spark, sf_dir), stopwords=STOP).select("token", "freq")
 
 
 @register("idf", "WITH " + DOC_TOKENS_SQL + "SELECT token, df, round(idf, 6) AS idf FROM idf")
@@ -170,7 +175,7 @@ SELECT token, freq, rank FROM (
 WHERE rank <= 15""")
 def top_terms(spark, sf_dir):
     """T4: the 15 most frequent tokens (ties by token)."""
-    f = ST.token_frequency(_doc_tokens(spark, sf_dir))
+    f = ST.token_frequency(_doc_tokens(spark, sf_dir), stopwords=STOP)
     top = ST.top_terms(f, 15)
     from pyspark.sql import Window
     return top.select("token", "freq",
@@ -187,9 +192,10 @@ idf AS (SELECT token, ln((SELECT count(*) FROM toks) / df) + 0.1 AS idf FROM dfr
 """
 
 
-def _msg_tokens(spark, sf_dir):
+def _msg_tokens(spark, sf_dir, candidates: bool = False):
     m = V.messages(spark, sf_dir).filter(F.col("content").isNotNull()).select("id", "channel_id", "content")
-    return ST.with_tokens(m, "content", T.chat_tokens(F.col("content")))
+    fn = T.chat_token_candidates if candidates else T.chat_tokens
+    return ST.with_tokens(m, "content", fn(F.col("content")))
 
 
 @register("channel_tfidf", MSG_TOKENS_SQL + """
@@ -199,7 +205,8 @@ def channel_tfidf(spark, sf_dir):
     """Per-channel frequency (>= 2 within the channel) x global idf,
     every channel in one job."""
     from ..session import cut_lineage
-    tc = cut_lineage(ST.term_counts(_msg_tokens(spark, sf_dir), key="id", by=["channel_id"]))
+    tc = cut_lineage(ST.term_counts(_msg_tokens(spark, sf_dir, candidates=True), key="id",
+                                    by=["channel_id"], stopwords=STOP))
     r = ST.tfidf(ST.frequency_from_counts(tc, by=["channel_id"]), ST.idf_from_counts(tc, "id"))
     return r.select("channel_id", "token", "freq", F.round("tfidf", 6).alias("tfidf"))
 
@@ -215,8 +222,8 @@ SELECT channel_id, token, freq, rank FROM (
 WHERE rank <= 10""")
 def channel_top_terms(spark, sf_dir):
     """T4 per channel: top 10 tokens by frequency without the cloud stop list."""
-    t = _msg_tokens(spark, sf_dir)
-    f = ST.token_frequency(t, by=["channel_id"])
+    t = _msg_tokens(spark, sf_dir, candidates=True)
+    f = ST.token_frequency(t, by=["channel_id"], stopwords=STOP)
     return ST.top_terms(f, 10, by=["channel_id"], exclude=CLOUD_STOP).select(
         "channel_id", "token", "freq", "rank")
 
@@ -225,7 +232,7 @@ def channel_top_terms(spark, sf_dir):
 SELECT channel_id, count(*) AS n FROM toks GROUP BY channel_id ORDER BY n DESC, channel_id LIMIT 5""")
 def channel_sizes(spark, sf_dir):
     """A4: the five channels with most (token-bearing) messages."""
-    return ST.group_sizes(_msg_tokens(spark, sf_dir), "channel_id", 5)
+    return ST.group_sizes(_msg_tokens(spark, sf_dir), "channel_id", 5, count_if=F.col("num_tokens") > 0)
 
 
 @register("url_frequency", f"""

@@ -51,7 +51,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder (survives executor
-    loss, unlike a local checkpoint) and return the truncated DataFrame."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    (``spark.checkpoint.dir``) and return a DataFrame reading it back.
+
+    The rows are computed once and written by the same job; the lineage of
+    the result is just the scan. (``Dataset.checkpoint`` would compute the
+    plan a second time to write its files unless it were cached first.) The
+    folder is the cluster's reliable storage, so the table survives executor
+    loss, unlike a local checkpoint."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/colloquy-cut-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
