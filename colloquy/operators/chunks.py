@@ -61,7 +61,8 @@ def token_chunks(lines: DataFrame, key: str = "channel_id", order: tuple[str, ..
 def chunk_span(text: Column) -> tuple[Column, Column]:
     """First and last ``MM-dd-yyyy@HH:mm`` stamp found in a chunk."""
     stamps = F.regexp_extract_all(text, F.lit(P.LOG_TIME), 0)
-    return F.element_at(stamps, 1), F.element_at(stamps, -1)
+    # a chunk cut from the middle of one long line may hold no stamp: NULL
+    return F.try_element_at(stamps, F.lit(1)), F.try_element_at(stamps, F.lit(-1))
 
 
 def log_lines(messages: DataFrame, keep_empty: bool = False) -> DataFrame:

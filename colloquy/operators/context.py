@@ -17,7 +17,10 @@ from .ordering import neighbors, with_positions
 
 
 def _positioned(rows: DataFrame, key: str, order_col: str, tiebreak=(), seg_expr=None) -> DataFrame:
-    return with_positions(rows, [key], order_col, out="pos", tiebreak=tiebreak, seg_expr=seg_expr)
+    """Dense positions per key, written once: the anchors and every probe
+    round read this narrow table instead of re-deriving the positions."""
+    from ..session import cut_lineage
+    return cut_lineage(with_positions(rows, [key], order_col, out="pos", tiebreak=tiebreak, seg_expr=seg_expr))
 
 
 def conversation_context(messages: DataFrame, anchors: DataFrame, before: int = 10,

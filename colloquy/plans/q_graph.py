@@ -9,6 +9,7 @@ from ..functions import sql_text as S
 from ..operators import graph as G
 from ..operators.state import keep_by_order
 from ..sources import proposals as PR
+from ..sources.views import ENTITIES_SQL
 from .registry import register
 
 TREASURY = "Treasury"
@@ -623,7 +624,7 @@ def merge_statements(spark, sf_dir):
                   .select("entity", "n_statements", F.coalesce("changed", F.lit(False)).alias("changed")))
 
 
-@register("label_lookup", "WITH " + __import__("colloquy.sources.views", fromlist=["x"]).ENTITIES_SQL.strip() + """,
+@register("label_lookup", "WITH " + ENTITIES_SQL.strip() + """,
 e AS (SELECT *, split_part(uri, '/', -1) AS entity_id FROM entities WHERE lang = 'en'),
 p AS (SELECT label, entity_id FROM (
         SELECT *, row_number() OVER (PARTITION BY label ORDER BY seq DESC) AS rk FROM e WHERE is_property) WHERE rk = 1),

@@ -10,6 +10,7 @@ from ..functions import sql_text as S
 from ..functions import text as T
 from ..operators import chunks as C
 from ..sources import views as V
+from ..sources.proposals import LINE_SQL
 from ..sources.tables import table
 from .registry import register
 
@@ -158,7 +159,7 @@ def team_fields(spark, sf_dir):
                                    X.capitalize(X.team_name(F.col("name"))).alias("team_name"))
 
 
-@register("wei", "WITH " + __import__("colloquy.sources.proposals", fromlist=["x"]).LINE_SQL.strip() + f"""
+@register("wei", "WITH " + LINE_SQL.strip() + f"""
 SELECT pid, pos, target, {E.wei_to_eth('value')} AS eth,
        CAST({E.calldata_amount('calldata')} AS BIGINT) AS amount,
        {E.action_type('signature')} AS action

@@ -62,7 +62,7 @@ def vector_upsert(spark, sf_dir):
                                                 .alias("embedding"), F.lit("new").alias("src"))
     u = R.vector_upsert(old, new, "message_id")
     return u.select(F.col("message_id").alias("vec_id"),
-                    F.round(F.element_at("embedding", 1).cast("double"), 6).alias("first"), "src")
+                    F.round(F.try_element_at("embedding", F.lit(1)).cast("double"), 6).alias("first"), "src")
 
 
 @register("embed_hash")
