@@ -8,6 +8,8 @@ outgrows the threshold falls back to a sort-merge join instead of failing.
 
 from __future__ import annotations
 
+from collections.abc import Callable  # noqa: F401 - used in annotations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,16 +50,27 @@ def proposal_summaries(links: DataFrame, channels: DataFrame, guilds: DataFrame,
 
 
 def proposal_qa(links: DataFrame, channels: DataFrame, guilds: DataFrame, messages: DataFrame,
-                qa: DataFrame) -> DataFrame:
-    """Proposal -> channel -> guild -> messages -> Q&A, DISTINCT. A link
-    without a channel matches nothing here (unlike J4)."""
-    m = messages.select(F.col("id").alias("message_id"), "channel_id")
-    q = qa.select("message_id", "question", "answer")
-    return (links.filter(F.col("channel_id").isNotNull())
-                 .join(channels.select("channel_id", F.col("name").alias("channel_name"), "guild_id"), "channel_id")
+                qa: DataFrame, bound: "Callable[[Column], Column] | None" = None) -> DataFrame:
+    """Proposal -> channel -> guild -> messages -> Q&A, DISTINCT over
+    (proposal_id, channel_name, guild_name, question, answer). A link
+    without a channel matches nothing here (unlike J4).
+
+    The DISTINCT is never applied to the product: both sides are made
+    distinct per (channel_name, guild_name) first - the proposals linked to
+    that channel name, and the Q&A texts posted under it - and the join of
+    two per-key distinct sets is already distinct. ``bound`` (e.g. X32) is
+    applied to the Q&A texts once per distinct text, before the product."""
+    ch = channels.select("channel_id", F.col("name").alias("channel_name"), "guild_id") \
                  .join(guilds.select("guild_id", F.col("name").alias("guild_name")), "guild_id")
-                 .join(m, "channel_id").join(q, "message_id")
-                 .select("proposal_id", "channel_name", "guild_name", "question", "answer").distinct())
+    props = (links.filter(F.col("channel_id").isNotNull()).join(ch, "channel_id")
+                  .select("proposal_id", "channel_name", "guild_name").distinct())
+    m = messages.select(F.col("id").alias("message_id"), "channel_id")
+    texts = (qa.select("message_id", "question", "answer").join(m, "message_id").join(ch, "channel_id")
+               .select("channel_name", "guild_name", "question", "answer").distinct())
+    if bound is not None:
+        texts = texts.select("channel_name", "guild_name", "question", "answer",
+                             bound(F.col("question")).alias("question_b"), bound(F.col("answer")).alias("answer_b"))
+    return props.join(texts, ["channel_name", "guild_name"])
 
 
 def unanswered(staging: DataFrame, qa: DataFrame) -> DataFrame:

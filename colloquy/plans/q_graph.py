@@ -688,11 +688,13 @@ j5 AS (
 )"""
 
 
-def _proposal_qa(spark, sf_dir):
+def _proposal_qa(spark, sf_dir, bound=None):
     from ..operators.joins import proposal_qa
     from ..sources import views as V
     lk, ch, g = _links_ctx(spark, sf_dir)
-    return proposal_qa(lk, ch, g, V.messages(spark, sf_dir), V.qa(spark, sf_dir))
+    r = proposal_qa(lk, ch, g, V.messages(spark, sf_dir), V.qa(spark, sf_dir), bound=bound)
+    cols = ["proposal_id", "channel_name", "guild_name", "question", "answer"]
+    return r.select(*cols, "question_b", "answer_b") if bound is not None else r.select(*cols)
 
 
 @register("distinct_join", _views("links", "channels", "guilds", "messages", "questions", "qa") + "," + J5_SQL_BODY + """
@@ -771,12 +773,12 @@ def qa_statements(spark, sf_dir):
     when answered, an answer qualifier; both texts bounded (X32)."""
     from ..functions import text as T
     from ..functions.extract import channel_label
-    pq = _proposal_qa(spark, sf_dir).filter(F.col("question").isNotNull())
+    pq = _proposal_qa(spark, sf_dir, bound=T.bounded_text).filter(F.col("question").isNotNull())
     qual = F.concat(F.lit("Channel="), channel_label(F.col("guild_name"), F.col("channel_name")),
                     F.when(F.col("answer").isNotNull(),
-                           F.concat(F.lit(";Answer="), T.bounded_text(F.col("answer")))).otherwise(F.lit("")))
+                           F.concat(F.lit(";Answer="), F.col("answer_b"))).otherwise(F.lit("")))
     return pq.select(F.concat(F.lit("Proposal "), F.col("proposal_id").cast("string")).alias("entity"),
-                     F.lit("Question").alias("property"), T.bounded_text(F.col("question")).alias("value"),
+                     F.lit("Question").alias("property"), F.col("question_b").alias("value"),
                      qual.alias("qualifiers"))
 
 
