@@ -611,6 +611,8 @@ def merge_statements(spark, sf_dir):
     st = st.select("entity", "property", "datatype", "value", quals_text(F.col("qualifiers")).alias("q"))
     st = st.withColumn("qualifiers", F.array(F.struct(F.lit("q").alias("prop"), F.lit("s").alias("datatype"),
                                                       F.col("q").alias("value")))).drop("q")
+    from ..session import cut_lineage
+    st = cut_lineage(st)   # read by the merge and by both digests
     o = table(spark, sf_dir, "orders")
     nw = o.select(F.concat(F.lit("Proposal "), F.col("o_orderkey").cast("string")).alias("entity"),
                   F.lit("Status").alias("property"), F.lit("wikibase-item").alias("datatype"),
