@@ -55,22 +55,31 @@ def proposal_qa(links: DataFrame, channels: DataFrame, guilds: DataFrame, messag
     (proposal_id, channel_name, guild_name, question, answer). A link
     without a channel matches nothing here (unlike J4).
 
-    The DISTINCT is never applied to the product: both sides are made
-    distinct per (channel_name, guild_name) first - the proposals linked to
-    that channel name, and the Q&A texts posted under it - and the join of
-    two per-key distinct sets is already distinct. ``bound`` (e.g. X32) is
-    applied to the Q&A texts once per distinct text, before the product."""
+    The DISTINCT is not applied to the whole product. Both sides are made
+    distinct per channel first (the proposals linked to it, the Q&A texts
+    posted in it); their join on the channel is then already distinct for
+    every channel whose (name, guild) pair is unique. Only the product of
+    channels that share a (name, guild) pair - where two channels can give
+    the same output row - goes through a DISTINCT. ``bound`` (e.g. X32) is
+    applied to each distinct text once, before the product."""
     ch = channels.select("channel_id", F.col("name").alias("channel_name"), "guild_id") \
                  .join(guilds.select("guild_id", F.col("name").alias("guild_name")), "guild_id")
-    props = (links.filter(F.col("channel_id").isNotNull()).join(ch, "channel_id")
-                  .select("proposal_id", "channel_name", "guild_name").distinct())
+    w = ch.groupBy("channel_name", "guild_name").agg(F.count(F.lit(1)).alias("_n"))
+    ch = ch.join(w, ["channel_name", "guild_name"]).withColumn("_shared", F.col("_n") > 1) \
+           .select("channel_id", "channel_name", "guild_name", "_shared")
+    props = (links.filter(F.col("channel_id").isNotNull()).select("proposal_id", "channel_id").distinct()
+                  .join(ch, "channel_id"))
     m = messages.select(F.col("id").alias("message_id"), "channel_id")
-    texts = (qa.select("message_id", "question", "answer").join(m, "message_id").join(ch, "channel_id")
-               .select("channel_name", "guild_name", "question", "answer").distinct())
+    texts = (qa.select("message_id", "question", "answer").join(m, "message_id")
+               .select("channel_id", "question", "answer").distinct())
     if bound is not None:
-        texts = texts.select("channel_name", "guild_name", "question", "answer",
-                             bound(F.col("question")).alias("question_b"), bound(F.col("answer")).alias("answer_b"))
-    return props.join(texts, ["channel_name", "guild_name"])
+        texts = texts.withColumn("question_b", bound(F.col("question"))) \
+                     .withColumn("answer_b", bound(F.col("answer")))
+    tcols = [c for c in texts.columns if c != "channel_id"]
+    out = ["proposal_id", "channel_name", "guild_name"] + tcols
+    unique = props.filter(~F.col("_shared")).join(texts, "channel_id").select(*out)
+    shared = props.filter(F.col("_shared")).join(texts, "channel_id").select(*out).distinct()
+    return unique.unionByName(shared)
 
 
 def unanswered(staging: DataFrame, qa: DataFrame) -> DataFrame:
