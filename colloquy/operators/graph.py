@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract as X
 from ..functions import text as T
+from .generate import explode_rows, posexplode_rows
 from .state import keep_by_order
 
 TRIPLE_COLS = ["subject", "relation", "object", "seq"]
@@ -93,9 +94,9 @@ def proposal_triples(proposals: DataFrame, replies: DataFrame | None = None) ->
     items += [("Supporter Count", _one(F.col("forVotes").try_cast("bigint"))),
               ("Abstain Count", _one(F.col("abstainVotes").try_cast("bigint"))),
               ("Opposer Count", _one(F.col("againstVotes").try_cast("bigint")))]
-    t = p.select("pid", F.explode(_triples(items)).alias("t"))
-    t = t.select("pid", F.col("t.i").alias("i"), F.col("t.relation").alias("relation"),
-                 F.posexplode(F.col("t.objects")).alias("j", "object"))
+    t = explode_rows(p, _triples(items), "t", "pid")
+    t = posexplode_rows(t, F.col("t.objects"), "j", "object", "pid", F.col("t.i").alias("i"),
+                        F.col("t.relation").alias("relation"))
     t = t.filter(F.col("object").isNotNull() & (F.col("object") != ""))
     return t.select(_subject(F.col("pid")).alias("subject"), "relation", "object",
                     (F.col("pid") * 1000 + F.col("i") * 10 + F.col("j")).alias("seq"))
@@ -138,7 +139,7 @@ def action_triples(proposals: DataFrame, budget: DataFrame | None = None,
             .when((val == "0") & (bps != ""), pair("setProposalThresholdBPS To", tgt,
                                                   "setProposalThresholdBPS Value", bps))
             .otherwise(empty))
-    t = a.select("pid", "k", F.explode(out).alias("t")).filter(F.col("t.object").isNotNull())
+    t = explode_rows(a, out, "t", "pid", "k").filter(F.col("t.object").isNotNull())
     return t.select(_subject(F.col("pid")).alias("subject"), F.col("t.relation").alias("relation"),
                     F.col("t.object").alias("object"),
                     (F.col("pid") * 1000 + 500 + F.col("k") * 2 + F.col("t.j")).alias("seq"))
@@ -175,7 +176,7 @@ def normalise_types(pairs: DataFrame) -> DataFrame:
     objs = F.when(is_pt, X.keywords(F.col("object"))).otherwise(F.array(one))
     new_rel = (F.when(is_pt, F.lit("Proposal Type"))
                 .when(rel == "Proposal Duration", F.lit("Proposal Duration in Months")).otherwise(rel))
-    x = pairs.select("subject", new_rel.alias("relation"), "seq", F.posexplode(objs).alias("j", "object"))
+    x = posexplode_rows(pairs, objs, "j", "object", "subject", new_rel.alias("relation"), "seq")
     return x.select("subject", "relation", "object", (F.col("seq") * 100 + F.col("j")).alias("seq"))
 
 
@@ -186,7 +187,7 @@ def split_budgets(pairs: DataFrame) -> DataFrame:
     unparseable pieces are dropped. Other triples pass through (one pass)."""
     is_b = F.col("relation") == "Proposal Budget"
     pieces = F.when(is_b, F.split(F.col("object"), " and ")).otherwise(F.array(F.col("object")))
-    x = pairs.select("subject", "relation", "seq", is_b.alias("_b"), F.posexplode(pieces).alias("j", "piece"))
+    x = posexplode_rows(pairs, pieces, "j", "piece", "subject", "relation", "seq", is_b.alias("_b"))
     pc = F.col("piece")
     cls = (F.when(pc.contains("$") | pc.contains("USD"), F.lit("Proposal Budget in USD"))
             .when(pc.contains("ETH") & ~pc.contains("stETH"), F.lit("Proposal Budget in ETH"))

@@ -28,7 +28,8 @@ def with_tokens(df: DataFrame, text_col: str, tokens: Column, drop_empty: bool =
 
 
 def _exploded(df: DataFrame, tokens_col: str, cols: list[str], stopwords: Iterable[str] | None) -> DataFrame:
-    x = df.select(*cols, F.explode(tokens_col).alias("token"))
+    from .generate import explode_rows
+    x = explode_rows(df, F.col(tokens_col), "token", *cols)
     if stopwords is not None:
         x = x.filter(~F.lower(F.col("token")).isin(list(stopwords)))
     return x
@@ -72,7 +73,8 @@ def document_frequency(df: DataFrame, tokens_col: str = "tokens", min_df: int =
     """Documents containing each token, ``df >= min_df``, and
     ``idf = ln(N / df) + 0.1`` with N = number of rows that have a token."""
     n = df.agg(F.count_if(F.coalesce(F.size(tokens_col), F.lit(0)) > 0).alias("n")).first()["n"]
-    d = (df.select(F.explode(F.array_distinct(tokens_col)).alias("token"))
+    from .generate import explode_rows
+    d = (explode_rows(df, F.array_distinct(tokens_col), "token")
            .groupBy("token").agg(F.count(F.lit(1)).alias("df"))
            .filter(F.col("df") >= min_df))
     return d.withColumn("idf", F.log(F.lit(float(n)) / F.col("df")) + F.lit(0.1))
