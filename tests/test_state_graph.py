@@ -81,3 +81,17 @@ def test_merge_graph_keeps_last(spark):
                                 "subject string, relation string, object string, seq long")
     got = {(r["relation"], r["object"]) for r in G.merge_graph(old, new).collect()}
     assert got == {("Status", "B"), ("Transfer To", "0x1"), ("Transfer To", "0x2")}
+
+
+def test_normalise_and_split_budgets_single_pass(spark):
+    t = spark.createDataFrame([
+        ("P1", "Proposal Type", "Keywords in this proposal include art, x, Open-Source", 1),
+        ("P1", "executionETA", "86400", 2),
+        ("P1", "Proposal Duration", "3 months", 3),
+        ("P1", "Proposal Budget", "$12k and 5 ETH and 2 stETH and nothing", 4),
+        ("P1", "quorumVotes", "10", 5)], "subject string, relation string, object string, seq long")
+    got = {(r["relation"], r["object"]) for r in G.split_budgets(G.normalise_types(t)).collect()}
+    assert got == {("Proposal Type", "Art"), ("Proposal Type", "Opensource"),
+                   ("ExecutionETA", "1970-01-02"), ("Proposal Duration in Months", "3"),
+                   ("Proposal Budget in USD", "12000.0"), ("Proposal Budget in ETH", "5.0"),
+                   ("Proposal Budget in stETH", "2.0"), ("Quorumvotes", "10")}
