@@ -25,6 +25,13 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def add(name: str, fn: Builder, oracle: str | None = None) -> None:
+    """Register a builder that lives outside this package (again, if it is there)."""
+    QUERIES[name] = fn
+    if oracle is not None:
+        ORACLES[name] = oracle
+
+
 def load_all() -> None:
     """Import every query module so that their ``register`` calls run."""
     from . import (q_conversation, q_graph, q_io, q_misc, q_models, q_state, q_text)  # noqa: F401

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,21 +38,51 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``). Only when none is configured (tests, local
-    runs) a private scratch folder is created and registered."""
+    (``spark.checkpoint.dir``). Only a ``local`` master may run without one
+    (tests, local runs): it gets a private scratch folder. On any other
+    master an unset folder raises, since executors do not see the driver's
+    disk."""
     sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if conf_dir:
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
+    require_local(sc.master)
     local = tempfile.mkdtemp(prefix="colloquy-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
 
 
+def require_local(master: str) -> None:
+    """Raise unless ``master`` runs its executors inside the driver."""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir is not set and the master is {master!r}: "
+                         "name a folder that all executors share")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the checkpoint folder. It is deleted
+    when the driver's Python ends normally."""
+    sc = spark.sparkContext
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/colloquy-{sc.applicationId}"
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(_delete_folder, sc, root)
+    return root
+
+
+_SCRATCH: set[str] = set()
+
+
+def _delete_folder(sc, path: str) -> None:
+    if sc._jsc is None:  # the session was stopped before
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     (``spark.checkpoint.dir``) and return a DataFrame reading it back.
@@ -59,9 +92,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     plan a second time to write its files unless it were cached first.) The
     folder is the cluster's reliable storage, so the table survives executor
     loss, unlike a local checkpoint."""
-    import uuid
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/colloquy-cut-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/cut-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
