@@ -95,4 +95,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/cut-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a ``cut_lineage`` result that no later result
+    reads any more."""
+    _delete_folder(df.sparkSession.sparkContext, df._cut_path)
