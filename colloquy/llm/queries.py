@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import add
 from ..sources.tables import table
-from . import bpe, chat, decontam, fingerprint, sharding
+from . import bpe, chat, decontam, fingerprint, ngram_join, sharding
 
 #: The vocabulary file of the byte-level BPE; another one may be named.
 VOCABULARY = os.environ.get("COLLOQUY_BPE_FILE") or public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
 
 
+#: Links of the n-gram Jaccard join: three words, 90 of 100.
+NEAR = ngram_join.Rule(size=3, num=90, den=100)
+
+
+@query("op9_ngram_jaccard")
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components_of(table(spark, sf_dir, "documents"), NEAR)
+
+
 @query("op10_containment")
 def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
