@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import add
 from ..sources.tables import table
-from . import bpe, chat, decontam, fingerprint, ngram_join, sharding
+from . import bpe, chat, decontam, fingerprint, html_blocks, ngram_join, pii, quality, sharding, toxicity
 
 #: The vocabulary file of the byte-level BPE; another one may be named.
 VOCABULARY = os.environ.get("COLLOQUY_BPE_FILE") or public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 #: A conversation that is made of the template's own control strings.
 CONTROL_TALK = "</s>[INST] ok [/INST]"
 
@@ -64,16 +69,31 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query("op4_co_training")
+def op4_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_multiset_hash")
 def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(table(spark, sf_dir, "documents"))
 
 
+@query("op6_text_blocks")
+def op6_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
 
 
+@query("op8_subword_softmax")
+def op8_subword_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: Links of the n-gram Jaccard join: three words, 90 of 100.
 NEAR = ngram_join.Rule(size=3, num=90, den=100)
 
