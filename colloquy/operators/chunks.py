@@ -28,7 +28,7 @@ def word_tokens(c: Column) -> Column:
 
 def token_chunks(lines: DataFrame, key: str = "channel_id", order: tuple[str, ...] = ("ts", "id"),
                  line_col: str = "line", size: int = 3000, overlap: int = 100,
-                 tokenizer=word_tokens, seg_expr: Column | None = None) -> DataFrame:
+                 tokenizer=word_tokens) -> DataFrame:
     """lines: (key, *order, line). Returns (key, chunk, n_tokens, text) with
     text = the chunk's lines (their token slices joined by spaces) joined by
     newlines."""
@@ -36,12 +36,9 @@ def token_chunks(lines: DataFrame, key: str = "channel_id", order: tuple[str, ..
     step = size - overlap
     t = lines.withColumn("_tok", tokenizer(F.col(line_col)))
     t = t.withColumn("_n", F.coalesce(F.size("_tok"), F.lit(0)))
-    if seg_expr is None and order[0] == "ts":
-        seg_expr = F.unix_micros(F.col("ts").cast("timestamp"))
     # the token table is read by the position pass several times: write it once
     t = cut_lineage(t.select(key, *order, "_tok", "_n"))
-    t = with_positions(t, [key], order[0], out="_g0", tiebreak=list(order[1:]), weight=F.col("_n"),
-                       seg_expr=seg_expr)
+    t = with_positions(t, [key], order[0], out="_g0", tiebreak=list(order[1:]), weight=F.col("_n"))
     g0, n = F.col("_g0"), F.col("_n")
     k_lo = F.greatest(F.lit(0), F.floor((g0 - size) / step) + 1)
     k_hi = F.floor((g0 + n - 1) / step)

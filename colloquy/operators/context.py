@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .filters import non_empty
-from .ordering import neighbors, with_positions
+from .ordering import neighbors, run_ends, with_positions
 
 
-def _positioned(rows: DataFrame, key: str, order_col: str, tiebreak=(), seg_expr=None) -> DataFrame:
+def _positioned(rows: DataFrame, key: str, order_col: str, tiebreak=(), runs: str | None = None) -> DataFrame:
     """Dense positions per key, written once: the anchors and every probe
     round read this narrow table instead of re-deriving the positions."""
     from ..session import cut_lineage
-    return cut_lineage(with_positions(rows, [key], order_col, out="pos", tiebreak=tiebreak, seg_expr=seg_expr))
+    pos = cut_lineage(with_positions(rows, [key], order_col, out="pos", tiebreak=tiebreak))
+    return cut_lineage(run_ends(pos, key, runs)) if runs else pos
 
 
 def conversation_context(messages: DataFrame, anchors: DataFrame, before: int = 10,
@@ -34,7 +35,7 @@ def conversation_context(messages: DataFrame, anchors: DataFrame, before: int =
     Returns (anchor_id, side 'before'/'after', dist, id) where dist counts
     kept rows outward from the anchor."""
     elig = non_empty(messages).select("id", "channel_id", "author_id")
-    pos = _positioned(elig, "channel_id", "id")
+    pos = _positioned(elig, "channel_id", "id", runs="author_id" if exclude_author else None)
     anc = (anchors.select(F.col("id").alias("anchor_id")).join(
         pos.select(F.col("id").alias("anchor_id"), "channel_id",
                    F.col("pos").alias("anchor_pos"), F.col("author_id").alias("a_author")),
@@ -62,8 +63,7 @@ def next_messages(messages: DataFrame, anchors: DataFrame, n: int = 8,
     timestamp, in time order (ties on time broken by id). Returns
     (anchor_id, dist, id)."""
     rows = messages.select("id", "channel_id", ts_col)
-    seg = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    pos = _positioned(rows, "channel_id", ts_col, tiebreak=["id"], seg_expr=seg)
+    pos = _positioned(rows, "channel_id", ts_col, tiebreak=["id"], runs=ts_col)
     anc = anchors.select(F.col("id").alias("anchor_id")).join(
         pos.select(F.col("id").alias("anchor_id"), "channel_id",
                    F.col("pos").alias("anchor_pos"), F.col(ts_col).alias("a_ts")),

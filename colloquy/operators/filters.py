@@ -159,9 +159,10 @@ NO_ANSWER_REPLIES = ["Not a question.", "No answer located."]
 
 
 def answer_status(col="answer") -> tuple[Column, Column]:
-    """(no_answer flag, answer with the no-answer replies nulled)."""
+    """(no_answer flag, answer with the no-answer replies nulled). A NULL
+    reply is no answer."""
     c = _c(col)
-    no = c.isin(NO_ANSWER_REPLIES)
+    no = F.coalesce(c.isin(NO_ANSWER_REPLIES), F.lit(True))
     return (F.when(no, 1).otherwise(0), F.when(no, F.lit(None).cast("string")).otherwise(c))
 
 

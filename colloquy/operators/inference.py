@@ -74,36 +74,52 @@ def fill_template(template: str, **values: Column) -> Column:
 
 
 def recursive_summarize(df: DataFrame, key_col: str, text_col: str, max_len: int = 200,
-                        fn: ModelFn = halving_model, max_rounds: int = 20) -> DataFrame:
+                        fn: ModelFn = halving_model) -> DataFrame:
     """M8: a text longer than ``max_len`` words is summarised; a summary
     longer than ``max_len`` characters is split in halves and each half
     summarised again; pieces are re-joined by spaces in path order. Rounds
-    are set-at-a-time (one model pass over all open pieces per round)."""
+    are set-at-a-time (one model pass over all open pieces per round).
+
+    Every key comes back as (key, summary, status): 'ok'; 'empty' with a NULL
+    summary for a NULL text; 'error' where a model call failed, with the pieces
+    that did succeed. The rounds end when no piece is open; a model whose
+    replies do not get shorter raises."""
     cur = df.select(F.col(key_col).alias("_k"), F.array().cast("array<int>").alias("path"),
-                    F.col(text_col).alias("text"), F.lit(False).alias("done"))
-    for rnd in range(max_rounds):
-        short = (~F.col("done")) & (T.word_count(F.col("text")) <= max_len)
+                    F.col(text_col).alias("text"), F.lit(False).alias("done"),
+                    F.when(F.col(text_col).isNull(), "empty").otherwise("ok").alias("status"))
+    longest, stuck = None, 0
+    while True:
+        short = F.col("text").isNull() | (T.word_count(F.col("text")) <= max_len)
         cur = cur.withColumn("done", F.col("done") | short)
-        open_ = cur.filter(~F.col("done")).withColumn("_id", F.monotonically_increasing_id())
-        open_ = cut_lineage(open_)
-        if open_.isEmpty():
+        open_ = cut_lineage(cur.filter(~F.col("done")).withColumn("_id", F.monotonically_increasing_id()))
+        now = open_.agg(F.max(F.length("text")).alias("n")).first()["n"]
+        if now is None:
             break
+        stuck = stuck + 1 if longest is not None and now >= longest else 0
+        if stuck >= 20:
+            raise RuntimeError("the model's summaries do not get shorter")
+        longest = now if longest is None else min(longest, now)
         replies = complete(open_, "_id", "text", fn)
-        r = open_.drop("text").join(replies.select("_id", F.col("text")), "_id")
-        long = F.length("text") > max_len
+        r = cut_lineage(open_.drop("text", "status").join(
+            replies.select("_id", "text", F.when(F.col("status") == "ok", "ok").otherwise("error").alias("status")),
+            "_id"))
+        long = F.coalesce(F.length("text") > max_len, F.lit(False))
         mid = F.floor(F.length("text") / 2).cast("int")
         halves = F.array(F.struct(F.lit(0).alias("h"), F.substring("text", 1, mid).alias("t")),
                          F.struct(F.lit(1).alias("h"), F.expr("substring(text, cast(floor(length(text) / 2) as int) + 1)")
                                   .alias("t")))
-        split = (r.filter(long).select("_k", "path", F.explode(halves).alias("x"))
+        split = (r.filter(long).select("_k", "path", F.explode(halves).alias("x"), "status")
                   .select("_k", F.array_append("path", F.col("x.h")).alias("path"), F.col("x.t").alias("text"),
-                          F.lit(False).alias("done")))
-        kept = r.filter(~long).select("_k", "path", "text", F.lit(True).alias("done"))
-        cur = cur.filter("done").unionByName(kept).unionByName(split)
-        cur = cut_lineage(cur)
-    return (cur.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("path", "text"))).alias("_p"))
-               .select(F.col("_k").alias(key_col),
-                       F.array_join(F.transform("_p", lambda x: x["text"]), " ").alias("summary")))
+                          F.lit(False).alias("done"), "status"))
+        kept = r.filter(~long).select("_k", "path", "text", F.lit(True).alias("done"), "status")
+        cur = cut_lineage(cur.filter("done").unionByName(kept).unionByName(split))
+    whole = cur.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("path", "text"))).alias("_p"),
+                                  F.max("status").alias("_ok"), F.min("status").alias("_bad"))
+    status = F.when(F.col("_bad") == "error", "error").otherwise(F.col("_ok"))
+    texts = F.filter(F.transform("_p", lambda x: x["text"]), lambda t: t.isNotNull())
+    return whole.select(F.col("_k").alias(key_col),
+                        F.when(F.size(texts) > 0, F.array_join(texts, " ")).alias("summary"),
+                        status.alias("status"))
 
 
 def batch_prompt(rows: DataFrame, id_col: str, text_col: str, k: int, template: str, seed: int = 42) -> DataFrame:

@@ -3,23 +3,24 @@
 ``with_positions`` numbers the rows of every group (``keys``) by an order
 column. A plain ``row_number() OVER (PARTITION BY key ORDER BY ..)`` sends a
 whole key to one task; a channel holding a third of all messages would then
-be one task. Here each key is cut into segments of bounded size along the
-order column, rows are numbered inside (key, segment) windows, and the
-segment offsets come from a prefix sum over the small per-segment count
-table. The join back to the offsets is an equi-join on (key, segment):
-AQE broadcasts it when its measured size is small and sort-merges it
-otherwise, and no segment is larger than ``rows_per_segment`` by design.
+be one task. Here all rows are range-partitioned by (keys, order, tiebreak),
+so partitions hold about equal numbers of rows whatever the values are (an
+outlier or a burst on one time stamp changes nothing). Rows are numbered
+inside (partition, key) windows, and the offsets come from a prefix sum over
+the small count table with one row per (key, partition).
 
 ``neighbors`` finds, for anchor rows, the ``n`` nearest rows before or after
 them in the same group that pass a predicate (e.g. "not written by the
 asker"). Each tier probes a fixed number of positions with an equi-join on
 (key, position); only anchors that are still short probe further, with the
-probe width doubling, so the work is bounded by the positions actually
-needed and never by the size of the group.
+probe width doubling. Where the rows carry the ends of their run of equal
+``runs`` values (``run_ends``), a probe that stops inside a run that fails
+goes on behind it, so a long run costs one step.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Sequence
 
@@ -31,56 +32,51 @@ from ..session import cut_lineage
 ROWS_PER_SEGMENT = 1 << 20
 
 
-def _segment_width(df: DataFrame, seg: Column, rows_per_segment: int) -> tuple[float, float]:
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(seg).alias("lo"),
-                   F.max(seg).alias("hi")).first()
-    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
-    if not n or lo is None:
-        return 0.0, 1.0
-    nseg = max(1, math.ceil(n / rows_per_segment))
-    width = max((float(hi) - float(lo) + 1.0) / nseg, 1e-9)
-    return float(lo), width
-
-
 def with_positions(df: DataFrame, keys: Sequence[str], order_col: str,
                    out: str = "pos", tiebreak: Sequence[str] = (),
-                   weight: Column | None = None, seg_expr: Column | None = None,
-                   rows_per_segment: int = ROWS_PER_SEGMENT,
-                   seg_width: float | None = None, seg_origin: float = 0.0) -> DataFrame:
+                   weight: Column | None = None, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
     """Add ``out`` = number of rows (or sum of ``weight``) of the same key that
     come strictly before this row in (order_col, *tiebreak) order; 0-based.
-
-    ``seg_expr`` must be numeric and non-decreasing in the order (defaults to
-    ``order_col`` itself). With ``seg_width`` unset one small aggregate sizes
-    the segments so that none holds more than about ``rows_per_segment`` rows
-    in total."""
-    keys = list(keys)
-    seg = seg_expr if seg_expr is not None else F.col(order_col)
-    if seg_width is None:
-        seg_origin, seg_width = _segment_width(df, seg, rows_per_segment)
-    w_val = weight if weight is not None else F.lit(1)
-    base = (df.withColumn("_seg", F.floor((seg - F.lit(seg_origin)) / F.lit(seg_width)))
-              .withColumn("_w", w_val.cast("bigint")))
-    order = [F.col(order_col)] + [F.col(c) for c in tiebreak]
-    inner_w = Window.partitionBy(*keys, "_seg").orderBy(*order)
-    if weight is None:
-        inner = F.row_number().over(inner_w) - 1
-    else:
-        inner = F.coalesce(F.sum("_w").over(
-            inner_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = base.withColumn("_inner", inner)
-    seg_tot = base.groupBy(*keys, "_seg").agg(F.sum("_w").alias("_segsum"))
+    The rows are dealt over the shuffle partitions, or over more so that none
+    holds many more than ``rows_per_segment``."""
+    keys, order = list(keys), [order_col, *tiebreak]
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            math.ceil(df.count() / rows_per_segment))
+    # written once: a second range partitioning could cut elsewhere
+    base = cut_lineage(df.withColumn("_w", (weight if weight is not None else F.lit(1)).cast("bigint"))
+                         .repartitionByRange(n, *keys, *order).withColumn("_seg", F.spark_partition_id()))
+    inner_w = Window.partitionBy("_seg", *keys).orderBy(*order)
+    before = inner_w.rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.row_number().over(inner_w) - 1 if weight is None else F.coalesce(F.sum("_w").over(before), F.lit(0))
+    totals = base.groupBy(*keys, "_seg").agg(F.sum("_w").alias("_segsum"))
     off_w = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    seg_off = (seg_tot.withColumn("_off", F.coalesce(F.sum("_segsum").over(off_w), F.lit(0)))
-                      .drop("_segsum"))
-    return (base.join(seg_off, keys + ["_seg"], "inner")
+    offsets = totals.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_seg").alias("_s"),
+                            F.coalesce(F.sum("_segsum").over(off_w), F.lit(0)).alias("_off"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    on = F.col("_seg") == F.col("_s")
+    for c in same:
+        on = on & c
+    return (base.withColumn("_inner", inner).join(offsets, on)
                 .withColumn(out, (F.col("_off") + F.col("_inner")).cast("bigint"))
-                .drop("_seg", "_w", "_inner", "_off"))
+                .select(*df.columns, out))
+
+
+def run_ends(rows: DataFrame, key: str, col: str) -> DataFrame:
+    """``rows`` (key, dense ``pos``, ``col``) with ``run_lo`` and ``run_hi``:
+    first and last position of the run of equal ``col`` values around a row."""
+    prev = rows.select(F.col(key).alias("_pk"), (F.col("pos") + 1).alias("_pp"), F.col(col).alias("_pv"))
+    first = rows.join(prev, (F.col(key) == F.col("_pk")) & (F.col("pos") == F.col("_pp")), "left") \
+        .withColumn("_new", F.when(F.col("_pp").isNull() | ~F.col("_pv").eqNullSafe(F.col(col)), 1).otherwise(0)) \
+        .drop("_pk", "_pp", "_pv")
+    r = with_positions(first, [key], "pos", out="_before", weight=F.col("_new"))
+    r = cut_lineage(r.withColumn("_run", F.col("_before") + F.col("_new")))
+    ends = r.groupBy(key, "_run").agg(F.min("pos").alias("run_lo"), F.max("pos").alias("run_hi"))
+    return r.join(ends, [key, "_run"]).drop("_run", "_before", "_new")
 
 
 def neighbors(rows: DataFrame, anchors: DataFrame, key: str, n: int = 0, direction: int = 1,
               keep: Callable[[], Column] | None = None, slack: int = 5,
-              max_rounds: int = 64, counts: dict[int, int] | None = None) -> DataFrame:
+              counts: dict[int, int] | None = None) -> DataFrame:
     """Nearest rows before (direction -1) and/or after (+1) each anchor.
 
     rows    : (key, pos, id, ...) with dense 0-based ``pos`` per key
@@ -92,7 +88,8 @@ def neighbors(rows: DataFrame, anchors: DataFrame, key: str, n: int = 0, directi
     Returns (anchor_id, dir, dist, <row columns>): at most n rows per
     anchor and direction, nearest first by ``dist`` (>= 1)."""
     counts = {d: k for d, k in (counts or {direction: n}).items() if k > 0}
-    row_cols = [c for c in rows.columns if c not in (key, "pos")]
+    runs = {"run_lo", "run_hi"} <= set(rows.columns)
+    row_cols = [c for c in rows.columns if c not in (key, "pos", "run_lo", "run_hi")]
     if not counts:
         return anchors.limit(0).select("anchor_id", F.lit(0).alias("dir"), F.lit(0).alias("dist"),
                                        *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in row_cols])
@@ -100,30 +97,34 @@ def neighbors(rows: DataFrame, anchors: DataFrame, key: str, n: int = 0, directi
     width = max(counts.values()) + (slack if keep is not None else 0)
     r = rows.withColumnRenamed("pos", "_tpos")
     dirs = F.array(*[F.lit(d) for d in counts])
-    pending = anchors.select("*", F.explode(dirs).alias("dir")).withColumn("_have", F.lit(0).cast("bigint"))
-    lo, hi = 1, width
+    pending = (anchors.select("*", F.explode(dirs).alias("dir")).withColumn("_have", F.lit(0).cast("bigint"))
+                      .withColumn("_lo", F.lit(1).cast("bigint")))
     found: list[DataFrame] = []
-    for rnd in range(max_rounds):
-        probes = (pending.withColumn("dist", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
+    for _ in itertools.count():  # ends: an anchor that goes on has moved, and stops at its group's end
+        probes = (pending.withColumn("dist", F.explode(F.sequence(F.col("_lo"), F.col("_lo") + (width - 1))))
                          .withColumn("_tpos", F.col("anchor_pos") + F.col("dist") * F.col("dir")))
         matched = probes.join(r, [key, "_tpos"], "inner")
         ok = keep() if keep is not None else F.lit(True)
-        matched = matched.withColumn("_ok", ok)
+        matched = matched.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+        if keep is not None:
+            matched = cut_lineage(matched)  # reliable: a lost executor does not lose the round
         found.append(matched.filter("_ok").select("anchor_id", "dir", "dist", *row_cols))
         if keep is None:
             break
-        tally = matched.groupBy("anchor_id", "dir").agg(F.count(F.lit(1)).alias("_seen"),
-                                                        F.count_if("_ok").alias("_got"))
-        nxt = (pending.join(tally, ["anchor_id", "dir"], "left")
-                      .withColumn("_have", F.col("_have") + F.coalesce("_got", F.lit(0)))
-                      .filter((F.coalesce("_seen", F.lit(0)) == F.lit(hi - lo + 1))
-                              & (F.col("_have") < need[F.col("dir")]))
-                      .drop("_seen", "_got"))
-        nxt = cut_lineage(nxt)   # reliable: a lost executor does not lose the round
+        after = F.col("dist")
+        if runs:  # a run that fails is left behind as a whole
+            end = F.when(F.col("dir") > 0, F.col("run_hi")).otherwise(F.col("run_lo"))
+            after = F.when(F.col("_ok"), F.col("dist")).otherwise((end - F.col("anchor_pos")) * F.col("dir"))
+        tally = matched.groupBy("anchor_id", "dir").agg(
+            F.count(F.lit(1)).alias("_seen"), F.count_if("_ok").alias("_got"), F.max(after).alias("_to"))
+        nxt = (pending.join(tally, ["anchor_id", "dir"])
+                      .filter((F.col("_seen") == F.lit(width)) & (F.col("_have") + F.col("_got") < need[F.col("dir")]))
+                      .withColumn("_have", F.col("_have") + F.col("_got"))
+                      .withColumn("_lo", F.col("_to") + 1).drop("_seen", "_got", "_to"))
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
-        pending = nxt
-        lo, hi = hi + 1, hi + max(width, (hi - lo + 1) * 2)
+        pending, width = nxt, 2 * width
     out = found[0]
     for h in found[1:]:
         out = out.unionByName(h)

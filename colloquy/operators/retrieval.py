@@ -133,9 +133,15 @@ def embed_with(df: DataFrame, text_col: str, fn: Callable[[list[str]], list[list
     return df.select(key_col, text_col).mapInPandas(run, schema)
 
 
-def vector_upsert(index: DataFrame, new: DataFrame, key: str = "message_id") -> DataFrame:
-    """Write (key, vector, metadata) replacing equal keys. Keyed by the
-    message id, so a rebuild from visible rows drops hidden ones."""
+def vector_upsert(index: DataFrame, new: DataFrame, key: str = "message_id",
+                  order: str | None = None) -> DataFrame:
+    """Write (key, vector, metadata) replacing equal keys; of equal keys
+    inside ``new`` the last by ``order`` stays (without one, the greatest row).
+    Keyed by the message id, so a rebuild from visible rows drops hidden ones."""
+    from .state import keep_by_order
+    new = keep_by_order(new, key, order or [c for c in new.columns if c != key])
+    if order and order not in index.columns:
+        new = new.drop(order)
     return index.join(new.select(key), key, "left_anti").unionByName(new)
 
 

@@ -35,24 +35,28 @@ def keep_by_order(df: DataFrame, key: str | Sequence[str], order: str | Sequence
 def insert_if_absent(base: DataFrame, changes: DataFrame, key: str | Sequence[str],
                      order: str | Sequence[str] | None = None) -> DataFrame:
     """Add the rows of ``changes`` whose key is not in ``base``; a key
-    repeated inside the batch keeps its first row by ``order``."""
+    repeated inside the batch keeps its first row by ``order`` (without one,
+    the smallest row by its columns from left to right)."""
     key = _list(key)
-    ch = changes.select(*base.columns) if order is None else changes
-    if order is not None:
-        ch = keep_by_order(ch, key, order, last=False).select(*base.columns)
-    else:
-        ch = ch.dropDuplicates(key)
+    order = [c for c in base.columns if c not in key] if order is None else order
+    ch = keep_by_order(changes, key, order, last=False).select(*base.columns) if order else \
+        changes.select(*base.columns).distinct()
     new = ch.join(base.select(*key), key, "left_anti")
     return base.unionByName(new)
 
 
 def update_by_key(base: DataFrame, updates: DataFrame, key: str | Sequence[str],
-                  columns: Iterable[str] | None = None) -> DataFrame:
+                  columns: Iterable[str] | None = None,
+                  order: str | Sequence[str] | None = None) -> DataFrame:
     """``UPDATE base SET cols = updates.cols WHERE key matches``. A match
-    flag (not coalesce) decides, so NULL can be written."""
+    flag (not coalesce) decides, so NULL can be written. Of several updates
+    for one key the last by ``order`` counts (without one, the greatest by the
+    updated columns), so a base row is never multiplied."""
     key = _list(key)
     cols = list(columns) if columns is not None else [c for c in updates.columns if c not in key]
-    u = updates.select(*key, *[F.col(c).alias(f"_u_{c}") for c in cols]).withColumn("_m", F.lit(True))
+    need = list(dict.fromkeys([*key, *cols, *_list(order or [])]))
+    one = keep_by_order(updates.select(*need), key, order or cols) if cols else updates.select(*key).distinct()
+    u = one.select(*key, *[F.col(c).alias(f"_u_{c}") for c in cols]).withColumn("_m", F.lit(True))
     j = base.join(u, key, "left")
     out = [F.when(F.col("_m"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c)
            if c in cols else F.col(c) for c in base.columns]
@@ -77,11 +81,16 @@ def record_answers(staging: DataFrame, qa: DataFrame, answers: DataFrame,
                    stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """D9 (+ F19, P4): answers (message_id, question, answer, model, logs?)
     -> (new staging with ``answered`` 1/0, new Q&A with the answered rows
-    inserted when absent, ``is_relevant = 1, hidden = 0``). P4: when the Q&A
+    inserted when absent, ``is_relevant = 1, hidden = 0``). A failed reply (NULL,
+    or a ``status`` other than 'ok') answers nothing: its staging row stays as
+    it is and no Q&A row is written. P4: when the Q&A
     table has ``created_at`` / ``updated_at`` columns they are filled with
     ``stamp`` (default: the current timestamp)."""
     no, ans = answer_status("answer")
-    a = answers.withColumn("_no", no).withColumn("answer", ans)
+    failed = F.col("answer").isNull()
+    if "status" in answers.columns:
+        failed = failed | ~F.coalesce(F.col("status") == "ok", F.lit(False))
+    a = answers.filter(~failed).withColumn("_no", no).withColumn("answer", ans)
     for c in ("created_at", "updated_at"):
         if c in qa.columns and c not in a.columns:
             a = a.withColumn(c, stamp if stamp is not None else F.current_timestamp())

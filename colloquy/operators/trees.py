@@ -11,6 +11,8 @@ An empty reply is not followed, so its subtree is pruned, as in the original.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from ..session import cut_lineage
 from .filters import non_empty
 
 
-def reply_tree(messages: DataFrame, anchors: DataFrame, max_depth: int = 1000) -> DataFrame:
+def reply_tree(messages: DataFrame, anchors: DataFrame) -> DataFrame:
     """messages: id, parent_message_id, content; anchors: id.
     Returns (anchor_id, id, depth, path ARRAY<BIGINT>)."""
     edges = (non_empty(messages)
@@ -27,7 +29,7 @@ def reply_tree(messages: DataFrame, anchors: DataFrame, max_depth: int = 1000) -
     frontier = anchors.select(F.col("id").alias("anchor_id"), F.col("id").alias("id"),
                               F.array().cast("array<bigint>").alias("path"))
     levels: list[DataFrame] = []
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):  # ends: a path never visits a message twice
         nxt = (frontier.join(edges, frontier.id == edges._parent, "inner")
                        .filter(~F.array_contains("path", F.col("_child"))
                                & (F.col("_child") != F.col("anchor_id")))

@@ -31,8 +31,8 @@ SELECT event_id AS message_id, user_id AS author, event_type AS content,
 FROM events
 """)
 def stream_import(spark, sf_dir):
-    """ST2: events stream, de-duplicated within a watermark, merged by key."""
-    return ST.stream_import(spark, sf_dir).select("message_id", "author", "content", "created_timestamp")
+    """ST2: events as eight files, newest first, merged by key."""
+    return ST.stream_import(spark, ST.split_into_files(spark, sf_dir, "events", "ts")).select("message_id", "author", "content", "created_timestamp")
 
 
 @register("period_rollup", """
@@ -42,7 +42,7 @@ FROM events GROUP BY 1, 2
 """)
 def period_rollup(spark, sf_dir):
     """ST3: daily counts and sums per event type, computed on a stream."""
-    r = ST.period_rollup_stream(spark, sf_dir)
+    r = ST.period_rollup_stream(spark, ST.split_into_files(spark, sf_dir, "events", "ts"))
     return r.select(F.date_format("period", "yyyy-MM-dd HH:mm:ss").alias("period"), "event_type",
                     "n_events", F.round("total_value", 6).alias("total_value"))
 
@@ -55,7 +55,7 @@ def io_roundtrip(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     path = IO.scratch_path(spark, "csv")
     IO.write_csv(d, path)
-    back = IO.read_csv(spark, path, "doc_id long, text string, lang string")
+    back = IO.read_csv(spark, path, "doc_id long, text string, lang string", multiline=True)
     return back.select("doc_id", F.md5("text").alias("text_md5"), "lang")
 
 

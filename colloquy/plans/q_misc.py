@@ -403,8 +403,7 @@ def chronological(spark, sf_dir):
     from ..operators.ordering import with_positions
     from ..operators.ordering_ops import chronological as chrono
     m = chrono(V.messages(spark, sf_dir).select("channel_id", "ts", "id"), "channel_id", ["ts", "id"])
-    p = with_positions(m, ["channel_id"], "ts", out="position", tiebreak=["id"],
-                       seg_expr=F.unix_micros(F.col("ts").cast("timestamp")))
+    p = with_positions(m, ["channel_id"], "ts", out="position", tiebreak=["id"])
     return p.select("channel_id", "id", "position")
 
 

@@ -129,7 +129,7 @@ def complete_stub(spark, sf_dir):
     """M7 on every conversation prompt (flagship output), stub model."""
     from .q_conversation import context_prompt
     p = context_prompt(spark, sf_dir)
-    return I.complete(p, "message_id", "prompt", I.echo_model, max_prompt_chars=200000)
+    return I.complete(p, "message_id", "prompt", I.echo_model)
 
 
 @register("summarize_rounds")
