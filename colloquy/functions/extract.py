@@ -91,10 +91,20 @@ def to_number(s) -> Column:
 def render_number(x) -> Column:
     """Canonical text of a number: the shortest round-trip digits of the
     DOUBLE in plain notation, at least one decimal (``459703.0``, ``0.1``,
-    ``0.000000000000012345``)."""
-    d = _c(x).cast("double").cast("string").cast("decimal(38,18)").cast("string")
+    ``0.000000000000012345``). Not a number and infinite values give NULL."""
+    v = _c(x).cast("double")
+    s = v.cast("string")
+    d = s.try_cast("decimal(38,18)").cast("string")
     d = F.regexp_replace(d, r"(\.[0-9]*[1-9])0+$", "$1")
-    return F.regexp_replace(d, r"\.0+$", ".0")
+    d = F.regexp_replace(d, r"\.0+$", ".0")
+    # beyond DECIMAL(38,18): the digits of the scientific form, moved by its exponent
+    sign, digits = F.regexp_extract(s, r"^(-?)", 1), F.regexp_replace(F.regexp_replace(s, r"E.*$", ""), r"[^0-9]", "")
+    digits = F.regexp_replace(digits, r"(.)0+$", "$1")
+    power = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int")
+    large = F.concat(sign, F.rpad(digits, F.greatest(power + 1, F.length(digits)), F.lit("0")), F.lit(".0"))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), F.greatest(-power - 1, F.lit(0))), digits)
+    return (F.when(F.isnan(v) | s.contains("Inf"), F.lit(None).cast("string"))
+             .when(power >= 20, large).when(power < -18, small).otherwise(d))
 
 
 def render_decimal(x: Column, scale: int = 5) -> Column:
@@ -116,30 +126,39 @@ def wei_to_eth(value, scale: int = 5) -> Column:
     return F.when(amount.isNotNull(), F.concat(txt, F.lit(" ETH")))
 
 
-# Number words understood in durations and team sizes.
-NUMBER_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight",
-                "nine", "ten", "eleven", "twelve"]
+# The words that number words are made of.
+SMALL_NUMBERS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven",
+                 "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen"]
+TENS = ["twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety"]
+
+#: Number words from zero to ninety-nine with their values ("twenty four").
+NUMBER_WORDS = {w: i for i, w in enumerate(SMALL_NUMBERS)} | {
+    t if not i else f"{t} {SMALL_NUMBERS[i]}": 20 + 10 * k + i for k, t in enumerate(TENS) for i in range(10)}
+#: One number word, the longest that stands there; a hyphen may join its parts.
+NUMBER_WORD = (f"(?:(?:{'|'.join(TENS)})(?:[ -](?:{'|'.join(SMALL_NUMBERS[1:10])})\\b)?|"
+               f"{'|'.join(sorted(SMALL_NUMBERS, key=len, reverse=True))})")
 
 
 def _word_number(w: Column) -> Column:
-    m = F.create_map(*[x for i, n in enumerate(NUMBER_WORDS) for x in (F.lit(n), F.lit(i))])
-    return m[F.lower(w)]
+    m = F.create_map(*[x for n, i in NUMBER_WORDS.items() for x in (F.lit(n), F.lit(i))])
+    return m[F.replace(F.lower(w), F.lit("-"), F.lit(" "))]
 
 
 def duration_months(s) -> Column:
     """X26: 'N month(s)'/'N-month' -> max N; else first 'N day' div 30; else
     first 'N week'/'N-week' div 4; else '<number word> month' or
-    '<number word> week' div 4; else ''. Result 'N months'."""
+    '<number word> week' div 4; else ''. Result 'N months'; a number beyond
+    INT gives ''."""
     s = _c(s)
     months = F.regexp_extract_all(s, F.lit(f"({D}+)[ -]month"), 1)
     days = F.regexp_extract(s, f"({D}+) day", 1)
     weeks = F.regexp_extract(s, f"({D}+)[ -]week", 1)
-    wm = F.regexp_extract(F.lower(s), r"\b([a-z]+)[ -]months?\b", 1)
-    ww = F.regexp_extract(F.lower(s), r"\b([a-z]+)[ -]weeks?\b", 1)
-    maxm = F.array_max(F.transform(months, lambda x: x.cast("int")))
+    wm = F.regexp_extract(F.lower(s), rf"\b({NUMBER_WORD})[ -]months?\b", 1)
+    ww = F.regexp_extract(F.lower(s), rf"\b({NUMBER_WORD})[ -]weeks?\b", 1)
+    maxm = F.array_max(F.transform(months, lambda x: x.try_cast("int")))
     n = (F.when(F.size(months) > 0, maxm)
-          .when(days != "", F.floor(days.cast("int") / 30))
-          .when(weeks != "", F.floor(weeks.cast("int") / 4))
+          .when(days != "", F.floor(days.try_cast("int") / 30))
+          .when(weeks != "", F.floor(weeks.try_cast("int") / 4))
           .when(_word_number(wm).isNotNull(), _word_number(wm))
           .when(_word_number(ww).isNotNull(), F.floor(_word_number(ww) / 4)))
     return F.when(n.isNotNull(), F.concat(n.cast("string"), F.lit(" months"))).otherwise(F.lit(""))
@@ -148,15 +167,15 @@ def duration_months(s) -> Column:
 def proposal_refs(s) -> Column:
     """Numbers of every ``prop* <n>`` in the lower-cased text."""
     hits = F.regexp_extract_all(F.lower(_c(s)), F.lit(f"prop* {D}+"), 0)
-    return F.transform(hits, lambda h: F.regexp_extract(h, f"({D}+)", 1).cast("bigint"))
+    return F.transform(hits, lambda h: F.regexp_extract(h, f"({D}+)", 1).try_cast("bigint"))
 
 
 def team_size(s) -> Column:
     """Max of integers followed by a space, else a number word."""
     s = _c(s)
     nums = F.regexp_extract_all(s, F.lit(f"({D}+) "), 1)
-    w = F.regexp_extract(F.lower(s), r"\b(" + "|".join(NUMBER_WORDS) + r")\b", 1)
-    return F.when(F.size(nums) > 0, F.array_max(F.transform(nums, lambda x: x.cast("int")))) \
+    w = F.regexp_extract(F.lower(s), rf"\b({NUMBER_WORD})\b", 1)
+    return F.when(F.size(nums) > 0, F.array_max(F.transform(nums, lambda x: x.try_cast("int")))) \
             .otherwise(_word_number(w))
 
 
@@ -208,10 +227,11 @@ def parse_log_time(s) -> Column:
 
 
 def epoch_to_date(s) -> Column:
-    """Epoch seconds -> UTC ``yyyy-MM-dd`` (time-zone independent)."""
-    secs = _c(s).try_cast("bigint")
-    return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"),
-                                    F.floor(secs / 86400).cast("int")), "yyyy-MM-dd")
+    """Epoch seconds -> UTC ``yyyy-MM-dd`` (time-zone independent); NULL
+    for text that is no number and beyond the calendar (year 9909)."""
+    days = F.floor(_c(s).try_cast("bigint") / 86400)
+    dated = F.date_add(F.lit("1970-01-01").cast("date"), F.when(F.abs(days) < 2_900_000, days).cast("int"))
+    return F.date_format(dated, "yyyy-MM-dd")
 
 
 def title_relation(s) -> Column:

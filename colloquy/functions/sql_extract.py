@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import patterns as P
-from .extract import (CURRENCY_MARKERS, KEYWORD_LEAD_INS, NUMBER_WORDS, TEAM_LEAD_INS,
+from .extract import (CURRENCY_MARKERS, KEYWORD_LEAD_INS, NUMBER_WORD, NUMBER_WORDS, TEAM_LEAD_INS,
                       usd_patterns)
 from .sql_text import q, strip
 
@@ -64,32 +64,32 @@ def wei_to_eth(v: str, scale: int = 5) -> str:
 
 
 def word_number(w: str) -> str:
-    cases = " ".join(f"WHEN {q(n)} THEN {i}" for i, n in enumerate(NUMBER_WORDS))
-    return f"(CASE lower({w}) {cases} END)"
+    cases = " ".join(f"WHEN {q(n)} THEN {i}" for n, i in NUMBER_WORDS.items())
+    return f"(CASE replace(lower({w}), '-', ' ') {cases} END)"
 
 
 def duration_months(x: str) -> str:
     months = f"regexp_extract_all({x}, {q(f'({D}+)[ -]month')}, 1)"
     days = f"regexp_extract({x}, {q(f'({D}+) day')}, 1)"
     weeks = f"regexp_extract({x}, {q(f'({D}+)[ -]week')}, 1)"
-    wm = word_number(f"regexp_extract(lower({x}), '\\b([a-z]+)[ -]months?\\b', 1)")
-    ww = word_number(f"regexp_extract(lower({x}), '\\b([a-z]+)[ -]weeks?\\b', 1)")
-    n = (f"(CASE WHEN len({months}) > 0 THEN list_max(list_transform({months}, lambda m: CAST(m AS INTEGER))) "
-         f"WHEN {days} <> '' THEN CAST(floor(CAST({days} AS INTEGER) / 30) AS BIGINT) "
-         f"WHEN {weeks} <> '' THEN CAST(floor(CAST({weeks} AS INTEGER) / 4) AS BIGINT) "
+    wm = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_WORD + ')[ -]months?' + chr(92) + 'b')}, 1)")
+    ww = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_WORD + ')[ -]weeks?' + chr(92) + 'b')}, 1)")
+    n = (f"(CASE WHEN len({months}) > 0 THEN list_max(list_transform({months}, lambda m: TRY_CAST(m AS INTEGER))) "
+         f"WHEN {days} <> '' THEN CAST(floor(TRY_CAST({days} AS INTEGER) / 30) AS BIGINT) "
+         f"WHEN {weeks} <> '' THEN CAST(floor(TRY_CAST({weeks} AS INTEGER) / 4) AS BIGINT) "
          f"WHEN {wm} IS NOT NULL THEN {wm} WHEN {ww} IS NOT NULL THEN CAST(floor({ww} / 4) AS BIGINT) END)")
     return f"(CASE WHEN {n} IS NOT NULL THEN CAST({n} AS VARCHAR) || ' months' ELSE '' END)"
 
 
 def proposal_refs(x: str) -> str:
     hits = f"regexp_extract_all(lower({x}), {q(f'prop* {D}+')}, 0)"
-    return f"list_transform({hits}, lambda h: CAST(regexp_extract(h, {q(f'({D}+)')}, 1) AS BIGINT))"
+    return f"list_transform({hits}, lambda h: TRY_CAST(regexp_extract(h, {q(f'({D}+)')}, 1) AS BIGINT))"
 
 
 def team_size(x: str) -> str:
     nums = f"regexp_extract_all({x}, {q(f'({D}+) ')}, 1)"
-    w = word_number(f"regexp_extract(lower({x}), '\\b(" + "|".join(NUMBER_WORDS) + ")\\b', 1)")
-    return (f"(CASE WHEN len({nums}) > 0 THEN list_max(list_transform({nums}, lambda m: CAST(m AS INTEGER))) "
+    w = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_WORD + ')' + chr(92) + 'b')}, 1)")
+    return (f"(CASE WHEN len({nums}) > 0 THEN list_max(list_transform({nums}, lambda m: TRY_CAST(m AS INTEGER))) "
             f"ELSE {w} END)")
 
 

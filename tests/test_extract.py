@@ -73,3 +73,21 @@ def test_vote_relation(spark):
                                "s boolean, d int, v string")
     rows = df.select(X.vote_relation(F.col("s"), F.col("d")).alias("r"), X.vote_weight(F.col("v")).alias("w")).collect()
     assert [(r["r"], r["w"]) for r in rows] == [("Supported By", 5), ("Opposed By", 1), ("Abstained By", 1), (None, 3)]
+
+
+def test_parsers_do_not_raise_and_read_number_words(spark):
+    from colloquy.functions import extract as X
+    from pyspark.sql import functions as F
+    one = lambda v, f: spark.createDataFrame([(v,)], "s string").select(f(F.col("s"))).first()[0]
+    for text, want in [("eighteen months", "18 months"), ("twenty four months", "24 months"),
+                       ("thirty-six months", "36 months"), ("next month we plan, three months total", "3 months"),
+                       ("12345678901 months", ""), ("eight weeks", "2 months"), ("a month", "")]:
+        assert one(text, X.duration_months) == want, text
+    for text, want in [("a team of twenty one people", 21), ("12345678901 people", None), ("5 to 7 people", 7)]:
+        assert one(text, X.team_size) == want, text
+    assert one("99999999999999999", X.epoch_to_date) is None and one("86400", X.epoch_to_date) == "1970-01-02"
+    assert one("prop 99999999999999999999999 prop 12", X.proposal_refs) == [None, 12]
+    for text, want in [("NaN", None), ("Infinity", None), ("1e25", "10000000000000000000000000.0"),
+                       ("-1.5e30", "-1500000000000000000000000000000.0"), ("1.25e-20", "0.0000000000000000000125"),
+                       ("459703", "459703.0"), ("0.000000000000012345", "0.000000000000012345"), ("0", "0.0")]:
+        assert one(text, X.render_number) == want, text
