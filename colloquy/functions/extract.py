@@ -201,6 +201,19 @@ def capitalize(s) -> Column:
 KEYWORD_LEAD_INS = ["Keywords in this proposal include", "-", '"', "I don't know."]
 
 
+# What the tail of a type reply loses, in order.
+TYPE_REPLY_TAIL = ["Keywords in this proposal: -", "Keywords in this proposal:", "Keywords", "Keyword"]
+
+
+def type_reply(s) -> Column:
+    """The type reply as it is kept (before X30): line breaks to spaces, the
+    lead-ins and colons removed, hyphens to commas, stripped."""
+    x = F.replace(_c(s), F.lit("\n"), F.lit(" "))
+    for lead in TYPE_REPLY_TAIL:
+        x = F.replace(x, F.lit(lead), F.lit(""))
+    return strip(F.translate(strip(x), "-:", ","))
+
+
 def keywords(s) -> Column:
     """Keyword reply -> array of capitalised keywords (split on ',',
     stripped, length > 1)."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import patterns as P
-from .extract import (CURRENCY_MARKERS, KEYWORD_LEAD_INS, NUMBER_WORD, NUMBER_WORDS, TEAM_LEAD_INS,
+from .extract import (CURRENCY_MARKERS, KEYWORD_LEAD_INS, NUMBER_WORD, NUMBER_WORDS, TEAM_LEAD_INS, TYPE_REPLY_TAIL,
                       usd_patterns)
 from .sql_text import q, strip
 
@@ -104,6 +104,13 @@ def capitalize(x: str) -> str:
     return f"(upper(left({x}, 1)) || lower(substr({x}, 2)))"
 
 
+def type_reply(x: str) -> str:
+    x = f"replace({x}, chr(10), ' ')"
+    for lead in TYPE_REPLY_TAIL:
+        x = f"replace({x}, {q(lead)}, '')"
+    return strip(f"replace(replace({strip(x)}, ':', ''), '-', ',')")
+
+
 def keywords(x: str) -> str:
     for lead in KEYWORD_LEAD_INS:
         x = f"replace({x}, {q(lead)}, '')"

@@ -85,7 +85,7 @@ def proposal_triples(proposals: DataFrame, replies: DataFrame | None = None) ->
         items += [
             ("Summary", _one(X.summary_tail(F.col("summary"), F.col("summary")))),
             ("Proposal Budget", _one(X.get_money(F.col("budget")))),
-            ("Proposal Type", _one(F.col("ptype"))),
+            ("Proposal Type", _one(X.type_reply(F.col("ptype")))),
             ("Proposal Duration", _one(X.duration_months(F.col("duration")))),
             ("Team Name", _one(X.team_name(F.col("team_name")))),
             ("Previous Proposal", F.transform(refs, lambda r: F.concat(F.lit("Proposal "), r.cast("string")))),

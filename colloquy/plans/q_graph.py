@@ -61,7 +61,7 @@ def k1_sql(replies: bool, name: str = "k1", title: str = "p.title") -> str:
     if replies:
         fields += [("Summary", E.summary_tail("rw.summary", "rw.summary")),
                    ("Proposal Budget", E.get_money("rw.budget")),
-                   ("Proposal Type", "rw.ptype"),
+                   ("Proposal Type", E.type_reply("rw.ptype")),
                    ("Proposal Duration", E.duration_months("rw.duration")),
                    ("Team Name", E.team_name("rw.team_name")),
                    ("Previous Proposal", None),

@@ -91,3 +91,19 @@ def test_parsers_do_not_raise_and_read_number_words(spark):
                        ("-1.5e30", "-1500000000000000000000000000000.0"), ("1.25e-20", "0.0000000000000000000125"),
                        ("459703", "459703.0"), ("0.000000000000012345", "0.000000000000012345"), ("0", "0.0")]:
         assert one(text, X.render_number) == want, text
+
+
+def test_type_reply_tail_before_keywords(spark):
+    from colloquy.functions import extract as X
+    from pyspark.sql import functions as F
+    got = spark.createDataFrame([("Keywords: art-dev, x-ray\ndesign",)], "s string").select(
+        X.type_reply(F.col("s")).alias("t"), X.keywords(X.type_reply(F.col("s"))).alias("k")).first()
+    assert got["t"] == "art,dev, x,ray design" and got["k"] == ["Art", "Dev", "Ray design"]
+
+
+def test_skipped_address_has_no_inverse_statement(spark):
+    from colloquy.operators.statements import inverse_statements
+    v1 = spark.createDataFrame([("p1", "Proposed By", "0xbobatea"), ("p1", "Proposed By", "0x12")],
+                               "subject string, relation string, object string")
+    v2 = spark.createDataFrame([], "subject string, relation string, object string, weight long, reason string")
+    assert {r["entity"] for r in inverse_statements(spark, v1, v2).collect()} <= {"0x12"}
