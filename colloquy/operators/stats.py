@@ -60,6 +60,38 @@ def idf_from_counts(tc: DataFrame, key: str = "doc_id", min_df: int = 2) -> Data
     return d.withColumn("idf", F.log(F.lit(float(n)) / F.col("df")) + F.lit(0.1))
 
 
+def term_stats(df: DataFrame, tokens_col: str = "tokens", by: Iterable[str] = (),
+               stopwords: Iterable[str] | None = None) -> tuple[DataFrame, int]:
+    """((*by, token, freq, df), N) from one aggregate: every row of ``df`` (a
+    document) sends its tokens, its distinct tokens and, if it has a token,
+    one mark, so frequency, document frequency and N come out of the same
+    map-side combined ``groupBy``. The result, a row per (group, token), is
+    written once. ``df`` counts documents of the group."""
+    from ..session import cut_lineage
+    from .generate import explode_rows
+    by, stops = list(by), list(stopwords or [])
+    entry = lambda kind: lambda t: F.struct(t.alias("token"), F.lit(kind).alias("kind"))
+    tokens = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
+    counted = (lambda t: ~F.lower(t).isin(stops)) if stops else (lambda t: t.isNotNull())
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("token"), F.lit(2).alias("kind")))
+    sent = F.concat(F.transform(tokens, entry(0)), F.transform(F.array_distinct(tokens), entry(1)),
+                    F.when(F.exists(tokens, counted), mark).otherwise(F.slice(mark, 1, 0)))
+    x = explode_rows(df, sent, "_t", *by).select(*by, "_t.token", "_t.kind")
+    if stops:
+        x = x.filter(F.col("token").isNull() | ~F.lower("token").isin(stops))
+    table = cut_lineage(x.groupBy(*by, "token").agg(
+        F.count_if(F.col("kind") == 0).alias("freq"), F.count_if(F.col("kind") == 1).alias("df"),
+        F.count_if(F.col("kind") == 2).alias("_n")))
+    n = table.agg(F.sum("_n").alias("n")).first()["n"] or 0  # one number to the driver
+    return table.filter(F.col("token").isNotNull()).drop("_n"), n
+
+
+def idf_of(df_col, n: int, min_df: int = 2) -> Column:
+    """``ln(N / df) + 0.1``, NULL below ``min_df``."""
+    c = F.col(df_col) if isinstance(df_col, str) else df_col
+    return F.when(c >= min_df, F.log(F.lit(float(n)) / c) + F.lit(0.1))
+
+
 def token_frequency(df: DataFrame, tokens_col: str = "tokens", min_freq: int = 2,
                     by: Iterable[str] = (), stopwords: Iterable[str] | None = None) -> DataFrame:
     """A5 (A8 with ``by``): occurrences per token (per group), ``freq >= min_freq``."""

@@ -130,11 +130,9 @@ def _doc_tokens(spark, sf_dir):
     return ST.with_tokens(_docs(spark, sf_dir), "text", T.chat_token_candidates(F.col("text")))
 
 
-def _doc_term_counts(spark, sf_dir):
-    """(doc_id, token, n), tokenised once and materialised in the shared
-    checkpoint folder: frequency, document frequency and N all read it."""
-    from ..session import cut_lineage
-    return cut_lineage(ST.term_counts(_doc_tokens(spark, sf_dir), key="doc_id", stopwords=STOP))
+def _doc_term_stats(spark, sf_dir):
+    """((token, freq, df), N) of all documents, from one aggregate."""
+    return ST.term_stats(_doc_tokens(spark, sf_dir), stopwords=STOP)
 
 
 DOC_TOKENS_SQL = f"""
@@ -155,8 +153,8 @@ def token_frequency(spark, sf_dir):
 @register("idf", "WITH " + DOC_TOKENS_SQL + "SELECT token, df, round(idf, 6) AS idf FROM idf")
 def idf_q(spark, sf_dir):
     """Document frequency >= 2 and ln(N/df) + 0.1."""
-    d = ST.idf_from_counts(_doc_term_counts(spark, sf_dir), "doc_id")
-    return d.select("token", "df", F.round("idf", 6).alias("idf"))
+    t, n = _doc_term_stats(spark, sf_dir)
+    return t.filter(F.col("df") >= 2).select("token", "df", F.round(ST.idf_of("df", n), 6).alias("idf"))
 
 
 @register("tfidf", "WITH " + DOC_TOKENS_SQL + """
@@ -164,9 +162,9 @@ SELECT f.token, f.freq, round(f.freq * i.idf, 6) AS tfidf
 FROM freq f LEFT JOIN idf i ON i.token = f.token""")
 def tfidf_q(spark, sf_dir):
     """A7 + J14: freq x idf, NULL where the token has no idf."""
-    tc = _doc_term_counts(spark, sf_dir)
-    r = ST.tfidf(ST.frequency_from_counts(tc), ST.idf_from_counts(tc, "doc_id"))
-    return r.select("token", "freq", F.round("tfidf", 6).alias("tfidf"))
+    t, n = _doc_term_stats(spark, sf_dir)
+    return t.filter(F.col("freq") >= 2).select(
+        "token", "freq", F.round(F.col("freq") * ST.idf_of("df", n), 6).alias("tfidf"))
 
 
 @register("top_terms", "WITH " + DOC_TOKENS_SQL + """
@@ -204,10 +202,9 @@ FROM cfreq f LEFT JOIN idf i ON i.token = f.token""")
 def channel_tfidf(spark, sf_dir):
     """Per-channel frequency (>= 2 within the channel) x global idf,
     every channel in one job."""
-    from ..session import cut_lineage
-    tc = cut_lineage(ST.term_counts(_msg_tokens(spark, sf_dir, candidates=True), key="id",
-                                    by=["channel_id"], stopwords=STOP))
-    r = ST.tfidf(ST.frequency_from_counts(tc, by=["channel_id"]), ST.idf_from_counts(tc, "id"))
+    t, n = ST.term_stats(_msg_tokens(spark, sf_dir, candidates=True), by=["channel_id"], stopwords=STOP)
+    idf = t.groupBy("token").agg(F.sum("df").alias("df")).select("token", ST.idf_of("df", n).alias("idf"))
+    r = ST.tfidf(t.filter(F.col("freq") >= 2), idf)
     return r.select("channel_id", "token", "freq", F.round("tfidf", 6).alias("tfidf"))
 
 
