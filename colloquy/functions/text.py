@@ -89,6 +89,7 @@ def html_unescape(c, exact: bool = True) -> Column:
     return out
 
 
+# The patterns of the cleaning chain, in order.
 def _clean_chain(c: Column) -> Column:
     c = _re(c, r"<[^<>]*>", " ")                                  # tags
     c = _re(c, r"\[([^\[\]]*)\]\([^\(\)]*\)", "$1")               # markdown link -> text
@@ -175,6 +176,7 @@ def user_tag(name, discriminator) -> Column:
     return F.concat(sanitize_string(name), F.lit("#"), _c(discriminator))
 
 
+# The patterns of the tweet cleaner, in order.
 def clean_tweets(c) -> Column:
     """Drop @handles, http links, ://rest, #tags and # runs; strip."""
     for pat in (f"@{P.WORD}+", f"http{P.NOT_WS_J}+", f"://{P.NOT_WS_J}+", f"#{P.WORD}+", "##*"):
