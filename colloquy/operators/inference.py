@@ -96,7 +96,7 @@ def recursive_summarize(df: DataFrame, key_col: str, text_col: str, max_len: int
         if now is None:
             break
         stuck = stuck + 1 if longest is not None and now >= longest else 0
-        if stuck >= 20:
+        if stuck >= 3:  # halves of a reply are shorter than the piece, unless replies double
             raise RuntimeError("the model's summaries do not get shorter")
         longest = now if longest is None else min(longest, now)
         replies = complete(open_, "_id", "text", fn)

@@ -43,12 +43,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master an unset folder raises, since executors do not see the driver's
     disk."""
     sc = spark.sparkContext
+    current = sc.getCheckpointDir()  # below spark.checkpoint.dir where that is set
+    if current:
+        return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     require_local(sc.master)
     local = tempfile.mkdtemp(prefix="colloquy-ckpt-")
     sc.setCheckpointDir(local)

@@ -49,7 +49,7 @@ def test_summaries_keep_every_key(spark):
            for r in inference.recursive_summarize(docs, "k", "t", 200, fragile).collect()}
     assert got == {1: (True, "ok"), 2: (False, "error"), 3: (False, "empty"), 4: (True, "ok")}
     with pytest.raises(RuntimeError):
-        inference.recursive_summarize(docs.where("k = 1"), "k", "t", 200, lambda p: p + " more").collect()
+        inference.recursive_summarize(docs.where("k = 1"), "k", "t", 200, lambda p: p + " " + p).collect()
 
 
 def test_positions_are_cut_by_count_not_by_value(spark):
