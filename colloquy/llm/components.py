@@ -20,7 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = cut_lineage(links.where("a IS NOT NULL AND b IS NOT NULL AND a != b")
                         .select(high.alias("u"), low.alias("v")).distinct())
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -28,12 +28,15 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        same = (after.join(edges, ["u", "v"], "left_anti").isEmpty()
-                and edges.join(after, ["u", "v"], "left_anti").isEmpty())
         discard(large)
         discard(edges)
         edges = after
-        if same:
-            break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, which itself has none."""
+    one = edges.groupBy("u").agg(F.min("v").alias("v"), F.count("*").alias("n"))
+    inner = edges.select(F.col("v").alias("u")).distinct()
+    return one.where("n > 1").select("u").unionByName(one.join(inner, "u", "left_semi").select("u")).isEmpty()

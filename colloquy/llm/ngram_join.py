@@ -20,19 +20,19 @@ the order separately, and summed for the pair.
 compared. As the result is the components, a pair inside one component needs
 no test. First every class is compared with the class that leads most of its
 shared fragments; then, fragment by fragment, the classes that are still apart
-are searched: a lossless sketch (a byte for each of 256 fragments; at most H
-of them differ) picks pairs, these are counted as above, and so on until no
+are searched: a lossless sketch (a byte for each of some 4 H fragments; at most
+H of them differ) picks pairs, these are counted as above, and so on until no
 untested pair of different components passes the sketch. A fragment shared by
 very many classes is dealt into blocks, so no task holds an unbounded group.
 """
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +41,8 @@ from ..session import cut_lineage, discard
 from . import textbytes
 from .components import components
 
-#: Cells of the sketch; fragments in which overlaps are counted; classes in a block.
-CELLS, PARTS, BLOCK = 256, 8, 4096
+#: Least cells of a sketch; fragments in which overlaps are counted; classes in a block.
+CELLS, PARTS, BLOCK = 64, 8, 4096
 #: Most classes whose ids may be broadcast (8 bytes each); beyond it, a shuffle join.
 BROADCAST_IDS = 1 << 21
 #: Smallest id, which stands for a null one.
@@ -103,11 +103,24 @@ def signatures(s: np.ndarray, rule: Rule, bounds: list[int]) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def sketch(s: np.ndarray) -> bytes:
-    cell = (s >> np.uint64(56)).astype(np.int64)
-    sums = np.zeros(CELLS, np.uint64)
-    np.add.at(sums, cell, _mixed(s, 13))
-    return (textbytes.mix(sums) >> np.uint64(56)).astype(np.uint8).tobytes()
+def sketch(s: np.ndarray, rule: Rule) -> bytes:
+    """A byte for each of 2**k fragments: the exclusive or of a byte of every
+    hash in it. Folding neighbours gives the sketch of fewer fragments."""
+    wanted = max(CELLS, 4 * (rule.most_apart(2 * len(s) * rule.den // rule.num) + 1))
+    bits = (wanted - 1).bit_length()
+    out = np.zeros(1 << bits, np.uint8)
+    np.bitwise_xor.at(out, (s >> np.uint64(64 - bits)).astype(np.int64), (_mixed(s, 13) >> np.uint64(56)).astype(np.uint8))
+    return out.tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of the fewest fragments that one of them has."""
+    width = min(map(len, sketches))
+    rows = []
+    for x in sketches:
+        row = np.frombuffer(x, np.uint8)
+        rows.append(row if len(row) == width else np.bitwise_xor.reduce(row.reshape(width, -1), axis=1))
+    return np.stack(rows)
 
 
 def _sets(batches, rule: Rule):
@@ -142,45 +155,70 @@ def _features(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _members(features: DataFrame, bits: int) -> DataFrame:
-    """(sig, node): the classes of every fragment that two classes share.
-    Signatures are cut to ``bits`` bits to move less; a chance match costs a
-    comparison and nothing else."""
+    """(sig, node, weight): the classes of every fragment that two classes
+    share. Fragments with the same classes are interchangeable: one stands for
+    all, ``weight`` says for how many. Signatures are cut to ``bits`` bits to
+    move less; a chance match costs a comparison and nothing else."""
     rows = features.select(F.explode("sigs").alias("sig"), "doc_id") \
         .select(F.shiftrightunsigned("sig", 64 - bits).alias("sig"), "doc_id")
     shared = rows.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
     held = rows.join(shared.hint("shuffle_hash"), "sig")
     nodes = features.select("doc_id", F.col("c1").alias("node"))
     held = cut_lineage(held.join(nodes, "doc_id").select("sig", "node").distinct())
-    several = held.groupBy("sig").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
-    out = cut_lineage(held.join(several.select("sig"), "sig"))
+    lists = held.groupBy("sig").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
+    one = lists.groupBy("n", "x", "y").agg(F.min("sig").alias("sig"), F.count("*").alias("weight"))
+    out = cut_lineage(held.join(one.select("sig", "weight"), "sig"))
     discard(held)
     return out
 
 
+def _documents_of(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """doc_id of one document of each class in ``nodes``."""
+    ids = cut_lineage(classes.join(nodes.distinct(), F.col("c1") == F.col("node"), "left_semi").select("doc_id"))
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """``rows`` written, with one row for each node (documents may repeat)."""
+    rows = cut_lineage(rows)
+    if rows.groupBy("node").count().where("count > 1").isEmpty():
+        return rows
+    once = cut_lineage(rows.dropDuplicates(["node"]))
+    discard(rows)
+    return once
+
+
+def _sketches(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
+    """(node, n, sketch) of the documents in ``ids``."""
+
+    def run(batches):
+        for _, sets in _sets(batches, rule):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([class_hash(s, rule)[0] for s in sets], pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([sketch(s, rule) for s in sets], pa.binary())], ["node", "n", "sketch"])
+
+    return _once(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
+                 .mapInArrow(run, "node long, n long, sketch binary"))
+
+
 def _class_sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
-    """(node, n, sketch, parts): the whole sets of the documents in ``ids``, cut
-    into PARTS fragments of the order."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    """(node, n, parts): the whole sets of the documents in ``ids``, cut into
+    PARTS fragments of the order."""
 
     def run(batches):
-        for part, sets in _sets(batches, rule):
-            cut = np.arange(1, PARTS, dtype=np.uint64) << np.uint64(64 - PARTS.bit_length() + 1)
+        cut = np.arange(1, PARTS, dtype=np.uint64) << np.uint64(64 - PARTS.bit_length() + 1)
+        for _, sets in _sets(batches, rule):
             yield pa.RecordBatch.from_arrays([
                 pa.array([class_hash(s, rule)[0] for s in sets], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([sketch(s) for s in sets], pa.binary()),
                 pa.array([[x.tobytes() for x in np.split(s, np.searchsorted(s, cut))] for s in sets],
-                         pa.list_(pa.binary())),
-            ], ["node", "n", "sketch", "parts"])
-
-    sets = cut_lineage(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-                       .mapInArrow(run, "node long, n long, sketch binary, parts array<binary>"))
-    if sets.groupBy("node").count().where("count > 1").isEmpty():
-        return sets
-    once = cut_lineage(sets.dropDuplicates(["node"]))  # documents are repeated
-    discard(sets)
-    return once
+                         pa.list_(pa.binary()))], ["node", "n", "parts"])
+
+    return _once(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
+                 .mapInArrow(run, "node long, n long, parts array<binary>"))
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -189,7 +227,7 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     parts = sets.select("node", "n", F.posexplode("parts").alias("fragment", "part"))
     side = lambda c: parts.select(F.col("node").alias(c), "fragment", F.col("n").alias(f"n_{c}"),
                                   F.col("part").alias(f"part_{c}"))
-    both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), ["b", "fragment"])
+    both = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
 
     def count(batches):
         for batch in batches:
@@ -207,7 +245,7 @@ def _leading_pairs(members: DataFrame) -> DataFrame:
     """(a, b): every class with the class that leads (is smallest in) most of
     its shared fragments."""
     leads = members.groupBy("sig").agg(F.min("node").alias("lead"))
-    votes = members.join(leads, "sig").where("node != lead").groupBy("node", "lead").agg(F.count("*").alias("n"))
+    votes = members.join(leads, "sig").where("node != lead").groupBy("node", "lead").agg(F.sum("weight").alias("n"))
     return votes.groupBy("node").agg(F.max_by("lead", F.struct("n", "lead")).alias("a")) \
         .select("a", F.col("node").alias("b"))
 
@@ -222,8 +260,8 @@ def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _dealt(apart: DataFrame) -> DataFrame:
-    """``apart`` with ``task``: which comparison task of its fragment a class
-    takes part in. Up to BLOCK classes are one task. Beyond it the largest
+    """(task, sig, node, component): the comparison tasks, each of one fragment,
+    that a class takes part in. Up to BLOCK classes are one task. Beyond it the largest
     component and the other classes are dealt into blocks; tasks are the pairs
     of blocks that hold pairs of different components."""
     counts = apart.groupBy("sig", "component").agg(F.count("*").alias("n"))
@@ -239,43 +277,74 @@ def _dealt(apart: DataFrame) -> DataFrame:
         .when(F.col("component") == F.col("main"), F.transform(upto(q), lambda i: name("main", i, block))) \
         .otherwise(F.concat(F.transform(upto(p), lambda j: name("main", block, j)),
                             F.transform(upto(q), lambda j: name("rest", F.least(block, j), F.greatest(block, j)))))
-    return rows.select("sig", "node", "component", F.explode(tasks).alias("task"))
-
-
-def _search(rule: Rule):
-    def search(key, left: pd.DataFrame, tested: pd.DataFrame) -> pd.DataFrame:
-        left = left.drop_duplicates("node").reset_index(drop=True)
-        nodes, n = left["node"].to_numpy(), left["n"].to_numpy()
-        cells = np.frombuffer(b"".join(left["sketch"]), np.uint8).reshape(-1, CELLS)
-        component = left["component"].to_numpy().copy()
-        done = set(zip(tested["a"], tested["b"]))
-        out, spare = [], 4 * len(nodes)
-        for i in range(len(nodes)):
-            j = i + 1 + np.flatnonzero(component[i + 1:] != component[i])
-            if not len(j):
+    return rows.select("sig", "node", "component", F.explode(tasks).alias("task")) \
+        .select(F.xxhash64("sig", "task").alias("task"), "sig", "node", "component")
+
+
+def _search(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, cells: np.ndarray,
+            done: set, rule: Rule) -> list[tuple[int, int]]:
+    """(a, b): pairs of one task, of different components, that pass the
+    sketch and are not ``done``: one for each two components that would join,
+    and a bounded number beside them. The rest comes in later rounds, unless
+    the components have met by then."""
+    joined, out, spare = component.copy(), [], 32 * len(nodes)
+    for i in range(len(nodes) - 1):
+        j = i + 1 + np.flatnonzero(component[i + 1:] != component[i])
+        if not len(j):
+            continue
+        apart = rule.most_apart(n[i] + n[j])
+        j = j[(np.abs(n[i] - n[j]) <= apart) & ((cells[j] != cells[i]).sum(1) <= apart)]
+        for k in j:
+            a, b = int(min(nodes[i], nodes[k])), int(max(nodes[i], nodes[k]))
+            if (a, b) in done:
                 continue
-            apart = rule.most_apart(n[i] + n[j])
-            j = j[(np.abs(n[i] - n[j]) <= apart) & ((cells[j] != cells[i]).sum(1) <= apart)]
-            for k in j:
-                a, b = min(nodes[i], nodes[k]), max(nodes[i], nodes[k])
-                if (a, b) in done:
-                    continue
-                joins = component[i] != component[k]
-                if joins or spare > 0:
-                    out.append((*key, a, b))
-                    spare -= not joins
-                if joins:  # taken as joined in this round only: the pair is tested next
-                    component[component == component[k]] = component[i]
-        return pd.DataFrame(out, columns=["sig", "task", "a", "b"])
-    return search
-
-
-def _further_pairs(apart: DataFrame, sets: DataFrame, tested: DataFrame, rule: Rule) -> DataFrame:
-    """(sig, task, a, b): pairs of different components that pass the sketch
+            joins = joined[i] != joined[k]
+            if joins or spare > 0:
+                out.append((a, b))
+                spare -= not joins
+            if joins:  # taken as joined within this round; the pair is counted before the next
+                joined[joined == joined[k]] = joined[i]
+    return out
+
+
+def _searched(batches, rule: Rule):
+    """``_search`` over rows sorted by task: classes, then pairs done before. A
+    task that goes on in the next batch waits for it."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        table = pa.Table.from_batches([b for b in (rest, batch) if b is not None]).combine_chunks() \
+            if rest is not None or batch is not None else None
+        if table is None or not table.num_rows:
+            continue
+        rows = table.to_batches()[0]
+        task = np.asarray(rows.column(0))
+        edges = np.flatnonzero(np.concatenate([[True], task[1:] != task[:-1], [True]]))
+        end = len(edges) - 1 if batch is None else len(edges) - 2
+        rest = rows.slice(int(edges[end]))
+        node, component, n, sig = (np.asarray(rows.column(c).fill_null(0)) for c in (2, 3, 4, 6))
+        kind, sketches, found = np.asarray(rows.column(1)), rows.column(5), []
+        for x, y in zip(edges[:end], edges[1:end + 1]):
+            m = x + int((kind[x:y] == 0).sum())
+            if m - x < 2:
+                continue
+            cells = folded(sketches[int(x):int(m)].to_pylist())
+            done = set(zip(node[m:y].tolist(), component[m:y].tolist()))
+            pairs = _search(node[x:m], component[x:m], n[x:m], cells, done, rule)
+            found += [(int(task[x]), int(sig[x]), a, b) for a, b in pairs]
+        columns = list(zip(*found)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["task", "sig", "a", "b"])
+
+
+def _further_pairs(apart: DataFrame, sketches: DataFrame, tested: DataFrame, rule: Rule) -> DataFrame:
+    """(task, sig, a, b): pairs of different components that pass the sketch
     and were not tested; all of them are found over the rounds."""
-    left = _dealt(apart).join(sets.select("node", "n", "sketch"), "node")
-    return (left.groupBy("sig", "task").cogroup(tested.groupBy("sig", "task"))
-            .applyInPandas(_search(rule), "sig long, task string, a long, b long"))
+    left = _dealt(apart).join(sketches, "node") \
+        .select("task", F.lit(0).alias("kind"), "node", "component", "n", "sketch", "sig")
+    done = tested.select("task", F.lit(1).alias("kind"), F.col("a").alias("node"), F.col("b").alias("component"),
+                         F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("sketch"), "sig")
+    parts = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (left.unionByName(done).repartition(parts, "task").sortWithinPartitions("task", "kind")
+            .mapInArrow(lambda batches: _searched(batches, rule), "task long, sig long, a long, b long"))
 
 
 def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
@@ -291,25 +360,41 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
         rule = replace(rule, seed=rule.seed + 1)  # two sets share 64 bits: hash anew
     documents = cut_lineage(features.select("doc_id", "key", "n_shingles", F.col("c1").alias("node")))
     total = features.agg(F.sum(F.size("sigs")).alias("n")).first()["n"] or 0
-    members = _members(features, min(64, max(32, int(total).bit_length() + 7)))
+    members = _members(features, min(64, int(total).bit_length() + 16))
     discard(features)
-    nodes = members.select("node").distinct()
-    ids = cut_lineage(classes.join(nodes, F.col("c1") == F.col("node"), "left_semi").select("doc_id"))
-    sets = _class_sets(docs, ids, rule)
+    sketches = _sketches(docs, _documents_of(members.select("node"), classes), rule)
     threshold = (rule.num + rule.den) * F.col("overlap") >= rule.num * F.col("total")
-    links, tested = [], []
-    pairs = _leading_pairs(members)
+    tested, pairs = [], _leading_pairs(members)
     found = spark.createDataFrame([], "node long, component long")
     while True:
-        counted = cut_lineage(_overlaps(pairs, sets).withColumn("linked", threshold))
-        links.append(counted.where("linked").select("a", "b"))
-        found = cut_lineage(components(reduce(DataFrame.unionByName, links)))
+        todo = cut_lineage(pairs.select("a", "b").distinct())
+        ends = todo.select(F.col("a").alias("node")).unionByName(todo.select(F.col("b").alias("node")))
+        sets = _class_sets(docs, _documents_of(ends, classes), rule)
+        counted = cut_lineage(_overlaps(todo, sets).withColumn("linked", threshold))
+        discard(sets)
+        links = counted.where("linked").select("a", "b")
+        if not links.isEmpty():
+            found = _joined(found, links)
         apart = cut_lineage(_apart(members, found))
-        none = spark.createDataFrame([], "sig long, task string, a long, b long")
-        pairs = cut_lineage(_further_pairs(apart, sets, reduce(DataFrame.unionByName, tested, none), rule))
+        none = spark.createDataFrame([], "task long, sig long, a long, b long")
+        pairs = cut_lineage(_further_pairs(apart, sketches, reduce(DataFrame.unionByName, tested, none), rule))
         if pairs.isEmpty():
             return documents, found
         tested.append(pairs)
+        members = members.join(pairs.select("sig").distinct(), "sig", "left_semi")  # the others have no pair left
+
+
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links: a node's component may itself have
+    moved to a smaller one."""
+    ends = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    between = links.join(ends("a"), "a", "left").join(ends("b"), "b", "left") \
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    moved = cut_lineage(components(between))
+    kept = found.join(moved.select(F.col("node").alias("component"), F.col("component").alias("next")),
+                      "component", "left").select("node", F.coalesce("next", "component").alias("component"))
+    new = moved.join(found.select("node"), "node", "left_anti")
+    return cut_lineage(kept.unionByName(new.select("node", "component")))
 
 
 def _resolved(docs: DataFrame, rule: Rule) -> DataFrame:
