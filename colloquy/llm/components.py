@@ -18,16 +18,16 @@ def components(links: DataFrame) -> DataFrame:
     links is aggregated before it is shuffled, and its join can be split. Links
     may repeat and come in either direction; nulls are not links."""
     low, high = F.least("a", "b"), F.greatest("a", "b")
-    edges = cut_lineage(links.where("a IS NOT NULL AND b IS NOT NULL AND a != b")
+    edges = written(links.where("a IS NOT NULL AND b IS NOT NULL AND a != b")
                         .select(high.alias("u"), low.alias("v")).distinct())
     while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut_lineage(large.distinct())
+        large = written(large.distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        after = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         discard(large)
         discard(edges)
         edges = after
@@ -37,6 +37,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether every node has one smaller neighbour, which itself has none."""
-    one = edges.groupBy("u").agg(F.min("v").alias("v"), F.count("*").alias("n"))
-    inner = edges.select(F.col("v").alias("u")).distinct()
-    return one.where("n > 1").select("u").unionByName(one.join(inner, "u", "left_semi").select("u")).isEmpty()
+    roles = edges.select("u", F.lit(1).alias("below")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("below")))
+    held = roles.groupBy("u").agg(F.sum("below").alias("below"), F.min("below").alias("above"))
+    return held.where("below > 1 OR below = 1 AND above = 0").isEmpty()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` with about two files for each core: link tables are small
+    beside the documents, and every later step starts as many tasks."""
+    return cut_lineage(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism))

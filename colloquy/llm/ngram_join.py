@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, discard
 from . import textbytes
-from .components import components
+from .components import components, written
 
 #: Least cells of a sketch; fragments in which overlaps are counted; classes in a block.
 CELLS, PARTS, BLOCK = 64, 8, 4096
@@ -164,19 +164,19 @@ def _members(features: DataFrame, bits: int) -> DataFrame:
     shared = rows.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
     held = rows.join(shared.hint("shuffle_hash"), "sig")
     nodes = features.select("doc_id", F.col("c1").alias("node"))
-    held = cut_lineage(held.join(nodes, "doc_id").select("sig", "node").distinct())
+    held = written(held.join(nodes, "doc_id").select("sig", "node").distinct())
     lists = held.groupBy("sig").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
     one = lists.groupBy("n", "x", "y").agg(F.min("sig").alias("sig"), F.count("*").alias("weight"))
-    out = cut_lineage(held.join(one.select("sig", "weight"), "sig"))
+    out = written(held.join(one.select("sig", "weight"), "sig"))
     discard(held)
     return out
 
 
 def _documents_of(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """doc_id of one document of each class in ``nodes``."""
-    ids = cut_lineage(classes.join(nodes.distinct(), F.col("c1") == F.col("node"), "left_semi").select("doc_id"))
+    ids = written(classes.join(nodes.distinct(), F.col("c1") == F.col("node"), "left_semi").select("doc_id"))
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
@@ -287,7 +287,7 @@ def _search(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, cells: np.n
     sketch and are not ``done``: one for each two components that would join,
     and a bounded number beside them. The rest comes in later rounds, unless
     the components have met by then."""
-    joined, out, spare = component.copy(), [], 32 * len(nodes)
+    joined, out, spare = component.copy(), [], 8 * len(nodes)
     for i in range(len(nodes) - 1):
         j = i + 1 + np.flatnonzero(component[i + 1:] != component[i])
         if not len(j):
@@ -367,17 +367,17 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     tested, pairs = [], _leading_pairs(members)
     found = spark.createDataFrame([], "node long, component long")
     while True:
-        todo = cut_lineage(pairs.select("a", "b").distinct())
+        todo = written(pairs.select("a", "b").distinct())
         ends = todo.select(F.col("a").alias("node")).unionByName(todo.select(F.col("b").alias("node")))
         sets = _class_sets(docs, _documents_of(ends, classes), rule)
-        counted = cut_lineage(_overlaps(todo, sets).withColumn("linked", threshold))
+        counted = written(_overlaps(todo, sets).withColumn("linked", threshold))
         discard(sets)
         links = counted.where("linked").select("a", "b")
         if not links.isEmpty():
             found = _joined(found, links)
-        apart = cut_lineage(_apart(members, found))
+        apart = written(_apart(members, found))
         none = spark.createDataFrame([], "task long, sig long, a long, b long")
-        pairs = cut_lineage(_further_pairs(apart, sketches, reduce(DataFrame.unionByName, tested, none), rule))
+        pairs = written(_further_pairs(apart, sketches, reduce(DataFrame.unionByName, tested, none), rule))
         if pairs.isEmpty():
             return documents, found
         tested.append(pairs)
@@ -390,11 +390,11 @@ def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
     ends = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     between = links.join(ends("a"), "a", "left").join(ends("b"), "b", "left") \
         .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
-    moved = cut_lineage(components(between))
+    moved = written(components(between))
     kept = found.join(moved.select(F.col("node").alias("component"), F.col("component").alias("next")),
                       "component", "left").select("node", F.coalesce("next", "component").alias("component"))
     new = moved.join(found.select("node"), "node", "left_anti")
-    return cut_lineage(kept.unionByName(new.select("node", "component")))
+    return written(kept.unionByName(new.select("node", "component")))
 
 
 def _resolved(docs: DataFrame, rule: Rule) -> DataFrame:
