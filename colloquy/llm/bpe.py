@@ -49,9 +49,9 @@ from tokenizers.pre_tokenizers import ByteLevel
 from . import textbytes
 
 #: Common words: how many, and the longest (UTF-8 bytes) that may be one.
-COMMON, COMMON_BYTES = 1 << 19, 64
+COMMON, COMMON_BYTES = 1 << 20, 32
 #: A task drops words seen once from its counts whenever it holds so many.
-COUNTED = 1 << 21
+COUNTED = 1 << 19
 
 LETTER, NUMBER, SPACE, OTHER, SPECIAL = range(5)
 #: Code points with the property White_Space.
@@ -323,22 +323,46 @@ def rare_positions(docs: DataFrame, vocab: Broadcast, common: Broadcast) -> Data
             .mapInArrow(scan, "k1 long, k2 long, pos int, word string"))
 
 
+def _width(codec: Codec) -> int:
+    """Bytes of an id on its way."""
+    return 2 if codec.size <= 1 << 16 else 4
+
+
 def rare_ids(docs: DataFrame, vocab: Broadcast, common: Broadcast) -> DataFrame:
-    """(k1, k2, rare): the ids of every document's rare words, by position."""
-    places = F.collect_list(F.struct("k1", "k2", "pos")).alias("places")
-    words = rare_positions(docs, vocab, common).groupBy("word").agg(places)
+    """(k1, k2, rare): the places of every document's rare words, each the
+    position (4 bytes) and the ids, packed to move less."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = rare_positions(docs, vocab, common).repartition(parts, "word").sortWithinPartitions("word")
 
     def encode(batches):
-        codec = _codec(vocab)
+        codec, last, packed = _codec(vocab), None, b""
+        kind = f"<u{_width(codec)}"
         for b in batches:
-            ids = [codec.encode_word(w).tobytes() for w in b.column(0).to_pylist()]
-            lists = b.column(1)
-            flat, owner = lists.flatten(), pc.list_parent_indices(lists)
-            yield pa.RecordBatch.from_arrays(
-                [*flat.flatten(), pa.array(ids, pa.binary()).take(owner)], ["k1", "k2", "pos", "ids"])
-
-    return (words.mapInArrow(encode, "k1 long, k2 long, pos int, ids binary")
-            .groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "ids")).alias("rare")))
+            places = []
+            for word, pos in zip(b.column(3).to_pylist(), b.column(2).to_pylist()):
+                if word != last:  # sorted, so each distinct word is encoded once
+                    last, packed = word, codec.encode_word(word).astype(kind).tobytes()
+                places.append(pos.to_bytes(4, "little") + packed)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(places, pa.binary())],
+                                             ["k1", "k2", "place"])
+
+    return (words.mapInArrow(encode, "k1 long, k2 long, place binary")
+            .groupBy("k1", "k2").agg(F.collect_list("place").alias("rare")))
+
+
+def _unpacked(places: pa.Array, width: int) -> tuple[np.ndarray, Ragged]:
+    """(positions, ids) of packed places."""
+    offsets = np.frombuffer(places.buffers()[1], np.int32)[places.offset:places.offset + len(places) + 1]
+    if not len(places):
+        return np.zeros(0, np.int64), Ragged.of([])
+    data = np.frombuffer(places.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    starts, sizes = (offsets[:-1] - offsets[0]).astype(np.int64), (np.diff(offsets) - 4) // width
+    keep, pos = np.ones(len(data), bool), np.zeros(len(starts), np.int64)
+    for k in range(4):
+        pos |= data[starts + k].astype(np.int64) << (8 * k)
+        keep[starts + k] = False
+    ids = np.frombuffer(data[keep].tobytes(), f"<u{width}").astype(np.uint32)
+    return pos, Ragged(ids, np.cumsum(sizes) - sizes, sizes.astype(np.int64))
 
 
 def _compressed(docs: DataFrame) -> DataFrame:
@@ -361,14 +385,11 @@ def _token_rows(codec: Codec, table: Table, texts: pa.Array, rare: pa.Array) ->
     at = table.find(words.hashes)
     gaps = np.flatnonzero(at < 0)
     owner = np.asarray(pc.list_parent_indices(rare))
-    flat = rare.flatten()
-    places = words.offsets[owner] + np.asarray(flat.field("pos")) if len(owner) else np.zeros(0, np.int64)
-    places, which = np.unique(places, return_index=True)  # repeated rows repeat their positions
+    pos, packed = _unpacked(rare.flatten(), _width(codec))
+    places, which = np.unique(words.offsets[owner] + pos, return_index=True)  # repeated rows repeat their positions
     if len(places) != len(gaps) or (places != gaps).any():
         raise RuntimeError("a position has no ids")
-    own = [i.as_buffer() for i in flat.field("ids").take(pa.array(which))]
-    sizes = np.array([i.size // 4 for i in own], np.int64)
-    extra = np.frombuffer(b"".join(own), np.uint32)
+    extra, sizes = packed.take(which)[0].astype(np.uint32), packed.sizes[which]
     at[gaps] = len(table.ids.sizes) + np.arange(len(gaps))
     both = Ragged(np.concatenate([table.ids.flat, extra]),
                   np.concatenate([table.ids.starts, len(table.ids.flat) + np.cumsum(sizes) - sizes]),
