@@ -225,6 +225,18 @@ class Table:
         flat = np.frombuffer(b"".join(ids[k] for k in order), np.uint32)
         self.ids = Ragged(flat, np.cumsum(sizes) - sizes, sizes)
 
+    def __getstate__(self):
+        """What travels: hashes, sizes of one byte (a common word has few ids),
+        and ids as narrow as they allow."""
+        flat = self.ids.flat
+        narrow = flat.astype(np.uint16) if not len(flat) or flat.max() < 1 << 16 else flat
+        return self.keys, self.ids.sizes.astype(np.uint8), narrow
+
+    def __setstate__(self, state):
+        self.keys, sizes, flat = state
+        sizes = sizes.astype(np.int64)
+        self.ids = Ragged(flat.astype(np.uint32), np.cumsum(sizes) - sizes, sizes)
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, or -1."""
         if not len(self.keys):
@@ -369,7 +381,7 @@ def _compressed(docs: DataFrame) -> DataFrame:
     """(doc_id, k1, k2, z): the texts compressed, for the one shuffle they take."""
 
     def pack(batches):
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=9)
         for b in batches:
             packed = [z.compress((t or "").encode()) for t in b.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(packed, pa.binary())],
