@@ -32,7 +32,7 @@ from . import textbytes
 #: n-gram lengths, buckets they are hashed to, dimensions, words of a window.
 GRAMS, BUCKETS, DIM, WINDOW = (3, 4, 5), 1 << 16, 8, 12
 #: Most labelled rows with label 0 and 1, and bytes of a text, that the fit takes.
-SAMPLE, SAMPLE_BYTES = (5000, 2500), 20_000
+SAMPLE, SAMPLE_BYTES = (5000, 2500), 12_000
 #: Windows of a step.
 BATCH = 256
 #: Most windows that a text gives to one epoch.
@@ -56,7 +56,7 @@ class Bags:
         begin, end = np.append(0, breaks + 1), np.append(breaks, len(points))
         self.count = len(words)
         value = textbytes.mix(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        line = np.repeat(np.arange(len(begin)), np.append(breaks + 1, len(points)) - begin)
+        line = np.repeat(np.arange(len(begin), dtype=np.int32), np.append(breaks + 1, len(points)) - begin)
         room = end[line] - np.arange(len(points))
         some = (end - begin > 2)[line]
         buckets, owners = [], []
@@ -65,7 +65,7 @@ class Bags:
             for j in range(min(n, len(points))):
                 total[:len(points) - j] += value[j:] * np.uint64(2 * (n * 8 + j) * 0x632BE59BD9B4E019 % (1 << 64) | 1)
             at = np.flatnonzero((room >= n) & some)
-            buckets.append(textbytes.mix(total[at]))
+            buckets.append((textbytes.mix(total[at]) % np.uint64(BUCKETS)).astype(np.int32))
             owners.append(line[at])
         whole = np.zeros(len(begin), np.uint64)
         order = textbytes.mix(np.arange(1, 1 + (end - begin).max(), dtype=np.uint64)) | np.uint64(1)
@@ -73,9 +73,9 @@ class Bags:
         inside = place < (end - begin)[line]
         np.add.at(whole, line[inside], value[inside] * order[place[inside]])
         worded = np.flatnonzero(end - begin > 2)
-        buckets.append(textbytes.mix(whole[worded]))
-        owners.append(worded)
-        self.buckets = (np.concatenate(buckets) % np.uint64(BUCKETS)).astype(np.int64)
+        buckets.append((textbytes.mix(whole[worded]) % np.uint64(BUCKETS)).astype(np.int32))
+        owners.append(worded.astype(np.int32))
+        self.buckets = np.concatenate(buckets)
         self.owners = np.concatenate(owners)
         self.sizes = np.bincount(self.owners, minlength=self.count)[:self.count]
 
@@ -87,6 +87,7 @@ class Bags:
     def sort(self) -> None:
         """Put the bags one after the other, for ``means`` and ``flatten``."""
         self.flat = self.buckets[np.argsort(self.owners, kind="stable")]
+        self.buckets, self.owners = self.flat, np.repeat(np.arange(self.count, dtype=np.int32), self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def means(self, table: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -174,6 +175,7 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int
     """Fit on texts with labels 0 or 1; ``weights`` undo the sampling of classes."""
     rng = np.random.default_rng(seed)
     words, at, rows = distinct_words(pa.array(texts, pa.large_string()))
+    at = at.astype(np.int32)
     if not words:
         return Model(np.zeros(BUCKETS), 0.0, np.array([0.0, 0.0, -30.0]))
     bags = Bags(words)
@@ -245,16 +247,26 @@ def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) ->
     counts = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     short = docs.select("doc_id", "text").where(F.octet_length("text").between(1, SAMPLE_BYTES))
     # twice the rows that are wanted: some have no text here, or a longer one
-    picked = [marked.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample[t]) for t in (0, 1)]
-    rows = (short.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("text", "toxic").distinct()
-            .orderBy(F.xxhash64("text"), "text").collect())
-    rows = [r for t in (0, 1) for r in [x for x in rows if x["toxic"] == t][:sample[t]]]
-    y = np.array([r["toxic"] for r in rows], np.int64)
-    if len(set(y.tolist())) < 2:
-        return None
-    taken = np.bincount(y, minlength=2)
-    share = np.array([counts.get(0, 0), counts.get(1, 0)]) / taken
-    return train([r["text"] for r in rows], y, share[y] / share[y].mean())
+    picked = [marked.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample[t])
+              for t in (0, 1)]
+    chosen = (short.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+              .select(F.xxhash64("text").alias("key"), "text", F.col("toxic").cast("int")).distinct())
+
+    def learn(batches):
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        rows = [r for t in (0, 1) for r in [x for x in rows if x[2] == t][:sample[t]]]
+        y = np.array([r[2] for r in rows], np.int64)
+        if len(set(y.tolist())) < 2:
+            return
+        share = np.array([counts.get(0, 0), counts.get(1, 0)]) / np.bincount(y, minlength=2)
+        m = train([r[1] for r in rows], y, share[y] / share[y].mean())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([m.logits.tobytes()]), pa.array([m.bias]), pa.array([m.scale.tolist()])],
+            ["logits", "bias", "scale"])
+
+    # the sample is bounded, so one task learns from it and sends the weights back
+    out = chosen.repartition(1).mapInArrow(learn, "logits binary, bias double, scale array<double>").collect()
+    return Model(np.frombuffer(out[0]["logits"]), out[0]["bias"], np.array(out[0]["scale"])) if out else None
 
 
 def is_held_out() -> F.Column:
