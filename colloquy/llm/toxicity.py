@@ -12,7 +12,7 @@ a text under its label, and then keeps for toxic texts the windows that the
 model itself ranks highest. A logistic fit on the training texts turns that
 maximum, given the number of windows, into a probability.
 
-The fit takes a bounded sample of labelled rows. Scoring is a map over all
+The fit takes a bounded sample of labelled rows, of every length. Scoring is a map over all
 rows: the softmax is linear, so a window's logit is the mean of its words'
 logits, and each distinct word of a block of texts is looked at once.
 """
@@ -31,8 +31,12 @@ from . import textbytes
 
 #: n-gram lengths, buckets they are hashed to, dimensions, words of a window.
 GRAMS, BUCKETS, DIM, WINDOW = (3, 4, 5), 1 << 16, 8, 12
-#: Most labelled rows with label 0 and 1, and bytes of a text, that the fit takes.
-SAMPLE, SAMPLE_BYTES = (5000, 2500), 12_000
+#: Labelled texts with label 0 and 1, and their bytes in all, that the fit aims at.
+SAMPLE, SAMPLE_BYTES = (5000, 2500), (24 << 20, 12 << 20)
+#: Texts that each label gives from each band of lengths (powers of two) at least, if it has them.
+LEAST = 8
+#: A longer text gives PASSAGES passages, spread evenly over it, of so many characters in all.
+TEXT_BYTES, PASSAGES = 1 << 20, 16
 #: Windows of a step.
 BATCH = 256
 #: Most windows that a text gives to one epoch.
@@ -172,7 +176,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int = 3, rate: float = 0.3,
           seed: int = 1) -> Model:
-    """Fit on texts with labels 0 or 1; ``weights`` undo the sampling of classes."""
+    """Fit on texts with labels 0 or 1; ``weights`` undo the sampling of classes and lengths."""
     rng = np.random.default_rng(seed)
     words, at, rows = distinct_words(pa.array(texts, pa.large_string()))
     at = at.astype(np.int32)
@@ -239,33 +243,69 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int
     return model
 
 
+def quotas(strata: dict[tuple[int, int], tuple[int, int]], sample: tuple[int, int],
+           size: tuple[int, int]) -> dict[tuple[int, int], int]:
+    """How many texts each (label, band) gives, from its (texts, bytes): the
+    same share of every band of a label, so that ``sample`` rows and ``size``
+    bytes hold the label, but LEAST texts of a band that has them."""
+    out = {}
+    for t in (0, 1):
+        mine = {k: v for k, v in strata.items() if k[0] == t}
+        n, total = (sum(v[i] for v in mine.values()) for i in (0, 1))
+        share = min(1.0, sample[t] / max(n, 1), size[t] / max(total, 1))
+        out |= {k: min(v[0], max(LEAST, round(share * v[0]))) for k, v in mine.items()}
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model | None:
     """A model from rows of ``labels`` (doc_id, toxic) with texts of ``docs``:
-    at most ``sample`` of each label, of at most SAMPLE_BYTES bytes, chosen by
-    a hash of the text. None if a class has no row."""
-    marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    counts = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    short = docs.select("doc_id", "text").where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    # twice the rows that are wanted: some have no text here, or a longer one
-    picked = [marked.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample[t])
-              for t in (0, 1)]
-    chosen = (short.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
-              .select(F.xxhash64("text").alias("key"), "text", F.col("toxic").cast("int")).distinct())
+    of every length, chosen by a hash of the text within each label and band
+    of lengths; see ``quotas`` for the bound. Of a text above TEXT_BYTES bytes
+    PASSAGES passages are learned from. None if a class has no row."""
+    marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("toxic").cast("int").alias("toxic"))
+    size = F.least(F.octet_length("text"), F.lit(TEXT_BYTES))
+    sized = docs.select("doc_id", F.xxhash64("text").alias("key"), size.alias("size")).where("size > 0")
+    # ids, hashes and lengths only: no text is shuffled before it is chosen
+    texts = (sized.join(marked, "doc_id").withColumn("band", F.floor(F.log2("size")).cast("int"))
+             .groupBy("toxic", "band", "key")
+             .agg(F.min("doc_id").alias("doc_id"), F.max("size").alias("size"), F.count("*").alias("rows")))
+    found = {(r["toxic"], r["band"]): r for r in texts.groupBy("toxic", "band").agg(
+        F.count("*").alias("texts"), F.sum("size").alias("bytes"), F.sum("rows").alias("rows")).collect()}
+    if len({t for t, _ in found}) < 2:
+        return None
+    wanted = quotas({k: (r["texts"], r["bytes"]) for k, r in found.items()}, sample, SAMPLE_BYTES)
+    # hashes are even, so a bound on them leaves the wanted texts and a few more, which the task drops
+    bound = F.lit(None).cast("long")
+    for (t, band), q in wanted.items():
+        share = (q + 6 * q ** 0.5 + 20) / found[t, band]["texts"]
+        most = (1 << 63) - 1 if share >= 1 else int(share * (1 << 64)) - (1 << 63)
+        bound = F.when((F.col("toxic") == t) & (F.col("band") == band), F.lit(most)).otherwise(bound)
+    chosen = texts.where(F.col("key") <= bound).select("doc_id", "key", "toxic", "band")
+    step = F.floor((F.length("text") - TEXT_BYTES // PASSAGES) / (PASSAGES - 1)).cast("int")
+    passages = F.concat_ws("\n", *[F.substring("text", 1 + k * step, F.lit(TEXT_BYTES // PASSAGES))
+                                   for k in range(PASSAGES)])
+    # a text of few but wide characters is taken whole
+    long = (F.octet_length("text") > TEXT_BYTES) & (F.length("text") > TEXT_BYTES)
+    rows = (docs.select("doc_id", "text", F.xxhash64("text").alias("key")).join(F.broadcast(chosen), ["doc_id", "key"])
+            .select("key", F.when(long, passages).otherwise(F.col("text")).alias("text"), "toxic", "band").distinct())
 
     def learn(batches):
         rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
-        rows = [r for t in (0, 1) for r in [x for x in rows if x[2] == t][:sample[t]]]
-        y = np.array([r[2] for r in rows], np.int64)
-        if len(set(y.tolist())) < 2:
-            return
-        share = np.array([counts.get(0, 0), counts.get(1, 0)]) / np.bincount(y, minlength=2)
-        m = train([r[1] for r in rows], y, share[y] / share[y].mean())
+        left, kept = dict(wanted), []
+        for r in rows:
+            if left[r[2:]] > 0:
+                left[r[2:]] -= 1
+                kept.append(r)
+        y = np.array([r[2] for r in kept], np.int64)
+        weight = np.array([found[r[2:]]["rows"] / (wanted[r[2:]] - left[r[2:]]) for r in kept])
+        m = train([r[1] for r in kept], y, weight / weight.mean())
         yield pa.RecordBatch.from_arrays(
             [pa.array([m.logits.tobytes()]), pa.array([m.bias]), pa.array([m.scale.tolist()])],
             ["logits", "bias", "scale"])
 
     # the sample is bounded, so one task learns from it and sends the weights back
-    out = chosen.repartition(1).mapInArrow(learn, "logits binary, bias double, scale array<double>").collect()
+    out = rows.repartition(1).mapInArrow(learn, "logits binary, bias double, scale array<double>").collect()
     return Model(np.frombuffer(out[0]["logits"]), out[0]["bias"], np.array(out[0]["scale"])) if out else None
 
 

@@ -55,3 +55,23 @@ def test_edge_rows(spark, docs_of, model):
     assert next(r["predicted"] for r in got if r["doc_id"] is None) == 1
     assert toxicity.score(docs_of([]), none, model).count() == 0
     assert {r["score"] for r in toxicity.score(docs_of(rows), none).collect()} == {0.0}
+
+
+def test_labelled_texts_of_every_length_are_learned_from(spark, docs_of):
+    """Toxic texts that are all long, behind short rows that the sample would take first."""
+    plain = "some fine words of a quiet text about nothing "
+    rows = [(i, plain * (300 + i) + "idiot moron loser " * 4 + plain * 40) for i in range(1, 60, 2)]
+    rows += [(i, plain * (1 + i % 7) + str(i)) for i in range(0, 400, 2)] + [(901, plain * 30_000 + "idiot moron loser " * 4)]
+    assert all(len(t) > 12_000 for i, t in rows if i % 2)
+    labels = spark.createDataFrame([(i, None, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs_of(rows), labels.where(~toxicity.is_held_out()))
+    assert model is not None
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs_of(rows), labels, model).collect()}
+    assert np.mean([got[i] == i % 2 for i, _ in rows if i != 901]) > 0.95
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes():
+    strata = {(0, 8): (10 ** 8, 30 * 10 ** 9), (0, 13): (10 ** 6, 10 ** 10), (0, 20): (3, 3 << 20), (1, 9): (40, 25_000)}
+    got = toxicity.quotas(strata, toxicity.SAMPLE, toxicity.SAMPLE_BYTES)
+    assert got[0, 20] == 3 and got[1, 9] == 40 and got[0, 13] > toxicity.LEAST
+    assert sum(n for (t, _), n in got.items() if t == 0) <= toxicity.SAMPLE[0] + 2 * toxicity.LEAST
