@@ -12,9 +12,11 @@ into islands of such tokens; between islands nothing but "outside" is
 possible, and the best labelling of a text is that of its islands. Tokens
 that a base span touches are not relabelled.
 
-The field is trained in numpy on islands of a bounded sample of texts, whose
-labels are the base spans, and on variants of them without what makes the base
-patterns match. Every row is scored in its task; nothing is shuffled.
+The field is trained in numpy on a bounded sample of the base spans of each
+kind with what stands around them, and on variants of them without what makes
+the base patterns match. The spans are looked for in the whole of every text,
+so a kind that occurs anywhere in the table is learned; a task sends at most
+the sample. Every row is scored in its task; no text is shuffled.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ from pyspark.sql import functions as F
 from . import textbytes
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Most tokens of an entity; texts with base spans that the field is fitted on.
-LONGEST, SAMPLE, SAMPLE_BYTES = 8, 150, 20_000
+#: Most tokens of an entity; most characters of one; base spans of each kind that the field is fitted on.
+LONGEST, CHARS, SAMPLE = 8, 254, 128
+#: Characters before and after a base span that the field is fitted on with it.
+CONTEXT = 40
 #: An entity must beat "outside" by this much (log-odds) to be added.
 MARGIN = 2.0
 
@@ -112,7 +116,7 @@ def possible(span: str) -> list[int]:
     """Kinds that a span can be at all; a segment of no kind is not scored."""
     n = len(_DIGIT.findall(span))
     out = []
-    if "@" in span and " " not in span and len(span) <= 254:
+    if "@" in span and " " not in span and len(span) <= CHARS:
         out.append(0)
     if not re.search(r"[^\W\d_]|@", span):
         if n <= 12 and len(re.findall(r"[0-9]+", span)) == 4:
@@ -169,7 +173,7 @@ def lattice(text: str, tokens: list[tuple[int, int]]) -> list[list[tuple[int, in
         here = []
         for i in range(j, max(-1, j - LONGEST), -1):
             a, b = segment_span(text, tokens[i][0], tokens[j][1])
-            if a >= b or b - a > 254:
+            if a >= b or b - a > CHARS:
                 continue
             if a >= tokens[i][1] or b <= tokens[j][0]:
                 continue  # its first or last token is punctuation only
@@ -262,7 +266,7 @@ def variants(text: str, spans: list[tuple[int, int, int]], rng: Random):
     """The text's entities rewritten in forms that the base patterns miss, each
     in its surroundings, and look-alikes that are nothing."""
     for a, k, b in spans:
-        left, right, span = text[max(0, a - 40):a], text[b:b + 40], text[a:b]
+        left, right, span = text[max(0, a - CONTEXT):a], text[b:b + CONTEXT], text[a:b]
         d = _digits(span)
         forms = [span]
         if k == 3:
@@ -288,19 +292,54 @@ def variants(text: str, spans: list[tuple[int, int, int]], rng: Random):
             yield left + f + right, []
 
 
+def _number(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def examples(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[int, str, str, str]]:
+    """At most ``sample`` base spans of each kind in ``docs``: (kind number,
+    text before it, span, text after it). The hash of a span gives its slot,
+    one of ``sample`` for each kind, and each slot keeps the span of the lowest
+    hash: a kind that occurs at all has one, and neither the number of times
+    that a span is repeated nor other kinds or texts without spans matter."""
+
+    def run(batches):
+        kept = {}
+        for batch in batches:
+            for part in textbytes.slices(batch, "text"):
+                for text in part.column(0).to_pylist():
+                    for a, k, b in base_spans(text or ""):
+                        if b - a > CHARS:
+                            continue  # no segment is that long
+                        span = text[a:b]
+                        rank = _number(span)
+                        at = k, rank % sample
+                        if at in kept and kept[at][0] < rank:
+                            continue
+                        left, right = text[max(0, a - CONTEXT):a], text[b:b + CONTEXT]
+                        new = rank, _number(f"{left}\n{right}"), left, span, right
+                        kept[at] = min(kept.get(at, new), new)
+        rows = [(*at, *row) for at, row in kept.items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.string()] * 3)],
+                ["kind", "slot", "rank", "place", "left", "span", "right"])
+
+    found = docs.select("text").mapInArrow(
+        run, "kind int, slot int, rank long, place long, left string, span string, right string")
+    best = found.groupBy("kind", "slot").agg(F.min(F.struct("rank", "place", "left", "span", "right")).alias("s"))
+    return [(r["kind"], r["s"]["left"], r["s"]["span"], r["s"]["right"])
+            for r in sorted(best.collect(), key=lambda r: (r["slot"], r["kind"]))]
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
-    """The field of a table: trained on at most ``sample`` of its texts (by the
-    hash of the text; of at most SAMPLE_BYTES bytes) that hold a plus sign, an
-    at sign or fourteen digits. A table without base spans has a field that
-    adds nothing."""
-    rows = (docs.select("text").where(F.octet_length("text") <= SAMPLE_BYTES)
-            .where(F.col("text").rlike(r"@[A-Za-z0-9]|\+[0-9]|[0-9]{14}|[0-9]\.[0-9]+\.[0-9]"))
-            .distinct().orderBy(F.xxhash64("text"), "text").limit(sample).collect())
-    rng, examples = Random(0), []
-    for r in rows:
-        for e in variants(r["text"], base_spans(r["text"]), rng):
-            examples.append(e)
-    return train(examples)
+    """The field of a table: trained on at most ``sample`` of its base spans of
+    each kind. A kind without base spans has no weight, so that a table without
+    base spans has a field that adds nothing."""
+    rng, rows = Random(0), []
+    for k, left, span, right in examples(docs, sample):
+        rows += variants(left + span + right, [(len(left), k, len(left) + len(span))], rng)
+    return train(rows)
 
 
 def all_spans(text: str, model: Field) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -94,3 +94,24 @@ def test_masking_keeps_columns_and_edge_rows(docs_of, model):
     assert sorted(got, key=str) == sorted([(i, t, None if t is None else len(t)) for i, t in want], key=str)
     assert pii.find(docs_of([])).count() == 0 and pii.masked(docs_of([])).count() == 0
     assert [r["spans"] for r in pii.find(docs_of(["nothing", None])).collect()] == ["", ""]
+
+
+def test_rare_kinds_beside_a_hot_source_are_learned(docs_of):
+    """Version strings in nearly all texts, one kind only in a long text, cards only in groups."""
+    rows = [f"release {i}.{i % 7}.{i % 11} is out" for i in range(2000)] + [f"write to me{i}@host.org soon" for i in range(200)]
+    rows += ["pad " * 10_000 + "call +1 (183) 555-1276 today", "pay by card 4111 1111 1111 1111 please"]
+    found = pii.examples(docs_of(rows))
+    assert {k for k, *_ in found} == {0, 2, 3}
+    assert {s for k, _, s, _ in found if k > 1} == {"4111 1111 1111 1111", "+1 (183) 555-1276"}
+    model = pii.fit(docs_of(rows))
+    assert {2, 3} <= {k for k, _ in model.index}
+    got = {pii.KINDS[k] for t in ("call (212) 555-0187 today", "pay by card 4111.1111.1111.1111 please")
+           for _, k, _ in pii.all_spans(t, model)[1]}
+    assert got == {"phone", "card"}
+
+
+def test_the_sample_has_a_bound_for_each_kind(docs_of):
+    rows = [f"mail user{i}@host.org and 10.0.{i % 250}.{i // 250} end" for i in range(2000)] * 2
+    found = pii.examples(docs_of(rows))
+    assert all(0 < sum(k == kind for k, *_ in found) <= pii.SAMPLE for kind in (0, 1))
+    assert sorted(found) == sorted(pii.examples(docs_of(rows[::-1]).repartition(7)))
