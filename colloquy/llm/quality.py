@@ -3,16 +3,17 @@
 *Text view*: what the words look like (how often they repeat nearby, symbols,
 cell marks, capitals, lengths, lines). *Metadata view*: source, language and
 stated length. Each view has its own logistic regression. Over the rounds each
-scores a pool of unlabelled documents and hands the ones it is sure of, with
-its label, to the other view's training set. A view is sure where its own
+scores all unlabelled documents and hands a bounded number that it is sure of
+from every source and language, with its label, to the other view's training set. A view is sure where its own
 calibration, fitted on labelled rows that neither view trains on, says so; a
 view that knows little therefore teaches nothing.
 
 At the end each view's score is calibrated on those rows, and the two log-odds
 are added (the prior counted once). A document is kept if the sum favours it.
 
-The fit takes bounded samples; the features are computed in the tasks, and
-all documents are scored by a map over them.
+The fit takes a bounded sample of the labelled rows. The features of the
+unlabelled ones are computed and written once; each round is a map over them.
+All documents are scored by a map over them.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage, discard
 from . import textbytes
 from .toxicity import logistic
 
-#: Most labelled rows of each class, most unlabelled rows, and rounds of the fit.
-LABELLED, POOL, ROUNDS = 3000, 6000, 4
-#: How sure a view must be of a pseudo-label, and the most of a class that it gives in a round.
-SURE, GIVEN = 0.98, 500
+#: Most labelled rows of each class, and rounds of the fit.
+LABELLED, ROUNDS = 3000, 4
+#: How sure a view must be of a pseudo-label, the most of a class that it gives in a round, dealt
+#: evenly to the pairs of source and language, and what each pair may give in any case.
+SURE, GIVEN, EACH = 0.98, 500, 4
 #: Words of a stretch in which repeated words are counted.
 STRETCH = 64
 TEXT = ["words", "repeated", "followed", "symbols", "symbol_words", "bars", "digits", "capitals", "foreign",
@@ -151,31 +154,46 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, weight: np.ndarr
              pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Two views from labelled rows (every third is kept for calibration) and a
     pool of unlabelled ones."""
+    pools, bar = (pool_text, pool_meta), math.log(SURE / (1 - SURE))
+
+    def draw(fitted, given):
+        out = []
+        for k in (0, 1):
+            z = fitted[k].log_odds(pools[k]) if len(pool_text) else np.zeros(0)
+            taken = np.isin(np.arange(len(z)), given[1 - k])
+            rows = [(np.flatnonzero((sure >= bar) & ~taken), sure, label) for label, sure in ((1, z), (0, -z))]
+            rows = [(free[np.argsort(-sure[free], kind="stable")[:GIVEN]], label) for free, sure, label in rows]
+            at = np.concatenate([r for r, _ in rows])
+            out.append((at, np.concatenate([np.full(len(r), label) for r, label in rows]), pools[1 - k][at]))
+        return out
+
+    return exchange(text, meta, y, weight, draw, rounds)
+
+
+def exchange(text: np.ndarray, meta: np.ndarray, y: np.ndarray, weight: np.ndarray, draw, rounds: int = ROUNDS) -> Model:
+    """Co-training. ``draw(views, given)`` is for each view what it hands over:
+    (keys, labels, the other view's features) of unlabelled rows that it is
+    sure of and whose keys are not among those ``given`` to the other view."""
     third = np.arange(len(y)) % 3 == 0
     if len(set(y[third].tolist())) < 2 or len(set(y[~third].tolist())) < 2:
         third = np.ones(len(y), bool)  # too few rows to keep some back
     learn = ~third if not third.all() else third
-    views, pools = (text, meta), (pool_text, pool_meta)
-    given = [np.full(len(pool_text), -1), np.full(len(pool_text), -1)]  # pseudo-labels that view k was given
-    for _ in range(rounds + 1):
+    views = text, meta
+    given = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+    told = [(np.zeros(0, np.int64), v[:0]) for v in views]  # pseudo-labels that view k was given, and the rows
+    for left in range(rounds, -1, -1):
         fitted = []
         for k in (0, 1):
-            told = given[k] >= 0
-            x = np.vstack([views[k][learn], pools[k][told]])
-            own = np.concatenate([y[learn], given[k][told]]).astype(float)
-            w = np.concatenate([weight[learn], np.ones(told.sum())])
+            x = np.vstack([views[k][learn], told[k][1]])
+            own = np.concatenate([y[learn], told[k][0]]).astype(float)
+            w = np.concatenate([weight[learn], np.ones(len(told[k][0]))])
             view = View.fit(x, own, w)
             view.calibrate(views[k][third], y[third].astype(float), weight[third])
             fitted.append(view)
-        for k in (0, 1):
-            if not len(pool_text):
-                continue
-            z = fitted[k].log_odds(pools[k])
-            bar = math.log(SURE / (1 - SURE))
-            other = given[1 - k]
-            for label, sure in ((1, z), (0, -z)):
-                free = np.flatnonzero((sure >= bar) & (other < 0))
-                other[free[np.argsort(-sure[free], kind="stable")[:GIVEN]]] = label
+        if left:
+            for k, (keys, label, x) in enumerate(draw(fitted, given)):
+                given[1 - k] = np.concatenate([given[1 - k], keys])
+                told[1 - k] = np.concatenate([told[1 - k][0], label]), np.vstack([told[1 - k][1], x])
     share = float((weight * y).sum() / weight.sum())
     return Model(fitted[0], fitted[1], math.log(share / (1 - share)))
 
@@ -201,19 +219,82 @@ def _columns(docs: DataFrame) -> DataFrame:
                                            for c in META))
 
 
+def unlabelled(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """(key, pair, x_text, source, lang, n_chars) of every row of ``docs`` with
+    a text whose id is not in ``marked``, written. Rows of equal key are
+    copies; ``pair`` is that of the slots of source and language."""
+
+    def run(batches):
+        for batch in batches:
+            for part in textbytes.slices(batch, "text"):
+                x = text_features(part.column(1))
+                slots = meta_features(*part.columns[2:5])[:, :SLOTS]
+                pair = slots.argmax(1) * SLOTS + SLOTS - 1 - slots[:, ::-1].argmax(1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(5), pa.array(pair.astype(np.int32)),
+                     pa.array(list(x), pa.list_(pa.float64())), *part.columns[2:5]],
+                    ["doc_id", "key", "pair", "x_text", *META])
+
+    read = _columns(docs).where("text IS NOT NULL AND text != ''").withColumn("key", F.xxhash64("text", *META))
+    kinds = ", ".join(f"{c} {read.schema[c].dataType.simpleString()}" for c in META)
+    rows = lambda d: d.mapInArrow(run, f"doc_id long, key long, pair int, x_text array<double>, {kinds}")
+    named = rows(read.where("doc_id IS NOT NULL")).join(marked, "doc_id", "left_anti")
+    return cut_lineage(named.unionByName(rows(read.where("doc_id IS NULL"))).drop("doc_id"))
+
+
+def sure_rows(pool: DataFrame, views: list[View], given: list[np.ndarray], each: int) -> list:
+    """What each view hands over, as ``exchange`` wants it: of every pair of
+    source and language at most ``each`` rows of each class. The key gives a
+    row's slot, one of ``each``, and each slot hands over its surest row."""
+    bar = math.log(SURE / (1 - SURE))
+    held = pool.sparkSession.sparkContext.broadcast((views, given))
+
+    def run(batches):
+        views, given = held.value
+        for batch in batches:
+            key, pair = (batch.column(i).to_numpy() for i in (0, 1))
+            text = batch.column(2).flatten().to_numpy().reshape(-1, len(TEXT))
+            slot = (key.view(np.uint64) % np.uint64(each)).astype(np.int32)
+            for k, x in enumerate((text, meta_features(*batch.columns[3:6]))):
+                z = views[k].log_odds(x)
+                new = ~np.isin(key, given[1 - k])
+                for label, sure in ((1, z), (0, -z)):
+                    at = np.flatnonzero((sure >= bar) & new)
+                    at = at[np.lexsort((-key[at], -sure[at], slot[at], pair[at]))]
+                    first = np.ones(len(at), bool)
+                    first[1:] = (np.diff(pair[at]) != 0) | (np.diff(slot[at]) != 0)
+                    at = at[first]
+                    some = batch.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), v, np.int32)) for v in (k, label)]
+                        + [pa.array(slot[at]), pa.array(sure[at]), *some.columns],
+                        ["view", "label", "slot", "sure", *batch.schema.names])
+
+    kinds = ", ".join(f"{c} {pool.schema[c].dataType.simpleString()}" for c in pool.columns)
+    best = (pool.mapInArrow(run, f"view int, label int, slot int, sure double, {kinds}")
+            .groupBy("view", "label", "pair", "slot")
+            .agg(F.max(F.struct("sure", "key", "x_text", *META)).alias("r")))
+    rows = sorted(best.select("view", "label", "r.*").collect(), key=lambda r: (r["label"], r["key"]))
+    held.unpersist()
+    out = []
+    for k in (0, 1):
+        mine = [r for r in rows if r["view"] == k]
+        x = (np.array([r["x_text"] for r in mine]).reshape(-1, len(TEXT)) if k else
+             meta_features(*(pa.array([r[c] for r in mine]) if mine else pa.nulls(0, pa.string()) for c in META)))
+        out.append((np.array([r["key"] for r in mine], np.int64), np.array([r["label"] for r in mine], np.int64), x))
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from rows of ``labels`` (doc_id, quality 0 or 1) and the rest of
-    ``docs`` as the pool: at most LABELLED rows of each class and POOL others,
-    chosen by a hash of the id. None if a class has no row with a text."""
+    """A model from rows of ``labels`` (doc_id, quality 0 or 1): at most LABELLED
+    rows of each class, chosen by a hash of the id; and from all the rest of
+    ``docs``. None if a class has no row with a text."""
     marked = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id") \
         .agg(F.min("quality").alias("quality"))
     counts = {r["quality"]: r["n"] for r in marked.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [marked.where(F.col("quality") == q).orderBy(*by_hash).limit(LABELLED) for q in (0, 1)]
-    pool = (docs.select("doc_id").where("doc_id IS NOT NULL").distinct().join(marked, "doc_id", "left_anti")
-            .orderBy(*by_hash).limit(POOL).withColumn("quality", F.lit(-1)))
-    wanted = picked[0].unionByName(picked[1]).unionByName(pool.withColumn("quality", F.col("quality").cast(
-        marked.schema["quality"].dataType)))
+    wanted = picked[0].unionByName(picked[1])
     chosen = docs.where("text IS NOT NULL AND text != ''").join(F.broadcast(wanted), "doc_id", "left_semi")
     rows = (_featured(chosen).dropDuplicates(["doc_id"]).join(F.broadcast(wanted), "doc_id")
             .orderBy(*by_hash).collect())
@@ -221,11 +302,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     if not {0, 1} <= set(y.tolist()):
         return None
     text, meta = (np.array([r[c] for r in rows]) for c in ("x_text", "x_meta"))
-    taken = np.bincount(y[y >= 0], minlength=2)
-    weight = np.array([counts[0], counts[1]]) / taken
-    have = y >= 0
-    weight = weight[y[have]]
-    return co_train(text[have], meta[have], y[have], weight / weight.mean(), text[~have], meta[~have])
+    weight = (np.array([counts[0], counts[1]]) / np.bincount(y, minlength=2))[y]
+    pool = unlabelled(docs, marked.select("doc_id"))
+    pairs = pool.select("pair").distinct().count()
+    model = exchange(text, meta, y, weight / weight.mean(),
+                     lambda views, given: sure_rows(pool, views, given, max(EACH, GIVEN // max(pairs, 1))))
+    discard(pool)
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:

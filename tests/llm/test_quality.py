@@ -61,3 +61,26 @@ def test_filter_equals_scores_and_keeps_columns(spark):
     assert kept.columns == [*docs.columns, "score"]
     want = sorted(r["doc_id"] for r in quality.score(docs, labels).where("keep = 1").collect())
     assert sorted(r["doc_id"] for r in kept.collect()) == want and len(want) < docs.count()
+
+
+def test_all_unlabelled_rows_are_in_the_exchange(spark, docs_of, monkeypatch):
+    """A rare source among many unlabelled rows hands rows over, and no pair more than its bound."""
+    from pyspark.sql import functions as F
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    good = lambda i: f"The {words[i % 10]} of {words[i // 10 % 10]} was seen near {i} hills, and then it rained."
+    bad = lambda i: f"| {i} || ## {i} | buy buy buy buy | $$ {i} ||"
+    docs = docs_of([(i, good(i) if i % 2 else bad(i)) for i in range(7400)]).withColumn(
+        "source", F.when(F.col("doc_id") >= 7396, "rare").otherwise("s"))
+    labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    handed, plain = [], quality.sure_rows
+
+    def seen(pool, views, given, each):
+        assert pool.count() == 7200
+        out = plain(pool, views, given, each)
+        pairs = {r["key"]: r["pair"] for r in pool.select("key", "pair").collect()}
+        handed.append([(pairs[k], label) for k, label in zip(out[0][0].tolist(), out[0][1].tolist())])
+        return out
+    monkeypatch.setattr(quality, "sure_rows", seen)
+    assert quality.fit(docs, labels) is not None
+    first = {p: handed[0].count(p) for p in set(handed[0])}
+    assert len({p for p, _ in first}) == 2 and max(first.values()) <= quality.GIVEN // 2
