@@ -342,7 +342,8 @@ def _width(codec: Codec) -> int:
 
 def rare_ids(docs: DataFrame, vocab: Broadcast, common: Broadcast) -> DataFrame:
     """(k1, k2, rare): the places of every document's rare words, each the
-    position (4 bytes) and the ids, packed to move less."""
+    position (4 bytes) and the ids, packed to move less. Rows that repeat a
+    document have the same places, which are kept once."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = rare_positions(docs, vocab, common).repartition(parts, "word").sortWithinPartitions("word")
 
@@ -359,7 +360,7 @@ def rare_ids(docs: DataFrame, vocab: Broadcast, common: Broadcast) -> DataFrame:
                                              ["k1", "k2", "place"])
 
     return (words.mapInArrow(encode, "k1 long, k2 long, place binary")
-            .groupBy("k1", "k2").agg(F.collect_list("place").alias("rare")))
+            .groupBy("k1", "k2").agg(F.collect_set("place").alias("rare")))
 
 
 def _unpacked(places: pa.Array, width: int) -> tuple[np.ndarray, Ragged]:

@@ -159,12 +159,10 @@ def _members(features: DataFrame, bits: int) -> DataFrame:
     share. Fragments with the same classes are interchangeable: one stands for
     all, ``weight`` says for how many. Signatures are cut to ``bits`` bits to
     move less; a chance match costs a comparison and nothing else."""
-    rows = features.select(F.explode("sigs").alias("sig"), "doc_id") \
-        .select(F.shiftrightunsigned("sig", 64 - bits).alias("sig"), "doc_id")
+    rows = features.select(F.explode("sigs").alias("sig"), F.col("c1").alias("node")) \
+        .select(F.shiftrightunsigned("sig", 64 - bits).alias("sig"), "node")
     shared = rows.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
-    held = rows.join(shared.hint("shuffle_hash"), "sig")
-    nodes = features.select("doc_id", F.col("c1").alias("node"))
-    held = written(held.join(nodes, "doc_id").select("sig", "node").distinct())
+    held = written(rows.join(shared.hint("shuffle_hash"), "sig").distinct())
     lists = held.groupBy("sig").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")

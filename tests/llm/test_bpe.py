@@ -50,3 +50,11 @@ def test_decode_round_trip_keeps_other_columns(docs_of):
     out = bpe.decode(bpe.encode(docs_of(texts), PATH), PATH)
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {i: t or "" for i, t in enumerate(texts)}
     assert out.columns == ["doc_id", "ids", "text"]
+
+
+def test_repeated_rows_keep_their_places_once(spark, docs_of):
+    """Null ids with one text, and a repeated row, collect no more places than one row has."""
+    rows = [(None, "zyzzyva qophs")] * 40 + [(5, "crwth zax")] * 40
+    vocab = bpe.vocabulary(spark, PATH)
+    got = bpe.rare_ids(docs_of(rows), vocab, bpe.common_words(docs_of([]), vocab)).collect()
+    assert sorted(len(r["rare"]) for r in got) == [2, 2]

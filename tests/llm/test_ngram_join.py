@@ -122,3 +122,14 @@ def test_components_of_long_chains_and_hubs(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     chain, hub = [ids[i] for i in range(100, 161)], [ids[5]] + [ids[k] for k in range(200, 260)]
     assert got == {**{x: min(chain) for x in chain}, **{x: min(hub) for x in hub}}
+
+
+def test_classes_that_share_an_id_are_not_members_of_each_other(spark, docs_of):
+    """Null and repeated ids: a class is a member of its own fragments only."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(k)) for k in range(30)] + [(7, text(k)) for k in range(30, 60)] + [(1, text(0) + " end")]
+    docs = docs_of(rows).selectExpr(f"coalesce(doc_id, {nj.NONE}) AS doc_id", "text", "xxhash64(text) AS key")
+    members = nj._members(nj._features(docs, NEAR), 64)
+    assert members.select("node").distinct().count() == 2
+    got = found(nj.components_of(docs_of(rows), NEAR))
+    assert got == brute(rows, NEAR)
