@@ -27,9 +27,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, discard
 
 ROWS_PER_SEGMENT = 1 << 20
+ROWS_PER_RUN_SEGMENT = 4096
 
 
 def with_positions(df: DataFrame, keys: Sequence[str], order_col: str,
@@ -40,11 +41,13 @@ def with_positions(df: DataFrame, keys: Sequence[str], order_col: str,
     The rows are dealt over the shuffle partitions, or over more so that none
     holds many more than ``rows_per_segment``."""
     keys, order = list(keys), [order_col, *tiebreak]
+    # the input is computed once, by this write; the count and the sample of the ranges read the written rows
+    rows = cut_lineage(df.withColumn("_w", (weight if weight is not None else F.lit(1)).cast("bigint")))
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-            math.ceil(df.count() / rows_per_segment))
-    # written once: a second range partitioning could cut elsewhere
-    base = cut_lineage(df.withColumn("_w", (weight if weight is not None else F.lit(1)).cast("bigint"))
-                         .repartitionByRange(n, *keys, *order).withColumn("_seg", F.spark_partition_id()))
+            math.ceil(rows.count() / rows_per_segment))
+    # written again as dealt: a second range partitioning could cut elsewhere
+    base = cut_lineage(rows.repartitionByRange(n, *keys, *order).withColumn("_seg", F.spark_partition_id()))
+    discard(rows)
     inner_w = Window.partitionBy("_seg", *keys).orderBy(*order)
     before = inner_w.rowsBetween(Window.unboundedPreceding, -1)
     inner = F.row_number().over(inner_w) - 1 if weight is None else F.coalesce(F.sum("_w").over(before), F.lit(0))
@@ -61,17 +64,35 @@ def with_positions(df: DataFrame, keys: Sequence[str], order_col: str,
                 .select(*df.columns, out))
 
 
-def run_ends(rows: DataFrame, key: str, col: str) -> DataFrame:
+def run_ends(rows: DataFrame, key: str, col: str, span: int = ROWS_PER_RUN_SEGMENT) -> DataFrame:
     """``rows`` (key, dense ``pos``, ``col``) with ``run_lo`` and ``run_hi``:
-    first and last position of the run of equal ``col`` values around a row."""
-    prev = rows.select(F.col(key).alias("_pk"), (F.col("pos") + 1).alias("_pp"), F.col(col).alias("_pv"))
-    first = rows.join(prev, (F.col(key) == F.col("_pk")) & (F.col("pos") == F.col("_pp")), "left") \
-        .withColumn("_new", F.when(F.col("_pp").isNull() | ~F.col("_pv").eqNullSafe(F.col(col)), 1).otherwise(0)) \
-        .drop("_pk", "_pp", "_pv")
-    r = with_positions(first, [key], "pos", out="_before", weight=F.col("_new"))
-    r = cut_lineage(r.withColumn("_run", F.col("_before") + F.col("_new")))
-    ends = r.groupBy(key, "_run").agg(F.min("pos").alias("run_lo"), F.max("pos").alias("run_hi"))
-    return r.join(ends, [key, "_run"]).drop("_run", "_before", "_new")
+    first and last position of the run of equal ``col`` values around a row.
+
+    Positions are dense, so segments of ``span`` positions hold that many rows
+    at most. A ``lag`` finds the pieces of runs inside a segment; only its
+    first and its last piece can go on in a neighbour, so the merge across
+    segments is a window over two rows for each segment."""
+    inside = Window.partitionBy(key, "_seg")
+    ordered, piece = inside.orderBy("pos"), Window.partitionBy(key, "_seg", "_piece")
+    starts = (F.row_number().over(ordered) == 1) | ~F.col(col).eqNullSafe(F.lag(col).over(ordered))
+    marked = (rows.withColumn("_seg", F.floor(F.col("pos") / span))
+              .withColumn("_new", starts.cast("int"))
+              .withColumn("_piece", F.sum("_new").over(ordered)).drop("_new")
+              .withColumn("_lo", F.min("pos").over(piece)).withColumn("_hi", F.max("pos").over(piece))
+              .withColumn("_last", F.max("_piece").over(inside)))
+    marked = cut_lineage(marked)
+    across = Window.partitionBy(key).orderBy("_seg", "_piece")
+    breaks = F.lag("_hi").over(across).isNull() | (F.col("_lo") != F.lag("_hi").over(across) + 1) \
+        | ~F.col(col).eqNullSafe(F.lag(col).over(across))
+    whole = Window.partitionBy(key, "_run")
+    edges = (marked.where("pos = _lo AND (_piece = 1 OR _piece = _last)")
+             .withColumn("_break", breaks.cast("int")).withColumn("_run", F.sum("_break").over(across))
+             .select(F.col(key).alias("_k"), F.col("_seg").alias("_s"), F.col("_piece").alias("_p"),
+                     F.min("_lo").over(whole).alias("_from"), F.max("_hi").over(whole).alias("_to")))
+    on = marked[key].eqNullSafe(edges["_k"]) & (marked["_seg"] == edges["_s"]) & (marked["_piece"] == edges["_p"])
+    return (marked.join(edges, on, "left")
+            .withColumn("run_lo", F.coalesce("_from", "_lo")).withColumn("run_hi", F.coalesce("_to", "_hi"))
+            .select(*rows.columns, "run_lo", "run_hi"))
 
 
 def neighbors(rows: DataFrame, anchors: DataFrame, key: str, n: int = 0, direction: int = 1,

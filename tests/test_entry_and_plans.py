@@ -1,5 +1,9 @@
 """Driver contract and plan shape."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as E
@@ -19,6 +23,17 @@ def test_oracles_are_registered_queries():
     assert len(q) >= 100
 
 
+def test_entry_works_without_the_optional_subpackage():
+    code = ("import sys\n"
+            "sys.modules['colloquy.llm'] = None\n"
+            "import __spark_entry__ as E\n"
+            "names = set(E.queries())\n"
+            "assert len(names) >= 100 and set(E.oracle_sql()) <= names\n"
+            "assert not any(n == 'pipeline' or n[:2] == 'op' and n[2].isdigit() for n in names)\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from colloquy.operators.context import conversation_context, next_messages, thread_context
-from colloquy.operators.ordering import neighbors, with_positions
+from colloquy.operators.ordering import neighbors, run_ends, with_positions
 
 
 def test_positions_match_row_number_across_segments(spark):
@@ -101,3 +101,31 @@ def test_neighbors_both_directions_in_one_pass(spark):
     before = sorted(r["id"] for r in hits if r["dir"] == -1)
     after = sorted(r["id"] for r in hits if r["dir"] == 1)
     assert before == [10, 12, 14] and after == [16, 18, 20, 22]
+
+
+def test_positions_compute_the_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    rows = spark.createDataFrame([(i % 3, i) for i in range(1000)], "k long, o long").mapInArrow(count, "k long, o long")
+    assert with_positions(rows, ["k"], "o").count() == 1000
+    assert seen.value == 1000
+
+
+def test_run_ends_equal_brute_force_over_segments(spark):
+    rnd = random.Random(3)
+    rows = [(k, p, rnd.choice([None, 1, 1, 2])) for k in (None, 1) for p in range(60)]
+    rows += [(2, p, 9) for p in range(40)] + [(3, 0, 1)]
+    got = run_ends(spark.createDataFrame(rows, "k long, pos long, v long"), "k", "v", span=7).collect()
+    values = {(k, p): v for k, p, v in rows}
+
+    def end(k, p, step):
+        while (k, p + step) in values and values[k, p + step] == values[k, p]:
+            p += step
+        return p
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r["run_lo"], r["run_hi"]) == (end(r["k"], r["pos"], -1), end(r["k"], r["pos"], 1)), r
