@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import add
 from ..sources.tables import table
-from . import bpe, chat, decontam, fingerprint, html_blocks, ngram_join, pii, quality, sharding, toxicity
+from . import (bpe, chat, decontam, filter_audit, fingerprint, html_blocks, licences, ngram_join, pii, prefix_trie,
+               quality, sharding, toxicity)
 
 #: The vocabulary file of the byte-level BPE; another one may be named.
 VOCABULARY = os.environ.get("COLLOQUY_BPE_FILE") or public_tokenizers.path("byte_bpe_50k.json")
@@ -106,3 +107,91 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_containment")
 def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_filter_audit", """
+WITH RECURSIVE told AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+docs AS (
+  SELECT coalesce(source, '') AS part, coalesce(text, '') AS text, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS copy,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents LEFT JOIN told USING (doc_id)),
+masks AS (
+  SELECT part, (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * copy::INT AS mask,
+         count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM docs GROUP BY ALL),
+letters AS (SELECT chr((65 + i)::INT) AS letter, (1 << i)::INT AS bit FROM range(5) r(i)),
+orders AS (
+  SELECT '' AS filter_order, 0 AS before, 0 AS bit, 0 AS step
+  UNION ALL SELECT filter_order || letter, before | o.bit, l.bit, step + 1
+  FROM orders o, letters l WHERE (before | o.bit) & l.bit = 0 AND step < 5),
+taken AS (SELECT w.filter_order, o.step, o.before, o.bit FROM orders o JOIN orders w
+          ON w.step = 5 AND o.step > 0 AND left(w.filter_order, o.step) = o.filter_order),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+  FROM masks, taken GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley
+FROM counted""")
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_prefix_trie", """
+WITH tab AS (
+  SELECT list(v ORDER BY n) AS t FROM (
+    SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x:
+      CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(n))),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                         lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), tab),
+ranked AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations),
+first AS (
+  SELECT c.conv_id, r.pos AS depth, r.role, r.text
+  FROM convs c JOIN ranked r ON r.conv_id = c.base AND r.pos <= c.h),
+rebuilt AS (
+  SELECT * FROM first UNION ALL
+  SELECT c.conv_id, coalesce(k.k, 0) + r.pos - c.h, r.role, r.text
+  FROM convs c LEFT JOIN (SELECT conv_id, count(*) AS k FROM first GROUP BY 1) k USING (conv_id)
+  JOIN ranked r ON r.conv_id = c.conv_id AND r.pos > c.h),
+pre AS (
+  SELECT conv_id, depth, string_agg(md5(role || chr(31) || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM pre GROUP BY ALL),
+tree AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+         (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND left(c.path, 32 * n.depth) = n.path) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = left(n.path, 32 * p.depth)),
+totals AS (
+  SELECT left(path, 32 * j) AS path, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS j FROM tree) GROUP BY 1),
+ends AS (
+  SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, max(path) AS path FROM pre GROUP BY 1) GROUP BY 1)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM tree JOIN totals USING (path) LEFT JOIN ends USING (path)""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_licences")
+def op13_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
