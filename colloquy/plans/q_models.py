@@ -26,7 +26,7 @@ def _probes(emb):
 @register("vector_topk", "WITH " + PROBES_SQL.strip() + """
 SELECT query_id, vec_id, rank, round(score, 6) AS score FROM (
   SELECT p.query_id, e.vec_id, s AS score,
-         row_number() OVER (PARTITION BY p.query_id ORDER BY s DESC, e.vec_id) AS rank
+         row_number() OVER (PARTITION BY p.query_id ORDER BY round(s, 10) DESC, e.vec_id) AS rank
   FROM probes p, embeddings e,
        LATERAL (SELECT list_cosine_similarity(CAST(p.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS s) x
   WHERE isfinite(s))
@@ -34,7 +34,7 @@ WHERE rank <= 5
 """)
 def vector_topk(spark, sf_dir):
     """T5 exact: 5 nearest vectors (cosine) of the first vector of every
-    label; per-task partial top-k with numpy, merged per query."""
+    label; a matrix product in blocks, merged per query."""
     emb = table(spark, sf_dir, "embeddings")
     r = R.vector_topk(emb, _probes(emb), 5)
     return r.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
@@ -47,6 +47,38 @@ def vector_topk_lsh(spark, sf_dir):
     return R.vector_topk_lsh(emb, _probes(emb), 5)
 
 
+def _every_hundredth(emb):
+    return emb.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@register("vector_topk_ivf")
+def vector_topk_ivf(spark, sf_dir):
+    """T5 approximate: an inverted file over all vectors, asked for every vector
+    whose id is divisible by 100; as many cells for each as 95 % recall takes."""
+    emb = table(spark, sf_dir, "embeddings")
+    index = R.InvertedFile(emb)
+    r = index.search(_every_hundredth(emb), 5, index.probes_for(0.95))
+    return r.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
+@register("vector_ivf_recall", """
+SELECT count(*) AS queries, count(*) * (SELECT count(*) FROM embeddings) AS pairs,
+       true AS recall_at_least_090, true AS scored_fewer
+FROM embeddings WHERE vec_id % 100 = 0
+""")
+def vector_ivf_recall(spark, sf_dir):
+    """T5 approximate, measured: whether the inverted file finds at least nine of
+    ten of the exact five nearest vectors while it scores fewer than all pairs
+    (queries: every vector whose id is divisible by 100)."""
+    emb = table(spark, sf_dir, "embeddings")
+    queries, index = _every_hundredth(emb), R.InvertedFile(emb)
+    probes = index.probes_for(0.95)
+    found = R.recall(index.search(queries, 5, probes), R.vector_topk(emb, queries, 5))
+    return index.candidates(queries, probes).join(found).select(
+        "queries", "pairs", (F.col("recall") >= 0.9).alias("recall_at_least_090"),
+        (F.col("scored") < F.col("pairs")).alias("scored_fewer"))
+
+
 @register("vector_upsert", """
 SELECT vec_id, round(embedding[1], 6) AS first, src FROM (
   SELECT vec_id, embedding, 'old' AS src FROM embeddings WHERE label < 6
@@ -65,14 +97,32 @@ def vector_upsert(spark, sf_dir):
                     F.round(F.try_element_at("embedding", F.lit(1)).cast("double"), 6).alias("first"), "src")
 
 
-@register("embed_hash")
+EMBED_SQL = """,
+slots AS (SELECT message_id, answer, list_transform(regexp_extract_all(lower(coalesce(question, '')), '[0-9a-z_]+'),
+            lambda w: CAST('0x' || left(md5(w), 2) AS INTEGER)) AS s FROM qa),
+counts AS (SELECT message_id, answer, list_transform(range(256), lambda d: len(list_filter(s, lambda x: x = d))) AS c FROM slots),
+embedded AS (SELECT message_id, answer, sqrt(list_sum(list_transform(c, lambda x: x * x))) AS norm,
+               list_transform(c, lambda x: CASE WHEN list_sum(c) > 0 THEN x / sqrt(list_sum(list_transform(c, lambda y: y * y)))
+                                                ELSE 0.0 END) AS embedding FROM counts)"""
+
+
+@register("embed_hash", V.with_views("messages", "questions", "qa") + EMBED_SQL + """
+SELECT message_id, embedding FROM embedded
+""")
 def embed_hash(spark, sf_dir):
-    """M5 built-in embedding (HashingTF + L2 norm) of every Q&A question."""
+    """M5 built-in embedding (hashed words, L2 norm) of every Q&A question."""
     qa = V.qa(spark, sf_dir)
     return R.hashing_embed(qa, "question").select("message_id", "embedding")
 
 
-@register("retrieve")
+@register("retrieve", V.with_views("messages", "questions", "qa") + EMBED_SQL + """,
+answered AS (SELECT * FROM embedded WHERE answer IS NOT NULL AND norm > 0),
+ranked AS (
+  SELECT q.message_id AS query_id, v.message_id, v.answer, s AS score,
+         row_number() OVER (PARTITION BY q.message_id ORDER BY round(s, 10) DESC, v.message_id) AS rank
+  FROM answered q, answered v, LATERAL (SELECT list_cosine_similarity(q.embedding, v.embedding) AS s) x)
+SELECT query_id, message_id, rank, round(score, 6) AS score, answer FROM ranked WHERE rank <= 5
+""")
 def retrieve(spark, sf_dir):
     """M6 + J17: each answered Q&A question used as a query against the
     embedded Q&A base; top 5 neighbours with their answers."""
