@@ -117,13 +117,29 @@ def render_decimal(x: Column, scale: int = 5) -> Column:
 def wei_to_eth(value, scale: int = 5) -> Column:
     """18-decimal integer text -> 'N ETH'. Exact DECIMAL arithmetic,
     half-up at ``scale`` places when the text has 18+ digits, as in the
-    original; shorter values are shown at 18 places (plain notation)."""
+    original; shorter values are shown at 18 places (plain notation). Beyond
+    38 digits the text itself is split and rounded, so no amount is lost."""
     v = _c(value)
     padded = F.when(F.length(v) < 19, F.lpad(v, 19, "0")).otherwise(v)
     txt_dec = F.concat(F.left(padded, F.length(padded) - 18), F.lit("."), F.right(padded, F.lit(18)))
     amount = txt_dec.try_cast("decimal(38,18)")
     txt = F.when(F.length(v) >= 18, render_decimal(amount, scale)).otherwise(render_decimal(amount, 18))
-    return F.when(amount.isNotNull(), F.concat(txt, F.lit(" ETH")))
+    txt = F.when(v.rlike("^[0-9]{39,}$"), _long_wei(v, scale)).when(amount.isNotNull(), txt)
+    return F.concat(txt, F.lit(" ETH"))
+
+
+def _long_wei(v: Column, scale: int) -> Column:
+    """Digits of any length over 10**18, rounded half-up at ``scale`` places."""
+    kept = F.left(v, F.length(v) - 18 + scale)
+    up = F.substring(v, -18 + scale, 1) >= "5"
+    nines = F.length(F.regexp_extract(kept, "(9*)$", 1))
+    head = F.left(kept, F.length(kept) - nines)
+    more = F.concat(F.left(head, F.length(head) - 1), (F.right(head, F.lit(1)).try_cast("int") + 1).cast("string"))
+    raised = F.concat(F.when(head == "", F.lit("1")).otherwise(more), F.repeat(F.lit("0"), nines))
+    digits = F.when(up, raised).otherwise(kept)
+    whole = F.regexp_replace(F.left(digits, F.length(digits) - scale), "^0+(?=.)", "")
+    d = F.concat(whole, F.lit("."), F.right(digits, F.lit(scale)))
+    return F.regexp_replace(F.regexp_replace(d, r"(\.[0-9]*[1-9])0+$", "$1"), r"\.0+$", ".0")
 
 
 # The words that number words are made of.
@@ -131,36 +147,51 @@ SMALL_NUMBERS = ["zero", "one", "two", "three", "four", "five", "six", "seven",
                  "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen"]
 TENS = ["twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety"]
 
-#: Number words from zero to ninety-nine with their values ("twenty four").
-NUMBER_WORDS = {w: i for i, w in enumerate(SMALL_NUMBERS)} | {
-    t if not i else f"{t} {SMALL_NUMBERS[i]}": 20 + 10 * k + i for k, t in enumerate(TENS) for i in range(10)}
-#: One number word, the longest that stands there; a hyphen may join its parts.
-NUMBER_WORD = (f"(?:(?:{'|'.join(TENS)})(?:[ -](?:{'|'.join(SMALL_NUMBERS[1:10])})\\b)?|"
-               f"{'|'.join(sorted(SMALL_NUMBERS, key=len, reverse=True))})")
+HUNDRED, LARGE = "hundred", {"thousand": 1_000, "million": 1_000_000}
+
+#: The value of every word that is added.
+NUMBER_WORDS = {w: i for i, w in enumerate(SMALL_NUMBERS)} | {t: 20 + 10 * k for k, t in enumerate(TENS)}
+_ONE = "(?:" + "|".join(sorted([*NUMBER_WORDS, HUNDRED, *LARGE], key=len, reverse=True)) + ")"
+#: A run of number words, joined by a space or a hyphen, "and" between them.
+NUMBER_RUN = rf"{_ONE}(?:[ -](?:and )?{_ONE}\b)*"
+
+
+def _word_number(run: Column) -> Column:
+    """The number that a lower-case run of number words names, NULL for ''. A
+    fold over its words: "hundred" multiplies what stands before it, a larger
+    word closes a group, every other word is added."""
+    values = F.create_map(*[x for w, i in NUMBER_WORDS.items() for x in (F.lit(w), F.lit(i).cast("bigint"))])
+    large = F.create_map(*[x for w, i in LARGE.items() for x in (F.lit(w), F.lit(i).cast("bigint"))])
+    zero = F.lit(0).cast("bigint")
 
+    def step(a, w):
+        group = F.greatest(a["group"], F.lit(1).cast("bigint"))
+        return F.struct(
+            F.when(large[w].isNotNull(), a["total"] + group * large[w]).otherwise(a["total"]).alias("total"),
+            F.when(large[w].isNotNull(), zero).when(w == HUNDRED, group * 100)
+             .otherwise(a["group"] + F.coalesce(values[w], zero)).alias("group"))
 
-def _word_number(w: Column) -> Column:
-    m = F.create_map(*[x for n, i in NUMBER_WORDS.items() for x in (F.lit(n), F.lit(i))])
-    return m[F.replace(F.lower(w), F.lit("-"), F.lit(" "))]
+    done = F.aggregate(F.split(run, "[ -]"), F.struct(zero.alias("total"), zero.alias("group")), step)
+    return F.when(run != "", done["total"] + done["group"])
 
 
 def duration_months(s) -> Column:
     """X26: 'N month(s)'/'N-month' -> max N; else first 'N day' div 30; else
-    first 'N week'/'N-week' div 4; else '<number word> month' or
-    '<number word> week' div 4; else ''. Result 'N months'; a number beyond
+    first 'N week'/'N-week' div 4; else '<number words> month' or
+    '<number words> week' div 4; else ''. Result 'N months'; a number beyond
     INT gives ''."""
     s = _c(s)
     months = F.regexp_extract_all(s, F.lit(f"({D}+)[ -]month"), 1)
     days = F.regexp_extract(s, f"({D}+) day", 1)
     weeks = F.regexp_extract(s, f"({D}+)[ -]week", 1)
-    wm = F.regexp_extract(F.lower(s), rf"\b({NUMBER_WORD})[ -]months?\b", 1)
-    ww = F.regexp_extract(F.lower(s), rf"\b({NUMBER_WORD})[ -]weeks?\b", 1)
+    wm = F.regexp_extract(F.lower(s), rf"\b({NUMBER_RUN})[ -]months?\b", 1)
+    ww = F.regexp_extract(F.lower(s), rf"\b({NUMBER_RUN})[ -]weeks?\b", 1)
     maxm = F.array_max(F.transform(months, lambda x: x.try_cast("int")))
     n = (F.when(F.size(months) > 0, maxm)
           .when(days != "", F.floor(days.try_cast("int") / 30))
           .when(weeks != "", F.floor(weeks.try_cast("int") / 4))
-          .when(_word_number(wm).isNotNull(), _word_number(wm))
-          .when(_word_number(ww).isNotNull(), F.floor(_word_number(ww) / 4)))
+          .when(wm != "", _word_number(wm))
+          .when(ww != "", F.floor(_word_number(ww) / 4)))
     return F.when(n.isNotNull(), F.concat(n.cast("string"), F.lit(" months"))).otherwise(F.lit(""))
 
 
@@ -171,10 +202,10 @@ def proposal_refs(s) -> Column:
 
 
 def team_size(s) -> Column:
-    """Max of integers followed by a space, else a number word."""
+    """Max of integers followed by a space, else the first number in words."""
     s = _c(s)
     nums = F.regexp_extract_all(s, F.lit(f"({D}+) "), 1)
-    w = F.regexp_extract(F.lower(s), rf"\b({NUMBER_WORD})\b", 1)
+    w = F.regexp_extract(F.lower(s), rf"\b({NUMBER_RUN})\b", 1)
     return F.when(F.size(nums) > 0, F.array_max(F.transform(nums, lambda x: x.try_cast("int")))) \
             .otherwise(_word_number(w))
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from . import patterns as P
-from .extract import (CURRENCY_MARKERS, KEYWORD_LEAD_INS, NUMBER_WORD, NUMBER_WORDS, TEAM_LEAD_INS, TYPE_REPLY_TAIL,
-                      usd_patterns)
+from .extract import (CURRENCY_MARKERS, HUNDRED, KEYWORD_LEAD_INS, LARGE, NUMBER_RUN, NUMBER_WORDS, TEAM_LEAD_INS,
+                      TYPE_REPLY_TAIL, usd_patterns)
 from .sql_text import q, strip
 
 D = P.DIGIT
@@ -63,17 +63,26 @@ def wei_to_eth(v: str, scale: int = 5) -> str:
     return f"(CASE WHEN {dec} IS NOT NULL THEN {txt} || ' ETH' END)"
 
 
-def word_number(w: str) -> str:
-    cases = " ".join(f"WHEN {q(n)} THEN {i}" for n, i in NUMBER_WORDS.items())
-    return f"(CASE replace(lower({w}), '-', ' ') {cases} END)"
+def word_number(run: str) -> str:
+    values = "MAP {" + ", ".join(f"{q(w)}: {i}" for w, i in NUMBER_WORDS.items()) + "}"
+    large = "MAP {" + ", ".join(f"{q(w)}: {i}" for w, i in LARGE.items()) + "}"
+    word = (f"{{'total': 0::BIGINT, 'part': coalesce({values}[w], 0)::BIGINT, 'h': w = {q(HUNDRED)}, "
+            f"'m': coalesce({large}[w], 0)::BIGINT}}")
+    zero = "{'total': 0::BIGINT, 'part': 0::BIGINT, 'h': false, 'm': 0::BIGINT}"
+    step = ("{'total': CASE WHEN x.m > 0 THEN a.total + greatest(a.part, 1) * x.m ELSE a.total END, "
+            "'part': CASE WHEN x.m > 0 THEN 0 WHEN x.h THEN greatest(a.part, 1) * 100 ELSE a.part + x.part END, "
+            "'h': false, 'm': 0::BIGINT}")
+    done = (f"list_reduce(list_prepend({zero}, list_transform(regexp_split_to_array({run}, '[ -]'), "
+            f"lambda w: {word})), lambda a, x: {step})")
+    return f"(CASE WHEN {run} <> '' THEN ({done}).total + ({done}).part END)"
 
 
 def duration_months(x: str) -> str:
     months = f"regexp_extract_all({x}, {q(f'({D}+)[ -]month')}, 1)"
     days = f"regexp_extract({x}, {q(f'({D}+) day')}, 1)"
     weeks = f"regexp_extract({x}, {q(f'({D}+)[ -]week')}, 1)"
-    wm = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_WORD + ')[ -]months?' + chr(92) + 'b')}, 1)")
-    ww = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_WORD + ')[ -]weeks?' + chr(92) + 'b')}, 1)")
+    wm = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_RUN + ')[ -]months?' + chr(92) + 'b')}, 1)")
+    ww = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_RUN + ')[ -]weeks?' + chr(92) + 'b')}, 1)")
     n = (f"(CASE WHEN len({months}) > 0 THEN list_max(list_transform({months}, lambda m: TRY_CAST(m AS INTEGER))) "
          f"WHEN {days} <> '' THEN CAST(floor(TRY_CAST({days} AS INTEGER) / 30) AS BIGINT) "
          f"WHEN {weeks} <> '' THEN CAST(floor(TRY_CAST({weeks} AS INTEGER) / 4) AS BIGINT) "
@@ -88,7 +97,7 @@ def proposal_refs(x: str) -> str:
 
 def team_size(x: str) -> str:
     nums = f"regexp_extract_all({x}, {q(f'({D}+) ')}, 1)"
-    w = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_WORD + ')' + chr(92) + 'b')}, 1)")
+    w = word_number(f"regexp_extract(lower({x}), {q(chr(92) + 'b(' + NUMBER_RUN + ')' + chr(92) + 'b')}, 1)")
     return (f"(CASE WHEN len({nums}) > 0 THEN list_max(list_transform({nums}, lambda m: TRY_CAST(m AS INTEGER))) "
             f"ELSE {w} END)")
 

@@ -13,6 +13,8 @@ from collections.abc import Callable  # noqa: F401 - used in annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .product import Factorised, factorise
+
 
 def qa_with_content(qa: DataFrame, messages: DataFrame, qa_key: str = "message_id") -> DataFrame:
     """Q&A (or staging) rows with their message content."""
@@ -32,11 +34,12 @@ def loggable_messages(messages: DataFrame, channels: DataFrame) -> DataFrame:
 
 
 def proposal_summaries(links: DataFrame, channels: DataFrame, guilds: DataFrame,
-                       summaries: DataFrame) -> DataFrame:
+                       summaries: DataFrame) -> Factorised:
     """Links (proposal_id, channel_id?, server_id) to channels where
     ``channel_id = link.channel_id OR (link.channel_id IS NULL AND guild_id =
-    link.server_id)``. The OR would plan a cartesian product, so it is two
-    equi-joins whose results are disjoint (the second needs a NULL key)."""
+    link.server_id)``, and the summaries of these channels. The OR would plan
+    a cartesian product, so it is two equi-joins whose results are disjoint
+    (the second needs a NULL key). The product stays factorised by channel."""
     ch = channels.select(F.col("channel_id").alias("dc_channel_id"), F.col("name").alias("channel_name"),
                          F.col("guild_id").alias("dc_guild_id"))
     by_channel = links.filter(F.col("channel_id").isNotNull()).join(
@@ -45,28 +48,22 @@ def proposal_summaries(links: DataFrame, channels: DataFrame, guilds: DataFrame,
         ch, F.col("server_id") == F.col("dc_guild_id"))
     both = by_channel.unionByName(by_server)
     g = guilds.select(F.col("guild_id").alias("dc_guild_id"), F.col("name").alias("guild_name"))
-    s = summaries.withColumnRenamed("channel_id", "dc_channel_id")
-    return both.join(g, "dc_guild_id").join(s, "dc_channel_id")
+    return factorise(both.join(g, "dc_guild_id"), summaries.withColumnRenamed("channel_id", "dc_channel_id"),
+                     "dc_channel_id")
 
 
 def proposal_qa(links: DataFrame, channels: DataFrame, guilds: DataFrame, messages: DataFrame,
-                qa: DataFrame, bound: "Callable[[Column], Column] | None" = None) -> DataFrame:
+                qa: DataFrame, bound: "Callable[[Column], Column] | None" = None) -> Factorised:
     """Proposal -> channel -> guild -> messages -> Q&A, DISTINCT over
-    (proposal_id, channel_name, guild_name, question, answer). A link
-    without a channel matches nothing here (unlike J4).
-
-    The DISTINCT is not applied to the whole product. Both sides are made
-    distinct per channel first (the proposals linked to it, the Q&A texts
-    posted in it); their join on the channel is then already distinct for
-    every channel whose (name, guild) pair is unique. Only the product of
-    channels that share a (name, guild) pair - where two channels can give
-    the same output row - goes through a DISTINCT. ``bound`` (e.g. X32) is
-    applied to each distinct text once, before the product."""
+    (proposal_id, channel_id, guild_id, channel_name, guild_name, question,
+    answer). A link without a channel matches nothing here (unlike J4).
+
+    Both sides are made distinct for each channel first (the proposals linked
+    to it, the Q&A texts posted in it). The channel is part of a row, so their
+    product, which stays factorised, holds no row twice. ``bound`` (e.g. X32)
+    is applied to each distinct text once."""
     ch = channels.select("channel_id", F.col("name").alias("channel_name"), "guild_id") \
                  .join(guilds.select("guild_id", F.col("name").alias("guild_name")), "guild_id")
-    w = ch.groupBy("channel_name", "guild_name").agg(F.count(F.lit(1)).alias("_n"))
-    ch = ch.join(w, ["channel_name", "guild_name"]).withColumn("_shared", F.col("_n") > 1) \
-           .select("channel_id", "channel_name", "guild_name", "_shared")
     props = (links.filter(F.col("channel_id").isNotNull()).select("proposal_id", "channel_id").distinct()
                   .join(ch, "channel_id"))
     m = messages.select(F.col("id").alias("message_id"), "channel_id")
@@ -75,11 +72,7 @@ def proposal_qa(links: DataFrame, channels: DataFrame, guilds: DataFrame, messag
     if bound is not None:
         texts = texts.withColumn("question_b", bound(F.col("question"))) \
                      .withColumn("answer_b", bound(F.col("answer")))
-    tcols = [c for c in texts.columns if c != "channel_id"]
-    out = ["proposal_id", "channel_name", "guild_name"] + tcols
-    unique = props.filter(~F.col("_shared")).join(texts, "channel_id").select(*out)
-    shared = props.filter(F.col("_shared")).join(texts, "channel_id").select(*out).distinct()
-    return unique.unionByName(shared)
+    return factorise(props, texts, "channel_id")
 
 
 def unanswered(staging: DataFrame, qa: DataFrame) -> DataFrame:

@@ -656,8 +656,8 @@ def _views(*names):
 
 J4_SQL_BODY = """
 j4 AS (
-  SELECT pc.proposal_id, dc.channel_id AS dc_channel_id, dc.name AS channel_name, dg.name AS guild_name,
-         s.timestamp, s.interval, s.summary
+  SELECT pc.proposal_id, dc.channel_id AS dc_channel_id, dc.guild_id AS dc_guild_id, dc.name AS channel_name,
+         dg.name AS guild_name, s.timestamp, s.interval, s.summary
   FROM links pc
   JOIN channels dc ON pc.channel_id = dc.channel_id OR (pc.channel_id IS NULL AND pc.server_id = dc.guild_id)
   JOIN guilds dg ON dg.guild_id = dc.guild_id
@@ -674,14 +674,15 @@ def disjunctive_join(spark, sf_dir):
     from ..operators.joins import proposal_summaries
     from ..sources import views as V
     lk, ch, g = _links_ctx(spark, sf_dir)
-    r = proposal_summaries(lk, ch, g, V.summaries(spark, sf_dir))
+    r = proposal_summaries(lk, ch, g, V.summaries(spark, sf_dir)).rows()
     return r.select("proposal_id", F.col("dc_channel_id").alias("channel_id"), "channel_name", "guild_name",
                     "timestamp", "interval", "summary")
 
 
 J5_SQL_BODY = """
 j5 AS (
-  SELECT DISTINCT pc.proposal_id, dc.name AS channel_name, dg.name AS guild_name, q.question, q.answer
+  SELECT DISTINCT pc.proposal_id, dc.channel_id, dg.guild_id, dc.name AS channel_name, dg.name AS guild_name,
+         q.question, q.answer
   FROM links pc
   JOIN channels dc ON dc.channel_id = pc.channel_id
   JOIN guilds dg ON dg.guild_id = dc.guild_id
@@ -694,8 +695,8 @@ def _proposal_qa(spark, sf_dir, bound=None):
     from ..operators.joins import proposal_qa
     from ..sources import views as V
     lk, ch, g = _links_ctx(spark, sf_dir)
-    r = proposal_qa(lk, ch, g, V.messages(spark, sf_dir), V.qa(spark, sf_dir), bound=bound)
-    cols = ["proposal_id", "channel_name", "guild_name", "question", "answer"]
+    r = proposal_qa(lk, ch, g, V.messages(spark, sf_dir), V.qa(spark, sf_dir), bound=bound).rows()
+    cols = ["proposal_id", "channel_id", "guild_id", "channel_name", "guild_name", "question", "answer"]
     return r.select(*cols, "question_b", "answer_b") if bound is not None else r.select(*cols)
 
 
@@ -708,13 +709,16 @@ def distinct_join(spark, sf_dir):
     return _proposal_qa(spark, sf_dir)
 
 
-@register("union_ragged", _views("links", "channels", "guilds", "summaries", "messages", "questions", "qa")
-          + "," + J4_SQL_BODY + "," + J5_SQL_BODY + """
-SELECT proposal_id, channel_name, guild_name, timestamp, interval, summary,
-       CAST(NULL AS VARCHAR) AS question, CAST(NULL AS VARCHAR) AS answer FROM j4
+K16_SQL = _views("links", "channels", "guilds", "summaries", "messages", "questions", "qa") \
+    + "," + J4_SQL_BODY + "," + J5_SQL_BODY + """
+SELECT proposal_id, dc_channel_id AS channel_id, dc_guild_id AS guild_id, channel_name, guild_name, timestamp, interval,
+       summary, CAST(NULL AS VARCHAR) AS question, CAST(NULL AS VARCHAR) AS answer FROM j4
 UNION ALL
-SELECT proposal_id, channel_name, guild_name, NULL, NULL, NULL, question, answer FROM j5
-""")
+SELECT proposal_id, channel_id, guild_id, channel_name, guild_name, NULL, NULL, NULL, question, answer FROM j5
+"""
+
+
+@register("union_ragged", K16_SQL)
 def union_ragged(spark, sf_dir):
     """K16 + U2: the J4 and J5 frames stacked, NULL for absent columns (the
     proposal-channel export)."""
@@ -722,11 +726,35 @@ def union_ragged(spark, sf_dir):
     from ..operators.ordering_ops import union_ragged as ur
     from ..sources import views as V
     lk, ch, g = _links_ctx(spark, sf_dir)
-    a = proposal_summaries(lk, ch, g, V.summaries(spark, sf_dir)).select(
-        "proposal_id", "channel_name", "guild_name", "timestamp", "interval", "summary")
+    a = proposal_summaries(lk, ch, g, V.summaries(spark, sf_dir)).rows().select(
+        "proposal_id", F.col("dc_channel_id").alias("channel_id"), F.col("dc_guild_id").alias("guild_id"), "channel_name",
+        "guild_name", "timestamp", "interval", "summary")
     return ur(a, _proposal_qa(spark, sf_dir))
 
 
+@register("proposal_channel_export", K16_SQL)
+def proposal_channel_export(spark, sf_dir):
+    """The stacked frames written as CSV (S3) and read back."""
+    from ..sources import io as IO
+    rows = union_ragged(spark, sf_dir)
+    path = IO.scratch_path(spark, "proposal-channels")
+    IO.write_csv(rows, path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return IO.read_csv(spark, path, schema, multiline=True)
+
+
+@register("channel_product_sizes", _views("links", "channels", "guilds", "summaries") + "," + J4_SQL_BODY + """
+SELECT dc_channel_id AS channel_id, count(*) AS pairs FROM j4 GROUP BY 1
+""")
+def channel_product_sizes(spark, sf_dir):
+    """J4 counted for each channel from the factorised product, without a pair."""
+    from ..operators.joins import proposal_summaries
+    from ..sources import views as V
+    lk, ch, g = _links_ctx(spark, sf_dir)
+    return proposal_summaries(lk, ch, g, V.summaries(spark, sf_dir)).count() \
+        .select(F.col("dc_channel_id").alias("channel_id"), "pairs")
+
+
 CHANNEL_LABEL = "dg.name || ' - ' || dc.name"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import tempfile
@@ -104,3 +105,11 @@ def discard(df: DataFrame) -> None:
     """Delete the table behind a ``cut_lineage`` result that no later result
     reads any more."""
     _delete_folder(df.sparkSession.sparkContext, df._cut_path)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs deleted now. Spark's cleaner does
+    it when the driver's JVM has collected what refers to them, which a driver
+    with little to do puts off (``spark.cleaner.periodicGC.interval``)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

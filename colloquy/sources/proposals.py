@@ -69,8 +69,10 @@ replies AS (
       'Keywords in this proposal include art, ' || lower(substr(o_orderpriority, 3)) || ', x' AS ptype,
       CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey % 12 + 1 AS VARCHAR) || ' months'
                           WHEN 1 THEN CAST(o_custkey % 90 + 1 AS VARCHAR) || ' days'
-                          WHEN 2 THEN 'soon' END AS duration,
-      'We are ' || CAST(o_custkey % 7 AS VARCHAR) || ' people' AS team_size,
+                          WHEN 2 THEN CASE o_custkey % 3 WHEN 0 THEN 'soon' WHEN 1 THEN 'one hundred and twenty months'
+                                                         ELSE 'Twenty-four weeks' END END AS duration,
+      CASE WHEN o_custkey % 7 = 0 THEN 'One hundred and twenty-five people'
+           ELSE 'We are ' || CAST(o_custkey % 7 AS VARCHAR) || ' people' END AS team_size,
       'The name of the team is "Crew ' || CAST(o_custkey % 50 AS VARCHAR) || '."' AS team_name,
       CASE WHEN o_orderkey % 6 = 0 THEN 'Previous proposals are prop ' || CAST(o_orderkey - 32 AS VARCHAR)
                 || ', prop ' || CAST(o_orderkey - 64 AS VARCHAR) END AS previous,
@@ -176,8 +178,11 @@ def reply_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lower(F.substring("o_orderpriority", 3, 1 << 20)), F.lit(", x"))
     duration = (F.when(k % 4 == 0, F.concat(s(c % 12 + 1), F.lit(" months")))
                  .when(k % 4 == 1, F.concat(s(c % 90 + 1), F.lit(" days")))
-                 .when(k % 4 == 2, F.lit("soon")))
-    team_size = F.concat(F.lit("We are "), s(c % 7), F.lit(" people"))
+                 .when((k % 4 == 2) & (c % 3 == 0), F.lit("soon"))
+                 .when((k % 4 == 2) & (c % 3 == 1), F.lit("one hundred and twenty months"))
+                 .when(k % 4 == 2, F.lit("Twenty-four weeks")))
+    team_size = F.when(c % 7 == 0, F.lit("One hundred and twenty-five people")) \
+        .otherwise(F.concat(F.lit("We are "), s(c % 7), F.lit(" people")))
     team_name = F.concat(F.lit('The name of the team is "Crew '), s(c % 50), F.lit('."'))
     previous = F.when(k % 6 == 0, F.concat(F.lit("Previous proposals are prop "), s(k - 32),
                                            F.lit(", prop "), s(k - 64)))

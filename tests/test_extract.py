@@ -107,3 +107,23 @@ def test_skipped_address_has_no_inverse_statement(spark):
                                "subject string, relation string, object string")
     v2 = spark.createDataFrame([], "subject string, relation string, object string, weight long, reason string")
     assert {r["entity"] for r in inverse_statements(spark, v1, v2).collect()} <= {"0x12"}
+
+
+def test_numbers_in_words_of_any_size(spark):
+    for text, n in [("one hundred and twenty people", 120), ("We are Twenty-five", 25), ("two thousand three hundred and four", 2304),
+                    ("one million two hundred thousand", 1_200_000), ("a hundred", 100), ("nobody", None), ("zero", 0),
+                    ("ninety-nine hundred", 9900), ("we are one", 1), ("5 people, one hundred", 5)]:
+        assert spark.createDataFrame([(text,)], "s string").select(X.team_size(F.col("s"))).first()[0] == n, text
+    for text, m in [("one hundred months", "100 months"), ("in one hundred and four weeks", "26 months"), ("weeks", "")]:
+        assert spark.createDataFrame([(text,)], "s string").select(X.duration_months(F.col("s"))).first()[0] == m, text
+
+
+def test_wei_beyond_any_type(spark):
+    from decimal import ROUND_HALF_UP, Decimal, getcontext
+    getcontext().prec = 80
+    for v in ["9" * 41, "1" * 41, "12345678901234567890123" + "499995" + "0" * 12, "9" * 28 + "999994" + "9" * 12, "0" * 30 + "1" * 15,
+              "1" + "0" * 50]:
+        d = (Decimal(v) / 10 ** 18).quantize(Decimal("0.00001"), ROUND_HALF_UP)
+        text = f"{d:f}".rstrip("0")
+        want = (text + "0" if text.endswith(".") else text) + " ETH"
+        assert spark.createDataFrame([(v,)], "s string").select(X.wei_to_eth(F.col("s"))).first()[0] == want, v
