@@ -42,13 +42,20 @@ TEXT = ["words", "repeated", "followed", "symbols", "symbol_words", "bars", "dig
         "length", "short", "lines", "spaces"]
 SLOTS = 64
 
-_CLASS = np.full(256, 0)  # other bytes of ASCII are symbols
+_CLASS = np.full(256, 0, np.uint8)  # other bytes of ASCII are symbols
 _CLASS[list(b" \t\n\r\x0b\x0c")] = 1
 _CLASS[list(b"0123456789")] = 2
 _CLASS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 3
 _CLASS[list(b"abcdefghijklmnopqrstuvwxyz")] = 4
 _CLASS[128:] = 5
 _MARKS = np.isin(np.arange(256), list(b".,;:!?'\"()-"))
+_ODD = ((_CLASS == 0) & ~_MARKS).astype(np.uint8)
+
+
+def _sums(flags: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the bytes of ``flags`` from each start to the next one (starts ascend
+    without repeats). The bytes are not widened, only the sums are."""
+    return np.add.reduceat(flags, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
 
 
 def text_features(column: pa.Array) -> np.ndarray:
@@ -72,16 +79,20 @@ def text_features(column: pa.Array) -> np.ndarray:
     fresh[first] = 1.0
     follow = np.zeros(len(hashes))
     follow[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
-    kind = _CLASS[raw]
-    odd = np.concatenate([[0], np.cumsum((kind == 0) & ~_MARKS[raw])])
-    in_words = odd[ends] - odd[starts]
+    kind, odd = _CLASS[raw], _ODD[raw]
+    in_words = _sums(odd, starts)  # no separator is odd, so a word's bytes may go on to the next word
     sizes = np.diff(offsets)
-    count = lambda flag: np.diff(np.concatenate([[0], np.cumsum(flag)])[offsets]) / np.maximum(sizes, 1)
+    filled = np.flatnonzero(sizes)
+
+    def count(flag):
+        out = np.zeros(n)
+        out[filled] = _sums(flag.view(np.uint8), offsets[filled])
+        return out / np.maximum(sizes, 1)
     length = (ends - starts).astype(float)
     out[:, 0] = np.log1p(np.diff(rows))
     out[:, 1] = 1.0 - per_row(fresh) / words
     out[:, 2] = per_row(follow) / words
-    out[:, 3] = np.diff(odd[offsets]) / np.maximum(sizes, 1)
+    out[:, 3] = count(odd)
     out[:, 4] = per_row(in_words >= 2) / words
     out[:, 5] = per_row((length == 1) & (raw[starts] == ord("|"))) / words
     out[:, 6] = count(kind == 2)
@@ -206,7 +217,7 @@ def _featured(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in textbytes.slices(batch, "text"):
+            for part in textbytes.slices(batch, "text", textbytes.BLOCK_BYTES):
                 rows = [pa.array(list(x), pa.list_(pa.float64())) for x in (
                     text_features(part.column(1)), meta_features(*part.columns[2:5]))]
                 yield pa.RecordBatch.from_arrays([part.column(0), *rows], ["doc_id", "x_text", "x_meta"])
@@ -226,7 +237,7 @@ def unlabelled(docs: DataFrame, marked: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in textbytes.slices(batch, "text"):
+            for part in textbytes.slices(batch, "text", textbytes.BLOCK_BYTES):
                 x = text_features(part.column(1))
                 slots = meta_features(*part.columns[2:5])[:, :SLOTS]
                 pair = slots.argmax(1) * SLOTS + SLOTS - 1 - slots[:, ::-1].argmax(1)
@@ -326,7 +337,7 @@ def score(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> Dat
     def run(batches):
         m = held.value
         for batch in batches:
-            for part in textbytes.slices(batch, "text"):
+            for part in textbytes.slices(batch, "text", textbytes.BLOCK_BYTES):
                 x = text_features(part.column(1))
                 worded = x[:, 0] > 0
                 s = [np.ones(len(x))] * 3 if m is None else m.scores(x, meta_features(*part.columns[2:5]))
@@ -349,7 +360,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches):
         m = held.value
         for batch in batches:
-            for part in textbytes.slices(batch, "text"):
+            for part in textbytes.slices(batch, "text", textbytes.BLOCK_BYTES):
                 x = text_features(part.column(at))
                 keep = x[:, 0] > 0
                 if m is not None:
