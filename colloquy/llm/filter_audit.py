@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .lookup import lookup
+from ..operators.lookup import lookup
 
 #: The filters, a bit each, in this order.
 FILTERS = "ABCDE"

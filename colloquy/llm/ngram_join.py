@@ -21,8 +21,10 @@ compared. As the result is the components, a pair inside one component needs
 no test. First every class is compared with the class that leads most of its
 shared fragments; then, fragment by fragment, the classes that are still apart
 are searched: a lossless sketch (a byte for each of some 4 H fragments; at most
-H of them differ) picks pairs, these are counted as above, and so on until no
-untested pair of different components passes the sketch. A fragment shared by
+H of them differ) picks pairs. Of these, one for each two components is counted
+as above, over all fragments; the components that meet are one; then up to
+four for each two components are counted, sixteen, and so on until no untested
+pair of different components passes the sketch. A fragment shared by
 very many classes is dealt into blocks, so no task holds an unbounded group.
 """
 
@@ -34,17 +36,20 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, discard
+from ..session import cut_lineage, discard, release
 from . import textbytes
 from .components import components, written
+from ..operators.lookup import lookup
 
 #: Least cells of a sketch; fragments in which overlaps are counted; classes in a block.
 CELLS, PARTS, BLOCK = 64, 8, 4096
 #: Most classes whose ids may be broadcast (8 bytes each); beyond it, a shuffle join.
 BROADCAST_IDS = 1 << 21
+#: Pairs of a class that one copy of its set is joined with; sets that a task remembers to have sent.
+PAIRS, SEEN = 256, 100_000
 #: Smallest id, which stands for a null one.
 NONE = -(1 << 63)
 
@@ -126,7 +131,7 @@ def folded(sketches: list[bytes]) -> np.ndarray:
 def _sets(batches, rule: Rule):
     """(rows of a slice, sorted set of every row)."""
     for batch in batches:
-        for part in textbytes.slices(batch, "text"):
+        for part in textbytes.slices(batch, "text", textbytes.BLOCK_BYTES):
             hashes, edges = textbytes.shingle_hashes(*textbytes.word_hashes(part.column(1)), rule.size)
             yield part, [np.unique(hashes[a:b]) for a, b in zip(edges[:-1], edges[1:])]
 
@@ -142,7 +147,7 @@ def _features(docs: DataFrame, rule: Rule) -> DataFrame:
             sigs = []
             for s, key in zip(sets, c):
                 sigs.append(np.zeros(0, np.int64) if key in seen else signatures(s, rule, bounds))
-                if len(seen) < 1_000_000:
+                if len(seen) < SEEN:
                     seen.add(key)
             edges = np.concatenate([[0], np.cumsum([len(x) for x in sigs])])
             yield pa.RecordBatch.from_arrays(
@@ -154,6 +159,27 @@ def _features(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, key long, n_shingles long, c1 long, c2 long, sigs array<long>")
 
 
+def _shared(batches):
+    """Of rows (sig, node) in order: those whose sig has two nodes at least, each
+    once. Only the last row seen waits for the next batch."""
+    sig, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    joined = False  # whether the waiting row's sig has stood before it
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            sig, node = (np.concatenate([w, np.asarray(c)]) for w, c in zip((sig, node), batch.columns))
+        if not len(sig):
+            continue
+        fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
+        sig, node = sig[fresh], node[fresh]
+        same = sig[1:] == sig[:-1]
+        keep = np.concatenate([[joined], same]) | np.concatenate([same, [False]])
+        joined = bool(same[-1]) if len(same) else joined
+        end = len(sig) if batch is None else len(sig) - 1
+        keep = keep[:end]
+        yield pa.RecordBatch.from_arrays([pa.array(sig[:end][keep]), pa.array(node[:end][keep])], ["sig", "node"])
+        sig, node = sig[end:], node[end:]
+
+
 def _members(features: DataFrame, bits: int) -> DataFrame:
     """(sig, node, weight): the classes of every fragment that two classes
     share. Fragments with the same classes are interchangeable: one stands for
@@ -161,13 +187,13 @@ def _members(features: DataFrame, bits: int) -> DataFrame:
     move less; a chance match costs a comparison and nothing else."""
     rows = features.select(F.explode("sigs").alias("sig"), F.col("c1").alias("node")) \
         .select(F.shiftrightunsigned("sig", 64 - bits).alias("sig"), "node")
-    shared = rows.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
-    held = written(rows.join(shared.hint("shuffle_hash"), "sig").distinct())
+    dealt = rows.repartition("sig").sortWithinPartitions("sig", "node")
+    held = cut_lineage(dealt.mapInArrow(_shared, "sig long, node long"))
     lists = held.groupBy("sig").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
     one = lists.groupBy("n", "x", "y").agg(F.min("sig").alias("sig"), F.count("*").alias("weight"))
-    out = written(held.join(one.select("sig", "weight"), "sig"))
+    out = cut_lineage(held.join(one.select("sig", "weight"), "sig"))
     discard(held)
     return out
 
@@ -221,11 +247,26 @@ def _class_sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, overlap, total): partial overlaps counted fragment by fragment,
-    and summed for each pair."""
+    and summed for each pair. ``pairs`` (a, b) is a written table without repeats."""
     parts = sets.select("node", "n", F.posexplode("parts").alias("fragment", "part"))
-    side = lambda c: parts.select(F.col("node").alias(c), "fragment", F.col("n").alias(f"n_{c}"),
-                                  F.col("part").alias(f"part_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
+
+    def copies(c):  # a class in very many pairs is joined in copies, PAIRS pairs each
+        shares = pairs.groupBy(c).agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("copies"))
+        dealt = lookup(pairs, shares, [c]).select(
+            "a", "b", F.pmod(F.xxhash64("a", "b"), F.col("copies")).cast("int").alias(f"copy_{c}"))
+        side = parts.join(shares.withColumnRenamed(c, "node"), "node").select(
+            F.col("node").alias(c), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias(f"copy_{c}"), "fragment",
+            F.col("n").alias(f"n_{c}"), F.col("part").alias(f"part_{c}"))
+        return dealt, side
+
+    sides = lambda c: parts.select(F.col("node").alias(c), "fragment", F.col("n").alias(f"n_{c}"),
+                                   F.col("part").alias(f"part_{c}"))
+    most = pairs.groupBy("a").count().unionByName(pairs.groupBy(F.col("b").alias("a")).count()).agg(F.max("count")).first()[0]
+    if (most or 0) <= PAIRS:
+        both = pairs.join(sides("a"), "a").join(sides("b"), ["b", "fragment"])
+    else:
+        (dealt, left), (other, right) = copies("a"), copies("b")
+        both = dealt.join(left, ["a", "copy_a"]).join(other, ["a", "b"]).join(right, ["b", "copy_b", "fragment"])
 
     def count(batches):
         for batch in batches:
@@ -280,12 +321,12 @@ def _dealt(apart: DataFrame) -> DataFrame:
 
 
 def _search(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, cells: np.ndarray,
-            done: set, rule: Rule) -> list[tuple[int, int]]:
-    """(a, b): pairs of one task, of different components, that pass the
-    sketch and are not ``done``: one for each two components that would join,
-    and a bounded number beside them. The rest comes in later rounds, unless
-    the components have met by then."""
-    joined, out, spare = component.copy(), [], 8 * len(nodes)
+            done: set, spare: int, rule: Rule) -> list[tuple[int, int, int, int]]:
+    """(a, b, and their components): pairs of one task, of different components,
+    that pass the sketch and are not ``done``: one for each two components that
+    would join, and ``spare`` beside them. The rest comes in later rounds,
+    unless the components have met by then."""
+    joined, out = component.copy(), []
     for i in range(len(nodes) - 1):
         j = i + 1 + np.flatnonzero(component[i + 1:] != component[i])
         if not len(j):
@@ -293,19 +334,19 @@ def _search(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, cells: np.n
         apart = rule.most_apart(n[i] + n[j])
         j = j[(np.abs(n[i] - n[j]) <= apart) & ((cells[j] != cells[i]).sum(1) <= apart)]
         for k in j:
-            a, b = int(min(nodes[i], nodes[k])), int(max(nodes[i], nodes[k]))
+            (a, ca), (b, cb) = sorted([(int(nodes[i]), int(component[i])), (int(nodes[k]), int(component[k]))])
             if (a, b) in done:
                 continue
             joins = joined[i] != joined[k]
             if joins or spare > 0:
-                out.append((a, b))
+                out.append((a, b, min(ca, cb), max(ca, cb)))
                 spare -= not joins
             if joins:  # taken as joined within this round; the pair is counted before the next
                 joined[joined == joined[k]] = joined[i]
     return out
 
 
-def _searched(batches, rule: Rule):
+def _searched(batches, spare: int, rule: Rule):
     """``_search`` over rows sorted by task: classes, then pairs done before. A
     task that goes on in the next batch waits for it."""
     rest = None
@@ -327,22 +368,32 @@ def _searched(batches, rule: Rule):
                 continue
             cells = folded(sketches[int(x):int(m)].to_pylist())
             done = set(zip(node[m:y].tolist(), component[m:y].tolist()))
-            pairs = _search(node[x:m], component[x:m], n[x:m], cells, done, rule)
-            found += [(int(task[x]), int(sig[x]), a, b) for a, b in pairs]
-        columns = list(zip(*found)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["task", "sig", "a", "b"])
+            pairs = _search(node[x:m], component[x:m], n[x:m], cells, done, spare * int(m - x), rule)
+            found += [(int(task[x]), int(sig[x]), *pair) for pair in pairs]
+        columns = list(zip(*found)) or [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["task", "sig", "a", "b", "ca", "cb"])
 
 
-def _further_pairs(apart: DataFrame, sketches: DataFrame, tested: DataFrame, rule: Rule) -> DataFrame:
-    """(task, sig, a, b): pairs of different components that pass the sketch
-    and were not tested; all of them are found over the rounds."""
+def _further_pairs(apart: DataFrame, sketches: DataFrame, tested: DataFrame, spare: int, rule: Rule) -> DataFrame:
+    """(task, sig, a, b, ca, cb): pairs of different components ca and cb that
+    pass the sketch and that the task does not know as tested; all of them are
+    found over the rounds."""
     left = _dealt(apart).join(sketches, "node") \
         .select("task", F.lit(0).alias("kind"), "node", "component", "n", "sketch", "sig")
     done = tested.select("task", F.lit(1).alias("kind"), F.col("a").alias("node"), F.col("b").alias("component"),
                          F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("sketch"), "sig")
     parts = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (left.unionByName(done).repartition(parts, "task").sortWithinPartitions("task", "kind")
-            .mapInArrow(lambda batches: _searched(batches, rule), "task long, sig long, a long, b long"))
+            .mapInArrow(lambda batches: _searched(batches, spare, rule),
+                        "task long, sig long, a long, b long, ca long, cb long"))
+
+
+def _chosen(raw: DataFrame, counted: DataFrame, most: int) -> DataFrame:
+    """(a, b): of the pairs in ``raw`` that are not ``counted``, at most ``most``
+    for each two components, over all fragments."""
+    fresh = raw.select("a", "b", "ca", "cb").distinct().join(counted, ["a", "b"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("ca", "cb").orderBy(F.xxhash64("a", "b"), "a", "b"))
+    return fresh.withColumn("rank", rank).where(F.col("rank") <= most).select("a", "b")
 
 
 def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
@@ -360,26 +411,36 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     total = features.agg(F.sum(F.size("sigs")).alias("n")).first()["n"] or 0
     members = _members(features, min(64, int(total).bit_length() + 16))
     discard(features)
+    release(spark)
     sketches = _sketches(docs, _documents_of(members.select("node"), classes), rule)
     threshold = (rule.num + rule.den) * F.col("overlap") >= rule.num * F.col("total")
-    tested, pairs = [], _leading_pairs(members)
     found = spark.createDataFrame([], "node long, component long")
+    none, seen = spark.createDataFrame([], "a long, b long"), []
+    todo, tested, turn = written(_leading_pairs(members).distinct()), [], 0
     while True:
-        todo = written(pairs.select("a", "b").distinct())
         ends = todo.select(F.col("a").alias("node")).unionByName(todo.select(F.col("b").alias("node")))
         sets = _class_sets(docs, _documents_of(ends, classes), rule)
         counted = written(_overlaps(todo, sets).withColumn("linked", threshold))
         discard(sets)
+        release(spark)
+        seen.append(todo)
         links = counted.where("linked").select("a", "b")
         if not links.isEmpty():
             found = _joined(found, links)
+        before = reduce(DataFrame.unionByName, seen, none)
         apart = written(_apart(members, found))
-        none = spark.createDataFrame([], "task long, sig long, a long, b long")
-        pairs = written(_further_pairs(apart, sketches, reduce(DataFrame.unionByName, tested, none), rule))
-        if pairs.isEmpty():
-            return documents, found
-        tested.append(pairs)
-        members = members.join(pairs.select("sig").distinct(), "sig", "left_semi")  # the others have no pair left
+        while True:  # until there are pairs to count; a task may bring up what another one has had counted
+            known = reduce(DataFrame.unionByName, tested, none.selectExpr("a AS task", "a AS sig", "a", "b"))
+            raw = written(_further_pairs(apart, sketches, known, 4 ** turn - 1, rule))
+            if raw.isEmpty():
+                return documents, found
+            todo = written(_chosen(raw, before, 4 ** turn))
+            tested.append(written(raw.join(todo.unionByName(before).distinct(), ["a", "b"], "left_semi")
+                                  .select("task", "sig", "a", "b")))
+            if not todo.isEmpty():
+                break
+        turn += 1
+        members = members.join(raw.select("sig").distinct(), "sig", "left_semi")  # the others have no pair left
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:

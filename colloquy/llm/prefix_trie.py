@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import with_positions
 from ..session import cut_lineage, discard
-from .lookup import lookup
+from ..operators.lookup import lookup
 
 #: Depths of a band; turns of a segment (a multiple of HEIGHT); conversations of one run of ids.
 HEIGHT, SEGMENT, IDS = 8, 1024, 12

@@ -133,3 +133,16 @@ def test_classes_that_share_an_id_are_not_members_of_each_other(spark, docs_of):
     assert members.select("node").distinct().count() == 2
     got = found(nj.components_of(docs_of(rows), NEAR))
     assert got == brute(rows, NEAR)
+
+
+def test_shared_signatures_over_any_batches():
+    import pyarrow as pa
+    rnd = random.Random(8)
+    rows = sorted((rnd.randrange(30), rnd.randrange(8)) for _ in range(60))
+    want = sorted({(s, n) for s, n in rows if len({m for t, m in rows if t == s}) > 1})
+    for size in (1, 2, 3, 7, 60):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i:i + size])], ["sig", "node"])
+                   for i in range(0, len(rows), size)]
+        got = [r for b in nj._shared(batches) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert got == want, size
+    assert list(nj._shared([])) == []
