@@ -48,7 +48,9 @@ from ..operators.lookup import lookup
 CELLS, PARTS, BLOCK = 64, 8, 4096
 #: Most classes whose ids may be broadcast (8 bytes each); beyond it, a shuffle join.
 BROADCAST_IDS = 1 << 21
-#: Pairs of a class that one copy of its set is joined with; sets that a task remembers to have sent.
+#: Most classes whose places may be broadcast (some 50 bytes each).
+BROADCAST_ROUTES = 1 << 19
+#: Pairs of a class that one copy of its set meets; sets that a task remembers to have sent.
 PAIRS, SEEN = 256, 100_000
 #: Smallest id, which stands for a null one.
 NONE = -(1 << 63)
@@ -228,56 +230,86 @@ def _sketches(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
                  .mapInArrow(run, "node long, n long, sketch binary"))
 
 
-def _class_sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
-    """(node, n, parts): the whole sets of the documents in ``ids``, cut into
-    PARTS fragments of the order."""
+def _routed(pairs: DataFrame) -> DataFrame:
+    """(node, places): where the sets of the pairs' classes have to meet. Each
+    pair is turned so that the class in more pairs leads; a leader's set goes
+    to a place of its own for each PAIRS of its pairs, the other one to its
+    leader's place. ``pairs`` (a, b) is a written table without repeats."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count("*").alias("d"))
+    held = cut_lineage(lookup(cut_lineage(lookup(pairs, degree.select(F.col("node").alias("a"), F.col("d").alias("da")), ["a"])),
+                              degree.select(F.col("node").alias("b"), F.col("d").alias("db")), ["b"]))
+    swap = F.col("db") > F.col("da")
+    led = held.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("lead"),
+                      F.when(swap, F.col("a")).otherwise(F.col("b")).alias("node"),
+                      F.ceil(F.greatest("da", "db") / PAIRS).alias("copies"))
+    led = led.select("lead", "node", F.pmod(F.xxhash64("node", "lead"), F.col("copies")).cast("int").alias("copy"))
+    leaders = led.select("lead", F.col("lead").alias("node"), "copy").distinct()
+    return led.unionByName(leaders).groupBy("node").agg(F.collect_list(F.struct("lead", "copy")).alias("places"))
+
+
+def _set_parts(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """(lead, copy, fragment, node, n, part): the sets of the pairs' classes, cut
+    into PARTS fragments of the order, at every place they have to go to. They
+    come straight from one document of each class, and move once."""
+    routes = written(_routed(pairs).join(classes, F.col("node") == F.col("c1")).select("doc_id", "node", "places"))
+    routes = F.broadcast(routes) if routes.count() <= BROADCAST_ROUTES else routes
 
     def run(batches):
         cut = np.arange(1, PARTS, dtype=np.uint64) << np.uint64(64 - PARTS.bit_length() + 1)
-        for _, sets in _sets(batches, rule):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([class_hash(s, rule)[0] for s in sets], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([[x.tobytes() for x in np.split(s, np.searchsorted(s, cut))] for s in sets],
-                         pa.list_(pa.binary()))], ["node", "n", "parts"])
+        for batch in batches:
+            for part in textbytes.slices(batch, "text", textbytes.BLOCK_BYTES):
+                hashes, edges = textbytes.shingle_hashes(*textbytes.word_hashes(part.column(1)), rule.size)
+                rows = []
+                for a, b, node, places in zip(edges[:-1], edges[1:], part.column(2).to_pylist(), part.column(3).to_pylist()):
+                    s = np.unique(hashes[a:b])
+                    if class_hash(s, rule)[0] != node:  # another row of that id
+                        continue
+                    pieces = [x.tobytes() for x in np.split(s, np.searchsorted(s, cut))]
+                    rows += [(p["lead"], p["copy"], i, node, len(s), piece) for p in places for i, piece in enumerate(pieces)]
+                    if len(rows) >= 4096:
+                        yield _rows(rows, _PARTS)
+                        rows = []
+                yield _rows(rows, _PARTS)
 
-    return _once(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-                 .mapInArrow(run, "node long, n long, parts array<binary>"))
+    return docs.join(routes, "doc_id").select("doc_id", "text", "node", "places") \
+        .mapInArrow(run, "lead long, copy int, fragment int, node long, n long, part binary")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+_PARTS = [("lead", pa.int64()), ("copy", pa.int32()), ("fragment", pa.int32()), ("node", pa.int64()), ("n", pa.int64()),
+          ("part", pa.binary())]
+_PARTIAL = [("a", pa.int64()), ("b", pa.int64()), ("total", pa.int64()), ("partial", pa.int64())]
+
+
+def _rows(rows: list[tuple], columns: list[tuple]) -> pa.RecordBatch:
+    values = list(zip(*rows)) or [[]] * len(columns)
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(values, columns)], [c for c, _ in columns])
+
+
+def _overlaps(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b, overlap, total): partial overlaps counted fragment by fragment,
     and summed for each pair. ``pairs`` (a, b) is a written table without repeats."""
-    parts = sets.select("node", "n", F.posexplode("parts").alias("fragment", "part"))
-
-    def copies(c):  # a class in very many pairs is joined in copies, PAIRS pairs each
-        shares = pairs.groupBy(c).agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("copies"))
-        dealt = lookup(pairs, shares, [c]).select(
-            "a", "b", F.pmod(F.xxhash64("a", "b"), F.col("copies")).cast("int").alias(f"copy_{c}"))
-        side = parts.join(shares.withColumnRenamed(c, "node"), "node").select(
-            F.col("node").alias(c), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias(f"copy_{c}"), "fragment",
-            F.col("n").alias(f"n_{c}"), F.col("part").alias(f"part_{c}"))
-        return dealt, side
-
-    sides = lambda c: parts.select(F.col("node").alias(c), "fragment", F.col("n").alias(f"n_{c}"),
-                                   F.col("part").alias(f"part_{c}"))
-    most = pairs.groupBy("a").count().unionByName(pairs.groupBy(F.col("b").alias("a")).count()).agg(F.max("count")).first()[0]
-    if (most or 0) <= PAIRS:
-        both = pairs.join(sides("a"), "a").join(sides("b"), ["b", "fragment"])
-    else:
-        (dealt, left), (other, right) = copies("a"), copies("b")
-        both = dealt.join(left, ["a", "copy_a"]).join(other, ["a", "b"]).join(right, ["b", "copy_b", "fragment"])
+    place = ["lead", "copy", "fragment"]
+    parts = _set_parts(docs, pairs, classes, rule).repartition(*place) \
+        .sortWithinPartitions(*place, (F.col("node") != F.col("lead")), "node")
 
     def count(batches):
+        at, lead, size, last = None, None, 0, None
         for batch in batches:
-            n = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True))
-                 for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64())],
-                                             ["a", "b", "total", "partial"])
-
-    return (both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("total"), "part_a", "part_b")
-            .mapInArrow(count, "a long, b long, total long, partial long")
-            .groupBy("a", "b", "total").agg(F.sum("partial").alias("overlap")))
+            out = []
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for row in zip(*columns):
+                here, node = row[:3], row[3]
+                if here != at:  # the leader's own part stands first
+                    at, lead, size, last = here, np.frombuffer(row[5], np.uint64), row[4], node
+                elif node != last:  # repeated rows of a document say nothing new
+                    n = len(np.intersect1d(lead, np.frombuffer(row[5], np.uint64), True))
+                    out.append((min(at[0], node), max(at[0], node), size + row[4], n))
+                    last = node
+            yield _rows(out, _PARTIAL)
+
+    return parts.mapInArrow(count, "a long, b long, total long, partial long") \
+        .groupBy("a", "b", "total").agg(F.sum("partial").alias("overlap"))
 
 
 def _leading_pairs(members: DataFrame) -> DataFrame:
@@ -418,10 +450,7 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     none, seen = spark.createDataFrame([], "a long, b long"), []
     todo, tested, turn = written(_leading_pairs(members).distinct()), [], 0
     while True:
-        ends = todo.select(F.col("a").alias("node")).unionByName(todo.select(F.col("b").alias("node")))
-        sets = _class_sets(docs, _documents_of(ends, classes), rule)
-        counted = written(_overlaps(todo, sets).withColumn("linked", threshold))
-        discard(sets)
+        counted = written(_overlaps(docs, todo, classes, rule).withColumn("linked", threshold))
         release(spark)
         seen.append(todo)
         links = counted.where("linked").select("a", "b")
