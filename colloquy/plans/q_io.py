@@ -21,8 +21,10 @@ WHERE dm.content IS NOT NULL AND dm.content <> '' AND dm.author_id % 3 = 0
   AND dc.log <> 0 AND (dp.channel_id IS NULL OR dp.log <> 0)
 """)
 def stream_questions(spark, sf_dir):
-    """ST1: file-stream of turns -> loggable non-empty questions -> staging."""
-    return ST.stream_questions(spark, sf_dir).select("message_id", "is_relevant", "answered")
+    """ST1: turns as eight files, newest conversations first -> loggable
+    non-empty questions -> staging (D1)."""
+    files = ST.split_into_files(spark, sf_dir, "conversations", "conv_id")
+    return ST.stream_questions(spark, sf_dir, turns_dir=files).select("message_id", "is_relevant", "answered")
 
 
 @register("stream_import", """
@@ -103,24 +105,38 @@ def import_messages(spark, sf_dir):
 
 
 @register("table_versions", """
-SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1
+WITH v AS (SELECT o_custkey AS customer, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1),
+late AS (SELECT c_custkey AS customer, CAST(0 AS BIGINT) AS n, CAST(0 AS DOUBLE) AS total
+         FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)),
+copied AS (SELECT * FROM v UNION ALL SELECT * FROM late)
+SELECT 'version' AS source, customer, n, total FROM v
+UNION ALL SELECT 'copy', customer, n, total FROM copied
+UNION ALL SELECT 'lines', customer, n, NULL FROM copied
 """)
 def table_versions(spark, sf_dir):
-    """S14 + S8 + S9 + S7: two versions written side by side, the pointer
-    moved to the second; the current version is read back."""
-    o = table(spark, sf_dir, "orders")
+    """S14 + S8 + S9 + S7: two versions written side by side, the second
+    published and read back; the version copied to another folder, the
+    customers without orders appended there and the copy read back; the copy
+    written as text lines, which are read and split again."""
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("customer"))
     base = IO.scratch_path(spark, "versions")
-    v1 = o.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"))
-    IO.write_version(v1, base)
-    v2 = o.groupBy(F.col("o_orderstatus").alias("status")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
-    path = IO.write_version(v2, base)
-    IO.write_lines(v2.select(F.concat_ws(",", "status", "n").alias("l")), "l", path + "-lines")
-    copy = base + "-copy"
-    IO.copy_table(spark, path, copy)
-    IO.append_rows(spark.read.parquet(copy).limit(0), copy)
-    cur = IO.read_current(spark, base)
-    return cur.select("status", "n", "total")
+    IO.write_version(o.agg(F.count(F.lit(1)).alias("n")), base)
+    path = IO.write_version(o.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")), base)
+    version = IO.read_current(spark, base).select("customer", "n", "total")
+    target = base + "-copy"
+    IO.copy_table(spark, path, target)
+    late = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer")).join(
+        version.select("customer"), "customer", "left_anti")
+    IO.append_rows(late.select("customer", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("total")), target)
+    copied = IO.read_table(spark, target).select("customer", "n", "total")
+    IO.write_lines(copied.select(F.format_string("customer %d: %d orders", "customer", "n").alias("line")),
+                   "line", base + "-lines")
+    part = lambda k: F.regexp_extract("value", r"^customer (\d+): (\d+) orders$", k).cast("bigint")
+    lines = spark.read.text(base + "-lines").select(part(1).alias("customer"), part(2).alias("n"),
+                                                    F.lit(None).cast("double").alias("total"))
+    return (version.withColumn("source", F.lit("version"))
+            .unionByName(copied.withColumn("source", F.lit("copy")))
+            .unionByName(lines.withColumn("source", F.lit("lines"))).select("source", "customer", "n", "total"))
 
 
 @register("export_qa_json")

@@ -34,4 +34,5 @@ def add(name: str, fn: Builder, oracle: str | None = None) -> None:
 
 def load_all() -> None:
     """Import every query module so that their ``register`` calls run."""
-    from . import (q_conversation, q_graph, q_io, q_misc, q_models, q_state, q_text)  # noqa: F401
+    from . import (q_conversation, q_graph, q_io, q_misc, q_models, q_state, q_text,
+                   q_versions)  # noqa: F401

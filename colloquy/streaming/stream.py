@@ -14,9 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.state import keep_by_order
+from ..sources import buckets
 from ..sources.io import scratch_path
 
+#: Numbers of the key that a bucket of a sink's table holds.
+SPAN = 1 << 20
+
 
 def _file_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 4) -> DataFrame:
     """The table's files as a stream: a directory of part files, of which each
@@ -40,28 +43,23 @@ def split_into_files(spark: SparkSession, sf_dir: str, name: str, order: str, fi
     return base
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def _merge_sink(table_path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: D1 insert-if-absent into a parquet table, so a
-    batch replayed after a failure inserts nothing twice. Only existing rows
-    in the batch's key range are read for the comparison."""
+    """foreachBatch writer: D1 insert-if-absent into a table in buckets, so a
+    batch replayed after a failure inserts nothing twice. Only the keys of the
+    buckets that the batch's keys fall into are read for the comparison."""
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = keep_by_order(batch, key, [c for c in batch.columns if c != key], last=False)
-        if _exists(spark, f"{table_path}/_SUCCESS"):
-            span = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-            if span["lo"] is None:
-                return
-            known = spark.read.parquet(table_path).select(key).where(F.col(key).between(span["lo"], span["hi"]))
-            new = new.join(known, key, "left_anti")
-        new.write.mode("append").parquet(table_path)
+        buckets.insert_absent(batch, table_path, key, [c for c in batch.columns if c != key])
     return write
 
 
+def _open(like: DataFrame, table_path: str, key: str, span: int) -> None:
+    """The sink's table, created empty where there is none: a bucket holds
+    ``span`` numbers of the key, so new keys touch few buckets."""
+    spark = like.sparkSession
+    if buckets.current(spark, table_path) is None:
+        buckets.create(spark.createDataFrame([], like.schema), table_path, f"{key} div {span}")
+
+
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
                   output_mode: str = "append") -> None:
     """Process everything available now, then stop."""
@@ -70,14 +68,16 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
     q.awaitTermination()
 
 
-def stream_questions(spark: SparkSession, sf_dir: str, table_path: str | None = None) -> DataFrame:
-    """ST1: conversation turns arriving as files -> messages -> loggable
-    (J3), non-empty (F1) questions -> staging table (D1). Returns the table."""
+def stream_questions(spark: SparkSession, sf_dir: str, table_path: str | None = None,
+                     turns_dir: str | None = None, span: int = SPAN) -> DataFrame:
+    """ST1: conversation turns arriving as files (below ``turns_dir``, where they
+    are not with the other tables) -> messages -> loggable (J3), non-empty
+    (F1) questions -> staging table (D1). Returns the table."""
     from ..operators.filters import non_empty
     from ..operators.joins import loggable_messages
     from ..sources import views as V
     table_path = table_path or scratch_path(spark, "staging")
-    turns = _file_stream(spark, sf_dir, "conversations")
+    turns = _file_stream(spark, turns_dir or sf_dir, "conversations")
     conv, turn = F.col("conv_id"), F.col("turn")
     role = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
     msgs = turns.select((conv * 1000 + turn).alias("id"), (conv % 25).alias("channel_id"),
@@ -88,11 +88,13 @@ def stream_questions(spark: SparkSession, sf_dir: str, table_path: str | None =
     q = q.filter(F.col("author_id") % 3 == 0).select(F.col("id").alias("message_id"),
                                                      F.lit(None).cast("int").alias("is_relevant"),
                                                      F.lit(0).alias("answered"))
+    _open(q, table_path, "message_id", span)
     run_available(q, _merge_sink(table_path, "message_id"), table_path + "-ckpt")
-    return spark.read.parquet(table_path)
+    return buckets.read(spark, table_path)
 
 
-def stream_import(spark: SparkSession, sf_dir: str, table_path: str | None = None) -> DataFrame:
+def stream_import(spark: SparkSession, sf_dir: str, table_path: str | None = None,
+                  span: int = SPAN) -> DataFrame:
     """ST2 + S10: event records arriving as files, in any order of time, merged
     exactly by key (D1): an id that is new is inserted however old it is. Times
     are rendered as ``yyyy-MM-dd HH:mm:ss``."""
@@ -101,8 +103,9 @@ def stream_import(spark: SparkSession, sf_dir: str, table_path: str | None = Non
     ev = (ev.select(F.col("event_id").alias("message_id"), F.col("user_id").alias("author"),
                     F.col("event_type").alias("content"),
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("created_timestamp")))
+    _open(ev, table_path, "message_id", span)
     run_available(ev, _merge_sink(table_path, "message_id"), table_path + "-ckpt")
-    return spark.read.parquet(table_path)
+    return buckets.read(spark, table_path)
 
 
 def period_rollup_stream(spark: SparkSession, sf_dir: str, table_path: str | None = None,
