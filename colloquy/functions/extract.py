@@ -8,7 +8,7 @@ model plus a parser, the parser part is here and takes the model's reply
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
@@ -45,10 +45,12 @@ def usd_patterns(compat: bool = False) -> tuple[list[str], list[str]]:
 
 
 def get_usd(s, compat: bool = False) -> Column:
-    """First USD amount in pattern order ('' if none)."""
+    """First USD amount in pattern order ('' if none). The patterns run
+    only on texts that hold the sign, or the currency's name."""
     s = _c(s)
     dollar, words = usd_patterns(compat)
-    return _first(s, dollar + words)
+    found = F.when(s.contains("$"), F.nullif(_first(s, dollar), F.lit("")))
+    return F.coalesce(found, F.when(s.contains("USD"), _first(s, words)), F.lit(""))
 
 
 def get_eth(s) -> Column:
@@ -56,14 +58,25 @@ def get_eth(s) -> Column:
     s = _c(s)
     a = F.array_join(F.regexp_extract_all(s, F.lit(f"{D}+.{D}+ *{P.WORD}*ETH"), 0), " and ")
     b = F.array_join(F.regexp_extract_all(s, F.lit(f"{D}+ *{P.WORD}*ETH"), 0), " and ")
-    return F.when(a != "", a).otherwise(b)
+    return F.when(s.contains("ETH"), F.coalesce(F.nullif(a, F.lit("")), b)).when(s.isNotNull(), F.lit(""))
+
+
+def with_money(df: DataFrame, text: str, usd: str = "usd", eth: str = "eth", money: str = "money",
+               compat: bool = False) -> DataFrame:
+    """X21 + X22 + X23 as columns, each amount parsed once for a row (a single
+    expression for X23 repeats both parsers in each of its branches)."""
+    found = df.withColumns({usd: get_usd(text, compat), eth: get_eth(text)})
+    return found.withColumn(money, _chosen_money(_c(text), _c(usd), _c(eth)))
 
 
 def get_money(s, compat: bool = False) -> Column:
     """X23: 'usd and eth' when both exist and the text has no word 'or', no
     word '||' and no '('; else usd, else eth, else the input."""
     s = _c(s)
-    usd, eth = get_usd(s, compat), get_eth(s)
+    return _chosen_money(s, get_usd(s, compat), get_eth(s))
+
+
+def _chosen_money(s: Column, usd: Column, eth: Column) -> Column:
     words = F.split(strip(s), f"{P.WS_J}+")
     both = ((usd != "") & (eth != "") & ~F.array_contains(words, "or")
             & ~F.array_contains(words, "||") & ~s.contains("("))

@@ -278,7 +278,8 @@ def graph_view1(proposals: DataFrame, replies: DataFrame | None = None,
     from ..session import cut_lineage
     budget = None
     if replies is not None:
-        budget = wide_replies(replies).select("pid", X.get_money(F.col("budget")).alias("budget"))
+        budget = X.with_money(wide_replies(replies), "budget", "_usd", "_eth", "_money").select(
+            "pid", F.col("_money").alias("budget"))
     t = proposal_triples(proposals, replies).unionByName(action_triples(proposals, budget, treasury))
     t = split_budgets(normalise_types(t))
     if materialize:

@@ -118,12 +118,10 @@ FROM r
 def money(spark, sf_dir):
     """X21 + X22 + X23 + X24: USD / ETH amounts found in budget replies."""
     r = _replies(spark, sf_dir, "budget")
-    # staged projections: the parsed text is computed once and referenced
+    # staged projections: a parsed text is computed once and referenced
     # (one nested expression would repeat it inside every later step)
-    r = r.withColumn("money", X.get_money(F.col("reply")))
-    r = r.withColumn("_n", X.to_number(F.col("money")))
-    return r.select("pid", X.get_usd(F.col("reply")).alias("usd"), X.get_eth(F.col("reply")).alias("eth"),
-                    "money", X.render_number(F.col("_n")).alias("amount"))
+    r = X.with_money(r, "reply").withColumn("_n", X.to_number(F.col("money")))
+    return r.select("pid", "usd", "eth", "money", X.render_number(F.col("_n")).alias("amount"))
 
 
 @register("duration", _replies_sql("duration") + f"""
