@@ -360,6 +360,28 @@ def entity_catalog(spark, sf_dir):
                              ST.datatype_table(spark, TREASURY), TREASURY)
 
 
+TYPED_CATALOG_SQL = CATALOG_SQL.replace("\nSELECT 'property' AS kind", ",\ncat AS (SELECT 'property' AS kind", 1) + """),
+types(label) AS (SELECT 'Proposal' UNION SELECT type FROM rng),
+inv(relation, inverse) AS (VALUES ('Supported By', 'Supported'), ('Opposed By', 'Opposed'),
+                                  ('Abstained By', 'Abstained'), ('Proposer', 'Proposed'))
+SELECT 'type' AS kind, label, 'Entity' AS type, 'A node type.' AS description, CAST(NULL AS VARCHAR) AS inverse_of FROM types
+UNION ALL SELECT kind, label, type, CASE WHEN kind = 'item' THEN type END, NULL FROM cat
+WHERE kind = 'property' OR label NOT IN (SELECT label FROM types)
+UNION ALL SELECT 'property', inverse, 'wikibase-item', 'inverse of ' || relation, relation FROM inv
+WHERE relation IN (SELECT label FROM cat WHERE kind = 'property')
+  AND inverse NOT IN (SELECT label FROM cat WHERE kind = 'property')
+"""
+
+
+@register("typed_catalog", TYPED_CATALOG_SQL)
+def typed_catalog(spark, sf_dir):
+    """K11 with the type root, the range types and the inverse properties."""
+    from ..operators import statements as ST
+    from ..session import cut_lineage
+    # read for the items, the properties and the inverse properties: written once
+    return ST.typed_catalog(cut_lineage(entity_catalog(spark, sf_dir)), TREASURY)
+
+
 ENSURE_SQL = base_ctes() + ",\n" + basic_sql() + ",\n" + edges_sql() + ",\n" + _range_values() + """,
 t AS (SELECT subject, relation, object FROM bv UNION ALL SELECT subject, relation, object FROM ve),
 items AS (SELECT DISTINCT subject AS label FROM t

@@ -95,3 +95,17 @@ def test_normalise_and_split_budgets_single_pass(spark):
                    ("ExecutionETA", "1970-01-02"), ("Proposal Duration in Months", "3"),
                    ("Proposal Budget in USD", "12000.0"), ("Proposal Budget in ETH", "5.0"),
                    ("Proposal Budget in stETH", "2.0"), ("Quorumvotes", "10")}
+
+
+def test_typed_catalog(spark):
+    from colloquy.operators.statements import typed_catalog
+    cat = spark.createDataFrame([
+        ("property", "Proposer", "wikibase-item"), ("property", "Supported By", "wikibase-item"),
+        ("property", "Supported", "string"), ("item", "Proposal 1", "Proposal"), ("item", "Status", "Individual"),
+        ("item", "0xa", "Individual")], "kind string, label string, type string")
+    got = {tuple(r) for r in typed_catalog(cat).collect()}
+    types = {("type", x, "Entity", "A node type.", None) for x in ("Proposal", "Individual", "Status", "Proposal Type")}
+    assert got == types | {
+        ("property", "Proposer", "wikibase-item", None, None), ("property", "Supported By", "wikibase-item", None, None),
+        ("property", "Supported", "string", None, None), ("property", "Proposed", "wikibase-item", "inverse of Proposer", "Proposer"),
+        ("item", "Proposal 1", "Proposal", "Proposal", None), ("item", "0xa", "Individual", "Individual", None)}
