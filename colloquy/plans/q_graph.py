@@ -197,6 +197,15 @@ def proposal_triples(spark, sf_dir):
     return G.proposal_triples(_p(spark, sf_dir), _r(spark, sf_dir)).select("subject", "relation", "object")
 
 
+@register("paged_triples", base_ctes() + "," + k1_sql(False) + "\nSELECT subject, relation, object FROM k1")
+def paged_triples(spark, sf_dir):
+    """S4 -> K1: proposals landed as JSON pages, read back, and their triples."""
+    from ..sources import io as IO
+    path = IO.scratch_path(spark, "pages")
+    IO.write_proposals_json(_p(spark, sf_dir), path)
+    return G.proposal_triples(IO.read_proposals_json(spark, path)).select("subject", "relation", "object")
+
+
 @register("action_triples", base_ctes() + "," + k2_sql(True) + "\nSELECT subject, relation, object FROM k2")
 def action_triples(spark, sf_dir):
     """K2: transfer / debt / edition / threshold triples from zipped actions."""
