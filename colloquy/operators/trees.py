@@ -84,16 +84,17 @@ def _doubled(moving: DataFrame, known: DataFrame) -> DataFrame:
     row that it points at."""
     k = known.select(F.col("id").alias("top"), F.col("top").alias("_top"), F.col("way").alias("_way"),
                      F.col("marks").alias("_marks"), F.col("mine").alias("_mine"), F.col("state").alias("_state"))
-    size = F.size("way")
+    # its own column: a name inside a lambda may resolve to the new ``way`` of the same select
+    size = F.col("_n")
     here = F.when(F.col("_mine"), F.array(F.struct(F.col("top").alias("a"), size.alias("d")))) \
         .otherwise(F.array().cast("array<struct<a:bigint,d:int>>"))
-    above = F.transform("_marks", lambda m: F.struct(m["a"].alias("a"), (m["d"] + F.size("way")).alias("d")))
+    above = F.transform("_marks", lambda m: F.struct(m["a"].alias("a"), (m["d"] + size).alias("d")))
     met = F.col("_top").isNotNull()
     loop = F.array_contains("way", F.col("top")) | (F.col("_state") == "cycle") \
         | F.array_contains(F.concat("_way", "way"), F.col("_top"))
     state = F.when(~met, "top").when(loop, "cycle").when(F.col("_state") == "top", "top").otherwise("on")
     go = met & ~loop
-    return moving.join(k, "top", "left").select(
+    return moving.withColumn("_n", F.size("way")).join(k, "top", "left").select(
         "id", F.when(go, F.col("_top")).otherwise(F.col("top")).alias("top"),
         F.when(go, F.concat("_way", "way")).otherwise(F.col("way")).alias("way"),
         F.when(go, F.concat("marks", here, above)).otherwise(F.col("marks")).alias("marks"),
