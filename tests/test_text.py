@@ -1,5 +1,9 @@
 """Scalar text functions on hand-written value lists."""
 
+import itertools
+import re
+import time
+
 from pyspark.sql import functions as F
 
 from colloquy.functions import text as T
@@ -87,3 +91,16 @@ def test_clean_is_idempotent(spark):
     once = rows.select(T.clean_nb(F.col("s")).alias("s"))
     twice = once.select(T.clean_nb(F.col("s")).alias("s"))
     assert sorted(r["s"] for r in once.collect()) == sorted(r["s"] for r in twice.collect())
+
+
+def test_remove_email_equals_the_plain_pattern_in_linear_time(spark):
+    word = r"[^\W]"
+    plain = re.compile(rf"[\w.<>]*{word}+@{word}+[\w.<>]*")
+    texts = ["a@b@c", "x.@y z@w.<>", "<bob.x@mail.com> now", "@a b@ c@d", "a.b.c@d..e@f g", "é@ü.1", "a@@b", "..a@b"]
+    texts += ["".join(t) for t in itertools.product("a.@ ", repeat=5)]
+    got = spark.createDataFrame([(t,) for t in texts], "s string").select("s", T.remove_email(F.col("s")).alias("r")).collect()
+    assert all(r["r"] == plain.sub(" ", r["s"]) for r in got)
+    began = time.monotonic()
+    for piece in ("x", ".", "x.", "@", "x@", "<"):
+        one(spark, T.remove_email(F.col("s")), piece * (1_000_000 // len(piece)))
+    assert time.monotonic() - began < 60
