@@ -9,8 +9,8 @@ vectors are summed, each lane modulo a power of two, so
   without the rest of the text.
 
 The vector has two blocks. ``EQUAL`` lanes modulo 2**64 hold a 512-bit digest
-of the paragraph: they decide equality. ``LIKE`` lanes modulo 2**16 hold a
-signed count of the paragraph's three-word shingles: the square distance of
+of the paragraph: they decide equality. ``LIKE`` lanes modulo 2**32 hold a
+signed count of the paragraph's three-word shingles (no text is long enough to wrap one): the square distance of
 two sums estimates how many shingles the texts do not share, which gives a
 likeness between 0 and 1, with a standard error near 1/sqrt(LIKE).
 """
@@ -52,17 +52,17 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lane = (hashes & np.uint64(LIKE - 1)).astype(np.int64)
     sign = 1.0 - 2.0 * ((hashes >> np.uint64(40)) & np.uint64(1)).astype(np.float64)
     like = np.bincount(row * LIKE + lane, sign, len(texts) * LIKE).astype(np.int64)
-    return equal, like.astype(np.uint16).reshape(len(texts), LIKE)
+    return equal, like.astype(np.uint32).reshape(len(texts), LIKE)
 
 
 def pack(equal: np.ndarray, like: np.ndarray) -> list[str]:
     """Fingerprints as hex strings."""
-    return [e.astype("<u8").tobytes().hex() + v.astype("<u2").tobytes().hex() for e, v in zip(equal, like)]
+    return [e.astype("<u8").tobytes().hex() + v.astype("<u4").tobytes().hex() for e, v in zip(equal, like)]
 
 
 def unpack(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = bytes.fromhex(fingerprint)
-    return np.frombuffer(raw, "<u8", EQUAL), np.frombuffer(raw, "<u2", LIKE, 8 * EQUAL)
+    return np.frombuffer(raw, "<u8", EQUAL), np.frombuffer(raw, "<u4", LIKE, 8 * EQUAL)
 
 
 def fingerprint(text: str | None) -> str:
@@ -92,8 +92,8 @@ def _paragraph(paragraph: str) -> tuple[np.ndarray, np.ndarray]:
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Row by row: 1 for equal fingerprints, else 1 - |a-b|^2 / (|a|^2+|b|^2)
     over the LIKE lanes, between 0 and 1."""
-    x, y = a[1].view(np.int16).astype(np.float64), b[1].view(np.int16).astype(np.float64)
-    apart = (a[1] - b[1]).view(np.int16).astype(np.float64)
+    x, y = a[1].view(np.int32).astype(np.float64), b[1].view(np.int32).astype(np.float64)
+    apart = (a[1] - b[1]).view(np.int32).astype(np.float64)
     total = (x * x).sum(1) + (y * y).sum(1)
     near = 1.0 - (apart * apart).sum(1) / np.maximum(total, 1.0)
     same = (a[0] == b[0]).all(1)

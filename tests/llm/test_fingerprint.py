@@ -50,3 +50,10 @@ def test_likeness_follows_the_shared_share():
         k = int(4000 * keep)
         other = " ".join(words[:k] + [f"v{i}" for i in range(4000 - k)])
         assert abs(float(fp.likeness(fp.vectors([whole]), fp.vectors([other]))[0]) - keep) < 0.25
+
+
+def test_likeness_of_long_repetitive_texts():
+    near = lambda m, n: float(fp.likeness(fp.vectors(["word " * m]), fp.vectors(["word " * n]))[0])
+    for m, n in ((65_538, 65_545), (40_000, 40_007), (200_000, 200_010)):
+        assert near(m, n) > 0.999
+    assert near(70_000, 4_464) < 0.2  # equal modulo 2**16
