@@ -1,8 +1,9 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
 An item is the set of its distinct five-word shingles (lower-cased A-Z, words
-between white space; a shorter item is one shingle). The items are dealt into
-size partitions. Every item is kept as its MinHash sketch: its k smallest
+between white space). An item of fewer words is one shingle of its own length,
+and documents probe with runs of that length too. The items are dealt into size
+partitions. Every item is kept as its MinHash sketch: its k smallest
 shingle hashes, where k is fixed by its size partition so that a document that
 holds the wanted share of the item's shingles holds one of the k for certain
 (it misses at most (1 - share) of n, and k is larger). A document probes all
@@ -55,43 +56,60 @@ def sketch_size(n: int, share: Fraction = SHARE) -> int:
     return top - math.ceil(share * top) + 1
 
 
-class Index:
-    """Sketches of one block of items: sorted hashes, and the items of each."""
+class Sketches:
+    """The sketches of the items that have shingles of one length: sorted
+    hashes, and the items of each."""
 
-    def __init__(self, items: list[tuple[int, str]], size: int = SHINGLE, share: Fraction = SHARE):
-        self.size, self.share = size, share
-        self.ids = [i for i, _ in items]
-        self.sets = [shingles(t, size) for _, t in items]
-        words, offsets = textbytes.word_hashes(pa.array([t for _, t in items], pa.large_string()))
-        hashes, edges = textbytes.shingle_hashes(words, offsets, size)
+    def __init__(self, length: int, numbers: list[int], texts: list[str], share: Fraction):
+        self.length = length
+        words, offsets = textbytes.word_hashes(pa.array(texts, pa.large_string()))
+        hashes, edges = textbytes.shingle_hashes(words, offsets, length)
         keys, owners = [], []
-        for k in range(len(items)):
+        for k, number in enumerate(numbers):
             own = np.unique(hashes[edges[k]:edges[k + 1]])
-            own = own[:sketch_size(len(own), share)] if len(own) else own
+            own = own[:sketch_size(len(own), share)]
             keys.append(own)
-            owners.append(np.full(len(own), k))
+            owners.append(np.full(len(own), number))
         keys, owners = np.concatenate(keys), np.concatenate(owners)
         order = np.argsort(keys, kind="stable")
         self.keys, self.first, count = np.unique(keys[order], return_index=True, return_counts=True)
         self.last, self.owners = self.first + count, owners[order]
 
+    def candidates(self, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(row, item numbers) where a row has a hash of the items' sketches."""
+        hashes, edges = textbytes.shingle_hashes(words, offsets, self.length)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        hits = np.flatnonzero(self.keys[at] == hashes)
+        rows = np.searchsorted(edges, hits, "right") - 1  # ascending
+        begins = np.flatnonzero(np.diff(rows, prepend=-1))
+        for a, b in zip(begins, [*begins[1:], len(hits)]):
+            keys = np.unique(at[hits[a:b]])
+            yield int(rows[a]), np.unique(np.concatenate([self.owners[self.first[k]:self.last[k]] for k in keys]))
+
+
+class Index:
+    """One block of items: their shingles, and the sketches by shingle length."""
+
+    def __init__(self, items: list[tuple[int, str]], size: int = SHINGLE, share: Fraction = SHARE):
+        self.share = share
+        self.ids = [i for i, _ in items]
+        self.sets = [shingles(t, size) for _, t in items]
+        lengths: dict[int, list[int]] = {}
+        for k, (_, t) in enumerate(items):
+            if self.sets[k]:
+                lengths.setdefault(min(size, len(_WORD.findall(t))), []).append(k)
+        self.sketches = [Sketches(n, ks, [items[k][1] for k in ks], share) for n, ks in sorted(lengths.items())]
+
     def search(self, column: pa.Array) -> Iterator[tuple[int, int, int]]:
         """(row, item number, shared shingles) of every verified containment."""
-        if not len(self.keys):
-            return
         words, offsets = textbytes.word_hashes(column)
-        hashes, edges = textbytes.shingle_hashes(words, offsets, self.size)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        hits = np.flatnonzero(self.keys[at] == hashes)
-        rows = np.searchsorted(edges, hits, "right") - 1
-        for row in np.unique(rows):
-            keys = np.unique(at[hits[rows == row]])
-            found = np.unique(np.concatenate([self.owners[self.first[k]:self.last[k]] for k in keys]))
-            own = shingles(column[int(row)].as_py(), self.size)
-            for k in found:
-                shared = len(self.sets[k] & own)
-                if shared >= self.share * len(self.sets[k]):
-                    yield int(row), int(k), shared
+        for sketch in self.sketches:
+            for row, found in sketch.candidates(words, offsets):
+                own = shingles(column[row].as_py(), sketch.length)
+                for k in found:
+                    shared = len(self.sets[k] & own)
+                    if shared >= self.share * len(self.sets[k]):
+                        yield row, int(k), shared
 
 
 def blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -113,7 +131,8 @@ def contained(docs: DataFrame, items: DataFrame, share: Fraction = SHARE, size:
     document holds at least ``share`` of the item's distinct shingles.
 
     ``docs``: doc_id, text; ``items``: item_id, text; other columns are not
-    read. Null and empty texts hold nothing and are in nothing. Repeated
+    read. An item of fewer than ``size`` words is held where its words stand one
+    after the other. Null and empty texts hold nothing and are in nothing. Repeated
     document rows give repeated results; repeated items are reported each. An
     empty table on either side gives no rows."""
     spark = docs.sparkSession
@@ -139,8 +158,19 @@ def contained(docs: DataFrame, items: DataFrame, share: Fraction = SHARE, size:
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text holds an item (same columns). The
-    rows are matched by document id, so rows that share an id go together; a
-    row with a null id is kept unless the null id itself was found."""
-    bad = contained(docs, items).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["found_id"]), "left_anti")
+    """``docs`` without the rows whose text holds an item (same columns). Every
+    row is judged by its own text, in the scan, so rows of one id or of none do
+    not go with each other; a null text stays."""
+    at = docs.columns.index("text")
+    out = docs
+    for block in blocks(items, "item_id", "text"):
+        index = docs.sparkSession.sparkContext.broadcast(Index(block))
+
+        def scan(batches, index=index):
+            for batch in batches:
+                for part in textbytes.slices(batch, "text"):
+                    keep = np.ones(part.num_rows, bool)
+                    keep[[row for row, _, _ in index.value.search(part.column(at))]] = False
+                    yield part.filter(pa.array(keep))
+        out = out.mapInArrow(scan, docs.schema)
+    return out
