@@ -42,8 +42,9 @@ BATCH = 256
 #: Most windows that a text gives to one epoch.
 PICKED = 10
 
-#: White space is inside no word, so a line break separates words here.
-_STRIP = re.compile(r"(?m)^(?:[^\w\n]|[\d_])+|(?:[^\w\n]|[\d_])+$")
+#: White space is inside no word, so a line break separates words here. An end is stripped as the
+#: beginning of the reversed text: a search for it from every character would take quadratic time.
+_STRIP = re.compile(r"(?m)^(?:[^\w\n]|[\d_])+")
 
 
 class Bags:
@@ -54,7 +55,7 @@ class Bags:
     itself. A word without letters has an empty bag."""
 
     def __init__(self, words: list[str]):
-        text = _STRIP.sub("", "\n".join(words).lower())
+        text = _STRIP.sub("", _STRIP.sub("", "\n".join(words).lower())[::-1])[::-1]
         points = np.frombuffer(("<" + text.replace("\n", ">\n<") + ">").encode("utf-32-le"), np.uint32)
         breaks = np.flatnonzero(points == 10)
         begin, end = np.append(0, breaks + 1), np.append(breaks, len(points))

@@ -1,3 +1,5 @@
+import re
+import time
 import zlib
 
 import numpy as np
@@ -75,3 +77,14 @@ def test_the_sample_is_bounded_in_rows_and_bytes():
     got = toxicity.quotas(strata, toxicity.SAMPLE, toxicity.SAMPLE_BYTES)
     assert got[0, 20] == 3 and got[1, 9] == 40 and got[0, 13] > toxicity.LEAST
     assert sum(n for (t, _), n in got.items() if t == 0) <= toxicity.SAMPLE[0] + 2 * toxicity.LEAST
+
+
+def test_words_are_stripped_in_linear_time():
+    plain = lambda w: re.sub(r"^(?:[^\w]|[\d_])+|(?:[^\w]|[\d_])+$", "", w.lower())
+    words = ["--a1b!!", "123", "_x_", "\u00c9t\u00e9.", "...", "a", "9z9z9", "\u0130x\u0307!"]
+    got = toxicity._STRIP.sub("", toxicity._STRIP.sub("", "\n".join(words).lower())[::-1])[::-1].split("\n")
+    assert got == [plain(w) for w in words]
+    began = time.monotonic()
+    for piece in ("-", "1", "x-", "_"):
+        toxicity.Bags(["a" + piece * (500_000 // len(piece)) + "b"])
+    assert time.monotonic() - began < 30
