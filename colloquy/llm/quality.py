@@ -18,6 +18,7 @@ All documents are scored by a map over them.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -107,13 +108,13 @@ def text_features(column: pa.Array) -> np.ndarray:
 
 
 def meta_features(source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> np.ndarray:
-    """Hashed slots of source and language, and the stated length."""
+    """Hashed slots of the whole source and language names, and the stated length."""
     out = np.zeros((len(source), SLOTS + 3))
     for salt, column in ((1, source), (2, lang)):
-        for i, v in enumerate(column.cast(pa.string()).to_pylist()):
-            name = f"{salt}:{v}".encode()
-            h = int.from_bytes(name[-8:], "little") * 0x9E3779B97F4A7C15 + len(name) * 0x632BE59BD9B4E019
-            out[i, (h >> 40) % SLOTS] = 1.0
+        coded = column.cast(pa.string()).dictionary_encode("encode")
+        slot = [hashlib.blake2b(f"{salt}:{v}".encode(), digest_size=8).digest()[0] % SLOTS
+                for v in coded.dictionary.to_pylist()]
+        out[np.arange(len(column)), np.array(slot, int)[coded.indices.to_numpy()]] = 1.0
     stated = np.asarray(pc.fill_null(n_chars.cast(pa.float64()), math.nan))
     log = np.log1p(np.maximum(np.nan_to_num(stated), 0))
     out[:, SLOTS] = log

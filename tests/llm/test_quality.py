@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from colloquy.llm import quality
@@ -84,3 +85,9 @@ def test_all_unlabelled_rows_are_in_the_exchange(spark, docs_of, monkeypatch):
     assert quality.fit(docs, labels) is not None
     first = {p: handed[0].count(p) for p in set(handed[0])}
     assert len({p for p, _ in first}) == 2 and max(first.values()) <= quality.GIVEN // 2
+
+
+def test_whole_names_are_hashed():
+    names = [f"crawl_{y}_news_page" for y in range(2000, 2040)] + [None]
+    x = quality.meta_features(pa.array(names), pa.array(["en"] * 41), pa.nulls(41, pa.string()))
+    assert len({tuple(r) for r in x.tolist()}) > 15 and (x[:, :quality.SLOTS].sum(1) >= 1).all()
