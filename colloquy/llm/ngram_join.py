@@ -523,10 +523,12 @@ def keep_one(docs: DataFrame, rule: Rule) -> DataFrame:
     gone = (found.join(named, "component_id").where("doc_id != component_id OR key != first_key")
             .select("doc_id", "key").distinct())
     twice = found.groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NONE).cast("long")), "_key": F.xxhash64("text")})
-    on = lambda t: (F.col("_id") == t["doc_id"]) & (F.col("_key") == t["key"])
-    kept = keyed.join(gone, on(gone), "left_anti")
+    id_, key = textbytes.unused(docs, "own_id"), textbytes.unused(docs, "own_key")
+    keyed = docs.withColumns({id_: F.coalesce("doc_id", F.lit(NONE).cast("long")), key: F.xxhash64("text")})
+    gone, twice = (t.toDF(f"{id_}_", f"{key}_") for t in (gone, twice))
+    on = [F.col(id_) == F.col(f"{id_}_"), F.col(key) == F.col(f"{key}_")]
+    kept = keyed.join(gone, on, "left_anti")
     if not twice.isEmpty():
-        again = kept.join(twice, on(twice), "left_semi").dropDuplicates(["_id", "_key"])
-        kept = kept.join(twice, on(twice), "left_anti").unionByName(again)
+        again = kept.join(twice, on, "left_semi").dropDuplicates([id_, key])
+        kept = kept.join(twice, on, "left_anti").unionByName(again)
     return kept.select(*docs.columns)

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from random import Random
 
@@ -46,7 +47,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
+_MARK = re.compile(r"[0-9@]\S*+")
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -99,11 +100,12 @@ _TRIM = "\"'`.,;:!?<>[]{}|*%$&#"
 
 def segment_span(text: str, start: int, end: int) -> tuple[int, int]:
     """The span of a segment without punctuation around it."""
-    while start < end and (text[start] in _TRIM or text[start] == ")" or (
-            text[start] == "(" and ")" not in text[start:end])):
+    closes = text.rfind(")", start, end)
+    while start < end and (text[start] in _TRIM or text[start] == ")" or (text[start] == "(" and closes < start)):
         start += 1
+    opens = text.find("(", start, end)
     while end > start and (text[end - 1] in _TRIM or text[end - 1] in "-(" or (
-            text[end - 1] == ")" and "(" not in text[start:end])):
+            text[end - 1] == ")" and not 0 <= opens < end)):
         end -= 1
     return start, end
 
@@ -147,21 +149,33 @@ def features(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def tokens_of(text: str) -> Iterator[tuple[int, int]]:
+    """The words between white space that have a digit or an at sign, in time
+    linear in the text: first such a sign is found, then the word around it."""
+    last = 0
+    for m in _MARK.finditer(text):
+        at = m.start()
+        while at > last and not text[at - 1].isspace():
+            at -= 1
+        yield at, m.end()
+        last = m.end()
+
+
 def islands(text: str, spans: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
-    """Runs of tokens with a digit or an at sign, next to each other and
-    untouched by ``spans``."""
+    """Runs of tokens with a digit or an at sign, one space apart and untouched
+    by ``spans``. An entity broken by other or more white space is not a segment."""
     out: list[list[tuple[int, int]]] = []
     k, ends = 0, -1
-    for m in _TOKEN.finditer(text):
-        while k < len(spans) and spans[k][0] < m.end():
+    for start, end in tokens_of(text):
+        while k < len(spans) and spans[k][0] < end:
             ends = max(ends, spans[k][2])
             k += 1
-        if ends > m.start():
+        if ends > start:
             continue
-        if out and text[out[-1][-1][1]:m.start()] in (" ", ""):
-            out[-1].append(m.span())
+        if out and start - out[-1][-1][1] == 1 and text[start - 1] == " ":
+            out[-1].append((start, end))
         else:
-            out.append([m.span()])
+            out.append([(start, end)])
     return out
 
 
@@ -416,12 +430,13 @@ def masked(docs: DataFrame, model: Field | None = None) -> DataFrame:
                 columns[at] = pa.array(texts, part.column(at).type)
                 yield pa.RecordBatch.from_arrays(columns, named)
 
-    out = docs.withColumn("_before", F.length("text"))
+    before = textbytes.unused(docs, "before")
+    out = docs.withColumn(before, F.length("text"))
     named = out.columns
     schema = out.schema
     out = out.mapInArrow(run, schema)
     if "n_chars" in docs.columns:
-        changed = F.length("text") != F.col("_before")
+        changed = F.length("text") != F.col(before)
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
                              .cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

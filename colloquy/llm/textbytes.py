@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 1 << 21
 _MASK = (1 << 64) - 1
@@ -142,6 +143,14 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[n
     return out, out_offsets
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = 4 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most ``limit`` bytes of text, or one row."""
     column = batch.column(batch.schema.get_field_index(text))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -115,3 +116,13 @@ def test_the_sample_has_a_bound_for_each_kind(docs_of):
     found = pii.examples(docs_of(rows))
     assert all(0 < sum(k == kind for k, *_ in found) <= pii.SAMPLE for kind in (0, 1))
     assert sorted(found) == sorted(pii.examples(docs_of(rows[::-1]).repartition(7)))
+
+
+def test_linear_time_on_long_runs_and_equal_tokens():
+    text = "a1 b\tc@d  (9) 12-3x\n\u00e97\x1c8 @ z"
+    assert [text[a:b] for a, b in pii.tokens_of(text)] == re.findall(r"[^\s]*[0-9@][^\s]*", text)
+    model = pii.Field()
+    began = time.monotonic()
+    for piece in ("x", "(", "1", "1.", "-", "a@", "+1", "\u4e00", "((1"):
+        pii.all_spans(piece * (1_000_000 // len(piece)) + "7", model)
+    assert time.monotonic() - began < 60

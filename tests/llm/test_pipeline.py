@@ -36,3 +36,14 @@ def test_stages_keep_the_columns_on_empty_and_odd_input(spark, docs_of):
             assert after.columns == docs.columns, name
             after.collect()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).columns == ["doc_id", "ids"]
+
+
+def test_stages_keep_columns_named_like_helpers(spark):
+    helpers = ["_id", "_key", "_before", "own_id", "own_key", "BEFORE", "key", "component_id", "found_id"]
+    rows = [(1, "write to me at bob@example.com " + "w " * 60, *helpers), (1, "write to me at bob@example.com " + "w " * 60, *helpers),
+            (None, "another text", *helpers)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{h}` string" for h in helpers))
+    for stage in (corpus_pipeline.keep_one_of_each, corpus_pipeline.remove_benchmark, corpus_pipeline.mask_personal_data):
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns
+        assert all(r[h] == h for r in after.collect() for h in helpers)
