@@ -3,7 +3,8 @@
 A page is cut into flat blocks at every block-level tag. A block has its word
 count and link density and those of its two neighbours, and where it stands:
 in an article or main part, in a part that pages use for navigation and the
-like (by tag, or by the words of its class, id or role), or in neither. A
+like (by tag, or by a class, id or role that says nothing else), or in neither;
+its nearest ancestor of either kind decides. A
 decision tree, grown on a small labelled table of pages, says which blocks are
 main text. Scripts, styles, forms and other text that a page does not show as
 prose are never blocks.
@@ -28,13 +29,15 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body caption center d
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section
 summary table tbody td tfoot th thead tr ul""".split())
 #: Tags whose content is no text of the page.
-HIDDEN_TAGS = frozenset("""applet audio button canvas datalist embed form frameset head iframe input label map math
+HIDDEN_TAGS = frozenset("""annotation annotation-xml applet audio button canvas datalist embed form frameset head iframe input label map
 noembed noframes noscript object optgroup option output progress script select style svg template textarea title
 video""".split())
 #: Tags without content.
 VOID_TAGS = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 #: Tags of parts that are not the article.
 SIDE_TAGS = frozenset("aside dialog footer header menu nav search".split())
+#: Hidden tags inside a line of text, which end no block.
+INLINE_TAGS = frozenset("annotation annotation-xml button input label map output".split())
 #: Words of a class, id or role that name such parts.
 SIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adbox adslot alert banner billboard breadcrumb
 breadcrumbs comment comments commentlist consent cookie cookies copyright discussion disqus footer gdpr header legal
@@ -43,8 +46,16 @@ popup promo promoted promotion reaction reactions recommended related reply repl
 sidebar signup skip social sponsor sponsored subscribe subscription toast toolbar topbar widget widgets complementary
 contentinfo dialog""".split())
 
+#: Of these, the words for parts that may stand around an article.
+AROUND = frozenset("""banner header masthead menu modal overlay popup sidebar toolbar topbar widget widgets""".split())
+#: Words that such a name may hold besides, as in ``comment-list`` or ``site-header``.
+PLAIN_WORDS = frozenset("""area article articles bar block blog body bottom box col column container content entry
+feed form global group inner item items left line link links list main outer page panel post posts primary right
+secondary section site slot stories thread title top unit wrap wrapper""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "article", "side"]
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Words of a block are counted up to this many.
 MANY = 60
 
@@ -56,22 +67,56 @@ class Block:
     links: float
     article: int
     side: int
+    inner: bool = False  # in an article that a side part stands around
+
+
+def _names(token: str) -> set[str]:
+    """The side words of a class, id or role, if it has no words but those and plain ones."""
+    parts = {p.lower() for p in _PART.findall(token)}
+    return parts & SIDE_WORDS if parts <= SIDE_WORDS | PLAIN_WORDS else set()
 
 
-def _is_side(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    if tag in SIDE_TAGS:
-        return True
-    if tag in ("html", "body", "article", "main"):
-        attrs = [a for a in attrs if a[0] != "class" or tag == "article"]
+def _mark(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """What a tag begins: ``side``, ``header`` or ``around`` (sides that may hold
+    an article or its headline), ``article``, ``main``, or nothing."""
+    found: set[str] = set()
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "side"
         if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id", "role") and value:
-            if any(p.lower() in SIDE_WORDS for w in value.split() for p in _PART.findall(w)):
-                return True
-    return False
+            return "side"
+        if name in ("class", "id", "role") and value and not (name == "class" and tag in ("html", "body", "main")):
+            for token in value.split():
+                found |= _names(token)
+    if tag == "header" and not found - AROUND or found == {"header"}:
+        return "header"
+    if tag in SIDE_TAGS or found - AROUND:
+        return "side"
+    if found and tag not in ("html", "body", "main"):
+        return "around"
+    return tag if tag in ("article", "main") else ""
+
+
+@dataclass(frozen=True)
+class Place:
+    """Where text below the open marks stands: in an article; in a side part;
+    in an article that a side part stands around (``inner``); in a side part
+    whose articles are not the page's own (``closed``)."""
+    mark: str = ""
+    article: bool = False
+    side: bool = False
+    inner: bool = False
+    closed: bool = False
+
+    def below(self, mark: str) -> Place:
+        if mark == "side":
+            return Place(mark, self.article, True, False, True)
+        if mark in ("around", "header"):
+            return Place(mark, self.article, True, False, self.closed or self.article)
+        if self.closed:
+            return Place(mark, True, True, False, True)
+        inner = mark == "article" and (self.side or self.inner)
+        return Place(mark, True, inner, inner, False)
 
 
 class _Parser(HTMLParser):
@@ -80,8 +125,9 @@ class _Parser(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, hidden, article, side
-        self.depth = {"hidden": 0, "article": 0, "side": 0, "a": 0}
+        self.stack: list[tuple[str, bool, str]] = []  # tag, hidden, mark
+        self.places = [Place()]  # of the open tags that have a mark
+        self.depth = {"hidden": 0, "a": 0}
         self.open: dict[str, int] = {}
         self.blocks: list[Block] = []
         self.pieces: list[tuple[str, bool]] = []
@@ -90,16 +136,15 @@ class _Parser(HTMLParser):
         text = " ".join("".join(t for t, _ in self.pieces).split())
         if text:
             linked = sum(len(t.split()) for t, link in self.pieces if link)
-            words = len(text.split())
-            self.blocks.append(Block(text, words, min(1.0, linked / words), int(self.depth["article"] > 0),
-                                     int(self.depth["side"] > 0)))
+            words, here = len(text.split()), self.places[-1]
+            self.blocks.append(Block(text, words, min(1.0, linked / words), int(here.article), int(here.side), here.inner))
         self.pieces = []
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.pieces.append(("\n", False))
             return
-        if tag in BLOCK_TAGS or tag in HIDDEN_TAGS and tag not in ("button", "input", "label", "map", "output"):
+        if tag in BLOCK_TAGS or tag in HIDDEN_TAGS - INLINE_TAGS:
             self.flush()
             if tag in BLOCK_TAGS and self.open.get("p") and tag not in ("html", "body"):
                 self._close("p")  # a block begins: an open paragraph ends
@@ -109,20 +154,29 @@ class _Parser(HTMLParser):
             return
         if tag == "a" and self.open.get("a"):
             self._close("a")
-        entry = (tag, tag in HIDDEN_TAGS, tag in ("article", "main"), _is_side(tag, attrs))
+        mark = _mark(tag, attrs)
+        if tag in HEADINGS and not mark and self.places[-1].mark == "header" and self.places[-2].article:
+            mark = "headline"
+        entry = (tag, tag in HIDDEN_TAGS, mark)
         self.stack.append(entry)
         self.open[tag] = self.open.get(tag, 0) + 1
         self._count(entry, 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag in ("svg", "math"):
+        if tag in ("svg", "math", "annotation", "annotation-xml"):
             self.handle_endtag(tag)
 
     def _count(self, entry, by):
-        for name, flag in zip(("hidden", "article", "side"), entry[1:]):
-            self.depth[name] += by * flag
-        self.depth["a"] += by * (entry[0] == "a")
+        tag, hidden, mark = entry
+        self.depth["hidden"] += by * hidden
+        self.depth["a"] += by * (tag == "a")
+        if mark and by < 0:
+            self.places.pop()
+        elif mark == "headline":  # stands where its header does
+            self.places.append(self.places[-2])
+        elif mark:
+            self.places.append(self.places[-1].below(mark))
 
     def _close(self, tag):
         while self.stack:
@@ -133,7 +187,7 @@ class _Parser(HTMLParser):
                 return
 
     def handle_endtag(self, tag):
-        if tag in BLOCK_TAGS or tag in HIDDEN_TAGS:
+        if tag in BLOCK_TAGS or tag in HIDDEN_TAGS - INLINE_TAGS:
             self.flush()
         if tag == "br":
             self.pieces.append(("\n", False))
@@ -146,11 +200,17 @@ class _Parser(HTMLParser):
 
 
 def blocks(html: str | None) -> list[Block]:
-    """The flat text blocks of a page, in page order."""
+    """The flat text blocks of a page, in page order. An article that stands in
+    a side part such as a sidebar counts as one if the page has no other article
+    and no more text in unmarked parts."""
     p = _Parser()
     p.feed(html or "")
     p.close()
     p.flush()
+    if not any(b.article and not b.side for b in p.blocks):
+        if sum(b.words for b in p.blocks if b.inner) > sum(b.words for b in p.blocks if not b.article and not b.side):
+            for b in p.blocks:
+                b.side = b.side and int(not b.inner)
     return p.blocks
 
 
@@ -183,7 +243,7 @@ class Tree:
         return out
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 2) -> Tree:
     """A tree by the greatest fall of Gini impurity; ties go to the first
     feature, then the smallest cut."""
     label = int(2 * y.sum() >= len(y))
@@ -226,19 +286,36 @@ def labelled_pages() -> list[tuple[str, list[int]]]:
                 (f"<div class=ad>{w(n)}</div>", 1), (f"<div id=cookie-notice><p>{w(25)}</p>{l(1, n)}</div>", 2),
                 (f"<section class=comments><p>{w(60)}</p><p>{w(n)}</p><p>{w(30)}</p></section>", 3),
                 (f"<div class='sidebar'>{l(3, n)}<p>{w(20)}</p>{l(2, n)}</div>", 6)]
+        teasers = "".join(f"<div><a href=x>{w(n + 1)}</a></div><div>{w(k)}</div>" for k in (4, 9, 14, 18))
         for k in range(8):  # articles among such parts
             (a, i), (b, j), (c, m) = side[k], side[(k + 3) % 8], side[(k + 5) % 8]
             body = (f"<h1>{w(n)}</h1><p>{w(1)}</p><p>{w(30 + k)}</p><p>{w(n)} <a href=x>{w(2)}</a></p>"
                     f"<p><a href=x>{w(n)}</a></p><p><a href=x>{w(n)}</a></p><p>{w(1)}</p>")
             out.append((f"{a}<article>{body}</article>{b}", [0] * i + [1] * 7 + [0] * j))
-            out.append((f"<main><p>{w(20)}</p>{c}<p>{w(n)}</p></main>", [1] + [0] * m + [1]))
+            headline = [1] + [0] * (m - 1) if c.startswith("<header>") else [0] * m
+            out.append((f"<main><p>{w(20)}</p>{c}<p>{w(n)}</p></main>", [1, *headline, 1]))
         for prose in (12, 25, 45, 60):  # pages that name no part: prose among links
             out.append((f"{l(4, n)}<h1>{w(6)}</h1><p>{w(prose)}</p><p>{w(prose + 9)}</p><p>{w(3)}</p><p>{w(prose)}</p>"
                         f"{l(3, n)}<div>{w(4)}</div>{l(2, n)}", [0] * 4 + [1] * 5 + [0] * 6))
             out.append((f"{l(2, n)}<div>{w(3)}</div>{l(2, n)}<p>{w(prose)}</p><p>{w(prose)}</p>{l(2, n)}<div>{w(5)}</div>"
                         f"{l(1, n)}", [0] * 5 + [1, 1] + [0] * 4))
+        for prose in (20, 40, 60):  # neighbours decide: headlines before prose, short lines in it, teasers among links
+            out.append((f"{l(3, n)}<h1>{w(3)}</h1><p>{w(prose)}</p><p>{w(prose + 5)}</p>{l(2, n)}{teasers}{l(1, n)}",
+                        [0] * 3 + [1, 1, 1] + [0] * 11))
+            out.append((f"{teasers}{l(1, n)}<div class='content has-sidebar'><h2>{w(2)}</h2><p>{w(prose)}</p><p>{w(4)}</p>"
+                        f"<p>{w(prose)}</p></div>{l(2, n)}", [0] * 9 + [1] * 4 + [0] * 2))
         out.append((f"<h1>{w(n)}</h1><p>{w(20)}</p><p>{w(2)}</p><p>{w(50)}</p>", [1] * 4))
         out.append((f"<p>{w(3 * n)}</p>", [1]))
+        lengths = [1, 2, 3, 5, 8, 13, 16, 18, 21, 34, 55]
+        for k in lengths:  # side parts of any length, beside links, headlines and prose
+            out.append((f"{l(2, n)}<div class=ad>{w(k)}</div><article><h1>{w(n)}</h1><p>{w(k)}</p></article>"
+                        f"<div class=sidebar><p>{w(k)}</p></div>{l(1, n)}", [0] * 3 + [1, 1] + [0] * 2))
+            out.append((f"<h1>{w(n)}</h1><p>{w(30)}</p><div class=ad>{w(k)}</div><p>{w(40)}</p><div class=share>{w(n)}</div>",
+                        [1, 1, 0, 1, 0]))
+        for turn in range(0, 11, 2):  # in an article, blocks of any length stand beside blocks of any length
+            order = [lengths[(n + turn + k * (turn + 1)) % 11] for k in range(11)]
+            mixed = "".join(f"<p>{w(k)}</p>" if i % 3 else f"<p><a href=x>{w(k)}</a></p>" for i, k in enumerate(order))
+            out.append((f"{l(2, n)}<article>{mixed}{l(2, n)}</article>{teasers}", [0] * 2 + [1] * 13 + [0] * 8))
     return out
 
 

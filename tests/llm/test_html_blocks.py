@@ -28,6 +28,21 @@ def test_query_equals_the_article_of_every_page(spark, queries):
     assert sorted(tuple(r) for r in queries["op6_text_blocks"](spark, sf).collect()) == want
 
 
+def used(tree):
+    return set() if tree.low is None else {hb.FEATURES[tree.feature]} | used(tree.low) | used(tree.high)
+
+
+def test_tree_splits_on_neighbours(tree):
+    assert used(tree) & {"words_before", "words_after"} and used(tree) & {"links_before", "links_after"}
+
+
+def test_unmarked_pages(tree):
+    menu = "<ul>" + "<li><a href=x>one two</a></li>" * 4 + "</ul>"
+    prose = ["Title of it", "sentence " * 30, "A break", "more " * 45, "words " * 22]
+    page = menu + "".join(f"<div>{x}</div>" for x in prose) + menu + "<div>A word</div>" + menu
+    assert hb.main_text(page, tree).split("\n") == [x.strip() for x in prose]
+
+
 def test_tree_learns_its_table(tree):
     for page, labels in hb.labelled_pages():
         assert tree.predict(hb.block_features(hb.blocks(page))).tolist() == labels
@@ -45,6 +60,19 @@ def test_tree_learns_its_table(tree):
     ("<article><p>unclosed <b>bold", "unclosed bold"),
     ("<article><p>a <textarea>no</textarea><select><option>no</select>b</p></article>", "a\nb"),
     ("", ""), ("<<<>>>", "<<<>>>"), ("<body class='has-sidebar'><article><p>x</p></article>", "x"),
+    ("<div class='content has-sidebar'><article><p>x</p></article></div>", "x"),
+    ("<div class='layout-with-sidebar'><article><p>x</p></article></div>", "x"),
+    ("<div id=page class='site no-header'><article><p>x</p></article></div>", "x"),
+    ("<div class='social-history'><article><p>x</p></article></div>", "x"),
+    ("<div class='site-header page'><p>top</p></div><div class=sidebar><article><p>x y</p></article></div>", "x y"),
+    ("<div class=sidebar><main><p>x</p></main></div>", "x"),
+    ("<article><p>x</p></article><div class=sidebar><article><p>teaser</p></article></div>", "x"),
+    ("<article><p>x</p></article><section class='comment-list'><article><p>no</p></article></section>", "x"),
+    ("<section class=related><article><p>no</p></article></section><article><p>x</p></article>", "x"),
+    ("<article><header><h1>T</h1><p>by</p></header><p class='notice-period'>a</p><p class='legal-text'>b</p></article>",
+     "T\na\nb"),
+    ("<header><h1>Site</h1></header><article><p>x <math><mi>y</mi><annotation>q</annotation></math> z</p></article>", "x y z"),
+    ("<article><div class=CookieNotice>no</div><div class='post-footer'>no</div><aside>no</aside><p>x</p></article>", "x"),
     ("<article><div hidden>no</div><div style='display:none'>no</div><p>x</p></article>", "x"),
 ])
 def test_kinds_of_parts(tree, page, want):
