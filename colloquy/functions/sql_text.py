@@ -133,3 +133,19 @@ def bounded_text(x: str, limit: int = 2499, keep: int = 2400) -> str:
 
 def get_title(x: str) -> str:
     return strip(f"replace(split_part({x}, chr(10), 1), '#', '')")
+
+
+def is_question(x: str) -> str:
+    """F4 over the sentences of ``x``; false for a NULL text."""
+    from ..operators import filters as FL
+    has = lambda t, words: f"coalesce({t} IN ({', '.join(q(w) for w in words)}), false)"
+    toks = f"regexp_extract_all(lower(s), {q(f'{P.WORD}+|[^{P.WORD_CHARS}{P.WS_CHARS}]')})"
+    rule = (f"(len(t) > 1 AND ends_with(s, '?')) "
+            f"OR (len(t) > 2 AND {has('t[1]', FL.WH_WORDS)} AND ({has('t[2]', FL.AUXILIARIES)} "
+            f"OR (len(t) > 3 AND {has('t[2]', FL.APOSTROPHES)} AND {has('t[3]', FL.CONTRACTED)}))) "
+            f"OR (len(t) > 2 AND {has('t[1]', FL.AUXILIARIES)} AND {has('t[2]', FL.SUBJECT_WORDS)}) "
+            f"OR ({has('t[1]', FL.NEGATED)} AND {has('t[2]', FL.APOSTROPHES)} AND coalesce(t[3] = 't', false) "
+            f"AND {has('t[4]', FL.SUBJECT_WORDS)})")
+    pairs = f"list_transform({split_sentences(x)}, lambda s: {{'s': s, 't': {toks}}})"
+    rule = rule.replace("t[", "p.t[").replace("len(t)", "len(p.t)").replace("(s, '?')", "(p.s, '?')")
+    return f"coalesce(len(list_filter({pairs}, lambda p: {rule})) > 0, false)"

@@ -48,26 +48,33 @@ AUXILIARIES = ["is", "are", "was", "were", "am", "be", "been", "do", "does", "di
                "has", "have", "had", "can", "could", "will", "would", "shall",
                "should", "may", "might", "must"]
 SUBJECT_WORDS = ["i", "you", "he", "she", "it", "we", "they", "this", "that",
-                 "these", "those", "there", "anyone", "someone", "everyone", "the", "a", "an"]
+                 "these", "those", "there", "anyone", "someone", "everyone", "the", "a", "an",
+                 "my", "your", "his", "her", "its", "our", "their", "any", "some", "all"]
+# Short forms after an apostrophe (``what's``), and words before ``n't`` less their n.
+CONTRACTED = ["s", "re", "m", "d", "ll", "ve"]
+NEGATED = ["isn", "aren", "wasn", "weren", "don", "doesn", "didn", "hasn", "haven", "hadn", "couldn",
+           "can", "won", "wouldn", "shouldn", "mustn"]
+APOSTROPHES = ["'", "\u2019"]
 
 
 def is_question(col="content") -> Column:
     """F4 (approximate): some sentence (X45) (a) has more than one token and
     ends with '?', or (b) has more than two tokens, starts with a question
-    word followed by an auxiliary, or (c) has more than one token, starts with
-    an auxiliary and continues with a subject word. Rules (b) and (c) replace
-    a dependency parse with closed word lists."""
-    wh = F.array(*[F.lit(w) for w in WH_WORDS])
-    aux = F.array(*[F.lit(w) for w in AUXILIARIES])
-    subj = F.array(*[F.lit(w) for w in SUBJECT_WORDS])
+    word followed by an auxiliary, whole or short (``what's``), or (c) has more
+    than two tokens (an auxiliary, its subject and a verb or more), starts with an auxiliary, with ``n't`` or without, and continues
+    with a subject word. Rules (b) and (c) replace a dependency parse with closed
+    word lists."""
 
     def rule(s: Column) -> Column:
         toks = F.regexp_extract_all(F.lower(s), F.lit(f"{P.WORD}+|[^{P.WORD_CHARS}{P.WS_CHARS_J}]"), 0)
         n = F.size(toks)
-        t0, t1 = F.get(toks, 0), F.get(toks, 1)
+        t0, t1, t2, t3 = (F.get(toks, i) for i in range(4))
+        has = lambda t, words: F.coalesce(t.isin(words), F.lit(False))
         a = (n > 1) & s.endswith("?")
-        b = (n > 2) & F.array_contains(wh, t0) & F.array_contains(aux, t1)
-        c = (n > 1) & F.array_contains(aux, t0) & F.array_contains(subj, t1)
+        short = (n > 3) & has(t1, APOSTROPHES) & has(t2, CONTRACTED)
+        b = (n > 2) & has(t0, WH_WORDS) & (has(t1, AUXILIARIES) | short)
+        negated = has(t0, NEGATED) & has(t1, APOSTROPHES) & (t2 == "t") & has(t3, SUBJECT_WORDS)
+        c = ((n > 2) & has(t0, AUXILIARIES) & has(t1, SUBJECT_WORDS)) | F.coalesce(negated, F.lit(False))
         return a | b | c
 
     return F.exists(T.split_sentences(_c(col)), rule)

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from dataclasses import dataclass
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,6 +24,40 @@ from ..session import cut_lineage
 
 ModelFn = Callable[[str], str]
 
+_LOADED: dict[str, Any] = {}
+
+
+@dataclass(frozen=True)
+class Model:
+    """A model that each Python worker loads once, however many tasks and
+    batches it runs: ``load()`` gives the function to call. ``name`` tells
+    models apart inside a worker."""
+    name: str
+    load: Callable[[], Callable]
+
+    def get(self) -> Callable:
+        if self.name not in _LOADED:
+            _LOADED[self.name] = self.load()
+        return _LOADED[self.name]
+
+
+def function_of(fn: Callable | Model) -> Callable:
+    """What to call, inside a task."""
+    return fn.get() if isinstance(fn, Model) else fn
+
+
+def retried(call: Callable[[], Any], retries: int, pause: float, most: float = 30.0) -> tuple[Any, int]:
+    """(result, attempts): the call is tried up to ``retries`` times; after each
+    failure but the last it waits ``pause`` seconds, doubled each time up to
+    ``most``. The result of a call that always failed is None."""
+    for n in range(1, retries + 1):
+        try:
+            return call(), n
+        except Exception:  # noqa: BLE001 - a model may fail in any way
+            if pause and n < retries:
+                time.sleep(min(pause * 2 ** (n - 1), most))
+    return None, retries
+
 
 def echo_model(prompt: str) -> str:
     """Deterministic stand-in: the last non-empty line of the prompt, with
@@ -36,26 +72,20 @@ def halving_model(prompt: str) -> str:
     return " ".join(prompt.split()[::2])
 
 
-def complete(df: DataFrame, key_col: str, prompt_col: str, fn: ModelFn = echo_model,
+def complete(df: DataFrame, key_col: str, prompt_col: str, fn: ModelFn | Model = echo_model,
              retries: int = 5, max_prompt_chars: int | None = None, pause: float = 0.0) -> DataFrame:
     """M7: (key, text, status, attempts). Too-long prompts are not sent;
     failures after ``retries`` attempts give NULL text and status 'error';
-    replies are whitespace-collapsed (X34)."""
+    replies are whitespace-collapsed (X34). A ``Model`` is loaded once for a worker."""
     def run(batches):
+        call = function_of(fn)
         for pdf in batches:
             texts, status, attempts = [], [], []
             for p in pdf[prompt_col]:
                 if p is None or (max_prompt_chars is not None and len(p) > max_prompt_chars):
                     texts.append(None); status.append("too_long" if p is not None else "empty"); attempts.append(0)
                     continue
-                out, n = None, 0
-                for n in range(1, retries + 1):
-                    try:
-                        out = fn(p)
-                        break
-                    except Exception:  # noqa: BLE001 - any model failure is retried
-                        if pause:
-                            time.sleep(pause)
+                out, n = retried(lambda p=p: call(p), retries, pause)
                 texts.append(out); status.append("ok" if out is not None else "error"); attempts.append(n)
             yield pd.DataFrame({key_col: pdf[key_col].to_numpy(), "text": texts,
                                 "status": status, "attempts": attempts})

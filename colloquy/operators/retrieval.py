@@ -14,7 +14,9 @@ whose centres are nearest to it.
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .inference import Model, function_of, retried
 
 #: Most bytes of a cell's queries (as doubles); vectors that a cell sees; cells' results merged at once.
 QUERY_BYTES, CELL_VECTORS, FAN = 1 << 26, 1 << 18, 64
@@ -318,32 +321,50 @@ def hashing_embed(df: DataFrame, text_col: str, out: str = "embedding") -> DataF
     return unit.withColumn(out, vector_to_array("_unit")).drop("_slots", "_counts", "_unit")
 
 
-def embed_with(df: DataFrame, text_col: str, fn: Callable[[list[str]], list[list[float]]],
-               key_col: str, batch_size: int = 32, retries: int = 7, out: str = "embedding") -> DataFrame:
-    """M5 pluggable: ``fn(texts) -> vectors`` called per batch of ``batch_size``
-    texts inside each task (Arrow batches), retried with exponential wait;
-    a batch that still fails is skipped and reported with status 'failed'."""
-    import time
-
+def embed_with(df: DataFrame, text_col: str, fn: Callable[[list[str]], list[list[float]]] | Model,
+               key_col: str, batch_size: int = 32, retries: int = 7, out: str = "embedding",
+               pause: float = 0.01) -> DataFrame:
+    """M5 pluggable: ``fn(texts) -> vectors`` called inside the tasks for every
+    ``batch_size`` texts, whatever the Arrow batches are; only the last call of a
+    partition has fewer. A ``Model`` is loaded once for a worker. A call is retried
+    with a doubling wait; rows whose call still fails have a null vector and the
+    status 'failed'."""
     def run(batches):
+        call = function_of(fn)
+
+        def embedded(b):
+            vecs, _ = retried(lambda: call(b[text_col].tolist()), retries, pause)
+            status = "failed" if vecs is None else "ok"
+            return pd.DataFrame({key_col: b[key_col].to_numpy(), out: list(vecs or [None] * len(b)), "status": status})
+
+        rest = None
         for pdf in batches:
-            for i in range(0, len(pdf), batch_size):
-                b = pdf.iloc[i:i + batch_size]
-                vecs, status = None, "ok"
-                for attempt in range(retries):
-                    try:
-                        vecs = fn(b[text_col].tolist())
-                        break
-                    except Exception:  # noqa: BLE001 - the model call may fail in any way
-                        time.sleep(min(2 ** attempt, 30) * 0.01)
-                if vecs is None:
-                    vecs, status = [None] * len(b), "failed"
-                yield pd.DataFrame({key_col: b[key_col].to_numpy(), out: list(vecs), "status": status})
-
-    schema = f"{key_col} {_dtype(df, key_col)}, {out} array<double>, status string"
+            rest = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            whole = len(rest) // batch_size * batch_size
+            for i in range(0, whole, batch_size):
+                yield embedded(rest.iloc[i:i + batch_size])
+            rest = rest.iloc[whole:]
+        if rest is not None and len(rest):
+            yield embedded(rest)
+
+    schema = f"{key_col} {df.schema[key_col].dataType.simpleString()}, {out} array<double>, status string"
     return df.select(key_col, text_col).mapInPandas(run, schema)
 
 
+def load_word_hasher() -> Callable[[list[str | None]], list[list[float]]]:
+    """A stand-in embedding model with the vectors of ``hashing_embed``."""
+    word = re.compile("[0-9a-z_]+")
+
+    def embed(texts):
+        counts = np.zeros((len(texts), 256))
+        for row, text in zip(counts, texts):
+            for w in word.findall((text or "").lower()):
+                row[hashlib.md5(w.encode()).digest()[0]] += 1
+        norm = np.sqrt((counts ** 2).sum(1, keepdims=True))
+        return (counts / np.where(norm > 0, norm, 1.0)).tolist()
+    return embed
+
+
 def vector_upsert(index: DataFrame, new: DataFrame, key: str = "message_id",
                   order: str | None = None) -> DataFrame:
     """Write (key, vector, metadata) replacing equal keys; of equal keys

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import sql_text as S
+from ..operators.filters import is_question
 from ..sources import io as IO
 from ..sources import views as V
 from ..sources.tables import table
@@ -27,6 +29,21 @@ def stream_questions(spark, sf_dir):
     return ST.stream_questions(spark, sf_dir, turns_dir=files).select("message_id", "is_relevant", "answered")
 
 
+@register("stream_detected_questions", V.with_views("messages", "channels") + f"""
+SELECT dm.id AS message_id, CAST(NULL AS INTEGER) AS is_relevant, 0 AS answered
+FROM messages dm
+JOIN channels dc ON dm.channel_id = dc.channel_id
+LEFT JOIN channels dp ON dc.parent_channel_id = dp.channel_id
+WHERE dm.content IS NOT NULL AND dm.content <> '' AND {S.is_question('dm.content')}
+  AND dc.log <> 0 AND (dp.channel_id IS NULL OR dp.log <> 0)
+""")
+def stream_detected_questions(spark, sf_dir):
+    """ST1 with F4: the loggable messages that ask something, as they arrive."""
+    files = ST.split_into_files(spark, sf_dir, "conversations", "conv_id")
+    found = ST.stream_questions(spark, sf_dir, turns_dir=files, asked=is_question("content"))
+    return found.select("message_id", "is_relevant", "answered")
+
+
 @register("stream_import", """
 SELECT event_id AS message_id, user_id AS author, event_type AS content,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_timestamp

@@ -115,6 +115,16 @@ def embed_hash(spark, sf_dir):
     return R.hashing_embed(qa, "question").select("message_id", "embedding")
 
 
+@register("embed_batches", V.with_views("messages", "questions", "qa") + EMBED_SQL + """
+SELECT message_id, embedding, 'ok' AS status FROM embedded
+""")
+def embed_batches(spark, sf_dir):
+    """M5 with a model: every Q&A question through ``embed_with`` in batches of
+    32, the stand-in model loaded once for a worker."""
+    model = I.Model("word hasher", R.load_word_hasher)
+    return R.embed_with(V.qa(spark, sf_dir), "question", model, "message_id")
+
+
 @register("retrieve", V.with_views("messages", "questions", "qa") + EMBED_SQL + """,
 answered AS (SELECT * FROM embedded WHERE answer IS NOT NULL AND norm > 0),
 ranked AS (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import sql_text as S
 from ..functions import text as T
 from ..functions.stopwords import CLOUD_STOP, chat_stopwords
+from ..operators import filters as FL
 from ..operators import stats as ST
 from ..sources import views as V
 from ..sources.tables import table
@@ -99,6 +100,15 @@ def question_sentences(spark, sf_dir):
                                        F.md5(F.array_join(s, "|")).alias("sentences_md5"))
 
 
+@register("question_detected", f"""
+SELECT doc_id, CASE WHEN {S.is_question('text')} THEN 1 ELSE 0 END AS asks FROM documents
+""")
+def question_detected(spark, sf_dir):
+    """whether some sentence of a whole document asks something."""
+    asks = F.coalesce(FL.is_question("text"), F.lit(False)).cast("int")
+    return _docs(spark, sf_dir).select("doc_id", asks.alias("asks"))
+
+
 @register("question_regex", r"""
 SELECT page_id,
        CASE WHEN url ILIKE '%?%' THEN 1 ELSE 0 END AS has_mark,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import buckets
@@ -69,10 +69,11 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
 
 
 def stream_questions(spark: SparkSession, sf_dir: str, table_path: str | None = None,
-                     turns_dir: str | None = None, span: int = SPAN) -> DataFrame:
+                     turns_dir: str | None = None, span: int = SPAN, asked: Column | None = None) -> DataFrame:
     """ST1: conversation turns arriving as files (below ``turns_dir``, where they
     are not with the other tables) -> messages -> loggable (J3), non-empty
-    (F1) questions -> staging table (D1). Returns the table."""
+    (F1) questions -> staging table (D1). ``asked`` says which messages (content,
+    author_id) are questions; by default those of a user. Returns the table."""
     from ..operators.filters import non_empty
     from ..operators.joins import loggable_messages
     from ..sources import views as V
@@ -85,7 +86,7 @@ def stream_questions(spark: SparkSession, sf_dir: str, table_path: str | None =
                         F.when((conv + turn) % 13 == 0, F.lit(None).cast("string"))
                          .when((conv + turn) % 11 == 0, F.lit("")).otherwise(F.col("text")).alias("content"))
     q = loggable_messages(non_empty(msgs), V.channels(spark, sf_dir))
-    q = q.filter(F.col("author_id") % 3 == 0).select(F.col("id").alias("message_id"),
+    q = q.filter(F.col("author_id") % 3 == 0 if asked is None else asked).select(F.col("id").alias("message_id"),
                                                      F.lit(None).cast("int").alias("is_relevant"),
                                                      F.lit(0).alias("answered"))
     _open(q, table_path, "message_id", span)
