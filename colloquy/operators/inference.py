@@ -152,6 +152,56 @@ def recursive_summarize(df: DataFrame, key_col: str, text_col: str, max_len: int
                         status.alias("status"))
 
 
+@dataclass(frozen=True)
+class Field:
+    """A field that a model reads from a text: the prompt (``<<TEXT>>`` stands for
+    the text), the parser of the reply, and whether the text is cleaned first."""
+    name: str
+    template: str
+    parser: Callable[[Column], Column]
+    clean: bool = False
+
+
+def extract_fields(df: DataFrame, key_col: str, text_col: str, fields: list[Field], fn: ModelFn | Model,
+                   max_prompt_chars: int | None = None, short_words: int = 3500, retries: int = 5) -> DataFrame:
+    """(key, field, variant, value). Every field is asked of the full text;
+    where that gives no reply or one without a value (the prompt is too long, the
+    model fails, the parser finds nothing), again of the text's first
+    ``short_words`` words (X18). A field without a value in both is absent, and
+    so is a null or empty text. Rows of equal key are told apart by their text.
+
+    The first replies are written once; only what they left open is asked again."""
+    kinds = f"k {df.schema[key_col].dataType.simpleString()}, field string, n bigint"
+    rows = df.select(F.col(key_col).alias("k"), F.col(text_col).alias("t")).where("t IS NOT NULL AND t != ''") \
+        .withColumn("n", F.xxhash64("t"))
+
+    def asked(open_: DataFrame, variant: str) -> DataFrame:
+        prompt = F.coalesce(*[F.when(F.col("field") == f.name, fill_template(f.template, TEXT=F.col("c" if f.clean else "t")))
+                              for f in fields])
+        named = open_.select(F.to_json(F.struct("k", "field", "n"), {"ignoreNullFields": "false"}).alias("id"),
+                             prompt.alias("prompt"))
+        r = complete(named, "id", "prompt", fn, retries, max_prompt_chars)
+        r = r.select(F.from_json("id", kinds).alias("i"), "text").select("i.*", "text")
+        value = F.coalesce(*[F.when(F.col("field") == f.name, f.parser(F.col("text")).cast("string")) for f in fields])
+        return r.select("k", "n", "field", F.lit(variant).alias("variant"), F.nullif(value, F.lit("")).alias("value"))
+
+    clean = T.summary_clean(F.col("t"))
+    names = F.explode(F.array(*[F.lit(f.name) for f in fields])).alias("field")
+    first = cut_lineage(asked(rows.withColumn("c", clean).select("*", names), "full"))
+    again = first.where("value IS NULL").select(F.col("k").alias("k2"), F.col("n").alias("n2"), "field").distinct()
+    short = rows.withColumn("t", T.shorten_words(F.col("t"), short_words)).withColumn("c", clean)
+    both = short.join(again, F.col("k").eqNullSafe(F.col("k2")) & (F.col("n") == F.col("n2")))
+    out = first.unionByName(asked(both, "short")).where("value IS NOT NULL")
+    return out.select(F.col("k").alias(key_col), "field", "variant", "value")
+
+
+def marked_model(prompt: str) -> str:
+    """Deterministic stand-in: the prompt asks to ``Extract the <name>.``; the reply is what
+    stands between ``[name]`` and ``[/name]``, or nothing."""
+    name = prompt.split("Extract the ", 1)[-1].split(".", 1)[0]
+    return prompt.split(f"[{name}]", 1)[-1].split(f"[/{name}]", 1)[0] if f"[{name}]" in prompt else ""
+
+
 def batch_prompt(rows: DataFrame, id_col: str, text_col: str, k: int, template: str, seed: int = 42) -> DataFrame:
     """M9: k seeded-sampled rows as ``id: text`` lines in one prompt."""
     from .ordering_ops import seeded_sample

@@ -9,6 +9,7 @@ from ..operators import inference as I
 from ..operators import learn as L
 from ..operators import retrieval as R
 from ..sources import views as V
+from ..sources.proposals import REPLIES_SQL
 from ..sources.tables import table
 from .registry import register
 
@@ -231,27 +232,40 @@ def display_summaries(spark, sf_dir):
     return update_by_key(s, r, "id", ["display_summary"])
 
 
-@register("extract_fields")
-def extract_fields(spark, sf_dir):
-    """Per proposal and field a prompt, the model reply, and the field
-    parser (money, keywords, months, team size / name, references)."""
+def _field_values() -> dict:
+    """Per field: the parser for Spark, and that for SQL."""
     from ..functions import extract as X
+    from ..functions import sql_extract as E
+    joined = lambda c: F.array_join(c.cast("array<string>"), ",")
+    return {"budget": (X.get_money, E.get_money("reply")),
+            "ptype": (lambda c: joined(X.keywords(c)), f"array_to_string({E.keywords('reply')}, ',')"),
+            "duration": (X.duration_months, E.duration_months("reply")),
+            "team_size": (X.team_size, f"CAST({E.team_size('reply')} AS VARCHAR)"),
+            "team_name": (X.team_name, E.team_name("reply")),
+            "previous": (lambda c: joined(X.proposal_refs(c)), f"array_to_string({E.proposal_refs('reply')}, ',')")}
+
+
+def _described(spark, sf_dir):
+    """(pid, description): stand-in proposals. The text holds the stand-in reply of each
+    field between marks; every sixteenth goes on beyond the model's limit."""
     from ..sources import proposals as PR
-    rp = PR.replies(spark, sf_dir)
-    prompts = rp.select(F.concat_ws(":", "pid", "field").alias("_key"), "pid", "field",
-                        I.fill_template("Extract the <<FIELD>>.\n<<TEXT>>", FIELD=F.col("field"),
-                                        TEXT=F.col("reply")).alias("prompt"))
-    r = I.complete(prompts, "_key", "prompt", I.echo_model)
-    j = prompts.join(r, "_key")
-    t = F.col("text")
-    value = (F.when(F.col("field") == "budget", X.get_money(t))
-              .when(F.col("field") == "ptype", F.array_join(X.keywords(t), ","))
-              .when(F.col("field") == "duration", X.duration_months(t))
-              .when(F.col("field") == "team_size", X.team_size(t).cast("string"))
-              .when(F.col("field") == "team_name", X.team_name(t))
-              .when(F.col("field") == "previous", F.array_join(X.proposal_refs(t).cast("array<string>"), ","))
-              .otherwise(X.summary_tail(t, t)))
-    return j.select("pid", "field", "status", value.alias("value"))
+    wide = PR.reply_columns(spark, sf_dir)
+    marks = [F.concat(F.lit(f"[{f}]"), F.col(f), F.lit(f"[/{f}]")) for f in _field_values()]
+    more = F.when(F.col("pid") % 16 == 0, F.repeat(F.lit(" and so on"), 500))
+    return wide.select("pid", F.concat_ws("\n", *marks, more).alias("description"))
+
+
+@register("extract_fields", "WITH " + REPLIES_SQL.strip() + "\nSELECT pid, field, CASE WHEN pid % 16 = 0 THEN 'short' ELSE 'full' END AS variant, value FROM ("
+          + " UNION ALL ".join(f"SELECT pid, field, {sql} AS value FROM replies WHERE field = '{name}'"
+                               for name, (_, sql) in _field_values().items())
+          + ") WHERE value IS NOT NULL AND value <> ''")
+def extract_fields(spark, sf_dir):
+    """Six fields of every proposal by prompt, stand-in model and parser; of
+    the full description, else of its first 200 words."""
+    fields = [I.Field(name, f"Extract the {name}.\n<<TEXT>>", parser, name == "budget")
+              for name, (parser, _) in _field_values().items()]
+    return I.extract_fields(_described(spark, sf_dir), "pid", "description", fields, I.marked_model,
+                            max_prompt_chars=3000, short_words=200)
 
 
 BATCH_TEMPLATE = "Label each line Y or N.\n<<LOGS>>\nLABELS:"

@@ -82,3 +82,23 @@ def test_questions_by_mark_question_word_and_auxiliary(spark):
     rows = spark.createDataFrame([(t,) for t in yes + no], "t string")
     got = {r["t"]: r["q"] for r in rows.select("t", F.coalesce(FL.is_question("t"), F.lit(False)).alias("q")).collect()}
     assert [t for t in yes if not got[t]] == [] and [t for t in no if got[t]] == []
+
+
+def test_fields_are_asked_of_the_full_then_of_the_short_text(spark):
+    def model(prompt):
+        if "broken" in prompt:
+            raise ValueError("no")
+        return I.marked_model(prompt)
+
+    fields = [I.Field("a", "Extract the a.\n<<TEXT>>", F.upper), I.Field("b", "Extract the b.\n<<TEXT>>", F.trim, clean=True)]
+    rows = [(1, "[a]x[/a] [b] y [/b]"), (2, "[a]x[/a] " + "w " * 300), (3, "no marks"), (4, None), (5, ""),
+            (None, "[b]z[/b]"), (6, "[a]x[/a] one two three broken"), (7, "[b]p@q.r <i>s[/b]"), (1, "[a]other[/a]"),
+            (8, "[a]x[/a]"), (8, "[a]x[/a]")]
+    df = spark.createDataFrame([(k, t, "f", "v") for k, t in rows], "id long, text string, field string, k string")
+    got = I.extract_fields(df, "id", "text", fields, model, max_prompt_chars=200, short_words=3, retries=1)
+    assert got.columns == ["id", "field", "variant", "value"]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [
+        (1, "a", "full", "X"), (1, "b", "full", "y"), (2, "a", "short", "X"), (None, "b", "full", "z"),
+        (6, "a", "short", "X"), (7, "b", "full", "s"), (1, "a", "full", "OTHER"), (8, "a", "full", "X"),
+        (8, "a", "full", "X")]))
+    assert I.extract_fields(df.limit(0), "id", "text", fields, model).count() == 0
