@@ -15,9 +15,15 @@ from ..sources import views as V
 from ..sources.tables import table
 from .registry import register
 
-#: Proposal numbers that a bucket holds.
-NUMBERS = 128
-BY_PROPOSAL = f"cast(substring_index(entity, ' ', -1) as bigint) div {NUMBERS}"
+#: Proposal numbers that a bucket holds at least, and about how many buckets there are at most.
+NUMBERS, BUCKETS = 128, 1024
+
+
+def by_proposal(orders) -> str:
+    """The bucket of a statement. Buckets get wider with the largest number, so
+    that their folders and files do not grow in number with the table."""
+    most = orders.agg(F.max("o_orderkey").alias("m")).first()["m"] or 0
+    return f"cast(substring_index(entity, ' ', -1) as bigint) div {max(NUMBERS, -(-(most + 1) // BUCKETS))}"
 
 
 def _proposal(number) -> F.Column:
@@ -61,7 +67,7 @@ def _restated(orders):
 def _merged(spark, sf_dir, mode):
     orders = _orders(spark, sf_dir)
     base = IO.scratch_path(spark, "statements")
-    B.create(_as_statements(orders), base, BY_PROPOSAL)
+    B.create(_as_statements(orders), base, by_proposal(orders))
     B.merge(_restated(orders), base, lambda old, new: ST.merge_statements(old, new, mode))
     return B.read(spark, base).select("entity", "property", "value")
 
