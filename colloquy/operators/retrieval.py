@@ -35,6 +35,8 @@ TILE = 1024
 #: Products this close are told apart by the exact sum, not by the matrix product; scores that agree to
 #: DIGITS places are ties.
 SLACK, DIGITS = 1e-8, 10
+#: Most queries that every task of an LSH search holds.
+HELD = 4096
 #: Inverted file: most vectors that the centres are fitted on, most centres, vectors that recall is measured for.
 SAMPLE, CENTRES, JUDGES = 20_000, 4096, 256
 
@@ -290,10 +292,13 @@ def recall(found: DataFrame, exact: DataFrame, id_col: str = "vec_id") -> DataFr
 
 def vector_topk_lsh(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
                     vec_col: str = "embedding", bucket_length: float = 0.5, num_tables: int = 4) -> DataFrame:
-    """T5 approximate: random-projection LSH on normalised vectors; joins only
-    candidates that share a bucket, then ranks by distance."""
+    """T5 approximate: random-projection LSH on normalised vectors; only
+    candidates that share a bucket in some table meet, then they are ranked by
+    distance. A pair is scored in the first table where it meets, so nothing is
+    made distinct; up to HELD queries are held by every task and the vectors
+    stream by, and each task keeps k for a query before anything is moved."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
     v = vectors.select(id_col, array_to_vector(F.col(vec_col)).alias("_raw"))
     q = queries.select(F.col("query_id"), array_to_vector(F.col("embedding")).alias("_raw"))
     norm = Normalizer(inputCol="_raw", outputCol="features")
@@ -301,9 +306,21 @@ def vector_topk_lsh(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col:
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
                                       bucketLength=bucket_length, numHashTables=num_tables, seed=42)
     model = lsh.fit(v)
-    pairs = model.approxSimilarityJoin(q, v, 2.0, distCol="dist")
-    r = pairs.select(F.col("datasetA.query_id").alias("query_id"), F.col(f"datasetB.{id_col}").alias(id_col),
-                     (1 - F.col("dist") ** 2 / 2).alias("score"))
+
+    def hashed(df, key, vec, hashes):
+        cells = F.transform("hashes", lambda h: vector_to_array(h)[0])
+        return model.transform(df).select(key, vector_to_array("features").alias(vec), cells.alias(hashes))
+
+    queries = cut_lineage(hashed(q, "query_id", "a", "ha"))
+    few = queries.count() <= HELD
+    at = lambda h: F.posexplode(h).alias("table", "cell")
+    asked = queries.select("*", at("ha"))
+    rows = hashed(v, id_col, "b", "hb").select("*", at("hb"))
+    met = rows.join(F.broadcast(asked) if few else asked, ["table", "cell"])
+    met = met.where(F.array_position(F.zip_with("ha", "hb", lambda x, y: x == y), True) == F.col("table") + 1)
+    gap = F.zip_with("a", "b", lambda x, y: (x - y) * (x - y))
+    r = met.select("query_id", id_col, F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)).alias("dist"))
+    r = r.where("dist < 2.0").select("query_id", id_col, (1 - F.col("dist") ** 2 / 2).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(id_col))
     return r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
