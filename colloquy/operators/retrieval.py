@@ -294,13 +294,14 @@ def vector_topk_lsh(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col:
                     vec_col: str = "embedding", bucket_length: float = 0.5, num_tables: int = 4) -> DataFrame:
     """T5 approximate: random-projection LSH on normalised vectors; only
     candidates that share a bucket in some table meet, then they are ranked by
-    distance. A pair is scored in the first table where it meets, so nothing is
-    made distinct; up to HELD queries are held by every task and the vectors
+    distance. Rows that are equal count once, and a pair is scored in the first
+    table where it meets, so no pairs are made distinct; up to HELD queries are held by every task and the vectors
     stream by, and each task keeps k for a query before anything is moved."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    v = vectors.select(id_col, array_to_vector(F.col(vec_col)).alias("_raw"))
-    q = queries.select(F.col("query_id"), array_to_vector(F.col("embedding")).alias("_raw"))
+    v, q = (d.distinct() for d in (vectors.select(id_col, vec_col), queries.select("query_id", "embedding")))
+    v = v.select(id_col, array_to_vector(F.col(vec_col)).alias("_raw"))
+    q = q.select(F.col("query_id"), array_to_vector(F.col("embedding")).alias("_raw"))
     norm = Normalizer(inputCol="_raw", outputCol="features")
     v, q = norm.transform(v), norm.transform(q)
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
