@@ -1,7 +1,7 @@
 """Model-backed operators with a pluggable function.
 
 ``complete`` runs any ``fn(prompt) -> str`` inside the tasks
-(``mapInPandas``, Arrow batches), with bounded retries, so model calls are
+(``mapInArrow``, slices of Arrow batches), with bounded retries, so model calls are
 spread over the cluster and never funnelled through the driver. Every
 reply row carries ``status`` ('ok', 'too_long', 'error') and ``attempts``
 instead of error text or exceptions. The stub models here are
@@ -11,11 +11,13 @@ deterministic so pipelines can be tested without a service.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ from ..session import cut_lineage
 
 ModelFn = Callable[[str], str]
 
+#: Most bytes of prompts, and with them of replies, that a worker holds as Python strings.
+PROMPT_BYTES = 1 << 20
+
 _LOADED: dict[str, Any] = {}
 
 
@@ -72,6 +77,18 @@ def halving_model(prompt: str) -> str:
     return " ".join(prompt.split()[::2])
 
 
+def prompt_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` (key, prompt) in slices of PROMPT_BYTES of prompts or one row, so
+    that a worker holds a batch's texts as Python strings, with their replies, a few at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + PROMPT_BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def complete(df: DataFrame, key_col: str, prompt_col: str, fn: ModelFn | Model = echo_model,
              retries: int = 5, max_prompt_chars: int | None = None, pause: float = 0.0) -> DataFrame:
     """M7: (key, text, status, attempts). Too-long prompts are not sent;
@@ -79,19 +96,20 @@ def complete(df: DataFrame, key_col: str, prompt_col: str, fn: ModelFn | Model =
     replies are whitespace-collapsed (X34). A ``Model`` is loaded once for a worker."""
     def run(batches):
         call = function_of(fn)
-        for pdf in batches:
+        for part in (p for batch in batches for p in prompt_slices(batch)):
             texts, status, attempts = [], [], []
-            for p in pdf[prompt_col]:
+            for p in part.column(1).to_pylist():
                 if p is None or (max_prompt_chars is not None and len(p) > max_prompt_chars):
                     texts.append(None); status.append("too_long" if p is not None else "empty"); attempts.append(0)
                     continue
                 out, n = retried(lambda p=p: call(p), retries, pause)
                 texts.append(out); status.append("ok" if out is not None else "error"); attempts.append(n)
-            yield pd.DataFrame({key_col: pdf[key_col].to_numpy(), "text": texts,
-                                "status": status, "attempts": attempts})
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(texts, pa.string()), pa.array(status, pa.string()), pa.array(attempts, pa.int32())],
+                [key_col, "text", "status", "attempts"])
 
     kt = df.schema[key_col].dataType.simpleString()
-    r = df.select(key_col, prompt_col).mapInPandas(run, f"{key_col} {kt}, text string, status string, attempts int")
+    r = df.select(key_col, prompt_col).mapInArrow(run, f"{key_col} {kt}, text string, status string, attempts int")
     return r.withColumn("text", T.collapse_ws(F.col("text")))
 
 
@@ -171,17 +189,15 @@ def extract_fields(df: DataFrame, key_col: str, text_col: str, fields: list[Fiel
     so is a null or empty text. Rows of equal key are told apart by their text.
 
     The first replies are written once; only what they left open is asked again."""
-    kinds = f"k {df.schema[key_col].dataType.simpleString()}, field string, n bigint"
     rows = df.select(F.col(key_col).alias("k"), F.col(text_col).alias("t")).where("t IS NOT NULL AND t != ''") \
         .withColumn("n", F.xxhash64("t"))
 
     def asked(open_: DataFrame, variant: str) -> DataFrame:
         prompt = F.coalesce(*[F.when(F.col("field") == f.name, fill_template(f.template, TEXT=F.col("c" if f.clean else "t")))
                               for f in fields])
-        named = open_.select(F.to_json(F.struct("k", "field", "n"), {"ignoreNullFields": "false"}).alias("id"),
-                             prompt.alias("prompt"))
+        named = open_.select(F.struct("k", "field", "n").alias("id"), prompt.alias("prompt"))
         r = complete(named, "id", "prompt", fn, retries, max_prompt_chars)
-        r = r.select(F.from_json("id", kinds).alias("i"), "text").select("i.*", "text")
+        r = r.select("id.*", "text")
         value = F.coalesce(*[F.when(F.col("field") == f.name, f.parser(F.col("text")).cast("string")) for f in fields])
         return r.select("k", "n", "field", F.lit(variant).alias("variant"), F.nullif(value, F.lit("")).alias("value"))
 

@@ -10,7 +10,7 @@ from ..operators import learn as L
 from ..operators import retrieval as R
 from ..sources import views as V
 from ..sources.proposals import REPLIES_SQL
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import register
 
 PROBES_SQL = """
@@ -196,7 +196,7 @@ def complete_stub(spark, sf_dir):
 @register("summarize_rounds")
 def summarize_rounds(spark, sf_dir):
     """M8: recursive summarisation of whole documents (max 200 words)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return I.recursive_summarize(d, "doc_id", "text", 200, I.halving_model)
 
 
@@ -249,7 +249,7 @@ def _described(spark, sf_dir):
     """(pid, description): stand-in proposals. The text holds the stand-in reply of each
     field between marks; every sixteenth goes on beyond the model's limit."""
     from ..sources import proposals as PR
-    wide = PR.reply_columns(spark, sf_dir)
+    wide = spread(PR.reply_columns(spark, sf_dir))
     marks = [F.concat(F.lit(f"[{f}]"), F.col(f), F.lit(f"[/{f}]")) for f in _field_values()]
     more = F.when(F.col("pid") % 16 == 0, F.repeat(F.lit(" and so on"), 500))
     return wide.select("pid", F.concat_ws("\n", *marks, more).alias("description"))
