@@ -357,8 +357,9 @@ def _search(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, cells: np.n
     """(a, b, and their components): pairs of one task, of different components,
     that pass the sketch and are not ``done``: one for each two components that
     would join, and ``spare`` beside them. The rest comes in later rounds,
-    unless the components have met by then."""
-    joined, out = component.copy(), []
+    unless the components have met by then. Every class of such a pair, listed or
+    not, stands beside them as a pair with itself; the others are through."""
+    joined, out, still = component.copy(), [], set()
     for i in range(len(nodes) - 1):
         j = i + 1 + np.flatnonzero(component[i + 1:] != component[i])
         if not len(j):
@@ -369,13 +370,14 @@ def _search(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, cells: np.n
             (a, ca), (b, cb) = sorted([(int(nodes[i]), int(component[i])), (int(nodes[k]), int(component[k]))])
             if (a, b) in done:
                 continue
+            still |= {(a, ca), (b, cb)}
             joins = joined[i] != joined[k]
             if joins or spare > 0:
                 out.append((a, b, min(ca, cb), max(ca, cb)))
                 spare -= not joins
             if joins:  # taken as joined within this round; the pair is counted before the next
                 joined[joined == joined[k]] = joined[i]
-    return out
+    return out + [(a, a, c, c) for a, c in still]
 
 
 def _searched(batches, spare: int, rule: Rule):
@@ -409,7 +411,7 @@ def _searched(batches, spare: int, rule: Rule):
 def _further_pairs(apart: DataFrame, sketches: DataFrame, tested: DataFrame, spare: int, rule: Rule) -> DataFrame:
     """(task, sig, a, b, ca, cb): pairs of different components ca and cb that
     pass the sketch and that the task does not know as tested; all of them are
-    found over the rounds."""
+    found over the rounds. Where a = b, that class still has a pair in the task."""
     left = _dealt(apart).join(sketches, "node") \
         .select("task", F.lit(0).alias("kind"), "node", "component", "n", "sketch", "sig")
     done = tested.select("task", F.lit(1).alias("kind"), F.col("a").alias("node"), F.col("b").alias("component"),
@@ -458,18 +460,22 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
             found = _joined(found, links)
         before = reduce(DataFrame.unionByName, seen, none)
         apart = written(_apart(members, found))
+        discard(members)
         while True:  # until there are pairs to count; a task may bring up what another one has had counted
             known = reduce(DataFrame.unionByName, tested, none.selectExpr("a AS task", "a AS sig", "a", "b"))
             raw = written(_further_pairs(apart, sketches, known, 4 ** turn - 1, rule))
             if raw.isEmpty():
                 return documents, found
-            todo = written(_chosen(raw, before, 4 ** turn))
-            tested.append(written(raw.join(todo.unionByName(before).distinct(), ["a", "b"], "left_semi")
+            pairs = raw.where("a != b")
+            todo = written(_chosen(pairs, before, 4 ** turn))
+            tested.append(written(pairs.join(todo.unionByName(before).distinct(), ["a", "b"], "left_semi")
                                   .select("task", "sig", "a", "b")))
             if not todo.isEmpty():
                 break
         turn += 1
-        members = members.join(raw.select("sig").distinct(), "sig", "left_semi")  # the others have no pair left
+        # a class without a pair in a fragment by now has none there later
+        members = written(raw.where("a = b").select("sig", F.col("a").alias("node")).distinct())
+        discard(apart)
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:

@@ -146,3 +146,17 @@ def test_shared_signatures_over_any_batches():
         got = [r for b in nj._shared(batches) for r in zip(*(c.to_pylist() for c in b.columns))]
         assert got == want, size
     assert list(nj._shared([])) == []
+
+
+def test_only_classes_with_a_pair_left_go_on():
+    """op9, pipeline: a fragment was taken on with all its classes as long as one pair was left in it"""
+    import numpy as np
+    from colloquy.llm import ngram_join as N
+    rule = N.Rule(size=3, num=90, den=100)
+    cells = np.zeros((5, 64), np.uint8)
+    cells[3:] = np.arange(1, 3, dtype=np.uint8)[:, None]  # alike to no other
+    nodes, component, n = np.arange(5), np.arange(5), np.full(5, 20)
+    raw = N._search(nodes, component, n, cells, {(0, 1)}, 0, rule)
+    assert {a for a, b, *_ in raw if a == b} == {0, 1, 2}
+    assert {(a, b) for a, b, *_ in raw if a != b} == {(0, 2), (1, 2)}
+    assert N._search(nodes, component, n, cells, {(0, 1), (0, 2), (1, 2)}, 0, rule) == []
