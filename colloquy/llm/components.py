@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, discard
+from ..session import cut_lineage, discard, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -31,6 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         discard(large)
         discard(edges)
         edges = after
+        release(edges.sparkSession)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

@@ -89,16 +89,20 @@ def class_hash(s: np.ndarray, rule: Rule) -> tuple[int, int]:
     return tuple(int(_mixed(s, 2 * rule.seed + k + 1).sum().view(np.int64)) for k in (0, 1))
 
 
-def signatures(s: np.ndarray, rule: Rule, bounds: list[int]) -> np.ndarray:
-    """A hash for each fragment of the sorted set ``s``, in its size classes."""
-    n = len(s)
+def _cuts(n: int, rule: Rule, bounds: list[int]) -> list[tuple[int, int, int]]:
+    """The size classes in which a set of ``n`` shingles registers: label,
+    largest size and number of fragments."""
     k = int(np.searchsorted(bounds, n, "right")) - 1
     if k < 0:
-        return np.zeros(0, np.int64)
-    value, out = _mixed(s, 11), []
-    for label in (k, k + 1) if n * rule.den // rule.num >= bounds[k + 1] else (k,):
-        top = bounds[label + 1] - 1
-        count = rule.most_apart(2 * top) + 1
+        return []
+    labels = (k, k + 1) if n * rule.den // rule.num >= bounds[k + 1] else (k,)
+    return [(x, top := bounds[x + 1] - 1, rule.most_apart(2 * top) + 1) for x in labels]
+
+
+def signatures(s: np.ndarray, rule: Rule, bounds: list[int]) -> np.ndarray:
+    """A hash for each fragment of the sorted set ``s``, in its size classes."""
+    n, value, out = len(s), _mixed(s, 11), [np.zeros(0, np.uint64)]
+    for label, top, count in _cuts(n, rule, bounds):
         fragment = ((s >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
         sums, held = np.add.reduceat(value, first), fragment[first]
@@ -138,27 +142,28 @@ def _sets(batches, rule: Rule):
             yield part, [np.unique(hashes[a:b]) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _features(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, key, n_shingles, c1, c2 and the signatures (left out where the
-    same task has sent them for an equal set)."""
+def _features(docs: DataFrame, rule: Rule, signed: bool = True) -> DataFrame:
+    """doc_id, key, n_shingles, c1, c2, the most signatures that the set has, and
+    the signatures (left out where the same task has sent them for an equal set,
+    and everywhere unless ``signed``)."""
 
     def run(batches):
         bounds, seen = rule.bounds(1 << 40), set()
         for part, sets in _sets(batches, rule):
             c = [class_hash(s, rule) for s in sets]
-            sigs = []
+            sigs, most = [], [sum(count for _, _, count in _cuts(len(s), rule, bounds)) for s in sets]
             for s, key in zip(sets, c):
-                sigs.append(np.zeros(0, np.int64) if key in seen else signatures(s, rule, bounds))
+                sigs.append(signatures(s, rule, bounds) if signed and key not in seen else np.zeros(0, np.int64))
                 if len(seen) < SEEN:
                     seen.add(key)
             edges = np.concatenate([[0], np.cumsum([len(x) for x in sigs])])
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([x for x, _ in c], pa.int64()), pa.array([y for _, y in c], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(sigs)))],
-                ["doc_id", "key", "n_shingles", "c1", "c2", "sigs"])
+                 pa.array(most, pa.int64()), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(sigs)))],
+                ["doc_id", "key", "n_shingles", "c1", "c2", "n_sigs", "sigs"])
 
-    return docs.mapInArrow(run, "doc_id long, key long, n_shingles long, c1 long, c2 long, sigs array<long>")
+    return docs.mapInArrow(run, "doc_id long, key long, n_shingles long, c1 long, c2 long, n_sigs long, sigs array<long>")
 
 
 def _shared(batches):
@@ -435,16 +440,16 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     component), where ``docs`` has doc_id (not null), text and key."""
     spark = docs.sparkSession
     while True:
-        features = cut_lineage(_features(docs, rule))
-        classes = cut_lineage(features.groupBy("c1").agg(
-            F.min("doc_id").alias("doc_id"), F.min("c2").alias("x"), F.max("c2").alias("y")))
+        features = cut_lineage(_features(docs, rule, signed=False).drop("sigs"))
+        classes = cut_lineage(features.groupBy("c1").agg(F.min("doc_id").alias("doc_id"), F.min("c2").alias("x"),
+                                                         F.max("c2").alias("y"), F.max("n_sigs").alias("n_sigs")))
         if classes.where("x != y").isEmpty():
             break
         rule = replace(rule, seed=rule.seed + 1)  # two sets share 64 bits: hash anew
-    documents = cut_lineage(features.select("doc_id", "key", "n_shingles", F.col("c1").alias("node")))
-    total = features.agg(F.sum(F.size("sigs")).alias("n")).first()["n"] or 0
-    members = _members(features, min(64, int(total).bit_length() + 16))
-    discard(features)
+    documents = features.select("doc_id", "key", "n_shingles", F.col("c1").alias("node"))
+    total = classes.agg(F.sum("n_sigs").alias("n")).first()["n"] or 0
+    # the signatures are made again, straight into their shuffle: a table of them would lie beside it
+    members = _members(_features(docs, rule), min(64, int(total).bit_length() + 16))
     release(spark)
     sketches = _sketches(docs, _documents_of(members.select("node"), classes), rule)
     threshold = (rule.num + rule.den) * F.col("overlap") >= rule.num * F.col("total")
@@ -453,10 +458,11 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     todo, tested, turn = written(_leading_pairs(members).distinct()), [], 0
     while True:
         counted = written(_overlaps(docs, todo, classes, rule).withColumn("linked", threshold))
-        release(spark)
         seen.append(todo)
         links = counted.where("linked").select("a", "b")
-        if not links.isEmpty():
+        met = not links.isEmpty()  # the files of the job before the last one can go
+        release(spark)
+        if met:
             found = _joined(found, links)
         before = reduce(DataFrame.unionByName, seen, none)
         apart = written(_apart(members, found))
@@ -466,6 +472,7 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
             raw = written(_further_pairs(apart, sketches, known, 4 ** turn - 1, rule))
             if raw.isEmpty():
                 return documents, found
+            release(spark)
             pairs = raw.where("a != b")
             todo = written(_chosen(pairs, before, 4 ** turn))
             tested.append(written(pairs.join(todo.unionByName(before).distinct(), ["a", "b"], "left_semi")
