@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, discard, release
+from ..session import cut_lineage, discard, release, small_batches
 from . import textbytes
 from .components import components, written
 from ..operators.lookup import lookup
@@ -439,6 +439,7 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, key, n_shingles, node; components of nodes: node,
     component), where ``docs`` has doc_id (not null), text and key."""
     spark = docs.sparkSession
+    small_batches(spark)
     while True:
         features = cut_lineage(_features(docs, rule, signed=False).drop("sigs"))
         classes = cut_lineage(features.groupBy("c1").agg(F.min("doc_id").alias("doc_id"), F.min("c2").alias("x"),
@@ -453,8 +454,9 @@ def link_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     release(spark)
     sketches = _sketches(docs, _documents_of(members.select("node"), classes), rule)
     threshold = (rule.num + rule.den) * F.col("overlap") >= rule.num * F.col("total")
-    found = spark.createDataFrame([], "node long, component long")
-    none, seen = spark.createDataFrame([], "a long, b long"), []
+    empty = spark.range(0).where("false")  # rows from the driver's Python would start further workers
+    found = empty.selectExpr("id AS node", "id AS component")
+    none, seen = empty.selectExpr("id AS a", "id AS b"), []
     todo, tested, turn = written(_leading_pairs(members).distinct()), [], 0
     while True:
         counted = written(_overlaps(docs, todo, classes, rule).withColumn("linked", threshold))

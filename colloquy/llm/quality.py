@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, discard
+from ..session import cut_lineage, discard, small_batches
 from . import textbytes
 from .toxicity import logistic
 
@@ -355,6 +355,7 @@ def score(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> Dat
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (same columns) without the rows that are not kept: a filter in
     the scan, by the text, source, language and length of each row."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     at = docs.columns.index("text")
 

@@ -18,7 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-BLOCK_BYTES = 1 << 21
+#: Bytes of text hashed at once; a worker holds some 40 times as much, two tables included.
+BLOCK_BYTES = 1 << 18
+#: Bytes of text in a slice of a batch, where no less is asked for.
+SLICE_BYTES = 1 << 23
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -151,7 +154,7 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 4 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most ``limit`` bytes of text, or one row."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
